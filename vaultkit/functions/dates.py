@@ -33,5 +33,6 @@ def minutes_before(c: str | Column, minutes: int) -> Column:
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:
-    """Whole seconds from ``start`` to ``end`` (like datediff('second', ...))."""
-    return F.timestamp_diff("SECOND", _c(start), _c(end))
+    """Second boundaries crossed from ``start`` to ``end`` (datediff('second', ...) semantics:
+    fractions are cut off before subtracting). Session time zone must be UTC for timestamp_ntz."""
+    return F.unix_timestamp(_c(end)) - F.unix_timestamp(_c(start))

@@ -174,5 +174,5 @@ def load_efficiency(log: DataFrame, model_name: str | None = None) -> DataFrame:
         "model_name", "start_timestamp", "end_timestamp",
         runtime.alias("runtime_seconds"),
         "rows_processed", "delta_inserted_rows", "delta_updated_rows",
-        F.when(runtime > 0, F.round(F.col("rows_processed") / runtime, 3)).alias("rows_per_second"),
+        F.when(runtime > 0, F.col("rows_processed") / runtime).alias("rows_per_second"),
     ).orderBy(F.col("start_timestamp").desc())

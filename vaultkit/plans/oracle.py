@@ -172,7 +172,10 @@ def with_ctes(final: str, deps: list[str]) -> str:
         visit(d)
     if not order:
         return final
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n][0]})" for n in order) + "\n" + final
+    head = ",\n".join(f"{n} AS ({CTES[n][0]})" for n in order)
+    if final.lstrip().upper().startswith("WITH "):
+        return "WITH " + head + ",\n" + final.lstrip()[5:]
+    return "WITH " + head + "\n" + final
 
 
 ORACLES: dict[str, tuple[str, list[str]]] = {}
@@ -190,3 +193,267 @@ def sql(name: str) -> str:
 # --- step 0 ------------------------------------------------------------------------------------
 oracle("hash_entity", "SELECT dataset_product_id, geographic_id, product_name, hashkey, hashdiff FROM fx_stg", ["fx_stg"])
 oracle("delta_classified", "SELECT hashkey, action, dataset_product_id FROM fx_action", ["fx_action"])
+
+
+# --- more shared derivations -------------------------------------------------------------------
+RS = RUN.replace("TIMESTAMP ", "")
+cte("fx_nat", "SELECT n_nationkey, upper(trim(n_name)) AS geo FROM nation")
+cte("fx_cust_src",
+    "SELECT geo AS geographic_id, 'CRM' AS dataset_id, 'CUSTOMER' AS source_dataset_id, CAST(c_custkey AS VARCHAR) AS dataset_product_id, "
+    "'BRAND' AS product_type_code, upper(c_name) AS product_name, c_mktsegment AS channel, CAST(NULL AS TIMESTAMP) AS source_lastmodifieddate "
+    "FROM customer JOIN fx_nat ON c_nationkey = n_nationkey", ["fx_nat"])
+cte("fx_supp_src",
+    "SELECT geo AS geographic_id, 'MARKET' AS dataset_id, 'SUPPLIER' AS source_dataset_id, 'BRAND_' || CAST(s_suppkey AS VARCHAR) AS dataset_product_id, "
+    "'BRAND' AS product_type_code, upper(s_name) AS product_name, CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS strength, "
+    "CAST(NULL AS TIMESTAMP) AS source_lastmodifieddate FROM supplier JOIN fx_nat ON s_nationkey = n_nationkey", ["fx_nat"])
+cte("fx_part_src",
+    "SELECT 'MX' AS geographic_id, 'CATALOGUE' AS dataset_id, 'PART' AS source_dataset_id, upper(trim(CAST(p_partkey AS VARCHAR))) AS dataset_product_id, "
+    "'PMP' AS product_type_code, upper(trim(concat_ws(' ', p_name, p_brand, p_type))) AS product_name, p_brand AS brand_name, "
+    "'A' AS product_status_code, CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS package_quantity, "
+    "CAST(NULL AS TIMESTAMP) AS source_lastmodifieddate FROM part")
+cte("fx_stg_cust", staged("fx_cust_src", {"geographic_id", "dataset_id", "source_dataset_id", "dataset_product_id", "product_type_code", "product_name", "channel"}, PRODUCT, tb.DAY2_BATCH, RUN, "CRM"), ["fx_cust_src"])
+cte("fx_stg_supp", staged("fx_supp_src", {"geographic_id", "dataset_id", "source_dataset_id", "dataset_product_id", "product_type_code", "product_name", "strength"}, PRODUCT, tb.DAY2_BATCH, RUN, "MARKET"), ["fx_supp_src"])
+cte("fx_stg_part", staged("fx_part_src", {"geographic_id", "dataset_id", "source_dataset_id", "dataset_product_id", "product_type_code", "product_name", "brand_name", "product_status_code", "package_quantity"}, PRODUCT, tb.DAY2_BATCH, RUN, "CATALOGUE"), ["fx_part_src"])
+cte("fx_sources", "SELECT * FROM fx_stg_cust UNION ALL SELECT * FROM fx_stg_supp UNION ALL SELECT * FROM fx_stg_part",
+    ["fx_stg_cust", "fx_stg_supp", "fx_stg_part"])
+cte("fx_ident_src",
+    "SELECT upper(trim(n.n_name)) AS geographic_id, 'CRM' AS dataset_id, CAST(c.c_custkey AS VARCHAR) AS dataset_product_id, "
+    "'CRM' AS identifier_type_code, upper(trim(n.n_name)) || '_' || CAST(c.c_custkey AS VARCHAR) AS identifier_id, "
+    "CAST(NULL AS VARCHAR) AS status_code, CAST(f.first_order AS DATE) AS effective_date, CAST(NULL AS DATE) AS end_date, "
+    "f.modified AS source_lastmodifieddate FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey "
+    "LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS first_order, max(o_orderdate) AS modified FROM orders GROUP BY o_custkey) f "
+    "ON c.c_custkey = f.o_custkey")
+cte("fx_ident", staged("fx_ident_src", set(IDENTIFIER.columns), IDENTIFIER, tb.DAY2_BATCH, RUN), ["fx_ident_src"])
+cte("fx_edge", "SELECT l_suppkey, l_partkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_suppkey, l_partkey")
+cte("fx_rel_src",
+    "SELECT upper(trim(n.n_name)) AS parent_geographic_id, upper(trim(n.n_name)) AS child_geographic_id, "
+    "'SUPPLIER' AS parent_dataset_id, 'PART' AS child_dataset_id, CAST(e.l_suppkey AS VARCHAR) AS parent_dataset_product_id, "
+    "CAST(e.l_partkey AS VARCHAR) AS child_dataset_product_id, 'SUPPLIES' AS relationship_type_code, "
+    "CAST(NULL AS VARCHAR) AS status_code, CAST(NULL AS DATE) AS effective_date, CAST(NULL AS DATE) AS end_date, "
+    "e.last_ship AS source_lastmodifieddate FROM fx_edge e JOIN supplier s ON e.l_suppkey = s.s_suppkey "
+    "JOIN nation n ON s.s_nationkey = n.n_nationkey", ["fx_edge"])
+cte("fx_rel", staged("fx_rel_src", set(RELATIONSHIP.columns), RELATIONSHIP, tb.DAY2_BATCH, RUN), ["fx_rel_src"])
+cte("fx_wm0",
+    f"SELECT 'CRM' AS source_system, {q(tb.STAGING_MODEL)} AS source_object, 'SOURCE_LASTMODIFIEDDATE' AS watermark_column, "
+    f"max(o_orderdate) AS watermark_value, {DAY1} AS updated_at, {q(tb.DAY1_BATCH)} AS etl_batch_id "
+    "FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00'")
+cte("fx_ewm0",
+    f"SELECT 'EVENTS' AS source_system, 'EVENTS' AS source_object, 'TS' AS watermark_column, max(ts) AS watermark_value, "
+    f"{DAY1} AS updated_at, {q(tb.DAY1_BATCH)} AS etl_batch_id FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'")
+WM_FLOOR = (f"SELECT coalesce(max(watermark_value) - INTERVAL 5 MINUTE, {FLOOR}) FROM fx_wm0 WHERE source_system = 'CRM' "
+            f"AND source_object = {q(tb.STAGING_MODEL)} AND upper(watermark_column) = 'SOURCE_LASTMODIFIEDDATE'")
+cte("fx_dq_wm", dq_sql("fx_stg", "fx_reject", PRODUCT, WM_FLOOR), ["fx_stg", "fx_reject", "fx_wm0"])
+cte("fx_metrics",
+    "SELECT CAST(ins AS BIGINT) AS delta_inserted_rows, CAST(upd AS BIGINT) AS delta_updated_rows, CAST(ins + upd AS BIGINT) AS rows_processed FROM ("
+    "SELECT (SELECT count(DISTINCT hashkey) FROM fx_action a WHERE action IN ('NEW','CHANGED') "
+    "AND NOT EXISTS (SELECT 1 FROM fx_hub0 h WHERE h.hashkey = a.hashkey)) AS ins, "
+    "(SELECT count(*) FROM fx_action WHERE action = 'CHANGED') AS upd)", ["fx_action", "fx_hub0"])
+SAT_SELECT_NEXT = ", ".join(
+    ["coalesce(s.hashkey, t.hashkey) AS hashkey",
+     "CASE WHEN a.action IN ('NEW','CHANGED') THEN s.hashdiff ELSE t.hashdiff END AS hashdiff"]
+    + [f"CASE WHEN a.action IN ('NEW','CHANGED') THEN {RUN} ELSE t.{c} END AS {c}" for c in ("start_datetime", "load_datetime")]
+    + ["CASE WHEN a.action IN ('NEW','CHANGED') THEN CAST(NULL AS TIMESTAMP) ELSE t.end_datetime END AS end_datetime",
+       f"CASE WHEN a.action IN ('NEW','CHANGED','UNCHANGED') THEN {RUN} ELSE t.updated_datetime END AS updated_datetime",
+       f"CASE WHEN a.action IN ('NEW','CHANGED') THEN {q(tb.DAY2_BATCH)} ELSE t.etl_batch_id END AS etl_batch_id",
+       "CASE WHEN a.action IN ('NEW','CHANGED') THEN left(coalesce(s.record_source, 'CRM'), 255) ELSE t.record_source END AS record_source"]
+    + [f"CASE WHEN a.action IN ('NEW','CHANGED') THEN s.{c} ELSE t.{c} END AS {c}" for c in PRODUCT.columns]
+)
+cte("fx_sat1",
+    f"SELECT {SAT_SELECT_NEXT} FROM fx_action a LEFT JOIN fx_dq s ON a.hashkey = s.hashkey "
+    "LEFT JOIN (SELECT * FROM fx_sat0 WHERE end_datetime IS NULL) t ON a.hashkey = t.hashkey "
+    "UNION ALL SELECT * FROM fx_sat0 WHERE end_datetime IS NOT NULL", ["fx_action", "fx_dq", "fx_sat0"])
+cte("fx_log0",
+    f"SELECT {q(tb.DAY1_BATCH)} AS etl_batch_id, 'STAGE' AS layer_name, upper(event_type) AS model_name, 'EVENTS' AS source_system, "
+    "'SUCCESS' AS process_status, min(ts) AS start_timestamp, max(ts) AS end_timestamp, CAST(count(*) AS BIGINT) AS rows_processed, "
+    "'' AS error_message, CAST(0 AS BIGINT) AS delta_inserted_rows, CAST(0 AS BIGINT) AS delta_updated_rows FROM events GROUP BY event_type")
+
+RAW_TEXT = ("SELECT p_partkey, p_brand, repeat('.', CAST(p_size % 3 AS INTEGER)) || ' ' || p_name || repeat(' ', CAST(p_size % 4 AS INTEGER)) "
+            "|| chr(9) || ' ' || p_brand || CASE WHEN p_size % 5 = 0 THEN '''s' ELSE '' END AS raw FROM part")
+
+
+def n_rule(x: str) -> str:
+    return f"upper(trim(regexp_replace(regexp_replace(trim({x}), '^\\.+', ''), ' +', ' ', 'g')))"
+
+
+def w_rule(x: str) -> str:
+    return f"upper(replace(trim(regexp_replace({x}, '[[:space:]]+', ' ', 'g')), '''', ''))"
+
+
+LAST = "regexp_extract(trim(raw), '[^[:space:]]+$')"
+oracle("clean_names",
+       f"SELECT p_partkey, {n_rule('raw')} AS crm_name, {w_rule('raw')} AS market_name, "
+       f"{w_rule('substr(raw, 1, greatest(length(raw) - 3, 0))')} AS brand_name, "
+       f"CASE WHEN raw IS NULL OR trim(raw) = '' THEN NULL WHEN strpos(trim(raw), ' ') = 0 THEN NULL ELSE {LAST} END AS last_token, "
+       f"{w_rule(f'CASE WHEN raw IS NULL OR trim(raw) = {chr(39)}{chr(39)} THEN NULL WHEN strpos(trim(raw), {chr(39)} {chr(39)}) = 0 THEN trim(raw) ELSE trim(left(trim(raw), length(trim(raw)) - length({LAST}) - 1)) END')} AS name_stripped "
+       f"FROM ({RAW_TEXT})")
+oracle("typed_null_conform", "SELECT * FROM fx_stg_supp", ["fx_stg_supp"])
+EXT = "upper(substr(p_type, 1, 1)) || CASE WHEN p_size % 2 = 0 THEN '_' ELSE 'X' END || CAST(p_partkey AS VARCHAR)"
+oracle("like_escape_filter",
+       f"SELECT p_partkey, p_name, {EXT} AS ext_id, ({EXT}) LIKE 'S!_%' ESCAPE '!' AS esc_match, ({EXT}) LIKE 'S_%' AS wild_match, "
+       "upper(p_type) IN ('SMALL', 'LARGE') AS in_list, "
+       "(CASE WHEN p_size > 25 THEN NULL ELSE p_brand END) NOT IN ('Brand#1', 'Brand#2') AS not_in_list FROM part "
+       "WHERE upper(trim(p_name)) NOT LIKE '%RING%' AND upper(trim(p_name)) NOT LIKE 'BLUE %' AND upper(trim(p_name)) NOT LIKE '%BOLT'")
+oracle("placeholder_filter",
+       "SELECT c_custkey, segment FROM (SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN '-' WHEN c_custkey % 9 = 1 THEN '  ' "
+       "WHEN c_custkey % 9 = 2 THEN NULL ELSE c_mktsegment END AS segment FROM customer) "
+       "WHERE segment IS NOT NULL AND trim(segment) NOT IN ('', '-')")
+oracle("try_dates",
+       "SELECT o_orderkey, txt, try_cast(trim(txt) AS DATE) AS d FROM (SELECT o_orderkey, "
+       "CASE WHEN o_orderkey % 5 = 0 THEN CAST(year(o_orderdate) AS VARCHAR) || '-13-01' WHEN o_orderkey % 5 = 1 THEN '' "
+       "WHEN o_orderkey % 5 = 2 THEN ' ' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || ' ' "
+       "ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS txt FROM orders)")
+oracle("hashdiff_entity", "SELECT * FROM fx_ident", ["fx_ident"])
+
+oracle("latest_per_key",
+       "SELECT user_id, event_id, ts, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
+       "ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn FROM events) WHERE rn = 1")
+oracle("dedupe_versions",
+       "SELECT hashkey, hashdiff, o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM (SELECT *, row_number() OVER ("
+       "PARTITION BY hashkey, hashdiff ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST) AS rn FROM ("
+       f"SELECT *, {md5_of(['o_custkey'])} AS hashkey, {md5_of(['o_custkey', 'o_orderstatus'])} AS hashdiff FROM orders)) WHERE rn = 1")
+oracle("parent_lookup",
+       "SELECT c.c_custkey, c.c_custkey % 100 AS parent_ref, p.c_name AS parent_c_name FROM customer c "
+       "LEFT JOIN customer p ON c.c_custkey % 100 = p.c_custkey")
+oracle("latest_parent_lookup",
+       "SELECT c.c_custkey, p.o_orderkey AS parent_o_orderkey, p.o_orderstatus AS parent_o_orderstatus FROM customer c LEFT JOIN ("
+       "SELECT * FROM (SELECT o_custkey, o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_custkey "
+       "ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST) AS rn FROM orders) WHERE rn = 1) p ON c.c_custkey = p.o_custkey")
+oracle("multi_key_lookup",
+       "SELECT c.c_custkey, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey "
+       "AND upper(trim(n.n_name)) = upper(trim('nation_' || CAST(c.c_nationkey AS VARCHAR))) AND n.n_regionkey <> 4")
+oracle("substance_list",
+       "SELECT l_partkey, array_to_string(list_sort(list(DISTINCT CAST(l_suppkey AS VARCHAR))), '|') AS substance "
+       "FROM lineitem GROUP BY l_partkey")
+oracle("union_distinct_ids", "SELECT o_custkey AS id FROM orders UNION SELECT c_custkey FROM customer UNION SELECT s_suppkey FROM supplier")
+oracle("union_sources", "SELECT * FROM fx_sources", ["fx_sources"])
+oracle("multi_label",
+       "SELECT DISTINCT p_partkey, p_name, 'SMALL' AS label FROM part WHERE upper(p_type) = 'SMALL' UNION ALL "
+       "SELECT DISTINCT p_partkey, p_name, 'BIG' FROM part WHERE p_size > 40 UNION ALL "
+       "SELECT DISTINCT p_partkey, p_name, 'CHEAP' FROM part WHERE p_retailprice < 1000 UNION ALL "
+       "SELECT DISTINCT p_partkey, p_name, 'BRAND1X' FROM part WHERE p_brand LIKE 'Brand#1%'")
+
+oracle("country_semi",
+       "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey "
+       "WHERE upper(trim(n_name)) IN (SELECT iso2_code FROM fx_country)", ["fx_country"])
+oracle("reject_rows", "SELECT * FROM fx_reject", ["fx_reject"])
+oracle("reject_key_new_only",
+       "SELECT * FROM fx_reject r WHERE NOT EXISTS (SELECT 1 FROM fx_reject s WHERE s.error_code = 'EMPTY_COUNTRY_CODE' "
+       "AND s.reject_key = r.reject_key)", ["fx_reject"])
+oracle("exclude_rejects_ids",
+       "SELECT dataset_product_id, hashkey, hashdiff FROM fx_stg s WHERE NOT EXISTS (SELECT 1 FROM fx_reject r "
+       "WHERE r.dataset_product_id = upper(trim(s.dataset_product_id)))", ["fx_stg", "fx_reject"])
+oracle("exclude_rejects_both_ends",
+       "SELECT parent_dataset_product_id, child_dataset_product_id, hashkey FROM fx_rel s "
+       "WHERE NOT EXISTS (SELECT 1 FROM fx_reject r WHERE r.dataset_product_id = upper(trim(s.parent_dataset_product_id))) "
+       "AND NOT EXISTS (SELECT 1 FROM fx_reject r WHERE r.dataset_product_id = upper(trim(s.child_dataset_product_id)))",
+       ["fx_rel", "fx_reject"])
+
+oracle("dq_passed", "SELECT dataset_product_id, hashkey, hashdiff, source_lastmodifieddate FROM fx_dq_wm", ["fx_dq_wm"])
+oracle("watermark_filter",
+       "SELECT event_id, ts FROM events WHERE ts >= (SELECT coalesce(max(watermark_value) - INTERVAL 5 MINUTE, "
+       f"{FLOOR}) FROM fx_ewm0 WHERE source_system = 'EVENTS' AND source_object = 'EVENTS' AND upper(watermark_column) = 'TS')",
+       ["fx_ewm0"])
+oracle("delta_rows",
+       "SELECT s.dataset_product_id, s.hashkey, s.hashdiff FROM fx_dq s WHERE NOT EXISTS (SELECT 1 FROM fx_sat0 t "
+       "WHERE t.hashkey = s.hashkey AND t.hashdiff = s.hashdiff AND t.end_datetime IS NULL)", ["fx_dq", "fx_sat0"])
+oracle("delta_metrics", "SELECT * FROM fx_metrics", ["fx_metrics"])
+oracle("hub_upsert",
+       f"SELECT * FROM fx_hub0 UNION ALL SELECT DISTINCT a.hashkey, {RUN} AS start_datetime, {RUN} AS load_datetime, "
+       f"'CRM' AS record_source, {q(tb.DAY2_BATCH)} AS etl_batch_id, 'PRODUCT' AS origin_stg FROM fx_action a "
+       "WHERE a.action IN ('NEW','CHANGED') AND NOT EXISTS (SELECT 1 FROM fx_hub0 h WHERE h.hashkey = a.hashkey)",
+       ["fx_hub0", "fx_action"])
+oracle("sat_touch",
+       f"SELECT t.hashkey, t.hashdiff, CASE WHEN EXISTS (SELECT 1 FROM fx_dq s WHERE s.hashkey = t.hashkey AND s.hashdiff = t.hashdiff) "
+       f"THEN {RUN} ELSE t.updated_datetime END AS updated_datetime, t.etl_batch_id FROM fx_sat0 t WHERE t.end_datetime IS NULL",
+       ["fx_dq", "fx_sat0"])
+oracle("archive_changed",
+       "SELECT hashkey, hashdiff, start_datetime, end_datetime, etl_batch_id, product_name FROM fx_hist0 UNION ALL "
+       f"SELECT t.hashkey, t.hashdiff, t.start_datetime, {RUN} AS end_datetime, t.etl_batch_id, t.product_name "
+       "FROM fx_sat0 t JOIN fx_dq s ON s.hashkey = t.hashkey WHERE t.end_datetime IS NULL AND s.hashdiff <> t.hashdiff "
+       "AND NOT EXISTS (SELECT 1 FROM fx_hist0 h WHERE h.hashdiff = t.hashdiff)", ["fx_hist0", "fx_sat0", "fx_dq"])
+oracle("sat_merge", "SELECT * FROM fx_sat1", ["fx_sat1"])
+oracle("watermark_upsert",
+       "WITH wm AS (SELECT * FROM fx_wm0 UNION ALL SELECT * FROM fx_ewm0), "
+       "src AS (SELECT max(source_lastmodifieddate) AS v FROM fx_dq_wm) "
+       f"SELECT source_system, source_object, watermark_column, "
+       "CASE WHEN source_system = 'CRM' AND source_object = " + q(tb.STAGING_MODEL) + " AND watermark_column = 'SOURCE_LASTMODIFIEDDATE' "
+       "AND (SELECT v FROM src) IS NOT NULL AND (watermark_value IS NULL OR (SELECT v FROM src) > watermark_value) THEN (SELECT v FROM src) ELSE watermark_value END AS watermark_value, "
+       "CASE WHEN source_system = 'CRM' AND source_object = " + q(tb.STAGING_MODEL) + " AND watermark_column = 'SOURCE_LASTMODIFIEDDATE' "
+       f"AND (SELECT v FROM src) IS NOT NULL AND (watermark_value IS NULL OR (SELECT v FROM src) > watermark_value) THEN {RUN} ELSE updated_at END AS updated_at, "
+       "CASE WHEN source_system = 'CRM' AND source_object = " + q(tb.STAGING_MODEL) + " AND watermark_column = 'SOURCE_LASTMODIFIEDDATE' "
+       f"AND (SELECT v FROM src) IS NOT NULL AND (watermark_value IS NULL OR (SELECT v FROM src) > watermark_value) THEN {q(tb.DAY2_BATCH)} ELSE etl_batch_id END AS etl_batch_id "
+       "FROM wm", ["fx_wm0", "fx_ewm0", "fx_dq_wm"])
+
+HUB_CAND = (
+    f"SELECT DISTINCT hashkey, {RUN} AS start_datetime, {RUN} AS load_datetime, record_source, etl_batch_id, 'PRODUCT' AS origin_stg "
+    "FROM fx_sources s WHERE NOT EXISTS (SELECT 1 FROM fx_reject r WHERE r.dataset_product_id = upper(trim(s.dataset_product_id))) "
+    f"UNION ALL SELECT DISTINCT hashkey, {RUN}, {RUN}, record_source, etl_batch_id, 'IDENTIFIER' FROM fx_ident "
+    f"UNION ALL SELECT DISTINCT hashkey, {RUN}, {RUN}, record_source, etl_batch_id, 'RELATIONSHIP' FROM fx_rel"
+)
+oracle("hub_full",
+       "SELECT hashkey, start_datetime, load_datetime, record_source, etl_batch_id, origin_stg FROM ("
+       "SELECT *, row_number() OVER (PARTITION BY hashkey ORDER BY CASE origin_stg WHEN 'PRODUCT' THEN 0 WHEN 'IDENTIFIER' THEN 1 ELSE 2 END, "
+       f"record_source NULLS LAST, etl_batch_id NULLS LAST) AS rn FROM ({HUB_CAND})) c WHERE rn = 1 "
+       "AND NOT EXISTS (SELECT 1 FROM fx_hub0 h WHERE h.hashkey = c.hashkey)",
+       ["fx_sources", "fx_reject", "fx_ident", "fx_rel", "fx_hub0"])
+SAT_ROWS = (
+    f"SELECT hashkey, hashdiff, {RUN} AS start_datetime, {RUN} AS load_datetime, CAST(NULL AS TIMESTAMP) AS end_datetime, "
+    f"{RUN} AS updated_datetime, etl_batch_id, record_source, {', '.join(PRODUCT.columns)} FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY hashkey ORDER BY load_datetime DESC NULLS LAST, hashdiff DESC NULLS LAST) AS rn "
+    "FROM fx_stg s WHERE NOT EXISTS (SELECT 1 FROM fx_reject r WHERE r.dataset_product_id = upper(trim(s.dataset_product_id)))) WHERE rn = 1"
+)
+oracle("sat_incremental",
+       f"WITH rows AS ({SAT_ROWS}), ch AS (SELECT r.* FROM rows r LEFT JOIN fx_sat0 c ON c.hashkey = r.hashkey "
+       "WHERE c.hashkey IS NULL OR c.hashdiff <> r.hashdiff) "
+       "SELECT * FROM fx_sat0 t WHERE NOT EXISTS (SELECT 1 FROM ch WHERE ch.hashkey = t.hashkey) UNION ALL SELECT * FROM ch",
+       ["fx_stg", "fx_reject", "fx_sat0"])
+oracle("hist_incremental",
+       f"SELECT {', '.join(c for c in HIST_COLS if c != 'end_datetime')}, {RUN} AS end_datetime FROM fx_sat0 t "
+       "WHERE EXISTS (SELECT 1 FROM fx_stg i WHERE i.hashkey = t.hashkey AND i.hashdiff <> t.hashdiff) "
+       "AND NOT EXISTS (SELECT 1 FROM fx_hist0 h WHERE h.hashdiff = t.hashdiff)", ["fx_sat0", "fx_stg", "fx_hist0"])
+STG_COLS = list(PRODUCT.columns) + ["source_lastmodifieddate", "hashkey", "hashdiff", "load_datetime", "etl_batch_id", "record_source"]
+oracle("snapshot_batch",
+       f"WITH snap0 AS (SELECT {DAY1} AS captured_at, * FROM fx_day1), "
+       f"new AS (SELECT captured_at, {', '.join(STG_COLS)} FROM (SELECT {RUN} AS captured_at, s.*, row_number() OVER ("
+       "PARTITION BY etl_batch_id, hashkey, hashdiff ORDER BY source_lastmodifieddate DESC NULLS LAST, load_datetime DESC NULLS LAST) AS rn "
+       "FROM fx_stg s WHERE NOT EXISTS (SELECT 1 FROM fx_reject r WHERE r.dataset_product_id = upper(trim(s.dataset_product_id)))) WHERE rn = 1) "
+       f"SELECT captured_at, {', '.join(STG_COLS)} FROM snap0 o WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.etl_batch_id = o.etl_batch_id "
+       "AND n.hashkey = o.hashkey AND n.hashdiff = o.hashdiff) UNION ALL SELECT * FROM new",
+       ["fx_day1", "fx_stg", "fx_reject"])
+oracle("mart_current_batch",
+       f"SELECT {', '.join(PRODUCT.columns)} FROM fx_sat1 WHERE end_datetime IS NULL AND etl_batch_id = {q(tb.DAY2_BATCH)}", ["fx_sat1"])
+
+LAYER_CASE = ("CASE n_nationkey % 8 WHEN 0 THEN 'stg' WHEN 1 THEN 'DQ' WHEN 2 THEN ' delta ' WHEN 3 THEN 'dm' WHEN 4 THEN 'Hub' "
+              "WHEN 5 THEN 'sat' WHEN 6 THEN 'hist' ELSE 'raw' END")
+MODEL_RAW = ("(CASE WHEN n_nationkey % 3 = 0 THEN lower(' sat_' || n_name) ELSE 'STG_' || n_name END) || "
+             "CASE n_nationkey % 5 WHEN 0 THEN '_VEEVA_CRM' WHEN 1 THEN '_VEEVA' WHEN 2 THEN '_PRODUCT_FILE' WHEN 3 THEN '_VEEVA_PRODUCT_FILE' ELSE '' END")
+oracle("audit_std_names",
+       "SELECT n_nationkey, CASE lower(trim(coalesce(l, 'UNKNOWN'))) WHEN 'stg' THEN 'STAGE' WHEN 'dq' THEN 'DQ' WHEN 'delta' THEN 'DELTA' "
+       "WHEN 'dm' THEN 'DM' WHEN 'hub' THEN 'HUB' WHEN 'sat' THEN 'SAT' WHEN 'hist' THEN 'HIST' ELSE upper(lower(trim(coalesce(l, 'UNKNOWN')))) END AS layer_name, "
+       "CASE WHEN m2 LIKE '%\\_PRODUCT\\_FILE' ESCAPE '\\' THEN left(m2, length(m2) - 13) || '_PRODUCT' ELSE m2 END AS model_name FROM ("
+       "SELECT *, CASE WHEN m1 LIKE '%\\_VEEVA' ESCAPE '\\' THEN left(m1, length(m1) - 6) ELSE m1 END AS m2 FROM ("
+       "SELECT *, CASE WHEN m0 LIKE '%\\_VEEVA\\_CRM' ESCAPE '\\' THEN left(m0, length(m0) - 10) ELSE m0 END AS m1 FROM ("
+       f"SELECT n_nationkey, {LAYER_CASE} AS l, upper(trim(coalesce({MODEL_RAW}, 'UNKNOWN'))) AS m0 FROM nation))) ")
+oracle("process_log_upsert",
+       "SELECT etl_batch_id, layer_name, model_name, source_system, "
+       "CASE WHEN etl_batch_id = " + q(tb.DAY1_BATCH) + " AND model_name = 'CLICK' THEN 'RUNNING' ELSE process_status END AS process_status, "
+       "start_timestamp, CASE WHEN etl_batch_id = " + q(tb.DAY1_BATCH) + " AND model_name = 'CLICK' THEN NULL ELSE end_timestamp END AS end_timestamp, "
+       "CASE WHEN etl_batch_id = " + q(tb.DAY1_BATCH) + " AND model_name = 'CLICK' THEN 0 ELSE rows_processed END AS rows_processed, "
+       "error_message, delta_inserted_rows, delta_updated_rows FROM fx_log0 "
+       f"UNION ALL SELECT {q(tb.DAY2_BATCH)}, 'DELTA', 'SAT_PRODUCT', 'CRM', 'SUCCESS', {RUN}, {RUN}, rows_processed, '', "
+       "delta_inserted_rows, delta_updated_rows FROM fx_metrics", ["fx_log0", "fx_metrics"])
+oracle("batch_control",
+       "SELECT 'B_' || upper(event_type) AS etl_batch_id, 'EVENTS' AS pipeline_name, CAST(0 AS BIGINT) AS total_rejected_records, "
+       "min(ts) AS start_timestamp, max(ts) AS end_timestamp, 'SUCCESS' AS process_status, '' AS error_message FROM events GROUP BY event_type "
+       f"UNION ALL SELECT {q(tb.DAY2_BATCH)}, 'VAULT', (SELECT count(*) FROM fx_reject), {RUN}, {RUN}, 'SUCCESS', ''",
+       ["fx_reject"])
+oracle("load_efficiency",
+       "SELECT model_name, start_timestamp, end_timestamp, datediff('second', start_timestamp, end_timestamp) AS runtime_seconds, "
+       "rows_processed, delta_inserted_rows, delta_updated_rows, CASE WHEN datediff('second', start_timestamp, end_timestamp) > 0 "
+       "THEN rows_processed / datediff('second', start_timestamp, end_timestamp) END AS rows_per_second FROM fx_log0 "
+       "ORDER BY start_timestamp DESC", ["fx_log0"])
+oracle("relationship_edges", "SELECT * FROM fx_rel", ["fx_rel"])
+SYNC_COLS = list(SAT_META) + list(PRODUCT.columns)
+oracle("schema_sync",
+       f"SELECT {', '.join(SYNC_COLS)} FROM fx_sat0 UNION ALL SELECT hashkey, hashdiff, {RUN}, {RUN}, CAST(NULL AS TIMESTAMP), {RUN}, "
+       f"etl_batch_id, record_source, {', '.join(PRODUCT.columns)} FROM fx_dq", ["fx_sat0", "fx_dq"])
