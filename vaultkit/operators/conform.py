@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vaultkit.functions.hashing import quote
+
 
 def column_type(name: str, date_cols: Iterable[str] = (), types: Mapping[str, str] | None = None) -> str:
     if types and name in types:
@@ -24,17 +26,19 @@ def conform(df: DataFrame, columns: Sequence[str], date_cols: Iterable[str] = ()
     """
     constants = dict(constants or {})
     present = {c.lower() for c in df.columns}
-    exprs: list[Column] = []
+    exprs: list[str] = []
     for name in columns:
         t = column_type(name, date_cols, types)
         if name in constants:
-            e = F.lit(constants[name]).cast(t)
+            v = constants[name]
+            lit = "NULL" if v is None else ("'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'")
+            e = f"CAST({lit} AS {t})"
         elif name.lower() in present:
-            e = F.col(name).cast(t)
+            e = f"CAST({quote(name)} AS {t})"
         else:
-            e = F.lit(None).cast(t)
-        exprs.append(e.alias(name))
-    return df.select(*exprs, *[F.col(c) for c in keep])
+            e = f"CAST(NULL AS {t})"
+        exprs.append(f"{e} AS {quote(name)}")
+    return df.selectExpr(*exprs, *[quote(c) for c in keep])
 
 
 def typed_nulls(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:

@@ -28,6 +28,7 @@ class Tables(Mapping):
         self.spark = spark
         self.base = base
         self._cache: dict[str, DataFrame] = dict(overrides or {})
+        self.memo: dict[str, object] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:

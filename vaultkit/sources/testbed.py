@@ -33,6 +33,20 @@ STAGING_MODEL = "STG_CUSTOMER"
 EXCLUDED_REGION = 4
 
 
+def memo(fn):
+    """Build a derived frame once per table set (repeated uses share one DataFrame object)."""
+    def wrapper(t):
+        store = getattr(t, "memo", None)
+        if store is None:
+            return fn(t)
+        if fn.__name__ not in store:
+            store[fn.__name__] = fn(t)
+        return store[fn.__name__]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def ctx(**kw) -> LoadContext:
     base = dict(batch_id=DAY2_BATCH, run_ts=RUN_TS, record_source=RECORD_SOURCE, source_object=STAGING_MODEL)
     base.update(kw)
@@ -43,17 +57,20 @@ def ts(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
+@memo
 def countries(t) -> DataFrame:
     """Country reference: upper(trim(n_name)) of nations outside region 4."""
     return t["nation"].where(F.col("n_regionkey") != EXCLUDED_REGION).select(
         F.upper(F.trim("n_name")).alias("iso2_code")).distinct()
 
 
+@memo
 def modified(t) -> DataFrame:
     """Last order date per customer (the product's source modification time)."""
     return t["orders"].groupBy("o_custkey").agg(F.max("o_orderdate").alias("modified"))
 
 
+@memo
 def customer_base(t) -> DataFrame:
     c = t["customer"].select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = t["nation"].select("n_nationkey", "n_name", "n_regionkey")
@@ -67,6 +84,7 @@ def _strength():
     return F.col("c_acctbal").cast("decimal(18,2)").cast("string")
 
 
+@memo
 def staging_day2(t) -> DataFrame:
     """Conformed product staging of day 2 with hash key and hash diff."""
     k = F.col("c_custkey")
@@ -96,6 +114,7 @@ def stage(rows: DataFrame, spec, batch: str, load_ts: str, record_source: str =
     )
 
 
+@memo
 def day1_rows(t) -> DataFrame:
     """Day 1 product rows: plain names, valid countries, keys % 10, % 13, % 17 left out."""
     k = F.col("c_custkey")
@@ -113,6 +132,7 @@ def day1_rows(t) -> DataFrame:
     )
 
 
+@memo
 def satellite_day1(t) -> DataFrame:
     staged = stage(day1_rows(t), PRODUCT, DAY1_BATCH, DAY1_TS)
     d1 = ts(DAY1_TS)
@@ -124,14 +144,17 @@ def satellite_day1(t) -> DataFrame:
     )
 
 
+@memo
 def rejects_day2(t) -> DataFrame:
     return find_rejects({STAGING_MODEL: staging_day2(t)}, countries(t), ctx())
 
 
+@memo
 def dq_day2(t) -> DataFrame:
     return dq_passed(staging_day2(t), rejects_day2(t), None, PRODUCT, ctx())
 
 
+@memo
 def hub_day1(t) -> DataFrame:
     """Hub before day 2: day 1 satellite keys plus DQ keys of customers with key % 20 = 0."""
     sat_keys = satellite_day1(t).select("hashkey")
@@ -141,12 +164,14 @@ def hub_day1(t) -> DataFrame:
     return hub_rows(keys, PRODUCT, day1)
 
 
+@memo
 def history_day1(t) -> DataFrame:
     """History before day 2: the day 1 versions of customers with key % 14 = 0, already expired."""
     sat = satellite_day1(t).where(F.col("dataset_product_id").cast("long") % 14 == 0)
     return sat.withColumn("end_datetime", ts(HIST0_END_TS)).select(*history_columns(PRODUCT))
 
 
+@memo
 def watermarks_day1(t) -> DataFrame:
     """Watermark table before day 2: one row for this source at the median-ish day 1 mark.
 
@@ -161,6 +186,7 @@ def watermarks_day1(t) -> DataFrame:
     )
 
 
+@memo
 def identifiers(t) -> DataFrame:
     """Identifier staging: one identifier per customer (country + id), effective from the first order."""
     c = t["customer"].select("c_custkey", "c_nationkey")
@@ -181,11 +207,13 @@ def identifiers(t) -> DataFrame:
     return stage(rows, IDENTIFIER, DAY2_BATCH, RUN_TS.strftime("%Y-%m-%d %H:%M:%S"))
 
 
+@memo
 def edges(t) -> DataFrame:
     """Supplier -> part edges with the latest ship date per pair."""
     return t["lineitem"].groupBy("l_suppkey", "l_partkey").agg(F.max("l_shipdate").alias("last_ship"))
 
 
+@memo
 def relationships(t) -> DataFrame:
     """Relationship staging: supplier (parent) supplies part (child), one row per pair."""
     s = t["supplier"].select("s_suppkey", "s_nationkey")
@@ -207,6 +235,7 @@ def relationships(t) -> DataFrame:
     return stage(rows, RELATIONSHIP, DAY2_BATCH, RUN_TS.strftime("%Y-%m-%d %H:%M:%S"))
 
 
+@memo
 def sources(t) -> dict[str, DataFrame]:
     """Customer, supplier and part conformed to the product schema with source constants."""
     rs = RUN_TS.strftime("%Y-%m-%d %H:%M:%S")
