@@ -23,19 +23,26 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-def lookup_parent(child: DataFrame, parents: DataFrame, parent_ref: str, parent_id: str,
+def lookup_parent(child: DataFrame, parents: DataFrame, parent_ref: str | Sequence[str], parent_id: str | Sequence[str],
                   cols: Sequence[str], prefix: str = "parent_",
                   latest_order: Sequence[str | Column] | None = None) -> DataFrame:
     """Left join each child row to its parent row (``child.parent_ref = parent.parent_id``).
 
-    With ``latest_order`` the parent side is first reduced to its latest row per id (no fan-out);
+    ``parent_ref`` / ``parent_id`` may be lists (composite keys, compared pairwise). With
+    ``latest_order`` the parent side is first reduced to its latest row per id (no fan-out);
     without it every parent row with that id is joined (the raw self-join form).
     """
+    refs = [parent_ref] if isinstance(parent_ref, str) else list(parent_ref)
+    ids = [parent_id] if isinstance(parent_id, str) else list(parent_id)
     p = parents
     if latest_order is not None:
-        p = latest_by(p, [parent_id], latest_order)
-    p = p.select(F.col(parent_id).alias("__pid"), *[F.col(c).alias(prefix + c) for c in cols])
-    return child.join(p, child[parent_ref] == p["__pid"], "left").drop("__pid")
+        p = latest_by(p, ids, latest_order)
+    p = p.select(*[F.col(c).alias(f"__pid{i}") for i, c in enumerate(ids)], *[F.col(c).alias(prefix + c) for c in cols])
+    cond = None
+    for i, (r, _) in enumerate(zip(refs, ids)):
+        c = child[r] == p[f"__pid{i}"]
+        cond = c if cond is None else cond & c
+    return child.join(p, cond, "left").drop(*[f"__pid{i}" for i in range(len(ids))])
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:

@@ -26,10 +26,31 @@ SOURCE_COLS = (
 )
 
 
+REGION = "__region"
+
+
 def region_table(tables: Mapping[str, DataFrame], region: str) -> DataFrame:
     return tables[f"crm_product_{region}"]
 
 
+def all_regions(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The regional tables as one frame tagged with the region (parents are looked up per region)."""
+    return union_all(
+        region_table(tables, r).select(*SOURCE_COLS, "lastmodifieddate").withColumn(REGION, F.lit(r)) for r in K.CRM_REGIONS
+    )
+
+
+def with_parents(tables: Mapping[str, DataFrame], latest: bool, cols: list[str]) -> DataFrame:
+    """Each row with its parent's columns from the same region: one self-join on (region, id).
+
+    ``latest``: the parent is the latest row of that id; otherwise every row of that id joins.
+    """
+    rows = all_regions(tables)
+    order = ["lastmodifieddate", "name"] if latest else None
+    return lookup_parent(rows, rows.select(REGION, "id", "name", "lastmodifieddate"), [REGION, "parent_product_vod__c"],
+                         [REGION, "id"], cols, latest_order=order).drop(REGION)
+
+
 # --- label rules -------------------------------------------------------------------------------
 
 def _u(c: str) -> Column:
@@ -91,12 +112,7 @@ def usable(df: DataFrame, countries: DataFrame) -> DataFrame:
 
 def crm_products(tables: Mapping[str, DataFrame], ctx: LoadContext) -> DataFrame:
     """Product staging: raw parent lookup per region, distinct union, labels, filters, N() names."""
-    regions = []
-    for r in K.CRM_REGIONS:
-        src = region_table(tables, r).select(*SOURCE_COLS, "lastmodifieddate")
-        parents = region_table(tables, r).select("id", "name")
-        regions.append(lookup_parent(src, parents, "parent_product_vod__c", "id", ["name"]))
-    union = union_all(regions).distinct()
+    union = with_parents(tables, False, ["name"]).distinct()
     labelled = label_rows(union, label_rules(True), "product_type_code")
     kept = usable(labelled, tables["dim_country"])
     label = F.col("product_type_code")
@@ -119,14 +135,7 @@ def crm_products(tables: Mapping[str, DataFrame], ctx: LoadContext) -> DataFrame
 # --- identifiers (J5) --------------------------------------------------------------------------
 
 def _latest_parent_regions(tables: Mapping[str, DataFrame], with_dates: bool) -> DataFrame:
-    regions = []
-    for r in K.CRM_REGIONS:
-        t = region_table(tables, r)
-        src = t.select(*SOURCE_COLS, "lastmodifieddate")
-        cols = ["name", "lastmodifieddate"] if with_dates else ["name"]
-        regions.append(lookup_parent(src, t.select("id", "name", "lastmodifieddate"), "parent_product_vod__c", "id",
-                                     cols, latest_order=["lastmodifieddate", "name"]))
-    return union_all(regions)
+    return with_parents(tables, True, ["name", "lastmodifieddate"] if with_dates else ["name"])
 
 
 def crm_identifiers(tables: Mapping[str, DataFrame], ctx: LoadContext) -> DataFrame:
@@ -152,12 +161,14 @@ def crm_identifiers(tables: Mapping[str, DataFrame], ctx: LoadContext) -> DataFr
 
 # --- relationships (J8) ------------------------------------------------------------------------
 
-def node_sets(filtered: DataFrame) -> dict[str, DataFrame]:
+def node_sets(filtered: DataFrame, materialize: bool = True) -> dict[str, DataFrame]:
     """The six node sets, from one aggregation over (country, id, parent).
 
     Each row carries flags for the sets it belongs to; one grouped pass computes every set's
     latest modification time (partial aggregation map-side), and the sets keyed by (country, id)
-    only are rolled up from that small result.
+    only are rolled up from that small result. The grouped result (at most one row per product and
+    parent) feeds eight join inputs, so it is checkpointed once into the shared checkpoint folder
+    rather than recomputed from the regional scans for each.
     """
     mod = latest_of(["parent_lastmodifieddate_src", "child_lastmodifieddate"])
     live = F.col("isdeleted") == F.lit(False)
@@ -179,6 +190,10 @@ def node_sets(filtered: DataFrame) -> dict[str, DataFrame]:
     grouped = base.groupBy("geographic_id", "dataset_product_id", "parent_product_id").agg(
         *[F.max(name).alias(name) for name in flags]
     )
+    if materialize:
+        from vaultkit.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(filtered.sparkSession)
+        grouped = grouped.checkpoint(eager=True)
     out = {}
     for name in flags:
         s = grouped.where(F.col(name).isNotNull())
@@ -207,12 +222,12 @@ def _edges(child: DataFrame, parent: DataFrame, kind: str) -> DataFrame:
     ).distinct()
 
 
-def crm_relationships(tables: Mapping[str, DataFrame], ctx: LoadContext) -> DataFrame:
+def crm_relationships(tables: Mapping[str, DataFrame], ctx: LoadContext, materialize: bool = True) -> DataFrame:
     """Relationship staging: node sets joined child.parent = parent.id (id only, any country)."""
     src = _latest_parent_regions(tables, True).withColumnsRenamed(
         {"lastmodifieddate": "child_lastmodifieddate", "parent_lastmodifieddate": "parent_lastmodifieddate_src"})
     labelled = label_rows(src, label_rules(False), "product_type_code", distinct=True)
-    sets = node_sets(usable(labelled, tables["dim_country"]))
+    sets = node_sets(usable(labelled, tables["dim_country"]), materialize)
     edges = union_all([
         _edges(sets["local"], sets["global"], K.GLOBAL_ROLLUP),
         _edges(sets["pmp"], sets["brand"], K.PMP_TO_BRAND),

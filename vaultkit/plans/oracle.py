@@ -457,3 +457,174 @@ SYNC_COLS = list(SAT_META) + list(PRODUCT.columns)
 oracle("schema_sync",
        f"SELECT {', '.join(SYNC_COLS)} FROM fx_sat0 UNION ALL SELECT hashkey, hashdiff, {RUN}, {RUN}, CAST(NULL AS TIMESTAMP), {RUN}, "
        f"etl_batch_id, record_source, {', '.join(PRODUCT.columns)} FROM fx_dq", ["fx_sat0", "fx_dq"])
+
+
+# --- staging pipelines over the adapters ---------------------------------------------------------
+from vaultkit.plans import constants as K  # noqa: E402
+from vaultkit.spec import PRODUCT_DIFF_CRM  # noqa: E402
+
+AREAS = ", ".join(q(a) for a in K.THERAPY_AREAS)
+
+
+def n_sql(x: str) -> str:
+    return f"upper(trim(regexp_replace(regexp_replace(trim({x}), '^\\.+', ''), ' +', ' ', 'g')))"
+
+
+cte("crm_src",
+    "SELECT p_partkey % 4 AS region, "
+    "CASE WHEN p_partkey % 31 = 0 THEN '' WHEN p_partkey % 7 = 0 THEN lower(n_name) ELSE n_name END AS country_code_bi__c, "
+    "'P' || CAST(p_partkey AS VARCHAR) AS id, "
+    "CASE WHEN p_partkey % 53 = 0 THEN 'Neurology' WHEN p_partkey % 37 = 0 THEN 'BI ' || p_name "
+    "WHEN p_partkey % 41 = 0 THEN p_name || ' delete' WHEN p_size % 9 = 0 THEN '..' || p_name || '   x' ELSE p_name END AS name, "
+    "CASE WHEN p_size % 2 = 0 THEN concat_ws(' ', p_type, p_brand) END AS description_vod__c, "
+    "CASE p_partkey % 6 WHEN 0 THEN 'B_' || CAST(p_partkey AS VARCHAR) WHEN 1 THEN 'BX' || CAST(p_partkey AS VARCHAR) "
+    "WHEN 2 THEN 'GB_' || CAST(p_partkey AS VARCHAR) WHEN 3 THEN '10' || CAST(p_partkey AS VARCHAR) "
+    "WHEN 4 THEN 'X-SAMPLE-' || CAST(p_partkey AS VARCHAR) END AS external_id_vod__c, "
+    "CASE p_type WHEN 'ECONOMY' THEN 'Detail' WHEN 'LARGE' THEN 'BRC' WHEN 'MEDIUM' THEN 'Form' WHEN 'PROMO' THEN 'Sample' "
+    "WHEN 'STANDARD' THEN '' END AS product_type_vod__c, 'Y' AS active_bi__c, CAST(NULL AS VARCHAR) AS therapeutic_area_vod__c, "
+    "CASE CAST(split_part(p_brand, '#', 2) AS INTEGER) % 6 WHEN 0 THEN 'Local Brand' WHEN 1 THEN 'GLOBAL BRAND' "
+    "WHEN 2 THEN 'Indication' WHEN 3 THEN 'MEDICAL SEGMENT' WHEN 4 THEN '' END AS mdm_product_type_bi__c, "
+    "p_retailprice >= 990 AS isdeleted, "
+    "CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE 'P' || CAST(p_partkey % 97 AS VARCHAR) END AS parent_product_vod__c, "
+    "m.lastmodifieddate, p_partkey AS k "
+    "FROM part JOIN nation ON p_partkey % 25 = n_nationkey "
+    "LEFT JOIN (SELECT l_partkey, max(l_shipdate) AS lastmodifieddate FROM lineitem GROUP BY l_partkey) m ON p_partkey = m.l_partkey")
+cte("crm_all",
+    "SELECT * EXCLUDE (k) FROM crm_src UNION ALL "
+    "SELECT * EXCLUDE (k) REPLACE (name || ' old' AS name, lastmodifieddate - INTERVAL 30 DAY AS lastmodifieddate) "
+    "FROM crm_src WHERE k % 19 = 0", ["crm_src"])
+cte("crm_dim", "SELECT ' ' || n_name AS iso2_code FROM nation WHERE n_regionkey <> 4")
+CRM_RAW = []
+CRM_LATEST = []
+for _i in range(4):
+    cte(f"crm_raw{_i}",
+        f"SELECT c.* EXCLUDE (region), p.name AS parent_name FROM (SELECT * FROM crm_all WHERE region = {_i}) c "
+        f"LEFT JOIN (SELECT id, name FROM crm_all WHERE region = {_i}) p ON c.parent_product_vod__c = p.id", ["crm_all"])
+    cte(f"crm_lat{_i}",
+        f"SELECT c.* EXCLUDE (region), p.name AS parent_name, p.lastmodifieddate AS parent_lastmodifieddate "
+        f"FROM (SELECT * FROM crm_all WHERE region = {_i}) c LEFT JOIN (SELECT id, name, lastmodifieddate FROM ("
+        f"SELECT id, name, lastmodifieddate, row_number() OVER (PARTITION BY id ORDER BY lastmodifieddate DESC NULLS LAST, "
+        f"name DESC NULLS LAST) AS rn FROM crm_all WHERE region = {_i}) WHERE rn = 1) p ON c.parent_product_vod__c = p.id",
+        ["crm_all"])
+    CRM_RAW.append(f"crm_raw{_i}")
+    CRM_LATEST.append(f"crm_lat{_i}")
+
+
+def brand_sql(exclusions: bool) -> str:
+    s = ("upper(product_type_vod__c) = 'DETAIL' AND (upper(mdm_product_type_bi__c) IN ('LOCAL BRAND', 'GLOBAL BRAND') "
+         "OR external_id_vod__c LIKE 'B!_%' ESCAPE '!')")
+    if exclusions:
+        s += f" AND upper(mdm_product_type_bi__c) NOT IN ('MEDICAL SEGMENT', 'INDICATION') AND upper(name) NOT IN ({AREAS})"
+    return s
+
+
+IND_SQL = ("(upper(mdm_product_type_bi__c) = 'INDICATION' OR (upper(product_type_vod__c) = 'DETAIL' AND "
+           "(mdm_product_type_bi__c = '' OR mdm_product_type_bi__c IS NULL) AND country_code_bi__c = 'GB' AND "
+           "external_id_vod__c LIKE 'GB!_%' ESCAPE '!') OR ((upper(product_type_vod__c) = '' OR product_type_vod__c IS NULL) "
+           "AND (mdm_product_type_bi__c = '' OR mdm_product_type_bi__c IS NULL) AND external_id_vod__c LIKE '10_%'))")
+PMP_SQL = ("(upper(product_type_vod__c) IN ('FORM', 'ORDER', 'SAMPLE', 'SAMPLE PRODUCT GROUP') OR "
+           "(upper(product_type_vod__c) = 'BRC' AND country_code_bi__c <> 'CH') OR "
+           "(upper(product_type_vod__c) = 'BRC' AND country_code_bi__c = 'CH' AND external_id_vod__c LIKE '%SAMPLE%'))")
+TA_SQL = f"(upper(mdm_product_type_bi__c) = 'MEDICAL SEGMENT' OR upper(name) IN ({AREAS}))"
+
+
+def labelled(src: str, exclusions: bool) -> str:
+    parts = [(K.BRAND, brand_sql(exclusions)), (K.IND, IND_SQL), (K.PMP, PMP_SQL), (K.TA, TA_SQL)]
+    return " UNION ALL ".join(
+        f"SELECT DISTINCT *, '{lab}' AS product_type_code FROM {src} WHERE isdeleted = false AND ({rule})" for lab, rule in parts)
+
+
+KEEP_SQL = ("country_code_bi__c IS NOT NULL AND trim(country_code_bi__c) <> '' AND id IS NOT NULL AND trim(id) <> '' "
+            "AND name IS NOT NULL AND trim(name) <> '' AND "
+            + " AND ".join(f"upper(trim(name)) NOT LIKE {q(p)}" for p in K.NAME_DENY_PATTERNS)
+            + " AND upper(trim(country_code_bi__c)) IN (SELECT upper(trim(iso2_code)) FROM crm_dim)")
+
+cte("crm_pu", " UNION ".join(f"SELECT * FROM {r}" for r in CRM_RAW), CRM_RAW)
+cte("crm_pkept", f"SELECT * FROM ({labelled('crm_pu', True)}) WHERE {KEEP_SQL}", ["crm_pu", "crm_dim"])
+cte("crm_ptx",
+    f"SELECT upper(trim(country_code_bi__c)) AS geographic_id, 'CRM' AS dataset_id, {q(K.CRM_SOURCE)} AS source_dataset_id, "
+    f"id AS dataset_product_id, product_type_code, {n_sql('name')} AS product_name, {n_sql('name')} AS standardized_product_name, "
+    f"{n_sql('coalesce(description_vod__c, name)')} AS description, CASE WHEN product_type_code = 'PMP' THEN {n_sql('parent_name')} "
+    f"WHEN product_type_code = 'BRAND' THEN {n_sql('name')} END AS brand_name, 'N' AS competitor_indicator, "
+    "CAST(lastmodifieddate AS TIMESTAMP) AS source_lastmodifieddate FROM crm_pkept", ["crm_pkept"])
+cte("crm_pstaged", staged("crm_ptx", {"geographic_id", "dataset_id", "source_dataset_id", "dataset_product_id", "product_type_code",
+                                      "product_name", "standardized_product_name", "description", "brand_name",
+                                      "competitor_indicator"}, PRODUCT.with_diff(PRODUCT_DIFF_CRM), tb.DAY2_BATCH, RUN, K.CRM_SOURCE),
+    ["crm_ptx"])
+oracle("crm_products",
+       "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY hashkey, hashdiff ORDER BY "
+       "source_lastmodifieddate DESC NULLS LAST) AS rn FROM crm_pstaged) WHERE rn = 1", ["crm_pstaged"])
+
+cte("crm_lu", " UNION ALL ".join(f"SELECT * FROM {r}" for r in CRM_LATEST), CRM_LATEST)
+cte("crm_ikept", f"SELECT * FROM ({labelled('crm_lu', True)}) WHERE {KEEP_SQL}", ["crm_lu", "crm_dim"])
+cte("crm_itx",
+    f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY geographic_id, dataset_product_id, identifier_id "
+    "ORDER BY source_lastmodifieddate DESC NULLS LAST) AS rn FROM (SELECT DISTINCT upper(trim(country_code_bi__c)) AS geographic_id, "
+    f"{q(K.CRM_SOURCE)} AS dataset_id, trim(id) AS dataset_product_id, {q(K.CRM_SOURCE)} AS identifier_type_code, "
+    "upper(trim(country_code_bi__c)) || '_' || trim(id) AS identifier_id, CAST(NULL AS VARCHAR) AS status_code, "
+    "CAST(NULL AS DATE) AS effective_date, CAST(NULL AS DATE) AS end_date, CAST(lastmodifieddate AS TIMESTAMP) AS source_lastmodifieddate "
+    "FROM crm_ikept)) WHERE rn = 1", ["crm_ikept"])
+oracle("crm_identifiers", "SELECT * FROM (" + staged("crm_itx", set(IDENTIFIER.columns), IDENTIFIER, tb.DAY2_BATCH, RUN, K.CRM_SOURCE) + ")",
+       ["crm_itx"])
+
+cte("crm_rkept", f"SELECT * FROM ({labelled('crm_lu', False)}) WHERE {KEEP_SQL}", ["crm_lu", "crm_dim"])
+cte("crm_nodes",
+    "SELECT upper(trim(country_code_bi__c)) AS geographic_id, id AS dataset_product_id, parent_product_vod__c AS parent_product_id, "
+    f"greatest(coalesce(CAST(lastmodifieddate AS TIMESTAMP), {FLOOR}), coalesce(CAST(parent_lastmodifieddate AS TIMESTAMP), {FLOOR})) AS m, "
+    "upper(mdm_product_type_bi__c) = 'GLOBAL BRAND' AS is_global, upper(mdm_product_type_bi__c) = 'LOCAL BRAND' AS is_local, "
+    "upper(mdm_product_type_bi__c) IN ('LOCAL BRAND', 'GLOBAL BRAND') AS is_brand, product_type_code = 'PMP' AS is_pmp, "
+    f"isdeleted = false AND {TA_SQL} AS is_ta, isdeleted = false AND {IND_SQL} AS is_ind FROM crm_rkept", ["crm_rkept"])
+for _n in ("global", "ta"):
+    cte(f"crm_n_{_n}", f"SELECT geographic_id, dataset_product_id, max(m) AS mod FROM crm_nodes WHERE is_{_n} GROUP BY 1, 2", ["crm_nodes"])
+for _n in ("local", "brand", "pmp", "ind"):
+    cte(f"crm_n_{_n}", f"SELECT geographic_id, dataset_product_id, parent_product_id, max(m) AS mod FROM crm_nodes WHERE is_{_n} GROUP BY 1, 2, 3",
+        ["crm_nodes"])
+
+
+def edge_sql(child: str, parent: str, kind: str) -> str:
+    return (f"SELECT DISTINCT p.geographic_id AS parent_geographic_id, c.geographic_id AS child_geographic_id, "
+            f"{q(K.CRM_SOURCE)} AS parent_dataset_id, {q(K.CRM_SOURCE)} AS child_dataset_id, p.dataset_product_id AS parent_dataset_product_id, "
+            f"c.dataset_product_id AS child_dataset_product_id, {q(kind)} AS relationship_type_code, CAST(NULL AS VARCHAR) AS status_code, "
+            "CAST(NULL AS DATE) AS effective_date, CAST(NULL AS DATE) AS end_date, greatest(p.mod, c.mod) AS source_lastmodifieddate "
+            f"FROM crm_n_{child} c JOIN crm_n_{parent} p ON c.parent_product_id = p.dataset_product_id")
+
+
+cte("crm_edges", " UNION ALL ".join([edge_sql("local", "global", K.GLOBAL_ROLLUP), edge_sql("pmp", "brand", K.PMP_TO_BRAND),
+                                     edge_sql("brand", "ta", K.BRAND_TO_TA), edge_sql("ind", "brand", K.BRANDIND_TO_BRAND)]),
+    [f"crm_n_{x}" for x in ("global", "ta", "local", "brand", "pmp", "ind")])
+oracle("crm_relationships", "SELECT * FROM (" + staged("crm_edges", set(RELATIONSHIP.columns), RELATIONSHIP, tb.DAY2_BATCH, RUN, K.CRM_SOURCE) + ")",
+       ["crm_edges"])
+
+cte("cat_src",
+    "SELECT CASE WHEN p_partkey % 29 = 0 THEN ' ' ELSE ' c' || CAST(p_partkey AS VARCHAR) END AS clave, "
+    "CASE WHEN p_partkey % 23 = 0 THEN '-' ELSE p_name END AS nombre, p_type AS forma_farma, "
+    "CAST(p_size AS VARCHAR) || ' mg' AS concentracion, "
+    "CASE p_partkey % 3 WHEN 0 THEN NULL WHEN 1 THEN '-' ELSE p_brand END AS presentacion, p_partkey AS k FROM part")
+cte("cat_claves", "SELECT * EXCLUDE (k) FROM cat_src UNION ALL SELECT * EXCLUDE (k) FROM cat_src WHERE k % 17 = 0", ["cat_src"])
+cte("cat_ok",
+    "SELECT * FROM cat_claves WHERE clave IS NOT NULL AND trim(clave) <> '' AND nombre IS NOT NULL AND trim(nombre) NOT IN ('', '-') "
+    "AND forma_farma IS NOT NULL AND trim(forma_farma) NOT IN ('', '-') AND concentracion IS NOT NULL AND trim(concentracion) NOT IN ('', '-')",
+    ["cat_claves"])
+cte("cat_ptx",
+    "SELECT 'MX' AS geographic_id, 'GOB360_PM' AS dataset_id, 'GOB360_PM' AS source_dataset_id, upper(trim(clave)) AS dataset_product_id, "
+    "'PMP' AS product_type_code, upper(trim(concat_ws(' ', trim(nombre), trim(forma_farma), trim(concentracion), nullif(trim(presentacion), '-')))) AS product_name, "
+    "upper(trim(concat_ws(' ', trim(nombre), trim(forma_farma), trim(concentracion), nullif(trim(presentacion), '-')))) AS description, "
+    f"'A' AS product_status_code, upper(trim(trim(nombre))) AS substance, {RUN} AS source_lastmodifieddate FROM cat_ok", ["cat_ok"])
+oracle("catalogue_products", "SELECT * FROM (" + staged("cat_ptx", {"geographic_id", "dataset_id", "source_dataset_id", "dataset_product_id",
+                                                                   "product_type_code", "product_name", "description", "product_status_code",
+                                                                   "substance"}, PRODUCT, tb.DAY2_BATCH, RUN, K.CATALOGUE_SOURCE) + ")", ["cat_ptx"])
+cte("cat_itx",
+    "SELECT 'MX' AS geographic_id, 'GOB360_PM' AS dataset_id, upper(trim(clave)) AS dataset_product_id, 'GOB360_PM' AS identifier_type_code, "
+    f"'MX_' || upper(trim(clave)) AS identifier_id, {RUN} AS source_lastmodifieddate FROM cat_ok", ["cat_ok"])
+oracle("catalogue_identifiers", "SELECT * FROM (" + staged("cat_itx", {"geographic_id", "dataset_id", "dataset_product_id", "identifier_type_code",
+                                                                      "identifier_id"}, IDENTIFIER, tb.DAY2_BATCH, RUN, K.CATALOGUE_SOURCE) + ")",
+       ["cat_itx"])
+cte("cat_rtx",
+    "SELECT 'MX' AS parent_geographic_id, 'MX' AS child_geographic_id, 'GOB360_PM' AS parent_dataset_id, 'GOB360_PM' AS child_dataset_id, "
+    "CAST(NULL AS VARCHAR) AS parent_dataset_product_id, upper(trim(clave)) AS child_dataset_product_id, 'PMPtoBRAND' AS relationship_type_code, "
+    f"{RUN} AS source_lastmodifieddate FROM cat_claves WHERE clave IS NOT NULL AND trim(clave) <> '' AND nombre IS NOT NULL AND trim(nombre) <> ''",
+    ["cat_claves"])
+oracle("catalogue_relationships", "SELECT * FROM (" + staged("cat_rtx", {"parent_geographic_id", "child_geographic_id", "parent_dataset_id",
+                                                                        "child_dataset_id", "parent_dataset_product_id", "child_dataset_product_id",
+                                                                        "relationship_type_code"}, RELATIONSHIP, tb.DAY2_BATCH, RUN, K.CATALOGUE_SOURCE) + ")",
+       ["cat_rtx"])

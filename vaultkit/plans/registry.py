@@ -434,3 +434,40 @@ def schema_sync(spark, sf_dir):
     old = tb.satellite_day1(t).withColumn("legacy_type", F.col("product_type_code")).drop("chc_flag")
     new = M.sat_rows(tb.dq_day2(t), PRODUCT, tb.ctx())
     return append_synced(old, new)
+
+
+# --- staging pipelines over source-shaped adapters of the driver tables -----------------------
+
+from vaultkit.plans import catalogue as CAT  # noqa: E402
+from vaultkit.plans import crm as CRM  # noqa: E402
+from vaultkit.sources import adapters as AD  # noqa: E402
+
+
+@query
+def crm_products(spark, sf_dir):
+    return CRM.crm_products(AD.crm_tables(_t(spark, sf_dir)), tb.ctx())
+
+
+@query
+def crm_identifiers(spark, sf_dir):
+    return CRM.crm_identifiers(AD.crm_tables(_t(spark, sf_dir)), tb.ctx())
+
+
+@query
+def crm_relationships(spark, sf_dir):
+    return CRM.crm_relationships(AD.crm_tables(_t(spark, sf_dir)), tb.ctx())
+
+
+@query
+def catalogue_products(spark, sf_dir):
+    return CAT.catalogue_products(AD.catalogue_tables(_t(spark, sf_dir)), tb.ctx())
+
+
+@query
+def catalogue_identifiers(spark, sf_dir):
+    return CAT.catalogue_identifiers(AD.catalogue_tables(_t(spark, sf_dir)), tb.ctx())
+
+
+@query
+def catalogue_relationships(spark, sf_dir):
+    return CAT.catalogue_relationships(AD.catalogue_tables(_t(spark, sf_dir)), tb.ctx())
