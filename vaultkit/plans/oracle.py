@@ -628,3 +628,219 @@ oracle("catalogue_relationships", "SELECT * FROM (" + staged("cat_rtx", {"parent
                                                                         "child_dataset_id", "parent_dataset_product_id", "child_dataset_product_id",
                                                                         "relationship_type_code"}, RELATIONSHIP, tb.DAY2_BATCH, RUN, K.CATALOGUE_SOURCE) + ")",
        ["cat_rtx"])
+
+
+# --- market ------------------------------------------------------------------------------------
+def w_sql(x: str) -> str:
+    return f"upper(replace(trim(regexp_replace({x}, '[[:space:]]+', ' ', 'g')), '''', ''))"
+
+
+def cut3(x: str) -> str:
+    return f"substr({x}, 1, greatest(length({x}) - 3, 0))"
+
+
+def strip_last_sql(x: str) -> str:
+    t = f"trim({x})"
+    last = f"regexp_extract({t}, '[^[:space:]]+$')"
+    return (f"CASE WHEN {x} IS NULL OR {t} = '' THEN NULL WHEN strpos({t}, ' ') = 0 THEN {t} "
+            f"ELSE trim(left({t}, length({t}) - length({last}) - 1)) END")
+
+
+def latest_sql(*cols: str) -> str:
+    return "greatest(" + ", ".join(f"coalesce(CAST({c} AS TIMESTAMP), {FLOOR})" for c in cols) + ")"
+
+
+OWNER = "'%AMER%'"
+cte("pmod", "SELECT l_partkey, max(l_shipdate) AS lastmodifieddate FROM lineitem GROUP BY l_partkey")
+cte("mkt_marcas",
+    "SELECT n_name AS country, CAST(s_suppkey AS VARCHAR) AS codigo, CASE WHEN s_suppkey % 7 = 0 THEN s_name || '''s  x' ELSE s_name END AS nome, "
+    "CAST(s_nationkey AS VARCHAR) AS siglalab, CASE WHEN s_suppkey % 10 = 9 THEN 0 ELSE 1 END AS curr_flg, m.last_updt_dt "
+    "FROM supplier JOIN nation ON s_nationkey = n_nationkey "
+    "LEFT JOIN (SELECT l_suppkey, max(l_shipdate) AS last_updt_dt FROM lineitem GROUP BY l_suppkey) m ON s_suppkey = m.l_suppkey")
+cte("mkt_producto",
+    "SELECT n_name AS country, CAST(p_partkey AS VARCHAR) AS codigo, CASE WHEN p_partkey % 13 = 0 THEN p_type WHEN p_partkey % 17 = 0 THEN '' "
+    "ELSE concat_ws(' ', p_name, p_brand) END AS nome, CAST(p_partkey % 100 AS VARCHAR) AS marca, "
+    "CASE WHEN p_size % 2 = 0 THEN 'G' ELSE 'B' END AS flg_classific, CASE p_size % 3 WHEN 0 THEN 'E' WHEN 1 THEN 'P' END AS flg_etico, "
+    "CAST(p_partkey % 25 AS VARCHAR) AS codigolab, CASE WHEN p_partkey % 5 = 0 THEN ' ' ELSE p_brand END AS codigoclasse, "
+    "CASE WHEN p_partkey % 13 = 5 THEN 0 ELSE 1 END AS curr_flg, m.lastmodifieddate AS last_updt_dt "
+    "FROM part JOIN nation ON p_partkey % 25 = n_nationkey LEFT JOIN pmod m ON p_partkey = m.l_partkey", ["pmod"])
+cte("mkt_lab",
+    "SELECT n_name AS country, CAST(n_nationkey AS VARCHAR) AS codigo, 'LAB' || CAST(n_regionkey AS VARCHAR) AS cdg, "
+    "CAST(n_regionkey AS VARCHAR) AS cdgcorporacao, CASE WHEN n_nationkey % 6 = 5 THEN 0 ELSE 1 END AS curr_flg, "
+    "CAST(NULL AS TIMESTAMP) AS last_updt_dt FROM nation")
+cte("mkt_corp",
+    "SELECT n_name AS country, CAST(n_regionkey AS VARCHAR) AS codigo, ' ' || r_name || ' corp' AS nome, CAST(n_nationkey AS VARCHAR) AS sigla, "
+    "1 AS curr_flg, CAST(NULL AS TIMESTAMP) AS last_updt_dt FROM nation JOIN region ON n_regionkey = r_regionkey")
+cte("mkt_li", "SELECT n_name AS country, l_partkey, l_suppkey FROM lineitem JOIN nation ON l_partkey % 25 = n_nationkey")
+cte("mkt_mp", "SELECT country, CAST(l_partkey AS VARCHAR) AS cdgprod, CAST(l_suppkey % 40 AS VARCHAR) AS cdgmol, 1 AS curr_flg FROM mkt_li", ["mkt_li"])
+cte("mkt_mol",
+    "SELECT DISTINCT country, CAST(l_suppkey % 40 AS VARCHAR) AS codigomole, 'Mol  ' || ' x' || CAST(l_suppkey % 40 AS VARCHAR) AS nome, "
+    "CASE WHEN l_suppkey % 40 = 39 THEN 0 ELSE 1 END AS curr_flg FROM mkt_li", ["mkt_li"])
+cte("mkt_sub",
+    "SELECT upper(trim(mp.country)) AS geographic_id, trim(mp.cdgprod) AS dataset_product_id, "
+    "array_to_string(list_sort(list(DISTINCT trim(regexp_replace(mol.nome, '[[:space:]]+', ' ', 'g')))), '|') AS substance "
+    "FROM mkt_mp mp JOIN mkt_mol mol ON mp.cdgmol = mol.codigomole AND mp.country = mol.country "
+    "WHERE mp.curr_flg = 1 AND mol.curr_flg = 1 AND mp.cdgprod IS NOT NULL AND trim(mp.cdgprod) <> '' "
+    "AND mol.nome IS NOT NULL AND trim(mol.nome) <> '' GROUP BY 1, 2", ["mkt_mp", "mkt_mol"])
+cte("mkt_brand_rows",
+    f"SELECT upper(trim(m.country)) AS geographic_id, 'BRAND_' || trim(m.codigo) AS dataset_product_id, 'BRAND' AS product_type_code, "
+    f"{w_sql(cut3('m.nome'))} AS product_name, {w_sql(cut3('m.nome'))} AS brand_name, CAST(NULL AS VARCHAR) AS atc_code, "
+    f"CASE WHEN upper(trim(c.nome)) LIKE {OWNER} THEN 'N' ELSE 'Y' END AS competitor_indicator, CAST(NULL AS VARCHAR) AS generic_indicator, "
+    "CAST(NULL AS VARCHAR) AS prescription_required_indicator, CAST(NULL AS VARCHAR) AS substance, trim(lab.cdg) || trim(m.siglalab) AS manufacturer_id, "
+    f"{latest_sql('m.last_updt_dt', 'c.last_updt_dt', 'lab.last_updt_dt')} AS source_lastmodifieddate "
+    "FROM (SELECT * FROM mkt_marcas WHERE curr_flg = 1) m LEFT JOIN (SELECT * FROM mkt_corp WHERE curr_flg = 1) c "
+    "ON m.siglalab = c.sigla AND m.country = c.country LEFT JOIN (SELECT * FROM mkt_lab WHERE curr_flg = 1) lab "
+    "ON m.siglalab = lab.codigo AND m.country = lab.country", ["mkt_marcas", "mkt_corp", "mkt_lab"])
+cte("mkt_mp_rows",
+    f"SELECT upper(trim(p.country)) AS geographic_id, trim(p.codigo) AS dataset_product_id, 'MP' AS product_type_code, "
+    f"{w_sql(strip_last_sql('p.nome'))} AS product_name, {w_sql(cut3('m.nome'))} AS brand_name, nullif(trim(p.codigoclasse), '') AS atc_code, "
+    f"CASE WHEN upper(trim(corp.nome)) LIKE {OWNER} THEN 'N' ELSE 'Y' END AS competitor_indicator, "
+    "CASE WHEN p.flg_classific = 'G' THEN 'Y' END AS generic_indicator, "
+    "CASE WHEN p.flg_etico = 'E' THEN 'Y' WHEN p.flg_etico = 'P' THEN 'N' END AS prescription_required_indicator, s.substance, "
+    f"trim(lab.cdg) || trim(p.codigolab) AS manufacturer_id, {latest_sql('p.last_updt_dt', 'm.last_updt_dt', 'lab.last_updt_dt', 'corp.last_updt_dt')} "
+    "AS source_lastmodifieddate FROM (SELECT * FROM mkt_producto WHERE curr_flg = 1) p "
+    "LEFT JOIN mkt_sub s ON s.dataset_product_id = trim(p.codigo) AND s.geographic_id = upper(trim(p.country)) "
+    "LEFT JOIN (SELECT * FROM mkt_marcas WHERE curr_flg = 1) m ON p.marca = m.codigo AND p.country = m.country "
+    "LEFT JOIN (SELECT * FROM mkt_lab WHERE curr_flg = 1) lab ON p.codigolab = lab.codigo AND p.country = lab.country "
+    "LEFT JOIN (SELECT * FROM mkt_corp WHERE curr_flg = 1) corp ON lab.cdgcorporacao = corp.codigo AND lab.country = corp.country",
+    ["mkt_producto", "mkt_sub", "mkt_marcas", "mkt_lab", "mkt_corp"])
+cte("mkt_ptx",
+    "SELECT *, 'PRESCRIPTIONDATA' AS dataset_id, 'CLOSEUP_MARKET' AS source_dataset_id, nullif(trim(product_name), '') AS description, "
+    "'A' AS product_status_code FROM (SELECT * FROM mkt_brand_rows UNION ALL SELECT * FROM mkt_mp_rows)", ["mkt_brand_rows", "mkt_mp_rows"])
+cte("mkt_pstaged", staged("mkt_ptx", {"geographic_id", "dataset_id", "source_dataset_id", "dataset_product_id", "product_type_code",
+                                      "product_name", "brand_name", "atc_code", "competitor_indicator", "generic_indicator",
+                                      "prescription_required_indicator", "substance", "manufacturer_id", "description",
+                                      "product_status_code"}, PRODUCT, tb.DAY2_BATCH, RUN, K.MARKET_SOURCE), ["mkt_ptx"])
+oracle("market_products",
+       "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY hashkey, hashdiff ORDER BY "
+       "source_lastmodifieddate DESC NULLS LAST) AS rn FROM mkt_pstaged) WHERE rn = 1", ["mkt_pstaged"])
+cte("mkt_rtx",
+    "SELECT b.geographic_id AS parent_geographic_id, p.p_geo AS child_geographic_id, 'CLOSEUP_MARKET' AS parent_dataset_id, "
+    "'CLOSEUP_MARKET' AS child_dataset_id, 'BRAND_' || b.brand_code AS parent_dataset_product_id, p.product_code AS child_dataset_product_id, "
+    f"'MPtoBRAND' AS relationship_type_code, {latest_sql('p.p_mod', 'b.b_mod')} AS source_lastmodifieddate "
+    "FROM (SELECT upper(trim(country)) AS p_geo, trim(codigo) AS product_code, trim(marca) AS p_brand, last_updt_dt AS p_mod "
+    "FROM mkt_producto WHERE curr_flg = 1) p JOIN (SELECT upper(trim(country)) AS geographic_id, trim(codigo) AS brand_code, "
+    "last_updt_dt AS b_mod FROM mkt_marcas WHERE curr_flg = 1) b ON p.p_brand = b.brand_code AND p.p_geo = b.geographic_id",
+    ["mkt_producto", "mkt_marcas"])
+oracle("market_relationships", "SELECT * FROM (" + staged("mkt_rtx", {"parent_geographic_id", "child_geographic_id", "parent_dataset_id",
+                                                                     "child_dataset_id", "parent_dataset_product_id", "child_dataset_product_id",
+                                                                     "relationship_type_code"}, RELATIONSHIP, tb.DAY2_BATCH, RUN, K.MARKET_SOURCE) + ")",
+       ["mkt_rtx"])
+
+# --- legacy history ----------------------------------------------------------------------------
+from vaultkit.plans.legacy import LEGACY_NULL_COLUMNS, INDICATORS, QUANTITIES  # noqa: E402
+from vaultkit.spec import PRODUCT_DATE_COLUMNS, PRODUCT_DIFF_LEGACY  # noqa: E402
+
+LEG_GIVEN = {
+    "geographic_id": "CASE WHEN p_partkey % 3 = 0 THEN ' mx ' ELSE 'MX' END",
+    "dataset_id": "'LEGACY'", "source_dataset_id": "'PART'",
+    "dataset_product_id": "CASE WHEN p_partkey % 19 = 0 THEN ' ' ELSE ' p' || CAST(p_partkey AS VARCHAR) || ' ' END",
+    "product_type_code": "'PMP'",
+    "product_name": "CASE WHEN p_partkey % 23 = 0 THEN '-' ELSE ' ' || p_name END",
+    "product_status_code": "' a '",
+    "effective_date": ("CASE WHEN p_partkey % 5 = 0 THEN '2024-13-01' WHEN p_partkey % 5 = 1 THEN '' "
+                       "ELSE CAST(DATE '2020-01-01' + CAST(p_size AS INTEGER) AS VARCHAR) END"),
+    "brand_name": "p_brand",
+    "competitor_indicator": "CASE WHEN p_partkey % 2 = 0 THEN ' y ' ELSE 'n' END",
+    "generic_indicator": "' g '",
+    "strength": "CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR)",
+    "package_quantity": "CAST(p_size AS VARCHAR)",
+    "substance": "CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_type END",
+}
+
+
+def leg_table(typed: bool) -> str:
+    cols = []
+    for c in PRODUCT.columns:
+        if c in LEGACY_NULL_COLUMNS:
+            continue
+        e = LEG_GIVEN.get(c, "NULL")
+        if c in PRODUCT_DATE_COLUMNS:
+            e = f"try_cast({e} AS DATE)" if typed else f"CAST({e} AS VARCHAR)"
+        else:
+            e = f"CAST({e} AS VARCHAR)"
+        cols.append(f"{e} AS {c}")
+    return "SELECT " + ", ".join(cols) + " FROM part"
+
+
+cte("leg_part", leg_table(False))
+cte("leg_part_typed", leg_table(True))
+
+
+def leg_transform(src: str, variant: str) -> str:
+    cols = []
+    for c in PRODUCT.columns:
+        if c in LEGACY_NULL_COLUMNS:
+            e = "NULL"
+        elif c in PRODUCT_DATE_COLUMNS:
+            e = f"CAST({c} AS DATE)" if variant == "catalogue" else f"try_cast(trim({c}) AS DATE)"
+        elif variant == "market" and c in ("geographic_id", "dataset_product_id", *INDICATORS):
+            e = f"upper(trim({c}))"
+        elif variant == "legacy" and c == "competitor_indicator":
+            e = f"CAST({c} AS VARCHAR)"
+        elif variant == "catalogue" and c == "product_status_code":
+            e = "'A'"
+        elif variant == "catalogue" and c == "substance":
+            e = "trim(coalesce(substance, brand_name))"
+        elif variant == "catalogue" and c in QUANTITIES:
+            e = f"CAST({c} AS VARCHAR)"
+        else:
+            e = f"trim({c})"
+        cols.append(f"{e} AS {c}")
+    cond = present("dataset_product_id")
+    if variant != "market":
+        cond += " AND product_name IS NOT NULL AND trim(product_name) NOT IN ('', '-')"
+    return f"SELECT {', '.join(cols)}, {RUN} AS source_lastmodifieddate FROM {src} WHERE {cond}"
+
+
+for _v, _src, _rs in (("legacy", "leg_part", K.LEGACY_SOURCE), ("market", "leg_part", K.MARKET_SOURCE),
+                      ("catalogue", "leg_part_typed", K.CATALOGUE_SOURCE)):
+    cte(f"leg_{_v}_tx", leg_transform(_src, _v), [_src])
+    _spec = PRODUCT.with_diff(PRODUCT_DIFF_LEGACY) if _v == "legacy" else PRODUCT
+    _name = "legacy_products" if _v == "legacy" else f"legacy_products_{_v}"
+    oracle(_name, "SELECT * FROM (" + staged(f"leg_{_v}_tx", set(PRODUCT.columns), _spec, tb.DAY2_BATCH, RUN, _rs) + ")", [f"leg_{_v}_tx"])
+
+cte("leg_ident",
+    "SELECT ' ' || n_name AS geographic_id, 'LEGACY' AS dataset_id, CASE WHEN c_custkey % 19 = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END "
+    "AS dataset_product_id, 'LEGACY' AS identifier_type_code, CASE WHEN c_custkey % 13 = 0 THEN '-' ELSE 'ID' || CAST(c_custkey AS VARCHAR) END "
+    "AS identifier_id, ' A ' AS status_code, CASE WHEN c_custkey % 5 = 0 THEN 'not a date' ELSE CAST(CAST(f.first_order AS DATE) AS VARCHAR) END "
+    "AS effective_date, CAST(NULL AS VARCHAR) AS end_date FROM customer JOIN nation ON c_nationkey = n_nationkey "
+    "LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY o_custkey) f ON c_custkey = f.o_custkey")
+cte("leg_ident_tx",
+    "SELECT trim(geographic_id) AS geographic_id, trim(dataset_id) AS dataset_id, trim(dataset_product_id) AS dataset_product_id, "
+    "trim(identifier_type_code) AS identifier_type_code, trim(identifier_id) AS identifier_id, trim(status_code) AS status_code, "
+    f"try_cast(trim(effective_date) AS DATE) AS effective_date, try_cast(trim(end_date) AS DATE) AS end_date, {RUN} AS source_lastmodifieddate "
+    f"FROM leg_ident WHERE {present('dataset_product_id')} AND identifier_id IS NOT NULL AND trim(identifier_id) NOT IN ('', '-')", ["leg_ident"])
+oracle("legacy_identifiers", "SELECT * FROM (" + staged("leg_ident_tx", set(IDENTIFIER.columns), IDENTIFIER, tb.DAY2_BATCH, RUN, K.LEGACY_SOURCE) + ")",
+       ["leg_ident_tx"])
+
+
+def leg_rel(typed: bool) -> str:
+    eff = "CAST(e.last_ship AS DATE)" if typed else "CAST(CAST(e.last_ship AS DATE) AS VARCHAR)"
+    end = "CAST(NULL AS DATE)" if typed else "'2024-13-01'"
+    return ("SELECT lower(n_name) AS parent_geographic_id, lower(n_name) AS child_geographic_id, ' SUPPLIER ' AS parent_dataset_id, "
+            "'PART' AS child_dataset_id, CASE WHEN e.l_suppkey % 23 = 0 THEN '' ELSE 's' || CAST(e.l_suppkey AS VARCHAR) END AS parent_dataset_product_id, "
+            "e.l_partkey AS child_dataset_product_id, ' SUPPLIES ' AS relationship_type_code, CAST(NULL AS VARCHAR) AS status_code, "
+            f"{eff} AS effective_date, {end} AS end_date FROM fx_edge e JOIN supplier s ON e.l_suppkey = s.s_suppkey "
+            "JOIN nation n ON s.s_nationkey = n.n_nationkey")
+
+
+def leg_rel_tx(src: str, variant: str) -> str:
+    up = (lambda c: f"upper(trim({c}))") if variant == "market" else (lambda c: f"trim({c})")
+    dt_ = (lambda c: f"try_cast(trim({c}) AS DATE)") if variant == "market" else (lambda c: f"CAST({c} AS DATE)")
+    return (f"SELECT {up('parent_geographic_id')} AS parent_geographic_id, {up('child_geographic_id')} AS child_geographic_id, "
+            "trim(parent_dataset_id) AS parent_dataset_id, trim(child_dataset_id) AS child_dataset_id, "
+            f"{up('parent_dataset_product_id')} AS parent_dataset_product_id, trim(CAST(child_dataset_product_id AS VARCHAR)) AS child_dataset_product_id, "
+            f"trim(relationship_type_code) AS relationship_type_code, trim(status_code) AS status_code, {dt_('effective_date')} AS effective_date, "
+            f"{dt_('end_date')} AS end_date, {RUN} AS source_lastmodifieddate FROM {src} WHERE {present('parent_dataset_product_id')} "
+            "AND child_dataset_product_id IS NOT NULL AND trim(CAST(child_dataset_product_id AS VARCHAR)) <> ''")
+
+
+cte("leg_rel", leg_rel(False), ["fx_edge"])
+cte("leg_rel_typed", leg_rel(True), ["fx_edge"])
+cte("leg_rel_market_tx", leg_rel_tx("leg_rel", "market"), ["leg_rel"])
+cte("leg_rel_cat_tx", leg_rel_tx("leg_rel_typed", "catalogue"), ["leg_rel_typed"])
+oracle("legacy_relationships", "SELECT * FROM (" + staged("leg_rel_market_tx", set(RELATIONSHIP.columns), RELATIONSHIP, tb.DAY2_BATCH, RUN,
+                                                         K.MARKET_SOURCE) + ")", ["leg_rel_market_tx"])
+oracle("legacy_relationships_catalogue", "SELECT * FROM (" + staged("leg_rel_cat_tx", set(RELATIONSHIP.columns), RELATIONSHIP, tb.DAY2_BATCH, RUN,
+                                                                   K.CATALOGUE_SOURCE) + ")", ["leg_rel_cat_tx"])

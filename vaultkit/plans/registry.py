@@ -471,3 +471,47 @@ def catalogue_identifiers(spark, sf_dir):
 @query
 def catalogue_relationships(spark, sf_dir):
     return CAT.catalogue_relationships(AD.catalogue_tables(_t(spark, sf_dir)), tb.ctx())
+
+
+from vaultkit.plans import legacy as LEG  # noqa: E402
+from vaultkit.plans import market as MKT  # noqa: E402
+
+
+@query
+def market_products(spark, sf_dir):
+    return MKT.market_products(AD.market_tables(_t(spark, sf_dir)), tb.ctx(), own_corporation=AD.MARKET_OWNER)
+
+
+@query
+def market_relationships(spark, sf_dir):
+    return MKT.market_relationships(AD.market_tables(_t(spark, sf_dir)), tb.ctx())
+
+
+@query
+def legacy_products(spark, sf_dir):
+    return LEG.legacy_products(AD.legacy_product_table(_t(spark, sf_dir)), tb.ctx(), "legacy")
+
+
+@query
+def legacy_products_market(spark, sf_dir):
+    return LEG.legacy_products(AD.legacy_product_table(_t(spark, sf_dir)), tb.ctx(), "market")
+
+
+@query
+def legacy_products_catalogue(spark, sf_dir):
+    return LEG.legacy_products(AD.legacy_product_table(_t(spark, sf_dir), typed_dates=True), tb.ctx(), "catalogue")
+
+
+@query
+def legacy_identifiers(spark, sf_dir):
+    return LEG.legacy_identifiers(AD.legacy_identifier_table(_t(spark, sf_dir)), tb.ctx())
+
+
+@query
+def legacy_relationships(spark, sf_dir):
+    return LEG.legacy_relationships(AD.legacy_relationship_table(_t(spark, sf_dir)), tb.ctx(), "market")
+
+
+@query
+def legacy_relationships_catalogue(spark, sf_dir):
+    return LEG.legacy_relationships(AD.legacy_relationship_table(_t(spark, sf_dir), typed_dates=True), tb.ctx(), "catalogue")

@@ -109,3 +109,143 @@ def catalogue_claves(t) -> DataFrame:
 
 def catalogue_tables(t) -> dict[str, DataFrame]:
     return {"catalogue_claves": catalogue_claves(t)}
+
+
+# --- market ------------------------------------------------------------------------------------
+
+# Corporation name fragment that marks the owner in the market adapter (competitor flag 'N').
+MARKET_OWNER = "AMER"
+MOLECULES = 40
+
+
+@memo
+def supplier_modified(t) -> DataFrame:
+    return t["lineitem"].groupBy("l_suppkey").agg(F.max("l_shipdate").alias("last_updt_dt"))
+
+
+def market_tables(t) -> dict[str, DataFrame]:
+    """Suppliers as brands, parts as products, nations as laboratories, regions as corporations,
+    lineitem (part, supplier) pairs as product molecules."""
+    n = t["nation"].select("n_nationkey", "n_name", "n_regionkey")
+    s = t["supplier"]
+    sk = F.col("s_suppkey")
+    marcas = (s.join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+               .join(supplier_modified(t), sk == F.col("l_suppkey"), "left")
+               .select(F.col("n_name").alias("country"), sk.cast("string").alias("codigo"),
+                       F.when(sk % 7 == 0, F.concat(F.col("s_name"), F.lit("'s  x"))).otherwise(F.col("s_name")).alias("nome"),
+                       F.col("s_nationkey").cast("string").alias("siglalab"),
+                       F.when(sk % 10 == 9, F.lit(0)).otherwise(F.lit(1)).alias("curr_flg"),
+                       F.col("last_updt_dt").cast("timestamp_ntz").alias("last_updt_dt")))
+    p = t["part"]
+    k = F.col("p_partkey")
+    producto = (p.join(F.broadcast(n), (k % 25) == F.col("n_nationkey")).join(part_modified(t), k == F.col("l_partkey"), "left")
+                 .select(F.col("n_name").alias("country"), k.cast("string").alias("codigo"),
+                         F.when(k % 13 == 0, F.col("p_type")).when(k % 17 == 0, F.lit(""))
+                          .otherwise(F.concat_ws(" ", "p_name", "p_brand")).alias("nome"),
+                         (k % 100).cast("string").alias("marca"),
+                         F.when(F.col("p_size") % 2 == 0, F.lit("G")).otherwise(F.lit("B")).alias("flg_classific"),
+                         _case(F.col("p_size"), 3, ["E", "P"]).alias("flg_etico"),
+                         (k % 25).cast("string").alias("codigolab"),
+                         F.when(k % 5 == 0, F.lit(" ")).otherwise(F.col("p_brand")).alias("codigoclasse"),
+                         F.when(k % 13 == 5, F.lit(0)).otherwise(F.lit(1)).alias("curr_flg"),
+                         F.col("lastmodifieddate").cast("timestamp_ntz").alias("last_updt_dt")))
+    laboratorio = n.select(F.col("n_name").alias("country"), F.col("n_nationkey").cast("string").alias("codigo"),
+                           F.concat(F.lit("LAB"), F.col("n_regionkey").cast("string")).alias("cdg"),
+                           F.col("n_regionkey").cast("string").alias("cdgcorporacao"),
+                           F.when(F.col("n_nationkey") % 6 == 5, F.lit(0)).otherwise(F.lit(1)).alias("curr_flg"),
+                           F.lit(None).cast("timestamp_ntz").alias("last_updt_dt"))
+    r = t["region"]
+    corporacao = (n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
+                   .select(F.col("n_name").alias("country"), F.col("n_regionkey").cast("string").alias("codigo"),
+                           F.concat(F.lit(" "), F.col("r_name"), F.lit(" corp")).alias("nome"),
+                           F.col("n_nationkey").cast("string").alias("sigla"), F.lit(1).alias("curr_flg"),
+                           F.lit(None).cast("timestamp_ntz").alias("last_updt_dt")))
+    li = t["lineitem"].join(F.broadcast(n), (F.col("l_partkey") % 25) == F.col("n_nationkey"))
+    mol_no = (F.col("l_suppkey") % MOLECULES).cast("string")
+    molecula_producto = li.select(F.col("n_name").alias("country"), F.col("l_partkey").cast("string").alias("cdgprod"),
+                                  mol_no.alias("cdgmol"), F.lit(1).alias("curr_flg"),
+                                  F.col("l_shipdate").cast("timestamp_ntz").alias("last_updt_dt"))
+    molecula = li.select(F.col("n_name").alias("country"), mol_no.alias("codigomole"),
+                         F.concat(F.lit("Mol  "), F.lit(" x"), mol_no).alias("nome"),
+                         F.when(F.col("l_suppkey") % MOLECULES == MOLECULES - 1, F.lit(0)).otherwise(F.lit(1)).alias("curr_flg"),
+                         F.lit(None).cast("timestamp_ntz").alias("last_updt_dt")).distinct()
+    return {"market_marcas": marcas, "market_producto": producto, "market_laboratorio": laboratorio,
+            "market_corporacao": corporacao, "market_molecula_producto": molecula_producto, "market_molecula": molecula}
+
+
+# --- legacy history ----------------------------------------------------------------------------
+
+LEGACY_TEXT_COLUMNS = ("geographic_id", "dataset_id", "source_dataset_id", "dataset_product_id", "product_type_code",
+                       "product_name", "product_status_code", "effective_date", "end_date", "brand_name",
+                       "competitor_indicator", "generic_indicator", "strength", "package_quantity", "substance")
+
+
+def legacy_product_table(t, typed_dates: bool = False) -> DataFrame:
+    """A text snapshot of ``part`` in the legacy product-history layout."""
+    p = t["part"]
+    k = F.col("p_partkey")
+    eff_text = (F.when(k % 5 == 0, F.lit("2024-13-01")).when(k % 5 == 1, F.lit(""))
+                .otherwise(F.date_add(F.lit("2020-01-01").cast("date"), F.col("p_size")).cast("string")))
+    eff = F.try_to_date(eff_text) if typed_dates else eff_text
+    rows = p.select(
+        F.when(k % 3 == 0, F.lit(" mx ")).otherwise(F.lit("MX")).alias("geographic_id"),
+        F.lit("LEGACY").alias("dataset_id"), F.lit("PART").alias("source_dataset_id"),
+        F.when(k % 19 == 0, F.lit(" ")).otherwise(F.concat(F.lit(" p"), k.cast("string"), F.lit(" "))).alias("dataset_product_id"),
+        F.lit("PMP").alias("product_type_code"),
+        F.when(k % 23 == 0, F.lit("-")).otherwise(F.concat(F.lit(" "), F.col("p_name"))).alias("product_name"),
+        F.lit(" a ").alias("product_status_code"),
+        eff.alias("effective_date"),
+        (F.lit(None).cast("date") if typed_dates else F.lit(None).cast("string")).alias("end_date"),
+        F.col("p_brand").alias("brand_name"),
+        F.when(k % 2 == 0, F.lit(" y ")).otherwise(F.lit("n")).alias("competitor_indicator"),
+        F.lit(" g ").alias("generic_indicator"),
+        F.col("p_retailprice").cast("decimal(18,2)").cast("string").alias("strength"),
+        F.col("p_size").cast("string").alias("package_quantity"),
+        F.when(k % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("substance"),
+    )
+    from vaultkit.plans.legacy import LEGACY_NULL_COLUMNS
+    from vaultkit.spec import PRODUCT, PRODUCT_DATE_COLUMNS
+    cols = []
+    for c in PRODUCT.columns:
+        if c in LEGACY_NULL_COLUMNS:
+            continue
+        if c in rows.columns:
+            cols.append(F.col(c))
+        else:
+            t_ = "date" if (typed_dates and c in PRODUCT_DATE_COLUMNS) else "string"
+            cols.append(F.lit(None).cast(t_).alias(c))
+    return rows.select(*cols)
+
+
+def legacy_identifier_table(t) -> DataFrame:
+    c = t["customer"].join(F.broadcast(t["nation"].select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"))
+    first = t["orders"].groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
+    j = c.join(first, F.col("c_custkey") == F.col("o_custkey"), "left")
+    k = F.col("c_custkey")
+    return j.select(
+        F.concat(F.lit(" "), F.col("n_name")).alias("geographic_id"), F.lit("LEGACY").alias("dataset_id"),
+        F.when(k % 19 == 0, F.lit("")).otherwise(k.cast("string")).alias("dataset_product_id"),
+        F.lit("LEGACY").alias("identifier_type_code"),
+        F.when(k % 13 == 0, F.lit("-")).otherwise(F.concat(F.lit("ID"), k.cast("string"))).alias("identifier_id"),
+        F.lit(" A ").alias("status_code"),
+        F.when(k % 5 == 0, F.lit("not a date")).otherwise(F.col("first_order").cast("date").cast("string")).alias("effective_date"),
+        F.lit(None).cast("string").alias("end_date"),
+    )
+
+
+def legacy_relationship_table(t, typed_dates: bool = False) -> DataFrame:
+    from vaultkit.sources.testbed import edges
+    e = edges(t)
+    s = t["supplier"].select("s_suppkey", "s_nationkey")
+    n = F.broadcast(t["nation"].select("n_nationkey", "n_name"))
+    j = e.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    eff = F.col("last_ship").cast("date")
+    return j.select(
+        F.lower("n_name").alias("parent_geographic_id"), F.lower("n_name").alias("child_geographic_id"),
+        F.lit(" SUPPLIER ").alias("parent_dataset_id"), F.lit("PART").alias("child_dataset_id"),
+        F.when(F.col("l_suppkey") % 23 == 0, F.lit("")).otherwise(F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))).alias("parent_dataset_product_id"),
+        F.col("l_partkey").alias("child_dataset_product_id"),
+        F.lit(" SUPPLIES ").alias("relationship_type_code"), F.lit(None).cast("string").alias("status_code"),
+        (eff if typed_dates else eff.cast("string")).alias("effective_date"),
+        (F.lit(None).cast("date") if typed_dates else F.lit("2024-13-01")).alias("end_date"),
+    )
