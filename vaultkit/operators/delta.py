@@ -85,10 +85,19 @@ def dq_passed(staging: DataFrame, rejects: DataFrame | None, watermarks: DataFra
     """Staging rows that pass required fields, the watermark and the reject set; one per hashkey.
 
     Ties per hashkey go to the latest load_datetime, then the highest hashdiff.
+
+    When the reject ids are hash-key ingredients (all three entity specs), every row of one
+    hashkey is rejected or none is, so the top-1 per hashkey runs before the reject anti join:
+    its partial limit collapses each key map-side (a key holding a third of the rows costs one row
+    per task), and the anti join then sees one row per key.
     """
     out = staging.where(all_present(spec.required_cols))
     if ctx.use_watermark:
         out = since_watermark(out, watermarks, ctx)
+    rejects_follow_key = set(spec.reject_id_cols) <= set(spec.key_cols)
+    if spec.dedupe and rejects_follow_key:
+        out = latest_by(out, ["hashkey"], ["load_datetime", "hashdiff"])
+        return exclude_rejects(out, rejects, spec.reject_id_cols)
     out = exclude_rejects(out, rejects, spec.reject_id_cols)
     if spec.dedupe:
         out = latest_by(out, ["hashkey"], ["load_datetime", "hashdiff"])

@@ -32,6 +32,7 @@ class VaultStore:
         self.spark = spark
         self.base = base.rstrip("/")
         self._pending: list[tuple] = []
+        self._snapshot: list[tuple] | None = None
 
     # --- catalog ------------------------------------------------------------------------------
     def _catalog(self) -> DataFrame | None:
@@ -41,13 +42,20 @@ class VaultStore:
         except Exception:  # no catalog written yet
             return None
 
-    def _entries(self, table: str) -> list[tuple]:
-        """(version, mode, path) of one table, oldest first; catalog rows are metadata (a few per load)."""
+    def refresh(self) -> None:
+        """Read the catalog once (a few metadata rows per published load) and reuse it."""
         cat = self._catalog()
         if cat is None:
-            return []
-        rows = cat.where(F.col("table_name") == table).select("version", "mode", "path").orderBy("version").collect()
-        return [(r["version"], r["mode"], r["path"]) for r in rows]
+            self._snapshot = []
+            return
+        rows = cat.select("table_name", "version", "mode", "path").collect()
+        self._snapshot = sorted((r["table_name"], r["version"], r["mode"], r["path"]) for r in rows)
+
+    def _entries(self, table: str) -> list[tuple]:
+        """(version, mode, path) of one table, oldest first."""
+        if self._snapshot is None:
+            self.refresh()
+        return [(v, m, p) for t, v, m, p in self._snapshot if t == table]
 
     def paths(self, table: str) -> list[str]:
         out: list[str] = []
@@ -90,6 +98,7 @@ class VaultStore:
         rows = [(t, v, m, p, b, now) for t, v, m, p, b in self._pending]
         self.spark.createDataFrame(rows, CATALOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.base}/{CATALOG}")
         self._pending = []
+        self._snapshot = None
 
     def discard(self) -> None:
         self._pending = []
