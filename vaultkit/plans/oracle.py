@@ -324,7 +324,7 @@ oracle("multi_key_lookup",
 oracle("substance_list",
        "SELECT l_partkey, array_to_string(list_sort(list(DISTINCT CAST(l_suppkey AS VARCHAR))), '|') AS substance "
        "FROM lineitem GROUP BY l_partkey")
-oracle("union_distinct_ids", "SELECT o_custkey AS id FROM orders UNION SELECT c_custkey FROM customer UNION SELECT s_suppkey FROM supplier")
+oracle("union_distinct", "SELECT o_custkey AS id FROM orders UNION SELECT c_custkey FROM customer UNION SELECT s_suppkey FROM supplier")
 oracle("union_sources", "SELECT * FROM fx_sources", ["fx_sources"])
 oracle("multi_label",
        "SELECT DISTINCT p_partkey, p_name, 'SMALL' AS label FROM part WHERE upper(p_type) = 'SMALL' UNION ALL "
@@ -339,7 +339,7 @@ oracle("reject_rows", "SELECT * FROM fx_reject", ["fx_reject"])
 oracle("reject_key_new_only",
        "SELECT * FROM fx_reject r WHERE NOT EXISTS (SELECT 1 FROM fx_reject s WHERE s.error_code = 'EMPTY_COUNTRY_CODE' "
        "AND s.reject_key = r.reject_key)", ["fx_reject"])
-oracle("exclude_rejects_ids",
+oracle("exclude_rejects",
        "SELECT dataset_product_id, hashkey, hashdiff FROM fx_stg s WHERE NOT EXISTS (SELECT 1 FROM fx_reject r "
        "WHERE r.dataset_product_id = upper(trim(s.dataset_product_id)))", ["fx_stg", "fx_reject"])
 oracle("exclude_rejects_both_ends",
@@ -844,3 +844,11 @@ oracle("legacy_relationships", "SELECT * FROM (" + staged("leg_rel_market_tx", s
                                                          K.MARKET_SOURCE) + ")", ["leg_rel_market_tx"])
 oracle("legacy_relationships_catalogue", "SELECT * FROM (" + staged("leg_rel_cat_tx", set(RELATIONSHIP.columns), RELATIONSHIP, tb.DAY2_BATCH, RUN,
                                                                    K.CATALOGUE_SOURCE) + ")", ["leg_rel_cat_tx"])
+
+oracle("model_log",
+       "SELECT * FROM fx_log0 UNION ALL "
+       f"SELECT {q(tb.DAY2_BATCH)}, 'STAGE', 'STG_PRODUCT', 'CRM', 'SUCCESS', {RUN}, {RUN}, CAST(0 AS BIGINT), '', CAST(0 AS BIGINT), CAST(0 AS BIGINT) "
+       f"UNION ALL SELECT {q(tb.DAY2_BATCH)}, 'DQ', 'REJECT', 'CRM', 'SUCCESS', {RUN}, {RUN}, (SELECT count(*) FROM fx_reject), '', "
+       "CAST(0 AS BIGINT), CAST(0 AS BIGINT) "
+       f"UNION ALL SELECT {q(tb.DAY2_BATCH)}, 'SAT', 'SAT_PRODUCT', 'CRM', 'SUCCESS', {RUN}, {RUN}, delta_inserted_rows + delta_updated_rows, '', "
+       "delta_inserted_rows, delta_updated_rows FROM fx_metrics", ["fx_log0", "fx_reject", "fx_metrics"])

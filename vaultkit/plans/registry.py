@@ -18,9 +18,12 @@ from vaultkit.sources.tables import Tables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(fn=None, *, name: str | None = None):
+    """Register ``fn`` under its own name (or ``name``)."""
+    def register(f):
+        QUERIES[name or f.__name__] = f
+        return f
+    return register(fn) if fn is not None else register
 
 
 def _t(spark: SparkSession, sf_dir: str) -> Tables:
@@ -184,7 +187,7 @@ def substance_list(spark, sf_dir):
     return sorted_distinct_list(li, ["l_partkey"], F.col("l_suppkey").cast("string"), "|", "substance")
 
 
-@query
+@query(name="union_distinct")
 def union_distinct_ids(spark, sf_dir):
     t = _t(spark, sf_dir)
     return union_distinct([
@@ -232,7 +235,7 @@ def reject_key_new_only(spark, sf_dir):
     return new_rejects(r, stored)
 
 
-@query
+@query(name="exclude_rejects")
 def exclude_rejects_ids(spark, sf_dir):
     t = _t(spark, sf_dir)
     return exclude_rejects(tb.staging_day2(t), tb.rejects_day2(t)).select("dataset_product_id", "hashkey", "hashdiff")
@@ -416,6 +419,27 @@ def batch_control(spark, sf_dir):
     return A.batch_end(control, rejects.unionByName(m), tb.ctx())
 
 
+@query
+def model_log(spark, sf_dir):
+    """Model-level audit: a model run opens and closes its log row, then the run-end roll-up
+    upserts one row per model result (row count for the DQ layer, affected rows otherwise)."""
+    t = _t(spark, sf_dir)
+    log = A.model_start(_log_day1(t), tb.ctx(), "STAGE", "STG_PRODUCT", "CRM")
+    log = A.model_end(log, tb.ctx(), "STG_PRODUCT", A.SUCCESS)
+    rejects = tb.rejects_day2(t).agg(F.count(F.lit(1)).cast("long").alias("row_count")).select(
+        F.lit(1).alias("seq"), F.lit("DQ").alias("layer_name"), F.lit("REJECT").alias("model_name"),
+        F.lit("success").alias("status"), F.lit(None).cast("string").alias("message"), "row_count",
+        F.lit(None).cast("long").alias("rows_affected"), F.lit(None).cast("long").alias("rows_inserted"),
+        F.lit(None).cast("long").alias("rows_updated"), F.lit(None).cast("long").alias("rows_deleted"))
+    m = D.delta_metrics(_classified(t), tb.hub_day1(t)).select(
+        F.lit(2).alias("seq"), F.lit("SAT").alias("layer_name"), F.lit("SAT_PRODUCT").alias("model_name"),
+        F.lit("success").alias("status"), F.lit(None).cast("string").alias("message"),
+        F.lit(None).cast("long").alias("row_count"), F.lit(None).cast("long").alias("rows_affected"),
+        F.col("delta_inserted_rows").alias("rows_inserted"), F.col("delta_updated_rows").alias("rows_updated"),
+        F.lit(0).cast("long").alias("rows_deleted"))
+    return A.process_end(log, rejects.unionByName(m), tb.ctx(), "CRM")
+
+
 @query
 def load_efficiency(spark, sf_dir):
     return A.load_efficiency(_log_day1(_t(spark, sf_dir)))
