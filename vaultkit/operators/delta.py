@@ -117,9 +117,8 @@ def classify(dq: DataFrame, satellite: DataFrame) -> DataFrame:
     satellite row or NULL). Both inputs must hold one row per hashkey (``dq_passed`` ensures it
     for the DQ set, the satellite keeps one active row per key), so no key fans out.
     """
-    s = dq.select(F.col("hashkey"), F.struct(*[F.col(c) for c in dq.columns]).alias(STG))
-    act = active(satellite)
-    t = act.select(F.col("hashkey"), F.struct(*[F.col(c) for c in act.columns]).alias(SAT))
+    s = dq.selectExpr("hashkey", f"struct(*) AS {STG}")
+    t = active(satellite).selectExpr("hashkey", f"struct(*) AS {SAT}")
     j = s.join(t, "hashkey", "full_outer")
     action = (
         F.when(F.col(SAT).isNull(), F.lit(NEW))
@@ -194,16 +193,27 @@ def history_columns(spec: EntitySpec) -> list[str]:
     return [c for c in sat_columns(spec) if c != "end_datetime"] + ["end_datetime"]
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(v: str) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ts_sql(ctx: LoadContext) -> str:
+    return f"CAST({_lit(ctx.run_ts.strftime('%Y-%m-%d %H:%M:%S.%f'))} AS TIMESTAMP_NTZ)"
+
+
 def touched(classified: DataFrame, spec: EntitySpec, ctx: LoadContext) -> DataFrame:
     """Active satellite after step 1 only: UNCHANGED rows get UPDATED_DATETIME = run time."""
-    rows = classified.where(F.col(SAT).isNotNull())
-    out = []
+    exprs = []
     for c in sat_columns(spec):
-        v = F.col(f"{SAT}.{c}")
+        v = f"{SAT}.{_q(c)}"
         if c == "updated_datetime":
-            v = F.when(F.col(ACTION) == UNCHANGED, ctx.ts()).otherwise(v)
-        out.append(v.alias(c))
-    return rows.select(*out)
+            v = f"CASE WHEN {ACTION} = '{UNCHANGED}' THEN {_ts_sql(ctx)} ELSE {v} END"
+        exprs.append(f"{v} AS {_q(c)}")
+    return classified.where(F.col(SAT).isNotNull()).selectExpr(*exprs)
 
 
 def history_rows(classified: DataFrame, history: DataFrame | None, spec: EntitySpec, ctx: LoadContext,
@@ -212,8 +222,8 @@ def history_rows(classified: DataFrame, history: DataFrame | None, spec: EntityS
 
     By default a version counts as archived when its hashdiff is anywhere in the history.
     """
-    cols = [F.col(f"{SAT}.{c}").alias(c) for c in sat_columns(spec) if c != "end_datetime"]
-    rows = classified.where(F.col(ACTION) == CHANGED).select(*cols, ctx.ts().alias("end_datetime"))
+    cols = [f"{SAT}.{_q(c)} AS {_q(c)}" for c in sat_columns(spec) if c != "end_datetime"]
+    rows = classified.where(F.col(ACTION) == CHANGED).selectExpr(*cols, f"{_ts_sql(ctx)} AS end_datetime")
     if history is not None:
         seen = history.select(*dedupe_on).distinct()
         rows = rows.join(seen, list(dedupe_on), "left_anti")
@@ -233,29 +243,28 @@ def next_satellite(classified: DataFrame, satellite: DataFrame | None, spec: Ent
     UNCHANGED keeps its row with UPDATED = run time; ABSENT passes untouched (no delete detection).
     Expired rows of the input satellite (END set) pass through as they are.
     """
-    take_stg = F.col(ACTION).isin(NEW, CHANGED)
-    ts = ctx.ts()
+    take_stg = f"{ACTION} IN ('{NEW}', '{CHANGED}')"
+    ts = _ts_sql(ctx)
+    rs = f"left(coalesce({STG}.record_source, {_lit(ctx.record_source)}), {int(ctx.record_source_max_len)})"
     stg_values = {
-        "hashkey": F.col("hashkey"),
-        "hashdiff": F.col(f"{STG}.hashdiff"),
+        "hashdiff": f"{STG}.hashdiff",
         "start_datetime": ts,
         "load_datetime": ts,
-        "end_datetime": F.lit(None).cast("timestamp_ntz"),
+        "end_datetime": "CAST(NULL AS TIMESTAMP_NTZ)",
         "updated_datetime": ts,
-        "etl_batch_id": ctx.batch(),
-        "record_source": _record_source(ctx, F.col(f"{STG}.record_source")),
+        "etl_batch_id": _lit(ctx.batch_id),
+        "record_source": rs,
     }
-    out = []
+    out = ["hashkey"]
     for c in sat_columns(spec):
-        from_stg = stg_values.get(c, F.col(f"{STG}.{c}"))
-        from_sat = F.col(f"{SAT}.{c}")
-        if c == "updated_datetime":
-            from_sat = F.when(F.col(ACTION) == UNCHANGED, ts).otherwise(from_sat)
         if c == "hashkey":
-            out.append(F.col("hashkey").alias(c))
             continue
-        out.append(F.when(take_stg, from_stg).otherwise(from_sat).alias(c))
-    current = classified.select(*out)
+        from_stg = stg_values.get(c, f"{STG}.{_q(c)}")
+        from_sat = f"{SAT}.{_q(c)}"
+        if c == "updated_datetime":
+            from_sat = f"CASE WHEN {ACTION} = '{UNCHANGED}' THEN {ts} ELSE {from_sat} END"
+        out.append(f"CASE WHEN {take_stg} THEN {from_stg} ELSE {from_sat} END AS {_q(c)}")
+    current = classified.selectExpr(*out)
     if satellite is None:
         return current
     expired = satellite.where(F.col("end_datetime").isNotNull()).select(*sat_columns(spec))
