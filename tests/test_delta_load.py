@@ -89,3 +89,21 @@ def test_watermark_never_falls(spark, tables):
     w2 = store.read("source_watermark", SC.WATERMARK).first()["watermark_value"]
     assert w2 == w1
     assert m["delta_inserted_rows"] == 0
+
+
+def test_bucketed_satellite_same_result_and_no_satellite_shuffle(spark, tables):
+    from vaultkit.operators import delta as D
+    store = scratch_store(spark, "bucketed")
+    day1 = tb.stage(tb.day1_rows(tables), PRODUCT, tb.DAY1_BATCH, tb.DAY1_TS)
+    run_delta_load(store, day1, PRODUCT, _ctx("B1", 1), satellite_buckets=4)
+    sat = store.read("sat_product", SC.satellite(PRODUCT))
+    plan = D.classify(tb.staging_day2(tables), sat)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    m = run_delta_load(store, tb.staging_day2(tables), PRODUCT, _ctx("B2", 2), satellite_buckets=4)
+    plain = scratch_store(spark, "plain")
+    run_delta_load(plain, day1, PRODUCT, _ctx("B1", 1))
+    m2 = run_delta_load(plain, tb.staging_day2(tables), PRODUCT, _ctx("B2", 2))
+    assert m == m2
+    a = store.read("sat_product", SC.satellite(PRODUCT))
+    b = plain.read("sat_product", SC.satellite(PRODUCT))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -225,7 +225,10 @@ def history_rows(classified: DataFrame, history: DataFrame | None, spec: EntityS
     cols = [f"{SAT}.{_q(c)} AS {_q(c)}" for c in sat_columns(spec) if c != "end_datetime"]
     rows = classified.where(F.col(ACTION) == CHANGED).selectExpr(*cols, f"{_ts_sql(ctx)} AS end_datetime")
     if history is not None:
-        seen = history.select(*dedupe_on).distinct()
+        # History only grows; reduce it to the versions this load might archive before the anti
+        # join, so a small change set streams the history past a hash table of its own keys.
+        wanted = rows.select(*dedupe_on)
+        seen = history.select(*dedupe_on).join(wanted, list(dedupe_on), "left_semi").distinct()
         rows = rows.join(seen, list(dedupe_on), "left_anti")
     return rows.select(*history_columns(spec))
 

@@ -69,11 +69,16 @@ def delta_load(staging: DataFrame, hub: DataFrame | None, satellite: DataFrame |
 
 
 def run_delta_load(store: VaultStore, staging: DataFrame, spec: EntitySpec, ctx: LoadContext,
-                   names: dict[str, str] | None = None, satellite_partitions: int | None = None) -> dict:
+                   names: dict[str, str] | None = None, satellite_partitions: int | None = None,
+                   satellite_buckets: int | None = None) -> dict:
     """Read current versions from ``store``, run ``delta_load``, write and publish the next versions.
 
     Hub and history get only their new rows appended; satellite, watermark and process log are
     rewritten. Returns the metrics row as a dict.
+
+    ``satellite_buckets``: write the satellite bucketed by hashkey into that many buckets. The next
+    load then reads it pre-partitioned, so the classification join shuffles only the staging side
+    (and the rewritten satellite lands one file per bucket, already in the join's partitioning).
     """
     n = {"hub": "hub", "sat": f"sat_{spec.origin.lower()}", "hist": f"sat_{spec.origin.lower()}_hist",
          "reject": "reject", "wm": "source_watermark", "log": "process_log"}
@@ -91,7 +96,8 @@ def run_delta_load(store: VaultStore, staging: DataFrame, spec: EntitySpec, ctx:
         store.write(n["hist"], res.history_new, ctx.batch_id, mode="append")
         parts = (satellite_partitions,) if satellite_partitions else ()
         sat_out = res.satellite.repartition(*parts, "hashkey") if satellite_partitions else res.satellite
-        store.write(n["sat"], sat_out, ctx.batch_id)
+        store.write(n["sat"], sat_out, ctx.batch_id, bucket_by="hashkey" if satellite_buckets else None,
+                    buckets=satellite_buckets)
         store.write(n["wm"], res.watermarks.coalesce(1), ctx.batch_id)
         store.write(n["log"], res.log.coalesce(1), ctx.batch_id)
         store.publish()

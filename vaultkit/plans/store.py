@@ -24,6 +24,7 @@ CATALOG_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()), T.StructField("version", T.LongType()),
     T.StructField("mode", T.StringType()), T.StructField("path", T.StringType()),
     T.StructField("batch_id", T.StringType()), T.StructField("committed_at", T.TimestampNTZType()),
+    T.StructField("bucket_col", T.StringType()), T.StructField("buckets", T.IntegerType()),
 ])
 
 
@@ -48,14 +49,23 @@ class VaultStore:
         if cat is None:
             self._snapshot = []
             return
-        rows = cat.select("table_name", "version", "mode", "path").collect()
-        self._snapshot = sorted((r["table_name"], r["version"], r["mode"], r["path"]) for r in rows)
+        rows = cat.select("table_name", "version", "mode", "path", "bucket_col", "buckets").collect()
+        self._snapshot = sorted((r["table_name"], r["version"], r["mode"], r["path"], r["bucket_col"], r["buckets"]) for r in rows)
 
     def _entries(self, table: str) -> list[tuple]:
         """(version, mode, path) of one table, oldest first."""
         if self._snapshot is None:
             self.refresh()
-        return [(v, m, p) for t, v, m, p in self._snapshot if t == table]
+        return [(v, m, p) for t, v, m, p, _, _ in self._snapshot if t == table]
+
+    def _bucketing(self, table: str) -> tuple[str, str | None, int | None] | None:
+        """(path, bucket column, bucket count) of the latest version when it is one bucketed folder."""
+        if self._snapshot is None:
+            self.refresh()
+        rows = [r for r in self._snapshot if r[0] == table]
+        if not rows or rows[-1][2] != "replace" or not rows[-1][5]:
+            return None
+        return rows[-1][3], rows[-1][4], rows[-1][5]
 
     def paths(self, table: str) -> list[str]:
         out: list[str] = []
@@ -71,23 +81,48 @@ class VaultStore:
         paths = self.paths(table)
         if not paths:
             return None
+        bucketed = self._bucketing(table)
+        if bucketed is not None:
+            return self._bucketed_table(table, *bucketed, schema)
         reader = self.spark.read
         if schema is not None:
             reader = reader.schema(schema)
         return reader.parquet(*paths)
 
+    def _table_name(self, path: str) -> str:
+        return "vk_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex
+
+    def _bucketed_table(self, table: str, path: str, col: str, buckets: int, schema: T.StructType | None) -> DataFrame:
+        """The version as a session table carrying its bucket spec, so joins on ``col`` need no
+        shuffle of this side. Registered by location (files stay in the shared folder)."""
+        name = self._table_name(path)
+        if not self.spark.catalog.tableExists(name):
+            sch = schema or self.spark.read.parquet(path).schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sch.fields)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+                           f"CLUSTERED BY (`{col}`) SORTED BY (`{col}`) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+        return self.spark.table(name)
+
     # --- writes -------------------------------------------------------------------------------
     def write(self, table: str, df: DataFrame, batch_id: str, mode: str = "replace",
-              partition_cols: tuple[str, ...] = (), repartition_by: tuple[str, ...] = ()) -> str:
-        """Write ``df`` into a fresh folder and stage it for ``publish``."""
+              partition_cols: tuple[str, ...] = (), repartition_by: tuple[str, ...] = (),
+              bucket_by: str | None = None, buckets: int | None = None) -> str:
+        """Write ``df`` into a fresh folder and stage it for ``publish``.
+
+        With ``bucket_by``/``buckets`` the folder is written bucketed (hash of the column, sorted
+        within buckets); later reads of this version join on that column without shuffling it.
+        """
         version = self.version(table) + 1 + sum(1 for p in self._pending if p[0] == table)
         path = f"{self.base}/{table}/v{version:06d}-{uuid.uuid4().hex[:8]}"
         out = df.repartition(*repartition_by) if repartition_by else df
         w = out.write.mode("errorifexists")
         if partition_cols:
             w = w.partitionBy(*partition_cols)
-        w.parquet(path)
-        self._pending.append((table, version, mode, path, batch_id))
+        if bucket_by and buckets:
+            w.bucketBy(int(buckets), bucket_by).sortBy(bucket_by).option("path", path).saveAsTable(self._table_name(path))
+        else:
+            w.parquet(path)
+        self._pending.append((table, version, mode, path, batch_id, bucket_by if buckets else None, int(buckets) if buckets else None))
         return path
 
     def publish(self) -> None:
@@ -95,7 +130,7 @@ class VaultStore:
         if not self._pending:
             return
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-        rows = [(t, v, m, p, b, now) for t, v, m, p, b in self._pending]
+        rows = [(t, v, m, p, b, now, bc, n) for t, v, m, p, b, bc, n in self._pending]
         self.spark.createDataFrame(rows, CATALOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.base}/{CATALOG}")
         self._pending = []
         self._snapshot = None
