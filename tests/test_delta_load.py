@@ -107,3 +107,37 @@ def test_bucketed_satellite_same_result_and_no_satellite_shuffle(spark, tables):
     a = store.read("sat_product", SC.satellite(PRODUCT))
     b = plain.read("sat_product", SC.satellite(PRODUCT))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_identifier_and_relationship_loads(spark, tables):
+    from vaultkit.spec import IDENTIFIER, RELATIONSHIP
+    store = scratch_store(spark, "entities")
+    ident = tb.identifiers(tables)
+    m = run_delta_load(store, ident, IDENTIFIER, _ctx("E1", 1))
+    assert m["delta_inserted_rows"] == ident.select("hashkey").distinct().count()
+    rel = tb.relationships(tables)
+    m = run_delta_load(store, rel, RELATIONSHIP, _ctx("E1", 1))
+    assert m["delta_inserted_rows"] == rel.select("hashkey").distinct().count()
+    sat = store.read("sat_relationship", SC.satellite(RELATIONSHIP))
+    assert set(RELATIONSHIP.columns) <= set(sat.columns)
+    hub = store.read("hub", SC.HUB)
+    assert {r["origin_stg"] for r in hub.select("origin_stg").distinct().collect()} == {"IDENTIFIER", "RELATIONSHIP"}
+    m = run_delta_load(store, rel, RELATIONSHIP, _ctx("E2", 2))
+    assert m["delta_inserted_rows"] == 0 and m["delta_updated_rows"] == 0
+
+
+def test_optional_parent_id(spark, tables):
+    from vaultkit.operators.delta import dq_passed
+    from vaultkit.spec import RELATIONSHIP
+    rel = tb.relationships(tables).withColumn("parent_dataset_product_id", F.lit(None).cast("string"))
+    strict = dq_passed(rel, None, None, RELATIONSHIP, _ctx("O1", 1))
+    loose = dq_passed(rel, None, None, RELATIONSHIP.optional("parent_dataset_product_id"), _ctx("O1", 1))
+    assert strict.count() == 0 and loose.count() > 0
+
+
+def test_rejects_limited_to_batch(spark, tables):
+    from vaultkit.operators.quality import exclude_rejects
+    stg = tb.staging_day2(tables)
+    rej = tb.rejects_day2(tables)
+    assert exclude_rejects(stg, rej, batch_id="OTHER").count() == stg.count()
+    assert exclude_rejects(stg, rej, batch_id=tb.DAY2_BATCH).count() < stg.count()

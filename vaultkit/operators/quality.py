@@ -120,10 +120,17 @@ def reject_ids(rejects: DataFrame) -> DataFrame:
     return rejects.select(F.col("dataset_product_id").alias("__reject_id")).where(F.col("__reject_id").isNotNull()).distinct()
 
 
-def exclude_rejects(df: DataFrame, rejects: DataFrame | None, id_cols: Sequence[str] = ("dataset_product_id",)) -> DataFrame:
-    """Anti join on ``upper(trim(id))`` for every id column (both ends of an edge for relationships)."""
+def exclude_rejects(df: DataFrame, rejects: DataFrame | None, id_cols: Sequence[str] = ("dataset_product_id",),
+                    batch_id: str | None = None) -> DataFrame:
+    """Anti join on ``upper(trim(id))`` for every id column (both ends of an edge for relationships).
+
+    By default an id rejected in any batch stays excluded; ``batch_id`` limits the exclusion to the
+    rejects of that batch.
+    """
     if rejects is None:
         return df
+    if batch_id is not None:
+        rejects = rejects.where(F.col("etl_batch_id") == batch_id)
     ids = reject_ids(rejects)
     out = df
     for c in id_cols:
