@@ -167,8 +167,8 @@ def node_sets(filtered: DataFrame, materialize: bool = True) -> dict[str, DataFr
     Each row carries flags for the sets it belongs to; one grouped pass computes every set's
     latest modification time (partial aggregation map-side), and the sets keyed by (country, id)
     only are rolled up from that small result. The grouped result (at most one row per product and
-    parent) feeds eight join inputs, so it is checkpointed once into the shared checkpoint folder
-    rather than recomputed from the regional scans for each.
+    parent) feeds eight join inputs, so it is written once into the shared checkpoint folder and
+    read back rather than recomputed from the regional scans for each.
     """
     mod = latest_of(["parent_lastmodifieddate_src", "child_lastmodifieddate"])
     live = F.col("isdeleted") == F.lit(False)
@@ -191,9 +191,8 @@ def node_sets(filtered: DataFrame, materialize: bool = True) -> dict[str, DataFr
         *[F.max(name).alias(name) for name in flags]
     )
     if materialize:
-        from vaultkit.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(filtered.sparkSession)
-        grouped = grouped.checkpoint(eager=True)
+        from vaultkit.session import materialize as write_once
+        grouped = write_once(grouped, "crm_node_sets")
     out = {}
     for name in flags:
         s = grouped.where(F.col(name).isNotNull())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,3 +55,17 @@ def fits(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast hint only behind a checked row bound; larger inputs keep a shuffle join."""
     return F.broadcast(df) if fits(df, max_rows) else df
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet into the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes the input a single time (an eager
+    checkpoint of an unpersisted frame computes it twice). The folder is on the storage the
+    cluster names in ``spark.checkpoint.dir``, so the result survives executor loss.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = os.path.join(base, "materialized", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

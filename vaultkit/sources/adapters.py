@@ -77,11 +77,10 @@ def crm_rows(t) -> DataFrame:
 
 @memo
 def crm_landed(t) -> DataFrame:
-    """The CRM rows landed once (reliable checkpoint in the shared checkpoint folder): the four
-    regional tables are then plain scans, as landed source tables are."""
-    from vaultkit.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(t["part"].sparkSession)
-    return crm_rows(t).checkpoint(eager=True)
+    """The CRM rows landed once (written into the shared checkpoint folder): the four regional
+    tables are then plain scans, as landed source tables are."""
+    from vaultkit.session import materialize
+    return materialize(crm_rows(t), "crm_rows")
 
 
 def crm_tables(t) -> dict[str, DataFrame]:

@@ -47,6 +47,13 @@ def memo(fn):
     return wrapper
 
 
+def landed(df: DataFrame) -> DataFrame:
+    """A vault table of the test bed (satellite, hub, history, rejects, watermarks) is a stored
+    table, not a view: write it once into the shared checkpoint folder and read it from there."""
+    from vaultkit.session import materialize
+    return materialize(df, "testbed")
+
+
 def ctx(**kw) -> LoadContext:
     base = dict(batch_id=DAY2_BATCH, run_ts=RUN_TS, record_source=RECORD_SOURCE, source_object=STAGING_MODEL)
     base.update(kw)
@@ -136,17 +143,17 @@ def day1_rows(t) -> DataFrame:
 def satellite_day1(t) -> DataFrame:
     staged = stage(day1_rows(t), PRODUCT, DAY1_BATCH, DAY1_TS)
     d1 = ts(DAY1_TS)
-    return staged.select(
+    return landed(staged.select(
         "hashkey", "hashdiff", d1.alias("start_datetime"), d1.alias("load_datetime"),
         F.lit(None).cast("timestamp_ntz").alias("end_datetime"), d1.alias("updated_datetime"),
         F.lit(DAY1_BATCH).alias("etl_batch_id"), F.lit(RECORD_SOURCE).alias("record_source"),
         *PRODUCT.columns,
-    )
+    ))
 
 
 @memo
 def rejects_day2(t) -> DataFrame:
-    return find_rejects({STAGING_MODEL: staging_day2(t)}, countries(t), ctx())
+    return landed(find_rejects({STAGING_MODEL: staging_day2(t)}, countries(t), ctx()))
 
 
 @memo
@@ -161,14 +168,14 @@ def hub_day1(t) -> DataFrame:
     extra = dq_day2(t).where(F.col("dataset_product_id").cast("long") % 20 == 0).select("hashkey")
     keys = sat_keys.unionByName(extra).distinct()
     day1 = LoadContext(batch_id=DAY1_BATCH, run_ts=dt.datetime(2025, 1, 1), record_source=RECORD_SOURCE)
-    return hub_rows(keys, PRODUCT, day1)
+    return landed(hub_rows(keys, PRODUCT, day1))
 
 
 @memo
 def history_day1(t) -> DataFrame:
     """History before day 2: the day 1 versions of customers with key % 14 = 0, already expired."""
     sat = satellite_day1(t).where(F.col("dataset_product_id").cast("long") % 14 == 0)
-    return sat.withColumn("end_datetime", ts(HIST0_END_TS)).select(*history_columns(PRODUCT))
+    return landed(sat.withColumn("end_datetime", ts(HIST0_END_TS)).select(*history_columns(PRODUCT)))
 
 
 @memo
