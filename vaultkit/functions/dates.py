@@ -34,5 +34,5 @@ def minutes_before(c: str | Column, minutes: int) -> Column:
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:
     """Second boundaries crossed from ``start`` to ``end`` (datediff('second', ...) semantics:
-    fractions are cut off before subtracting). Session time zone must be UTC for timestamp_ntz."""
-    return F.unix_timestamp(_c(end)) - F.unix_timestamp(_c(start))
+    fractions are cut off before subtracting); independent of the session time zone."""
+    return F.timestamp_diff("SECOND", F.date_trunc("second", _c(start)), F.date_trunc("second", _c(end)))

@@ -8,6 +8,9 @@ taken before the hub changes and the archive sees the satellite before the merge
 
 from __future__ import annotations
 
+import os
+import sys
+import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -37,6 +40,21 @@ class LoadResult:
         self.dq.unpersist()
 
 
+class _Trace:
+    """Step timings to stderr when VAULTKIT_TRACE is set."""
+
+    def __init__(self, label: str):
+        self.on = bool(os.environ.get("VAULTKIT_TRACE"))
+        self.label = label
+        self.t = time.perf_counter()
+
+    def step(self, name: str) -> None:
+        if self.on:
+            now = time.perf_counter()
+            print(f"[{self.label}] {name}: {now - self.t:.2f}s", file=sys.stderr, flush=True)
+            self.t = now
+
+
 def _empty(spark, schema):
     return spark.createDataFrame([], schema)
 
@@ -83,24 +101,33 @@ def run_delta_load(store: VaultStore, staging: DataFrame, spec: EntitySpec, ctx:
     n = {"hub": "hub", "sat": f"sat_{spec.origin.lower()}", "hist": f"sat_{spec.origin.lower()}_hist",
          "reject": "reject", "wm": "source_watermark", "log": "process_log"}
     n.update(names or {})
+    tr = _Trace(f"load {ctx.batch_id}")
     hub = store.read(n["hub"], SC.HUB)
     sat = store.read(n["sat"], SC.satellite(spec))
     hist = store.read(n["hist"], SC.history(spec))
     rej = store.read(n["reject"], SC.REJECT)
     wm = store.read(n["wm"], SC.WATERMARK)
     log = store.read(n["log"], SC.PROCESS_LOG)
+    tr.step("read versions")
     res = delta_load(staging, hub, sat, hist, rej, wm, log, spec, ctx)
+    tr.step("build plans")
     try:
         metrics = res.metrics.first().asDict()
+        tr.step("dq + classify + metrics")
         store.write(n["hub"], res.hub_new, ctx.batch_id, mode="append")
+        tr.step("write hub")
         store.write(n["hist"], res.history_new, ctx.batch_id, mode="append")
+        tr.step("write history")
         parts = (satellite_partitions,) if satellite_partitions else ()
         sat_out = res.satellite.repartition(*parts, "hashkey") if satellite_partitions else res.satellite
         store.write(n["sat"], sat_out, ctx.batch_id, bucket_by="hashkey" if satellite_buckets else None,
                     buckets=satellite_buckets)
+        tr.step("write satellite")
         store.write(n["wm"], res.watermarks.coalesce(1), ctx.batch_id)
         store.write(n["log"], res.log.coalesce(1), ctx.batch_id)
+        tr.step("write watermark + log")
         store.publish()
+        tr.step("publish")
     except Exception:
         store.discard()
         raise
