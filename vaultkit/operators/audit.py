@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultkit.functions.dates import seconds_between
-from vaultkit.operators.merge import merge
+from vaultkit.operators.merge import merge, merge_single
 from vaultkit.spec import BATCH_CONTROL_COLUMNS, PROCESS_LOG_COLUMNS, LoadContext
 
 RUNNING = "RUNNING"
@@ -41,18 +41,14 @@ def _log_row(like: DataFrame, ctx: LoadContext, layer: str, model: str, source_s
 def process_start(log: DataFrame, ctx: LoadContext, layer: str, model: str, source_system: str) -> DataFrame:
     """Upsert a RUNNING row for (batch, model); a rerun keeps the first start time, zeroes metrics."""
     src = _log_row(log, ctx, layer, model, source_system)
-    s = lambda c: F.col(f"s.{c}")
-    return merge(log, src, ["etl_batch_id", "model_name"], update={
-        "layer_name": s("layer_name"),
-        "source_system": s("source_system"),
-        "process_status": F.lit(RUNNING),
-        "start_timestamp": F.coalesce(F.col("t.start_timestamp"), s("start_timestamp")),
-        "end_timestamp": _null_ts(),
-        "rows_processed": s("rows_processed"),
-        "error_message": s("error_message"),
-        "delta_inserted_rows": s("delta_inserted_rows"),
-        "delta_updated_rows": s("delta_updated_rows"),
+    from_src = ("layer_name", "source_system", "rows_processed", "error_message", "delta_inserted_rows", "delta_updated_rows")
+    upd = {c: (lambda t, s, c=c: s(c)) for c in from_src}
+    upd.update({
+        "process_status": lambda t, s: F.lit(RUNNING),
+        "start_timestamp": lambda t, s: F.coalesce(t("start_timestamp"), s("start_timestamp")),
+        "end_timestamp": lambda t, s: _null_ts(),
     })
+    return merge_single(log, src, ["etl_batch_id", "model_name"], update=upd)
 
 
 def process_success(log: DataFrame, metrics: DataFrame, ctx: LoadContext, model: str) -> DataFrame:
@@ -64,15 +60,14 @@ def process_success(log: DataFrame, metrics: DataFrame, ctx: LoadContext, model:
         ctx.batch().alias("etl_batch_id"), F.lit(model).alias("model_name"),
         "delta_inserted_rows", "delta_updated_rows", "rows_processed",
     )
-    s = lambda c: F.col(f"s.{c}")
-    return merge(log, src, ["etl_batch_id", "model_name"], update={
-        "process_status": F.lit(SUCCESS),
-        "end_timestamp": ctx.ts(),
-        "rows_processed": s("rows_processed"),
-        "error_message": F.lit(""),
-        "delta_inserted_rows": s("delta_inserted_rows"),
-        "delta_updated_rows": s("delta_updated_rows"),
-    }, matched_when=F.col("t.process_status") == RUNNING, insert=False)
+    return merge_single(log, src, ["etl_batch_id", "model_name"], update={
+        "process_status": lambda t, s: F.lit(SUCCESS),
+        "end_timestamp": lambda t, s: ctx.ts(),
+        "rows_processed": lambda t, s: s("rows_processed"),
+        "error_message": lambda t, s: F.lit(""),
+        "delta_inserted_rows": lambda t, s: s("delta_inserted_rows"),
+        "delta_updated_rows": lambda t, s: s("delta_updated_rows"),
+    }, matched_when=lambda t, s: t("process_status") == RUNNING, insert=False)
 
 
 def model_start(log: DataFrame, ctx: LoadContext, layer: str, model: str, source_system: str) -> DataFrame:
@@ -102,12 +97,12 @@ def batch_start(control: DataFrame, ctx: LoadContext, pipeline: str) -> DataFram
         F.lit(RUNNING).alias("process_status"),
         F.lit("").alias("error_message"),
     )
-    return merge(control, src, ["etl_batch_id"], update={
-        "pipeline_name": F.col("s.pipeline_name"),
-        "start_timestamp": F.coalesce(F.col("t.start_timestamp"), F.col("s.start_timestamp")),
-        "end_timestamp": _null_ts(),
-        "process_status": F.lit(RUNNING),
-        "error_message": F.lit(""),
+    return merge_single(control, src, ["etl_batch_id"], update={
+        "pipeline_name": lambda t, s: s("pipeline_name"),
+        "start_timestamp": lambda t, s: F.coalesce(t("start_timestamp"), s("start_timestamp")),
+        "end_timestamp": lambda t, s: _null_ts(),
+        "process_status": lambda t, s: F.lit(RUNNING),
+        "error_message": lambda t, s: F.lit(""),
     })
 
 
@@ -158,11 +153,11 @@ def batch_end(control: DataFrame, results: DataFrame, ctx: LoadContext) -> DataF
         F.when(F.col("any_failed") == 1, F.coalesce(F.col("first_error"), F.lit("Run failed"))).otherwise(F.lit("")).alias("error_message"),
         F.col("rejected"),
     )
-    return merge(control, summary, ["etl_batch_id"], update={
-        "process_status": F.col("s.process_status"),
-        "total_rejected_records": F.col("s.rejected"),
-        "end_timestamp": ctx.ts(),
-        "error_message": F.col("s.error_message"),
+    return merge_single(control, summary, ["etl_batch_id"], update={
+        "process_status": lambda t, s: s("process_status"),
+        "total_rejected_records": lambda t, s: s("rejected"),
+        "end_timestamp": lambda t, s: ctx.ts(),
+        "error_message": lambda t, s: s("error_message"),
     }, insert=False).select(*BATCH_CONTROL_COLUMNS)
 
 

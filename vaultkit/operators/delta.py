@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from vaultkit.functions.dates import floor_ts, minutes_before
 from vaultkit.functions.predicates import all_present
 from vaultkit.operators.dedupe import latest_by
-from vaultkit.operators.merge import merge
+from vaultkit.operators.merge import merge_single
 from vaultkit.operators.quality import exclude_rejects
 from vaultkit.spec import HUB_COLUMNS, SAT_META, EntitySpec, LoadContext
 
@@ -69,12 +69,13 @@ def advance_watermark(watermarks: DataFrame, dq: DataFrame, ctx: LoadContext) ->
         ctx.ts().alias("updated_at"),
         ctx.batch().alias("etl_batch_id"),
     )
-    s_val, t_val = F.col("s.watermark_value"), F.col("t.watermark_value")
-    return merge(
+    return merge_single(
         watermarks, src, ["source_system", "source_object", "watermark_column"],
-        update={"watermark_value": s_val, "updated_at": F.col("s.updated_at"), "etl_batch_id": F.col("s.etl_batch_id")},
-        matched_when=s_val.isNotNull() & (t_val.isNull() | (s_val > t_val)),
-        insert_when=s_val.isNotNull(),
+        update={"watermark_value": lambda t, s: s("watermark_value"), "updated_at": lambda t, s: s("updated_at"),
+                "etl_batch_id": lambda t, s: s("etl_batch_id")},
+        matched_when=lambda t, s: s("watermark_value").isNotNull()
+        & (t("watermark_value").isNull() | (s("watermark_value") > t("watermark_value"))),
+        insert_when=lambda s: s("watermark_value").isNotNull(),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,3 +75,62 @@ def insert_new(target: DataFrame | None, candidates: DataFrame, keys: Sequence[s
     if target is None:
         return candidates
     return candidates.join(target.select(*keys), list(keys), "left_anti")
+
+
+Side = Callable[[str], Column]
+
+
+def merge_single(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                 update: Mapping[str, Callable[[Side, Side], Column]] | None = None,
+                 matched_when: Callable[[Side, Side], Column] | None = None,
+                 insert: bool = True, insert_when: Callable[[Side], Column] | None = None) -> DataFrame:
+    """MERGE of a source that holds exactly one row (a literal row or a global aggregate).
+
+    No join: the single source row is bound once (one bounded row read to the driver, then typed
+    literals), matching target rows are updated in a projection, and the insert is that row kept
+    only when no target row matches. Expressions are callables over side accessors: ``t("x")`` is
+    the target column, ``s("x")`` the source value. An empty source changes nothing.
+    """
+    rows = source.limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("merge_single needs a source of at most one row")
+    if not rows:
+        return target
+    values = rows[0].asDict()
+    types = {f.name: f.dataType for f in source.schema.fields}
+
+    def t(c: str) -> Column:
+        return F.col(c)
+
+    def s(c: str) -> Column:
+        return F.lit(values[c]).cast(types[c])
+
+    match = None
+    for k in keys:
+        c = t(k) == s(k)
+        match = c if match is None else match & c
+    match = F.coalesce(match, F.lit(False))
+    do_update = match if matched_when is None else match & F.coalesce(matched_when(t, s), F.lit(False))
+    update = dict(update or {})
+    out = []
+    for f in target.schema.fields:
+        e = F.col(f.name)
+        if f.name in update:
+            e = F.when(do_update, update[f.name](t, s)).otherwise(e)
+        out.append(e.cast(f.dataType).alias(f.name))
+    updated = target.select(*out)
+    if not insert:
+        return updated
+    if insert_when is not None and not _truthy(source.sparkSession, insert_when(s)):
+        return updated
+    src_cols = {c.lower(): c for c in source.columns}
+    new = target.sparkSession.range(1).where(~target.where(match).exists()).select(*[
+        (s(src_cols[f.name.lower()]) if f.name.lower() in src_cols else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in target.schema.fields
+    ])
+    return updated.unionByName(new)
+
+
+def _truthy(spark, cond: Column) -> bool:
+    """Evaluate a condition over literals only (no table is read)."""
+    return bool(spark.range(1).select(F.coalesce(cond, F.lit(False))).first()[0])
