@@ -21,26 +21,26 @@ def _null_ts():
     return F.lit(None).cast("timestamp_ntz")
 
 
-def _log_row(like: DataFrame, ctx: LoadContext, layer: str, model: str, source_system: str) -> DataFrame:
-    """One RUNNING log row, built from ``like``'s session (no data read)."""
-    return like.sparkSession.range(1).select(
-        ctx.batch().alias("etl_batch_id"),
-        F.lit(layer).alias("layer_name"),
-        F.lit(model).alias("model_name"),
-        F.lit(source_system).alias("source_system"),
-        F.lit(RUNNING).alias("process_status"),
-        ctx.ts().alias("start_timestamp"),
-        _null_ts().alias("end_timestamp"),
-        F.lit(0).cast("long").alias("rows_processed"),
-        F.lit("").alias("error_message"),
-        F.lit(0).cast("long").alias("delta_inserted_rows"),
-        F.lit(0).cast("long").alias("delta_updated_rows"),
-    )
+def _log_row(ctx: LoadContext, layer: str, model: str, source_system: str) -> dict:
+    """One RUNNING log row as literal columns (no data read, no job)."""
+    return {
+        "etl_batch_id": ctx.batch(),
+        "layer_name": F.lit(layer),
+        "model_name": F.lit(model),
+        "source_system": F.lit(source_system),
+        "process_status": F.lit(RUNNING),
+        "start_timestamp": ctx.ts(),
+        "end_timestamp": _null_ts(),
+        "rows_processed": F.lit(0).cast("long"),
+        "error_message": F.lit(""),
+        "delta_inserted_rows": F.lit(0).cast("long"),
+        "delta_updated_rows": F.lit(0).cast("long"),
+    }
 
 
 def process_start(log: DataFrame, ctx: LoadContext, layer: str, model: str, source_system: str) -> DataFrame:
     """Upsert a RUNNING row for (batch, model); a rerun keeps the first start time, zeroes metrics."""
-    src = _log_row(log, ctx, layer, model, source_system)
+    src = _log_row(ctx, layer, model, source_system)
     from_src = ("layer_name", "source_system", "rows_processed", "error_message", "delta_inserted_rows", "delta_updated_rows")
     upd = {c: (lambda t, s, c=c: s(c)) for c in from_src}
     upd.update({
@@ -72,7 +72,8 @@ def process_success(log: DataFrame, metrics: DataFrame, ctx: LoadContext, model:
 
 def model_start(log: DataFrame, ctx: LoadContext, layer: str, model: str, source_system: str) -> DataFrame:
     """Append a RUNNING row for a model run."""
-    return log.unionByName(_log_row(log, ctx, layer, model, source_system))
+    row = _log_row(ctx, layer, model, source_system)
+    return log.unionByName(log.sparkSession.range(1).select(*[row[c].alias(c) for c in PROCESS_LOG_COLUMNS]))
 
 
 def model_end(log: DataFrame, ctx: LoadContext, model: str, status: str = SUCCESS) -> DataFrame:
@@ -88,15 +89,15 @@ def model_end(log: DataFrame, ctx: LoadContext, model: str, status: str = SUCCES
 
 def batch_start(control: DataFrame, ctx: LoadContext, pipeline: str) -> DataFrame:
     """Upsert the batch row: RUNNING, first start kept, end and error cleared."""
-    src = control.sparkSession.range(1).select(
-        ctx.batch().alias("etl_batch_id"),
-        F.lit(pipeline.strip().upper()).alias("pipeline_name"),
-        F.lit(0).cast("long").alias("total_rejected_records"),
-        ctx.ts().alias("start_timestamp"),
-        _null_ts().alias("end_timestamp"),
-        F.lit(RUNNING).alias("process_status"),
-        F.lit("").alias("error_message"),
-    )
+    src = {
+        "etl_batch_id": ctx.batch(),
+        "pipeline_name": F.lit(pipeline.strip().upper()),
+        "total_rejected_records": F.lit(0).cast("long"),
+        "start_timestamp": ctx.ts(),
+        "end_timestamp": _null_ts(),
+        "process_status": F.lit(RUNNING),
+        "error_message": F.lit(""),
+    }
     return merge_single(control, src, ["etl_batch_id"], update={
         "pipeline_name": lambda t, s: s("pipeline_name"),
         "start_timestamp": lambda t, s: F.coalesce(t("start_timestamp"), s("start_timestamp")),

@@ -80,7 +80,7 @@ def insert_new(target: DataFrame | None, candidates: DataFrame, keys: Sequence[s
 Side = Callable[[str], Column]
 
 
-def merge_single(target: DataFrame, source: DataFrame, keys: Sequence[str],
+def merge_single(target: DataFrame, source: DataFrame | Mapping[str, Column], keys: Sequence[str],
                  update: Mapping[str, Callable[[Side, Side], Column]] | None = None,
                  matched_when: Callable[[Side, Side], Column] | None = None,
                  insert: bool = True, insert_when: Callable[[Side], Column] | None = None) -> DataFrame:
@@ -89,21 +89,25 @@ def merge_single(target: DataFrame, source: DataFrame, keys: Sequence[str],
     No join: the single source row is bound once (one bounded row read to the driver, then typed
     literals), matching target rows are updated in a projection, and the insert is that row kept
     only when no target row matches. Expressions are callables over side accessors: ``t("x")`` is
-    the target column, ``s("x")`` the source value. An empty source changes nothing.
+    the target column, ``s("x")`` the source value. An empty source changes nothing. A source
+    given as a mapping of literal columns needs no job at all.
     """
-    rows = source.limit(2).collect()
-    if len(rows) > 1:
-        raise ValueError("merge_single needs a source of at most one row")
-    if not rows:
-        return target
-    values = rows[0].asDict()
-    types = {f.name: f.dataType for f in source.schema.fields}
+    if isinstance(source, Mapping):
+        literals = dict(source)
+    else:
+        rows = source.limit(2).collect()
+        if len(rows) > 1:
+            raise ValueError("merge_single needs a source of at most one row")
+        if not rows:
+            return target
+        values = rows[0].asDict()
+        literals = {f.name: F.lit(values[f.name]).cast(f.dataType) for f in source.schema.fields}
 
     def t(c: str) -> Column:
         return F.col(c)
 
     def s(c: str) -> Column:
-        return F.lit(values[c]).cast(types[c])
+        return literals[c]
 
     match = None
     for k in keys:
@@ -121,16 +125,12 @@ def merge_single(target: DataFrame, source: DataFrame, keys: Sequence[str],
     updated = target.select(*out)
     if not insert:
         return updated
-    if insert_when is not None and not _truthy(source.sparkSession, insert_when(s)):
-        return updated
-    src_cols = {c.lower(): c for c in source.columns}
-    new = target.sparkSession.range(1).where(~target.where(match).exists()).select(*[
+    keep = ~target.where(match).exists()
+    if insert_when is not None:
+        keep = keep & F.coalesce(insert_when(s), F.lit(False))   # literals only: folded by the optimizer
+    src_cols = {c.lower(): c for c in literals}
+    new = target.sparkSession.range(1).where(keep).select(*[
         (s(src_cols[f.name.lower()]) if f.name.lower() in src_cols else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in target.schema.fields
     ])
     return updated.unionByName(new)
-
-
-def _truthy(spark, cond: Column) -> bool:
-    """Evaluate a condition over literals only (no table is read)."""
-    return bool(spark.range(1).select(F.coalesce(cond, F.lit(False))).first()[0])

@@ -76,7 +76,9 @@ def delta_load(staging: DataFrame, hub: DataFrame | None, satellite: DataFrame |
     if persist:
         dq = dq.persist(StorageLevel.MEMORY_AND_DISK)
         classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
-    metrics = D.delta_metrics(classified, hub)
+    # One row, computed once: it feeds the process log and the caller.
+    metrics_df = D.delta_metrics(classified, hub)
+    metrics = spark.createDataFrame([metrics_df.first()], metrics_df.schema)
     hub_new = D.hub_rows(D.new_hub_keys(classified, hub), spec, ctx)
     history_new = D.history_rows(classified, history, spec, ctx)
     next_sat = D.next_satellite(classified, satellite, spec, ctx)
