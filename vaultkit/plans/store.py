@@ -58,6 +58,17 @@ class VaultStore:
             self.refresh()
         return [(v, m, p) for t, v, m, p, _, _ in self._snapshot if t == table]
 
+    def _batches(self, table: str) -> dict[str, str]:
+        """For ``replace_batch`` tables: batch id -> latest folder of that batch."""
+        cat = self._catalog()
+        if cat is None:
+            return {}
+        rows = cat.where(F.col("table_name") == table).select("version", "batch_id", "path").orderBy("version").collect()
+        out: dict[str, str] = {}
+        for r in rows:
+            out[r["batch_id"]] = r["path"]
+        return out
+
     def _bucketing(self, table: str) -> tuple[str, str | None, int | None] | None:
         """(path, bucket column, bucket count) of the latest version when it is one bucketed folder."""
         if self._snapshot is None:
@@ -68,11 +79,22 @@ class VaultStore:
         return rows[-1][3], rows[-1][4], rows[-1][5]
 
     def paths(self, table: str) -> list[str]:
+        entries = self._entries(table)
+        if entries and all(m == "replace_batch" for _, m, _ in entries):
+            return list(self._batches(table).values())
         out: list[str] = []
-        for _, mode, path in self._entries(table):
+        for _, mode, path in entries:
             out = [path] if mode == "replace" else out + [path]
         return out
 
+    def read_batch(self, table: str, batch_id: str, schema: T.StructType | None = None) -> DataFrame | None:
+        """The folder of one batch of a ``replace_batch`` table (e.g. staging snapshots)."""
+        path = self._batches(table).get(batch_id)
+        if path is None:
+            return None
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(path)
+
     def version(self, table: str) -> int:
         e = self._entries(table)
         return e[-1][0] if e else 0
