@@ -141,3 +141,15 @@ def test_rejects_limited_to_batch(spark, tables):
     rej = tb.rejects_day2(tables)
     assert exclude_rejects(stg, rej, batch_id="OTHER").count() == stg.count()
     assert exclude_rejects(stg, rej, batch_id=tb.DAY2_BATCH).count() < stg.count()
+
+
+def test_legacy_hash_names_and_live_columns(spark, tables):
+    from vaultkit.plans.load import delta_load
+    day1 = tb.stage(tb.day1_rows(tables), PRODUCT, tb.DAY1_BATCH, tb.DAY1_TS)
+    sat = tb.satellite_day1(tables).withColumn("legacy_note", F.lit("x"))
+    legacy = sat.withColumnsRenamed({"hashkey": "IDENTIFIER_MD5", "hashdiff": "RECORD_MD5"})
+    res = delta_load(tb.staging_day2(tables), None, legacy, None, None, None, None, PRODUCT, _ctx("L2", 2))
+    hist = res.history_new
+    assert "legacy_note" in hist.columns and hist.columns[-1] == "end_datetime"
+    assert hist.count() == res.metrics.first()["delta_updated_rows"] > 0
+    res.release()

@@ -221,9 +221,12 @@ def history_rows(classified: DataFrame, history: DataFrame | None, spec: EntityS
                  dedupe_on: tuple[str, ...] = ("hashdiff",)) -> DataFrame:
     """Active rows about to change, END_DATETIME = run time, unless their version is archived already.
 
-    By default a version counts as archived when its hashdiff is anywhere in the history.
+    The column list is the live satellite's (its struct in ``classified``), END_DATETIME moved last,
+    so a satellite that gained columns archives them too. By default a version counts as archived
+    when its hashdiff is anywhere in the history.
     """
-    cols = [f"{SAT}.{_q(c)} AS {_q(c)}" for c in sat_columns(spec) if c != "end_datetime"]
+    live = [c for c in classified.schema[SAT].dataType.names if c != "end_datetime"]
+    cols = [f"{SAT}.{_q(c)} AS {_q(c)}" for c in live]
     rows = classified.where(F.col(ACTION) == CHANGED).selectExpr(*cols, f"{_ts_sql(ctx)} AS end_datetime")
     if history is not None:
         # History only grows; reduce it to the versions this load might archive before the anti
@@ -231,13 +234,13 @@ def history_rows(classified: DataFrame, history: DataFrame | None, spec: EntityS
         wanted = rows.select(*dedupe_on)
         seen = history.select(*dedupe_on).join(wanted, list(dedupe_on), "left_semi").distinct()
         rows = rows.join(seen, list(dedupe_on), "left_anti")
-    return rows.select(*history_columns(spec))
+    return rows.select(*live, "end_datetime")
 
 
 def next_history(classified: DataFrame, history: DataFrame | None, spec: EntitySpec, ctx: LoadContext,
                  dedupe_on: tuple[str, ...] = ("hashdiff",)) -> DataFrame:
     new = history_rows(classified, history, spec, ctx, dedupe_on)
-    return new if history is None else history.select(*history_columns(spec)).unionByName(new)
+    return new if history is None else history.unionByName(new, allowMissingColumns=True).select(*new.columns)
 
 
 def next_satellite(classified: DataFrame, satellite: DataFrame | None, spec: EntitySpec, ctx: LoadContext) -> DataFrame:

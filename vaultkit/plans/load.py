@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from vaultkit.operators import audit as A
 from vaultkit.operators import delta as D
+from vaultkit.operators.conform import standard_hash_names
 from vaultkit.plans.store import VaultStore
 from vaultkit.sources import schemas as SC
 from vaultkit.spec import EntitySpec, LoadContext
@@ -68,6 +69,8 @@ def delta_load(staging: DataFrame, hub: DataFrame | None, satellite: DataFrame |
     recomputable from immutable inputs if an executor holding blocks is lost.
     """
     spark = staging.sparkSession
+    # Legacy hash column names (IDENTIFIER_MD5 / RECORD_MD5) are read as hashkey / hashdiff.
+    hub, satellite, history = [standard_hash_names(t) if t is not None else None for t in (hub, satellite, history)]
     wm = watermarks if watermarks is not None else _empty(spark, SC.WATERMARK)
     lg = log if log is not None else _empty(spark, SC.PROCESS_LOG)
     dq = D.dq_passed(staging, rejects, wm if ctx.use_watermark else None, spec, ctx)
