@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ class ModelInputs:
 
 def run_models(store: VaultStore, inputs: ModelInputs, ctx: LoadContext, pipeline: str = "vault") -> dict:
     """Run the models of one batch against ``store``; returns per-model processed rows."""
+    from vaultkit.plans.load import _Trace
+    tr = _Trace(f"models {ctx.batch_id}")
     spark = inputs.countries.sparkSession
     results: list[tuple] = []
     seq = 0
@@ -49,28 +52,36 @@ def run_models(store: VaultStore, inputs: ModelInputs, ctx: LoadContext, pipelin
     log = store.read("process_log", SC.PROCESS_LOG) or spark.createDataFrame([], SC.PROCESS_LOG)
     store.write("batch_control", A.batch_start(control, ctx, pipeline).coalesce(1), ctx.batch_id)
     store.publish()
-
-    all_staging = {**inputs.products, **inputs.identifiers, **inputs.relationships}
+    tr.step("batch start")
+
+    # Staging views feed the row counts, REJECT, HUB, SAT, HIST and snapshots: freeze them once for
+    # the run (recomputable from the sources if an executor holding blocks is lost).
+    frozen = {name: df.persist(StorageLevel.MEMORY_AND_DISK)
+              for name, df in {**inputs.products, **inputs.identifiers, **inputs.relationships}.items()}
+    products = {k: frozen[k] for k in inputs.products}
+    identifiers = {k: frozen[k] for k in inputs.identifiers}
+    relationships = {k: frozen[k] for k in inputs.relationships}
+    all_staging = frozen
     for name, df in all_staging.items():
         log = A.model_start(log, ctx, "STAGE", name, ctx.system)
         log_model("STAGE", name, rows=df.count())
 
+    tr.step("staging counts")
     # REJECT: insert only keys not stored yet
     existing = store.read("reject", SC.REJECT)
-    found = find_rejects(dict(inputs.products), inputs.countries, ctx)
-    new = new_rejects(found, existing)
-    store.write("reject", new, ctx.batch_id, mode="append")
+    found = find_rejects(dict(products), inputs.countries, ctx)
+    new_path = store.write("reject", new_rejects(found, existing), ctx.batch_id, mode="append")
     store.publish()
     rejects = store.read("reject", SC.REJECT)
-    log_model("DQ", "REJECT", rows=rejects.count(), inserted=new.count())
+    log_model("DQ", "REJECT", rows=rejects.count(), inserted=_written(spark, new_path))
 
+    tr.step("reject")
     # HUB: insert-only-new over all sources
     hub = store.read("hub", SC.HUB)
-    hub_new = M.hub_full(inputs.products.values(), inputs.identifiers.values(), inputs.relationships.values(),
-                         rejects, hub, ctx)
-    n_hub = hub_new.count()
-    store.write("hub", hub_new, ctx.batch_id, mode="append")
+    hub_new = M.hub_full(products.values(), identifiers.values(), relationships.values(), rejects, hub, ctx)
+    n_hub = _written(spark, store.write("hub", hub_new, ctx.batch_id, mode="append"))
 
+    tr.step("hub")
     # SAT and SAT_HIST per satellite (history compares the satellite before this run)
     for table, (spec, model) in inputs.satellite_sources.items():
         before = store.read(table, SC.satellite(spec))
@@ -79,25 +90,24 @@ def run_models(store: VaultStore, inputs: ModelInputs, ctx: LoadContext, pipelin
         nxt = M.sat_incremental(staging, before, sat_rejects, spec, ctx).select(*sat_columns(spec))
         hist_table = f"{table}_hist"
         expired = M.expire_versions(before, staging, store.read(hist_table, SC.history(spec)), spec, ctx)
-        store.write(table, nxt, ctx.batch_id)
-        store.write(hist_table, expired, ctx.batch_id, mode="append")
-        n_sat = nxt.where(F.col("etl_batch_id") == ctx.batch_id).count()
-        n_exp = expired.count()
+        sat_path = store.write(table, nxt, ctx.batch_id)
+        n_exp = _written(spark, store.write(hist_table, expired, ctx.batch_id, mode="append"))
+        n_sat = spark.read.parquet(sat_path).where(F.col("etl_batch_id") == ctx.batch_id).count()
         log_model("SAT", table.upper(), affected=n_sat)
         log_model("HIST", f"{table.upper()}_HIST", affected=n_exp, inserted=n_exp)
-        mart = M.mart(nxt, spec, ctx.batch_id)
-        store.write(f"dm_{table}", mart, ctx.batch_id)
-        log_model("DM", f"DM_{table.upper()}", rows=mart.count())
+        mart = M.mart(spark.read.schema(SC.satellite(spec)).parquet(sat_path), spec, ctx.batch_id)
+        log_model("DM", f"DM_{table.upper()}", rows=_written(spark, store.write(f"dm_{table}", mart, ctx.batch_id)))
 
+    tr.step("satellites, history, marts")
     # staging snapshots: one folder per batch; a rerun of the batch replaces only that folder
     for model in inputs.snapshot_models:
         t = f"snapshot_{model.lower()}"
         before = store.read_batch(t, ctx.batch_id)
-        snap = M.snapshot(inputs.products[model], rejects, before, ctx)
-        store.write(t, snap, ctx.batch_id, mode="replace_batch")
-        log_model("HIST", f"{model}_SNAPSHOT", affected=snap.count())
+        snap = M.snapshot(products[model], rejects, before, ctx)
+        log_model("HIST", f"{model}_SNAPSHOT", affected=_written(spark, store.write(t, snap, ctx.batch_id, mode="replace_batch")))
 
     store.publish()
+    tr.step("snapshots")
     log_model("HUB", "HUB", affected=n_hub, inserted=n_hub)
     for name in all_staging:
         log = A.model_end(log, ctx, name, A.SUCCESS)
@@ -107,4 +117,12 @@ def run_models(store: VaultStore, inputs: ModelInputs, ctx: LoadContext, pipelin
     store.write("process_log", log.coalesce(1), ctx.batch_id)
     store.write("batch_control", A.batch_end(control, res, ctx).coalesce(1), ctx.batch_id)
     store.publish()
+    tr.step("audit")
+    for df in frozen.values():
+        df.unpersist()
     return {r[2]: (r[5] if r[5] is not None else r[6]) for r in results}
+
+
+def _written(spark, path: str) -> int:
+    """Rows of a folder just written (Parquet footers carry the row counts)."""
+    return spark.read.parquet(path).count()
