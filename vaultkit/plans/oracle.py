@@ -423,17 +423,18 @@ oracle("snapshot_batch",
 oracle("mart_current_batch",
        f"SELECT {', '.join(PRODUCT.columns)} FROM fx_sat1 WHERE end_datetime IS NULL AND etl_batch_id = {q(tb.DAY2_BATCH)}", ["fx_sat1"])
 
-LAYER_CASE = ("CASE n_nationkey % 8 WHEN 0 THEN 'stg' WHEN 1 THEN 'DQ' WHEN 2 THEN ' delta ' WHEN 3 THEN 'dm' WHEN 4 THEN 'Hub' "
+LAYER_CASE = ("CASE event_id % 8 WHEN 0 THEN 'stg' WHEN 1 THEN 'DQ' WHEN 2 THEN ' delta ' WHEN 3 THEN 'dm' WHEN 4 THEN 'Hub' "
               "WHEN 5 THEN 'sat' WHEN 6 THEN 'hist' ELSE 'raw' END")
-MODEL_RAW = ("(CASE WHEN n_nationkey % 3 = 0 THEN lower(' sat_' || n_name) ELSE 'STG_' || n_name END) || "
-             "CASE n_nationkey % 5 WHEN 0 THEN '_VEEVA_CRM' WHEN 1 THEN '_VEEVA' WHEN 2 THEN '_PRODUCT_FILE' WHEN 3 THEN '_VEEVA_PRODUCT_FILE' ELSE '' END")
+MODEL_RAW = ("CASE WHEN event_id % 97 = 0 THEN NULL ELSE (CASE WHEN event_id % 3 = 0 THEN lower(' sat_' || event_type) "
+             "ELSE 'STG_' || upper(event_type) END) || CASE user_id % 5 WHEN 0 THEN '_VEEVA_CRM' WHEN 1 THEN '_VEEVA' "
+             "WHEN 2 THEN '_PRODUCT_FILE' WHEN 3 THEN '_VEEVA_PRODUCT_FILE' ELSE '' END END")
 oracle("audit_std_names",
-       "SELECT n_nationkey, CASE lower(trim(coalesce(l, 'UNKNOWN'))) WHEN 'stg' THEN 'STAGE' WHEN 'dq' THEN 'DQ' WHEN 'delta' THEN 'DELTA' "
+       "SELECT event_id, CASE lower(trim(coalesce(l, 'UNKNOWN'))) WHEN 'stg' THEN 'STAGE' WHEN 'dq' THEN 'DQ' WHEN 'delta' THEN 'DELTA' "
        "WHEN 'dm' THEN 'DM' WHEN 'hub' THEN 'HUB' WHEN 'sat' THEN 'SAT' WHEN 'hist' THEN 'HIST' ELSE upper(lower(trim(coalesce(l, 'UNKNOWN')))) END AS layer_name, "
        "CASE WHEN m2 LIKE '%\\_PRODUCT\\_FILE' ESCAPE '\\' THEN left(m2, length(m2) - 13) || '_PRODUCT' ELSE m2 END AS model_name FROM ("
        "SELECT *, CASE WHEN m1 LIKE '%\\_VEEVA' ESCAPE '\\' THEN left(m1, length(m1) - 6) ELSE m1 END AS m2 FROM ("
        "SELECT *, CASE WHEN m0 LIKE '%\\_VEEVA\\_CRM' ESCAPE '\\' THEN left(m0, length(m0) - 10) ELSE m0 END AS m1 FROM ("
-       f"SELECT n_nationkey, {LAYER_CASE} AS l, upper(trim(coalesce({MODEL_RAW}, 'UNKNOWN'))) AS m0 FROM nation))) ")
+       f"SELECT event_id, {LAYER_CASE} AS l, upper(trim(coalesce({MODEL_RAW}, 'UNKNOWN'))) AS m0 FROM events))) ")
 oracle("process_log_upsert",
        "SELECT etl_batch_id, layer_name, model_name, source_system, "
        "CASE WHEN etl_batch_id = " + q(tb.DAY1_BATCH) + " AND model_name = 'CLICK' THEN 'RUNNING' ELSE process_status END AS process_status, "

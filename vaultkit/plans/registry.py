@@ -359,19 +359,21 @@ def mart_current_batch(spark, sf_dir):
 
 @query
 def audit_std_names(spark, sf_dir):
-    n = _t(spark, sf_dir)["nation"]
-    k = F.col("n_nationkey")
+    """Layer and model names of the audit standard, for names derived from every event row."""
+    e = _t(spark, sf_dir)["events"]
+    k, u = F.col("event_id"), F.col("user_id")
     layers = ["stg", "DQ", " delta ", "dm", "Hub", "sat", "hist", "raw"]
     raw_layer = F.lit(None).cast("string")
     for i, name in enumerate(layers):
         raw_layer = F.when(k % 8 == i, F.lit(name)).otherwise(raw_layer)
     suffixes = ["_VEEVA_CRM", "_VEEVA", "_PRODUCT_FILE", "_VEEVA_PRODUCT_FILE", ""]
     suffix = F.lit("")
-    for i, s in enumerate(suffixes):
-        suffix = F.when(k % 5 == i, F.lit(s)).otherwise(suffix)
-    base = F.when(k % 3 == 0, F.lower(F.concat(F.lit(" sat_"), F.col("n_name")))).otherwise(F.concat(F.lit("STG_"), F.col("n_name")))
-    raw_model = F.concat(base, suffix)
-    return n.select("n_nationkey", VF.standard_layer(raw_layer).alias("layer_name"), VF.standard_model(raw_model).alias("model_name"))
+    for i, s_ in enumerate(suffixes):
+        suffix = F.when(u % 5 == i, F.lit(s_)).otherwise(suffix)
+    base = F.when(k % 3 == 0, F.lower(F.concat(F.lit(" sat_"), F.col("event_type")))).otherwise(
+        F.concat(F.lit("STG_"), F.upper("event_type")))
+    raw_model = F.when(k % 97 == 0, F.lit(None).cast("string")).otherwise(F.concat(base, suffix))
+    return e.select("event_id", VF.standard_layer(raw_layer).alias("layer_name"), VF.standard_model(raw_model).alias("model_name"))
 
 
 def _log_day1(t):
