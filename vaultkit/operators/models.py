@@ -27,7 +27,7 @@ def _hub_candidates(frames: Iterable[DataFrame], origin: str, ctx: LoadContext)
             F.col("record_source"),
             F.col("etl_batch_id"),
             F.lit(origin).alias("origin_stg"),
-        ).distinct()
+        )
         for df in frames
     )
 
@@ -36,6 +36,9 @@ def hub_full(products: Iterable[DataFrame], identifiers: Iterable[DataFrame], re
              rejects: DataFrame | None, hub: DataFrame | None, ctx: LoadContext) -> DataFrame:
     """Hub rows to insert: product keys minus rejected ids, identifier and relationship keys,
     only hashkeys the hub lacks, one row per hashkey (product first, then identifier, relationship).
+
+    One top-1 per hashkey over all candidates (partial limit map-side) replaces a DISTINCT per
+    source: duplicate keys collapse before the single shuffle.
     """
     prods = [exclude_rejects(p, rejects, ("dataset_product_id",)) for p in products]
     cand = union_all([
