@@ -6,8 +6,6 @@ the hash-diff order; see each function.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

@@ -15,7 +15,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from vaultkit.operators import audit as A
 from vaultkit.operators import delta as D

@@ -57,7 +57,7 @@ from vaultkit.operators.conform import append_synced  # noqa: E402
 from vaultkit.operators.dedupe import latest_by, lookup_parent, sorted_distinct_list, union_all, union_distinct  # noqa: E402
 from vaultkit.operators.labels import label_rows  # noqa: E402
 from vaultkit.operators.quality import exclude_rejects, keep_known_countries, new_rejects  # noqa: E402
-from vaultkit.spec import PRODUCT, RELATIONSHIP, LoadContext  # noqa: E402
+from vaultkit.spec import PRODUCT, RELATIONSHIP  # noqa: E402
 
 
 def _classified(t):

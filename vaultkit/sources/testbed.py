@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from vaultkit.functions.hashing import with_hashes
 from vaultkit.operators.conform import conform
-from vaultkit.operators.delta import dq_passed, hub_rows, sat_columns, history_columns
+from vaultkit.operators.delta import dq_passed, hub_rows, history_columns
 from vaultkit.operators.quality import find_rejects
 from vaultkit.spec import PRODUCT, IDENTIFIER, RELATIONSHIP, LoadContext
 
