@@ -71,10 +71,13 @@ def rejected_record(fields: Sequence[str] = REJECTED_RECORD_FIELDS) -> Column:
     return F.to_json(F.struct(*parts), {"ignoreNullFields": "false"})
 
 
-def find_rejects(staging: Mapping[str, DataFrame], countries: DataFrame, ctx: LoadContext) -> DataFrame:
+def find_rejects(staging: Mapping[str, DataFrame], countries: DataFrame, ctx: LoadContext,
+                 as_variant: bool = False) -> DataFrame:
     """Rows of the product staging frames that fail a rule, one row per distinct failure.
 
     ``staging`` maps the source model name (kept in REJECT_SOURCE_MODEL) to its staging frame.
+    The row image is JSON text (sorted keys, NULLs kept); ``as_variant=True`` stores it as VARIANT,
+    converted after the DISTINCT and the key hash (VARIANT values cannot be compared or grouped).
     """
     cols = list(REJECTED_RECORD_FIELDS)
     tagged = union_all(
@@ -105,7 +108,10 @@ def find_rejects(staging: Mapping[str, DataFrame], countries: DataFrame, ctx: Lo
         "source_country_code", "dataset_id", "source_dataset_id", "dataset_product_id", "error_code",
         "hashkey", "hashdiff", F.md5(F.col("rejected_record")),
     ])
-    return base.withColumn("reject_key", key).select(*REJECT_COLUMNS)
+    out = base.withColumn("reject_key", key).select(*REJECT_COLUMNS)
+    if as_variant:
+        out = out.withColumn("rejected_record", F.parse_json("rejected_record"))
+    return out
 
 
 def new_rejects(found: DataFrame, existing: DataFrame | None) -> DataFrame:
