@@ -101,7 +101,7 @@ def merge_single(target: DataFrame, source: DataFrame | Mapping[str, Column], ke
         if not rows:
             return target
         values = rows[0].asDict()
-        literals = {f.name: F.lit(values[f.name]).cast(f.dataType) for f in source.schema.fields}
+        literals = {f.name: _literal(values[f.name], f.dataType) for f in source.schema.fields}
 
     def t(c: str) -> Column:
         return F.col(c)
@@ -134,3 +134,12 @@ def merge_single(target: DataFrame, source: DataFrame | Mapping[str, Column], ke
         for f in target.schema.fields
     ])
     return updated.unionByName(new)
+
+
+def _literal(value, data_type) -> Column:
+    """A typed literal of a collected value; wall-clock timestamps are bound from their text so the
+    session time zone cannot shift them."""
+    from pyspark.sql import types as T
+    if value is not None and isinstance(data_type, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(data_type)
+    return F.lit(value).cast(data_type)

@@ -27,26 +27,50 @@ def build_session(master: str | None = None, app: str = "vaultkit", shuffle_part
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, or None (e.g. a Spark Connect session)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """Return the shared checkpoint folder the cluster names (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) a scratch folder is made and set.
+    Uses the session setting, else a folder already set on the SparkContext; only when neither
+    exists (local tests) a scratch folder is made and set.
     """
+    sc = _context(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
+    existing = sc.getCheckpointDir() if sc is not None else None
+    if existing:
+        return existing
     local = tempfile.mkdtemp(prefix="vaultkit-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
+def application_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", "app")
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -36,7 +36,8 @@ class Tables(Mapping):
         if overrides:
             self.memo: dict[str, object] = {}
         else:
-            self.memo = _SHARED.setdefault((spark.sparkContext.applicationId, os.path.abspath(base)), {})
+            from vaultkit.session import application_id
+            self.memo = _SHARED.setdefault((application_id(spark), os.path.abspath(base)), {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
