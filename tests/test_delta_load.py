@@ -153,3 +153,26 @@ def test_legacy_hash_names_and_live_columns(spark, tables):
     assert "legacy_note" in hist.columns and hist.columns[-1] == "end_datetime"
     assert hist.count() == res.metrics.first()["delta_updated_rows"] > 0
     res.release()
+
+
+def test_compact_hub_keeps_rows_and_buckets(spark, tables):
+    store = scratch_store(spark, "compact")
+    day1 = tb.stage(tb.day1_rows(tables), PRODUCT, tb.DAY1_BATCH, tb.DAY1_TS)
+    run_delta_load(store, day1, PRODUCT, _ctx("C1", 1))
+    run_delta_load(store, tb.staging_day2(tables), PRODUCT, _ctx("C2", 2))
+    assert len(store.paths("hub")) == 2
+    before = store.read("hub", SC.HUB)
+    n = before.count()
+    store.compact("hub", "C2", SC.HUB, bucket_by="hashkey", buckets=4)
+    after = store.read("hub", SC.HUB)
+    assert len(store.paths("hub")) == 1 and after.count() == n
+    assert after.exceptAll(before).count() == 0
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the shuffle join to see the bucketed side
+    try:
+        plan = after.join(tb.staging_day2(tables).select("hashkey"), "hashkey", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" in plan
+    m = run_delta_load(store, tb.staging_day2(tables), PRODUCT, _ctx("C3", 3))
+    assert m["delta_inserted_rows"] == 0

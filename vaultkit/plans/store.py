@@ -147,6 +147,23 @@ class VaultStore:
         self._pending.append((table, version, mode, path, batch_id, bucket_by if buckets else None, int(buckets) if buckets else None))
         return path
 
+    def compact(self, table: str, batch_id: str, schema: T.StructType | None = None,
+                bucket_by: str | None = None, buckets: int | None = None, files: int | None = None) -> str | None:
+        """Rewrite the current folders of an append-only table (hub, history) into one version.
+
+        Each load appends one small folder; compaction replaces the list with a single folder
+        (``files`` output files, or bucketed by ``bucket_by``), published like any other version.
+        Readers of the old folders are unaffected: nothing is overwritten.
+        """
+        df = self.read(table, schema)
+        if df is None:
+            return None
+        if files and not buckets:
+            df = df.repartition(int(files))
+        path = self.write(table, df, batch_id, mode="replace", bucket_by=bucket_by, buckets=buckets)
+        self.publish()
+        return path
+
     def publish(self) -> None:
         """Make every staged version visible at once (one catalog append)."""
         if not self._pending:
