@@ -136,16 +136,16 @@ def delta_rows(classified: DataFrame) -> DataFrame:
 
 
 def new_hub_keys(classified: DataFrame, hub: DataFrame | None) -> DataFrame:
-    """Distinct delta hashkeys that the hub does not hold yet.
+    """Delta hashkeys that the hub does not hold yet (unique: the classification has one row per key).
 
     The hub is semi-joined against the (usually small) delta keys first, so when the delta is small
     the hub is only streamed past a hash table of delta keys instead of being shuffled.
     """
     keys = classified.where(F.col(ACTION).isin(NEW, CHANGED)).select("hashkey")
     if hub is None:
-        return keys.distinct()
+        return keys
     known = hub.select("hashkey").join(keys, "hashkey", "left_semi")
-    return keys.join(known, "hashkey", "left_anti").distinct()
+    return keys.join(known, "hashkey", "left_anti")
 
 
 def delta_metrics(classified: DataFrame, hub: DataFrame | None) -> DataFrame:
