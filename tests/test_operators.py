@@ -108,3 +108,10 @@ def test_watermark_bound_is_inclusive(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0),), (dt.datetime(2023, 12, 31, 23, 59, 59),), (None,)], "ts timestamp_ntz")
     ctx = LoadContext(batch_id="B", run_ts=dt.datetime(2024, 2, 1), record_source="S", source_object="O", watermark_column="ts")
     assert [r[0] for r in since_watermark(df, wm, ctx).collect()] == [dt.datetime(2024, 1, 1, 0, 0)]
+
+
+def test_new_or_changed(spark):
+    from vaultkit.operators.models import new_or_changed
+    cur = spark.createDataFrame([("k1", "a"), ("k2", "b")], "hashkey string, hashdiff string")
+    inc = spark.createDataFrame([("k1", "a"), ("k2", "x"), ("k3", "c")], "hashkey string, hashdiff string")
+    assert sorted(tuple(r) for r in new_or_changed(inc, cur).collect()) == [("k2", "x"), ("k3", "c")]

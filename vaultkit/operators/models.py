@@ -76,13 +76,21 @@ def new_or_changed(incoming: DataFrame, current: DataFrame | None, key: str = "h
 
 def sat_incremental(staging: DataFrame, satellite: DataFrame | None, rejects: DataFrame | None,
                     spec: EntitySpec, ctx: LoadContext) -> DataFrame:
-    """Next satellite of the model mode: new-or-changed rows replace the whole row by hashkey."""
+    """Next satellite of the model mode: new-or-changed rows replace the whole row by hashkey.
+
+    One full outer join on hashkey (both sides hold one row per key): a staging row wins when its
+    key is new or its hashdiff differs; otherwise the satellite row stays as it is.
+    """
     clean = exclude_rejects(staging, rejects, ("dataset_product_id",)) if rejects is not None else staging
     rows = sat_rows(clean, spec, ctx)
     if satellite is None:
         return rows
-    changes = new_or_changed(rows, satellite)
-    return upsert(satellite.select(*sat_columns(spec)), changes, ["hashkey"])
+    cols = sat_columns(spec)
+    t = satellite.select(*cols).alias("t")
+    s = rows.alias("s")
+    j = t.join(s, F.col("t.hashkey") == F.col("s.hashkey"), "full_outer")
+    take = "(s.hashkey IS NOT NULL AND (t.hashkey IS NULL OR t.hashdiff <> s.hashdiff))"
+    return j.selectExpr(*[f"CASE WHEN {take} THEN s.`{c}` ELSE t.`{c}` END AS `{c}`" for c in cols])
 
 
 def expire_versions(satellite_before: DataFrame | None, incoming: DataFrame, history: DataFrame | None,
