@@ -108,7 +108,9 @@ def expire_versions(satellite_before: DataFrame | None, incoming: DataFrame, his
     sat = satellite_before.select(*[c for c in sat_columns(spec) if c != "end_datetime"])
     expiring = sat.join(inc, (sat["hashkey"] == inc["__k"]) & (sat["hashdiff"] != inc["__d"]), "left_semi")
     rows = expiring.withColumn("end_datetime", ctx.ts())
-    rows = rows.join(history.select("hashdiff").distinct(), "hashdiff", "left_anti")
+    # history only grows: reduce it to the hashdiffs about to be archived before the anti join
+    seen = history.select("hashdiff").join(rows.select("hashdiff"), "hashdiff", "left_semi").distinct()
+    rows = rows.join(seen, "hashdiff", "left_anti")
     return rows.select(*history_columns(spec))
 
 
