@@ -16,15 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultkit.plans import constants as K
-from vaultkit.session import broadcast_if_small
 from vaultkit.sources.testbed import memo
 
-# Reference tables (nations, regions) are code lists; broadcast only under this checked bound.
-DIMENSION_MAX_ROWS = 10_000
-
 
 def _dim(df: DataFrame) -> DataFrame:
-    return broadcast_if_small(df, DIMENSION_MAX_ROWS)
+    """Reference tables (nations, regions) join without a hint: Spark broadcasts them only when their
+    measured size is under the broadcast threshold, otherwise the join shuffles."""
+    return df
 
 # Fixed values of the adapters (shape rules only; the pipelines do not depend on them).
 PARENT_POOL = 97
