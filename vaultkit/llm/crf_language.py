@@ -228,12 +228,12 @@ def _predict(shared):
 def sample(docs: DataFrame, doc_id: str, text: str, lang: str, per_lang: int) -> list:
     """At most ``per_lang`` rows per language, least hash of the id first. Ranks are limited in every
     task before the shuffle, and only ids are ranked; texts are fetched for the chosen ones."""
-    d = docs.select(F.col(doc_id).alias("i"), F.col(lang).alias("l")).where("i IS NOT NULL AND l IS NOT NULL")
+    docs = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t"), F.col(lang).alias("l"))
     rank = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("i"), "i"))
-    ids = d.withColumn("r", rank).where(F.col("r") <= per_lang).select("i").distinct()
-    found = docs.join(F.broadcast(ids), F.col(doc_id) == F.col("i"), "left_semi")    # at most per_lang ids a language
-    rows = found.select(doc_id, text, lang).where(F.col(lang).isNotNull() & F.col(text).isNotNull()).collect()
-    return sorted(((r[0], r[1], r[2]) for r in rows))
+    ids = docs.select("i", "l").where("i IS NOT NULL AND l IS NOT NULL").withColumn("r", rank).where(F.col("r") <= per_lang)
+    ids = ids.select("i").distinct()                                    # at most per_lang ids a language
+    rows = docs.join(F.broadcast(ids), "i", "left_semi").where("l IS NOT NULL AND t IS NOT NULL").collect()
+    return sorted((r.i, r.t, r.l) for r in rows)
 
 
 def languages(docs: DataFrame, learn: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = PER_LANG) -> DataFrame:
