@@ -55,6 +55,80 @@ def test_rerun_is_unchanged(loaded):
     assert store.read("sat_product_hist", SC.history(PRODUCT)).count() == loaded["hist2"].count()
 
 
+def test_rerun_writes_no_attribute_row_but_notes_what_it_saw(loaded):
+    from vaultkit.plans.load import read_satellite
+    store = loaded["store"]
+    store.refresh()
+    assert len(store.paths("sat_product")) == 2 and len(store.paths("sat_product_seen")) == 2
+    sat = read_satellite(store, "sat_product", PRODUCT)
+    assert sat.count() == loaded["sat2"].count()
+    seen = sat.where(F.col("updated_datetime") == F.lit("2025-01-03 00:00:00").cast("timestamp_ntz")).count()
+    assert seen == store.read("sat_product_seen").where(F.col("updated_datetime") >= F.lit("2025-01-03").cast("timestamp_ntz")).count() > 0
+
+
+def test_compact_satellite_keeps_rows(spark, tables):
+    from vaultkit.plans.load import compact_satellite, read_satellite
+    store = scratch_store(spark, "compact-sat")
+    day1 = tb.stage(tb.day1_rows(tables), PRODUCT, tb.DAY1_BATCH, tb.DAY1_TS)
+    run_delta_load(store, day1, PRODUCT, _ctx("B1", 1))
+    run_delta_load(store, tb.staging_day2(tables), PRODUCT, _ctx("B2", 2))
+    before = read_satellite(store, "sat_product", PRODUCT)
+    compact_satellite(store, "sat_product", PRODUCT, "B2", buckets=4)
+    after = read_satellite(store, "sat_product", PRODUCT)
+    assert len(store.paths("sat_product")) == 1 and store.bucketed("sat_product") == ("hashkey", 4)
+    assert after.count() == before.count() and after.exceptAll(before).count() == 0
+    m = run_delta_load(store, tb.staging_day2(tables), PRODUCT, _ctx("B3", 3))
+    assert m["rows_processed"] == 0
+
+
+def test_satellite_side_has_no_exchange_with_more_shuffle_partitions_than_buckets(spark, tables):
+    import os
+    from vaultkit.operators import delta as D
+    store = scratch_store(spark, "buckets")
+    day1 = tb.stage(tb.day1_rows(tables), PRODUCT, tb.DAY1_BATCH, tb.DAY1_TS)
+    run_delta_load(store, day1, PRODUCT, _ctx("B1", 1), satellite_buckets=4)
+    store.refresh()
+    folder = store.paths("sat_product")[0].removeprefix("file:")
+    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) == 4
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(keep, ("-1", "16", "false")):
+            spark.conf.set(k, v)
+        base = store.base_rows("sat_product", SC.satellite(PRODUCT))
+        plan = D.mark(tb.staging_day2(tables), base, None, 4)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    lines = plan.split("\n")
+    at = next(i for i, x in enumerate(lines) if "Bucketed: true" in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-*()0123456789"))
+    above = [x for i, x in enumerate(lines[:at]) if all(depth(y) > depth(x) for y in lines[i + 1:at + 1])]
+    assert any("Join" in x for x in above)
+    join = max(i for i, x in enumerate(above) if "Join" in x)
+    assert not any("Exchange" in x for x in above[join:])
+
+
+def test_failed_load_is_logged(spark, tables):
+    store = scratch_store(spark, "failing")
+    bad = tb.staging_day2(tables).withColumn("product_name", F.raise_error(F.lit("no such source")).cast("string"))
+    with pytest.raises(Exception, match="no such source"):
+        run_delta_load(store, bad, PRODUCT, _ctx("F1", 1))
+    row = store.read("process_log", SC.PROCESS_LOG).first()
+    assert row["process_status"] == "FAILED" and "no such source" in row["error_message"] and row["end_timestamp"] is not None
+    assert store.read("sat_product", SC.satellite(PRODUCT)) is None
+    day1 = tb.stage(tb.day1_rows(tables), PRODUCT, tb.DAY1_BATCH, tb.DAY1_TS)
+    run_delta_load(store, day1, PRODUCT, _ctx("F1", 1))
+    row = store.read("process_log", SC.PROCESS_LOG).first()
+    assert row["process_status"] == "SUCCESS" and row["error_message"] == ""
+
+
+def test_runtime_of_a_real_load(loaded):
+    from vaultkit.operators.audit import load_efficiency
+    log = loaded["store"].read("process_log", SC.PROCESS_LOG)
+    assert log.where("end_timestamp <= start_timestamp").count() == 0
+    assert load_efficiency(log).where("runtime_seconds > 0").count() > 0
+
+
 def test_hub_keys_unique(loaded):
     hub = loaded["store"].read("hub", SC.HUB)
     assert hub.count() == hub.select("hashkey").distinct().count()
@@ -148,11 +222,10 @@ def test_legacy_hash_names_and_live_columns(spark, tables):
     day1 = tb.stage(tb.day1_rows(tables), PRODUCT, tb.DAY1_BATCH, tb.DAY1_TS)
     sat = tb.satellite_day1(tables).withColumn("legacy_note", F.lit("x"))
     legacy = sat.withColumnsRenamed({"hashkey": "IDENTIFIER_MD5", "hashdiff": "RECORD_MD5"})
-    res = delta_load(tb.staging_day2(tables), None, legacy, None, None, None, None, PRODUCT, _ctx("L2", 2))
+    res = delta_load(tb.staging_day2(tables), None, legacy, None, None, None, PRODUCT, _ctx("L2", 2))
     hist = res.history_new
     assert "legacy_note" in hist.columns and hist.columns[-1] == "end_datetime"
     assert hist.count() == res.metrics.first()["delta_updated_rows"] > 0
-    res.release()
 
 
 def test_compact_hub_keeps_rows_and_buckets(spark, tables):

@@ -45,7 +45,26 @@ def test_model_run_two_batches(spark, tables):
     assert control["process_status"] == "SUCCESS" and control["total_rejected_records"] == r2["REJECT"]
     log = store.read("process_log", SC.PROCESS_LOG).where(F.col("etl_batch_id") == tb.DAY2_BATCH)
     assert log.where("process_status = 'RUNNING'").count() == 0
+    # a version is either active or archived, never both (rejected ids archive nothing)
+    both = hist.select("hashkey", "hashdiff").join(sat.select("hashkey", "hashdiff"), ["hashkey", "hashdiff"], "left_semi")
+    assert both.count() == 0
+    assert log.where("model_name in ('STG_CUSTOMER', 'REJECT', 'SAT_PRODUCT')").count() == 3
+    assert log.where("end_timestamp < start_timestamp").count() == 0
     # rerun of batch 2: rejects and hub unchanged, the batch's snapshot folder replaced, not duplicated
     r3 = run_models(store, _inputs(tables, tb.staging_day2(tables)), ctx2)
     assert r3["REJECT"] == r2["REJECT"] and r3["HUB"] == 0
     assert store.read("snapshot_stg_customer").count() == n_snap
+
+
+def test_failed_run_is_logged(spark, tables):
+    import pytest
+    store = scratch_store(spark, "models-failing")
+    ctx = LoadContext(batch_id="X1", run_ts=dt.datetime(2025, 1, 1), record_source="CRM")
+    bad = tb.staging_day2(tables).withColumn("product_name", F.raise_error(F.lit("no such source")).cast("string"))
+    with pytest.raises(Exception, match="no such source"):
+        run_models(store, _inputs(tables, bad), ctx)
+    control = store.read("batch_control", SC.BATCH_CONTROL).first()
+    assert control["process_status"] == "FAILED" and "no such source" in control["error_message"]
+    log = {r["model_name"]: r for r in store.read("process_log", SC.PROCESS_LOG).collect()}
+    assert log["STG_CUSTOMER"]["process_status"] == "ERROR" and "no such source" in log["STG_CUSTOMER"]["error_message"]
+    assert log["HUB"]["process_status"] == "SKIPPED" and not any(r["process_status"] == "RUNNING" for r in log.values())

@@ -1,6 +1,8 @@
 """Version semantics of the Parquet store."""
 
-from vaultkit.plans.store import scratch_store
+import pytest
+
+from vaultkit.plans.store import PublishConflict, VaultStore, scratch_store
 
 
 def _df(spark, ids, batch="B"):
@@ -40,3 +42,77 @@ def test_replace_batch_keeps_other_batches(spark):
     rows = sorted((r.etl_batch_id, r.id) for r in store.read("s").collect())
     assert rows == [("B1", 1), ("B1", 2), ("B2", 4), ("B2", 5), ("B2", 6)]
     assert store.read_batch("s", "B1").count() == 2
+
+
+def test_overlapping_append_and_rewrite_lose_nothing(spark):
+    a = scratch_store(spark, "overlap")
+    a.write("hub", _df(spark, range(10)), "B1", mode="append")
+    a.publish()
+    b = VaultStore(spark, a.base)
+    rows = b.read("hub")
+    b.write("hub", rows, "B1", mode="replace")             # a rewrite of what b has read ...
+    a.write("hub", _df(spark, range(10, 15)), "B2", mode="append")
+    a.publish()                                            # ... overlaps an append
+    with pytest.raises(PublishConflict):
+        b.publish()
+    assert sorted(r.id for r in VaultStore(spark, a.base).read("hub").collect()) == list(range(15))
+    b.compact("hub", "B2")
+    a.refresh()
+    assert a.read("hub").count() == 15 and len(a.paths("hub")) == 1
+
+
+def test_upserts_of_two_writers_both_survive(spark):
+    a = scratch_store(spark, "upserts")
+    b = VaultStore(spark, a.base)
+    a.read("log"), b.read("log")
+    for store, ids in ((a, [1, 2]), (b, [2, 3])):
+        store.write("log", _df(spark, ids, f"W{ids[0]}"), "B", mode="upsert", keys=("id",))
+    a.publish()
+    b.publish()
+    a.refresh()
+    assert sorted((r.id, r.etl_batch_id) for r in a.read("log").collect()) == [(1, "W1"), (2, "W2"), (3, "W2")]
+
+
+def test_unreadable_catalog_raises(spark):
+    import os
+    store = scratch_store(spark, "broken")
+    assert store.read("t") is None                         # no folder yet: an empty store
+    store.write("t", _df(spark, [1]), "B1")
+    store.publish()
+    folder = f"{store.base}/_catalog/c00000001".removeprefix("file:")
+    for f in os.listdir(folder):
+        if f.endswith(".parquet"):
+            with open(f"{folder}/{f}", "wb") as out:
+                out.write(b"not parquet")
+            os.remove(f"{folder}/.{f}.crc")
+    with pytest.raises(Exception):
+        VaultStore(spark, store.base).read("t")
+
+
+def test_catalog_keeps_live_entries_and_few_commits(spark):
+    from vaultkit.plans import store as S
+    store = scratch_store(spark, "commits")
+    for k in range(S.KEEP_COMMITS + 3):
+        store.write("t", _df(spark, [k]), f"B{k}")
+        store.publish()
+    store.refresh()
+    assert len(store.paths("t")) == 1 and len(store._commits()) <= S.KEEP_COMMITS + 1
+
+
+def test_checkpoint_folder_is_required_off_local_masters():
+    from vaultkit.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

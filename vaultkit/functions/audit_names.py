@@ -43,3 +43,18 @@ def standard_model(c: str | Column) -> Column:
         n = _drop_suffix(n, suffix)
     old, new = MODEL_SUFFIX_RENAME
     return F.when(n.endswith(old), F.concat(n.substr(F.lit(1), F.length(n) - F.lit(len(old))), F.lit(new))).otherwise(n)
+
+
+def layer_name(name: str | None) -> str:
+    """``standard_layer`` of a name known on the driver."""
+    raw = (name if name is not None else "UNKNOWN").strip().lower()
+    return LAYER_NAMES.get(raw, raw.upper())
+
+
+def model_name(name: str | None) -> str:
+    """``standard_model`` of a name known on the driver."""
+    n = (name if name is not None else "UNKNOWN").strip().upper()
+    for suffix in MODEL_SUFFIX_DROPS:
+        n = n.removesuffix(suffix)
+    old, new = MODEL_SUFFIX_RENAME
+    return n.removesuffix(old) + new if n.endswith(old) else n

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vaultkit.functions.audit_names import layer_name, model_name, standard_layer, standard_model
 from vaultkit.functions.dates import seconds_between
 from vaultkit.operators.merge import merge, merge_single
 from vaultkit.spec import BATCH_CONTROL_COLUMNS, PROCESS_LOG_COLUMNS, LoadContext
@@ -21,15 +24,24 @@ def _null_ts():
     return F.lit(None).cast("timestamp_ntz")
 
 
-def _log_row(ctx: LoadContext, layer: str, model: str, source_system: str) -> dict:
-    """One RUNNING log row as literal columns (no data read, no job)."""
+def now() -> dt.datetime:
+    """Wall clock (UTC), for runners; registered queries keep the run time of their context."""
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def _at(ctx: LoadContext, at: dt.datetime | None) -> Column:
+    return ctx.ts() if at is None else F.lit(at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
+def _log_row(ctx: LoadContext, layer: str, model: str, source_system: str, at: dt.datetime | None = None) -> dict:
+    """One RUNNING log row as literal columns (no data read, no job); names are standardised."""
     return {
         "etl_batch_id": ctx.batch(),
-        "layer_name": F.lit(layer),
-        "model_name": F.lit(model),
+        "layer_name": F.lit(layer_name(layer)),
+        "model_name": F.lit(model_name(model)),
         "source_system": F.lit(source_system),
         "process_status": F.lit(RUNNING),
-        "start_timestamp": ctx.ts(),
+        "start_timestamp": _at(ctx, at),
         "end_timestamp": _null_ts(),
         "rows_processed": F.lit(0).cast("long"),
         "error_message": F.lit(""),
@@ -38,9 +50,10 @@ def _log_row(ctx: LoadContext, layer: str, model: str, source_system: str) -> di
     }
 
 
-def process_start(log: DataFrame, ctx: LoadContext, layer: str, model: str, source_system: str) -> DataFrame:
+def process_start(log: DataFrame, ctx: LoadContext, layer: str, model: str, source_system: str,
+                  at: dt.datetime | None = None) -> DataFrame:
     """Upsert a RUNNING row for (batch, model); a rerun keeps the first start time, zeroes metrics."""
-    src = _log_row(ctx, layer, model, source_system)
+    src = _log_row(ctx, layer, model, source_system, at)
     from_src = ("layer_name", "source_system", "rows_processed", "error_message", "delta_inserted_rows", "delta_updated_rows")
     upd = {c: (lambda t, s, c=c: s(c)) for c in from_src}
     upd.update({
@@ -51,18 +64,18 @@ def process_start(log: DataFrame, ctx: LoadContext, layer: str, model: str, sour
     return merge_single(log, src, ["etl_batch_id", "model_name"], update=upd)
 
 
-def process_success(log: DataFrame, metrics: DataFrame, ctx: LoadContext, model: str) -> DataFrame:
-    """Close the RUNNING row of (batch, model) with SUCCESS, end time and the delta metrics.
+def process_success(log: DataFrame, metrics: DataFrame, ctx: LoadContext, model: str, at: dt.datetime | None = None) -> DataFrame:
+    """Close the RUNNING row of (batch, model) with SUCCESS, end time ``at`` and the delta metrics.
 
     ``metrics`` is the one-row frame of ``delta_metrics``.
     """
     src = metrics.select(
-        ctx.batch().alias("etl_batch_id"), F.lit(model).alias("model_name"),
+        ctx.batch().alias("etl_batch_id"), F.lit(model_name(model)).alias("model_name"),
         "delta_inserted_rows", "delta_updated_rows", "rows_processed",
     )
     return merge_single(log, src, ["etl_batch_id", "model_name"], update={
         "process_status": lambda t, s: F.lit(SUCCESS),
-        "end_timestamp": lambda t, s: ctx.ts(),
+        "end_timestamp": lambda t, s: _at(ctx, at),
         "rows_processed": lambda t, s: s("rows_processed"),
         "error_message": lambda t, s: F.lit(""),
         "delta_inserted_rows": lambda t, s: s("delta_inserted_rows"),
@@ -70,30 +83,37 @@ def process_success(log: DataFrame, metrics: DataFrame, ctx: LoadContext, model:
     }, matched_when=lambda t, s: t("process_status") == RUNNING, insert=False)
 
 
-def model_start(log: DataFrame, ctx: LoadContext, layer: str, model: str, source_system: str) -> DataFrame:
+def process_failed(log: DataFrame, ctx: LoadContext, model: str, message: str, at: dt.datetime | None = None) -> DataFrame:
+    """Close every RUNNING row of (batch, model) with FAILED, end time ``at`` and the error message."""
+    return model_end(log, ctx, model, FAILED, at, message)
+
+
+def model_start(log: DataFrame, ctx: LoadContext, layer: str, model: str, source_system: str,
+                at: dt.datetime | None = None) -> DataFrame:
     """Append a RUNNING row for a model run."""
-    row = _log_row(ctx, layer, model, source_system)
+    row = _log_row(ctx, layer, model, source_system, at)
     return log.unionByName(log.sparkSession.range(1).select(*[row[c].alias(c) for c in PROCESS_LOG_COLUMNS]))
 
 
-def model_end(log: DataFrame, ctx: LoadContext, model: str, status: str = SUCCESS) -> DataFrame:
+def model_end(log: DataFrame, ctx: LoadContext, model: str, status: str = SUCCESS, at: dt.datetime | None = None,
+              message: str = "") -> DataFrame:
     """Close every RUNNING row of (batch, model) with ``status``."""
-    hit = (F.col("etl_batch_id") == ctx.batch_id) & (F.col("model_name") == model) & (F.col("process_status") == RUNNING)
+    hit = (F.col("etl_batch_id") == ctx.batch_id) & (F.col("model_name") == model_name(model)) & (F.col("process_status") == RUNNING)
     return log.withColumns({
         "process_status": F.when(hit, F.lit(status)).otherwise(F.col("process_status")),
-        "end_timestamp": F.when(hit, ctx.ts()).otherwise(F.col("end_timestamp")),
+        "end_timestamp": F.when(hit, _at(ctx, at)).otherwise(F.col("end_timestamp")),
         "rows_processed": F.when(hit, F.coalesce(F.col("rows_processed"), F.lit(0).cast("long"))).otherwise(F.col("rows_processed")),
-        "error_message": F.when(hit, F.lit("")).otherwise(F.col("error_message")),
+        "error_message": F.when(hit, F.lit(message)).otherwise(F.col("error_message")),
     }).select(*PROCESS_LOG_COLUMNS)
 
 
-def batch_start(control: DataFrame, ctx: LoadContext, pipeline: str) -> DataFrame:
+def batch_start(control: DataFrame, ctx: LoadContext, pipeline: str, at: dt.datetime | None = None) -> DataFrame:
     """Upsert the batch row: RUNNING, first start kept, end and error cleared."""
     src = {
         "etl_batch_id": ctx.batch(),
         "pipeline_name": F.lit(pipeline.strip().upper()),
         "total_rejected_records": F.lit(0).cast("long"),
-        "start_timestamp": ctx.ts(),
+        "start_timestamp": _at(ctx, at),
         "end_timestamp": _null_ts(),
         "process_status": F.lit(RUNNING),
         "error_message": F.lit(""),
@@ -117,18 +137,19 @@ def run_results(results: DataFrame) -> DataFrame:
     )
     return results.withColumn(
         "rows_processed",
-        F.when(F.col("layer_name").isin(*ROWCOUNT_LAYERS), F.coalesce(F.col("row_count"), F.lit(0))).otherwise(affected).cast("long"),
+        F.when(standard_layer("layer_name").isin(*ROWCOUNT_LAYERS), F.coalesce(F.col("row_count"), F.lit(0))).otherwise(affected).cast("long"),
     )
 
 
-def process_end(log: DataFrame, results: DataFrame, ctx: LoadContext, source_system: str) -> DataFrame:
-    """Upsert one row per model result (status, rows, metrics, error) into the process log."""
+def process_end(log: DataFrame, results: DataFrame, ctx: LoadContext, source_system: str, at: dt.datetime | None = None) -> DataFrame:
+    """Upsert one row per model result (status, rows, metrics, error, standard names) into the process log."""
     r = run_results(results)
     src = r.select(
         ctx.batch().alias("etl_batch_id"),
-        F.col("layer_name"), F.col("model_name"), F.lit(source_system).alias("source_system"),
+        standard_layer("layer_name").alias("layer_name"), standard_model("model_name").alias("model_name"),
+        F.lit(source_system).alias("source_system"),
         F.upper(F.coalesce(F.col("status"), F.lit("unknown"))).alias("process_status"),
-        ctx.ts().alias("start_timestamp"), ctx.ts().alias("end_timestamp"),
+        _at(ctx, at).alias("start_timestamp"), _at(ctx, at).alias("end_timestamp"),
         F.col("rows_processed"),
         F.when(F.lower(F.col("status")).isin("error", "fail"), F.coalesce(F.col("message"), F.lit(""))).otherwise(F.lit("")).alias("error_message"),
         F.coalesce(F.col("rows_inserted"), F.lit(0)).cast("long").alias("delta_inserted_rows"),
@@ -140,14 +161,14 @@ def process_end(log: DataFrame, results: DataFrame, ctx: LoadContext, source_sys
     return merge(log, src, ["etl_batch_id", "model_name"], update=upd)
 
 
-def batch_end(control: DataFrame, results: DataFrame, ctx: LoadContext) -> DataFrame:
+def batch_end(control: DataFrame, results: DataFrame, ctx: LoadContext, at: dt.datetime | None = None) -> DataFrame:
     """Close the batch row: FAILED with the first error if any model failed, else SUCCESS;
     total rejected = processed rows of the REJECT model."""
     r = run_results(results).withColumn("__failed", F.lower(F.col("status")).isin("error", "fail"))
     summary = r.agg(
         F.max(F.col("__failed").cast("int")).alias("any_failed"),
         F.min_by(F.coalesce(F.col("message"), F.lit("Run failed")), F.when(F.col("__failed"), F.col("seq"))).alias("first_error"),
-        F.coalesce(F.max(F.when(F.col("model_name") == "REJECT", F.col("rows_processed"))), F.lit(0)).cast("long").alias("rejected"),
+        F.coalesce(F.max(F.when(standard_model("model_name") == "REJECT", F.col("rows_processed"))), F.lit(0)).cast("long").alias("rejected"),
     ).select(
         ctx.batch().alias("etl_batch_id"),
         F.when(F.col("any_failed") == 1, F.lit(FAILED)).otherwise(F.lit(SUCCESS)).alias("process_status"),
@@ -157,7 +178,7 @@ def batch_end(control: DataFrame, results: DataFrame, ctx: LoadContext) -> DataF
     return merge_single(control, summary, ["etl_batch_id"], update={
         "process_status": lambda t, s: s("process_status"),
         "total_rejected_records": lambda t, s: s("rejected"),
-        "end_timestamp": lambda t, s: ctx.ts(),
+        "end_timestamp": lambda t, s: _at(ctx, at),
         "error_message": lambda t, s: s("error_message"),
     }, insert=False).select(*BATCH_CONTROL_COLUMNS)
 

@@ -6,7 +6,6 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vaultkit.functions.hashing import quote
 
@@ -41,11 +40,6 @@ def conform(df: DataFrame, columns: Sequence[str], date_cols: Iterable[str] = ()
     return df.selectExpr(*exprs, *[quote(c) for c in keep])
 
 
-def typed_nulls(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:
-    """Add NULL columns of the given SQL types (never the untyped void type)."""
-    return df.withColumns({name: F.lit(None).cast(t) for name, t in fields.items()})
-
-
 def sync_columns(target: DataFrame, incoming: DataFrame) -> DataFrame:
     """Reshape ``target`` rows to ``incoming``'s schema: new columns NULL, vanished ones dropped."""
     have = {c.lower() for c in target.columns}
@@ -82,12 +76,3 @@ def standard_hash_names(df: DataFrame) -> DataFrame:
     if diff.lower() != "hashdiff" and diff in df.columns:
         out = out.withColumnRenamed(diff, "hashdiff")
     return out
-
-
-def empty_like(df: DataFrame) -> DataFrame:
-    """Zero rows, same schema (no job is run)."""
-    return df.limit(0)
-
-
-def empty_frame(spark, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

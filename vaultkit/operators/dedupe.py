@@ -58,7 +58,3 @@ def sorted_distinct_list(df: DataFrame, keys: Sequence[str], value: str | Column
     """Per group, the distinct values sorted and joined with ``sep`` (partial aggregation map-side)."""
     v = F.col(value) if isinstance(value, str) else value
     return df.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_set(v)), sep).alias(name))
-
-
-def max_per_group(df: DataFrame, keys: Sequence[str], value: str, name: str | None = None) -> DataFrame:
-    return df.groupBy(*keys).agg(F.max(value).alias(name or value))

@@ -130,6 +130,59 @@ def classify(dq: DataFrame, satellite: DataFrame) -> DataFrame:
     return j.select("hashkey", action.alias(ACTION), STG, SAT)
 
 
+def mark(dq: DataFrame, satellite: DataFrame | None, changes: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+    """The DQ set with ``action`` (NEW, CHANGED, UNCHANGED): what a load needs of the classification.
+
+    Only (hashkey, hashdiff) of the satellite is read, and ABSENT keys are not produced. ``changes``
+    are rows upserted on top of ``satellite``; theirs count. With ``buckets`` the DQ side is dealt into
+    the satellite's buckets, so the satellite is joined where it lies, whatever the number of shuffle
+    partitions.
+    """
+    if satellite is None:
+        return dq.withColumn(ACTION, F.lit(NEW))
+    s = dq.repartition(int(buckets), "hashkey") if buckets else dq
+    s = s.join(active(satellite).select("hashkey", F.col("hashdiff").alias("__base")), "hashkey", "left")
+    known = F.col("__base")
+    if changes is not None:
+        s = s.join(active(changes).select("hashkey", F.col("hashdiff").alias("__top")), "hashkey", "left")
+        known = F.coalesce("__top", "__base")
+    action = F.when(known.isNull(), NEW).when(known == F.col("hashdiff"), UNCHANGED).otherwise(CHANGED)
+    return s.withColumn(ACTION, action).select(*dq.columns, ACTION)
+
+
+def current_rows(keys: DataFrame, satellite: DataFrame, changes: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+    """Active satellite rows of the hashkeys in ``keys``; a row in ``changes`` replaces the one below it."""
+    k = keys.select("hashkey")
+    k = k.repartition(int(buckets), "hashkey") if buckets else k
+    if changes is None:
+        return active(satellite).join(k, "hashkey", "left_semi")
+    top = active(changes).join(keys.select("hashkey"), "hashkey", "left_semi")
+    below = active(satellite).join(k.join(top.select("hashkey"), "hashkey", "left_anti"), "hashkey", "left_semi")
+    return below.select(*satellite.columns).unionByName(top, allowMissingColumns=True)
+
+
+def archived(rows: DataFrame, history: DataFrame | None, ctx: LoadContext, dedupe_on: tuple[str, ...] = ("hashdiff",)) -> DataFrame:
+    """``rows`` as history rows (END_DATETIME = run time, moved last), less versions archived already.
+
+    History only grows: it is reduced to the versions at hand before the anti join.
+    """
+    live = [c for c in rows.columns if c != "end_datetime"]
+    out = rows.select(*live, ctx.ts().alias("end_datetime"))
+    if history is not None:
+        seen = history.select(*dedupe_on).join(out.select(*dedupe_on), list(dedupe_on), "left_semi").distinct()
+        out = out.join(seen, list(dedupe_on), "left_anti")
+    return out.select(*live, "end_datetime")
+
+
+def stamped(marked: DataFrame, spec: EntitySpec, ctx: LoadContext) -> DataFrame:
+    """NEW and CHANGED rows of a marked DQ set as satellite rows of this load."""
+    values = {"start_datetime": ctx.ts(), "load_datetime": ctx.ts(), "updated_datetime": ctx.ts(),
+              "end_datetime": F.lit(None).cast("timestamp_ntz"), "etl_batch_id": ctx.batch(),
+              "record_source": _record_source(ctx, F.col("record_source"))}
+    rows = marked.where(F.col(ACTION).isin(NEW, CHANGED))
+    return rows.select(*[values[c].alias(c) if c in values else F.col(c) for c in sat_columns(spec)])
+
+
 def delta_rows(classified: DataFrame) -> DataFrame:
     """DQ rows with no active satellite row of the same (hashkey, hashdiff): NEW and CHANGED."""
     return classified.where(F.col(ACTION).isin(NEW, CHANGED)).select(f"{STG}.*")

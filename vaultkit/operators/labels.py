@@ -1,31 +1,12 @@
-"""Row filters and single-pass multi-label classification."""
+"""Single-pass multi-label classification."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultkit.functions.predicates import all_present, like_none, not_placeholder
-
-
-def require_fields(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Keep rows whose ``cols`` are all non-NULL and non-blank."""
-    return df.where(all_present(list(cols)))
-
-
-def drop_placeholders(df: DataFrame, cols: Iterable[str], placeholders: Sequence[str] = ("", "-")) -> DataFrame:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & not_placeholder(c, placeholders)
-    return df.where(cond)
-
-
-def deny_like(df: DataFrame, col: str | Column, patterns: Iterable[str]) -> DataFrame:
-    """Drop rows whose ``col`` matches any LIKE pattern (rows where the test is NULL drop too)."""
-    return df.where(like_none(col, list(patterns)))
-
 
 def label_rows(df: DataFrame, rules: Sequence[tuple[str, Column]], label_col: str = "label",
                distinct: bool = True) -> DataFrame:

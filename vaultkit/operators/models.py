@@ -94,10 +94,14 @@ def sat_incremental(staging: DataFrame, satellite: DataFrame | None, rejects: Da
 
 
 def expire_versions(satellite_before: DataFrame | None, incoming: DataFrame, history: DataFrame | None,
-                    spec: EntitySpec, ctx: LoadContext) -> DataFrame:
+                    spec: EntitySpec, ctx: LoadContext, rejects: DataFrame | None = None) -> DataFrame:
     """History rows of the model mode: satellite rows (before this load) whose incoming hashdiff
     differs, END_DATETIME = run time, unless the hashdiff is archived already. First run: none.
+
+    ``rejects`` (products only): rejected ids never replace their version, so they archive nothing.
     """
+    if rejects is not None:
+        incoming = exclude_rejects(incoming, rejects, ("dataset_product_id",))
     if satellite_before is None or history is None:
         base = satellite_before if satellite_before is not None else incoming
         return base.limit(0).select(

@@ -11,7 +11,6 @@ from vaultkit.functions.hashing import hash_of
 from vaultkit.functions.predicates import blank
 from vaultkit.functions.text import upper_trim
 from vaultkit.operators.dedupe import union_all
-from vaultkit.session import broadcast_if_small
 from vaultkit.spec import LoadContext, REJECT_COLUMNS
 
 # Reject rules, first failing rule wins.
@@ -29,7 +28,6 @@ REJECTED_RECORD_FIELDS = (
 )
 
 # Countries are a code list (a few hundred rows at most); above this bound the join shuffles.
-COUNTRY_BROADCAST_MAX_ROWS = 10_000
 
 
 def country_codes(countries: DataFrame, code_col: str = "iso2_code") -> DataFrame:
@@ -39,7 +37,7 @@ def country_codes(countries: DataFrame, code_col: str = "iso2_code") -> DataFram
 
 def keep_known_countries(df: DataFrame, countries: DataFrame, col: str = "geographic_id") -> DataFrame:
     """Semi join: rows whose ``upper(trim(col))`` is a known country code."""
-    codes = broadcast_if_small(country_codes(countries), COUNTRY_BROADCAST_MAX_ROWS)
+    codes = country_codes(countries)
     return df.join(codes, upper_trim(col) == codes["iso2_code"], "left_semi")
 
 
@@ -83,7 +81,7 @@ def find_rejects(staging: Mapping[str, DataFrame], countries: DataFrame, ctx: Lo
     tagged = union_all(
         df.select(*cols).withColumn("reject_source_model", F.lit(name)) for name, df in staging.items()
     )
-    codes = broadcast_if_small(country_codes(countries), COUNTRY_BROADCAST_MAX_ROWS)
+    codes = country_codes(countries)
     joined = tagged.join(codes.withColumn("__known", F.lit(True)), upper_trim("geographic_id") == codes["iso2_code"], "left")
     known = F.col("__known").isNotNull()
     code = error_code(product_reject_rules(known))

@@ -47,8 +47,12 @@ def with_parents(tables: Mapping[str, DataFrame], latest: bool, cols: list[str])
     """
     rows = all_regions(tables)
     order = ["lastmodifieddate", "name"] if latest else None
-    return lookup_parent(rows, rows.select(REGION, "id", "name", "lastmodifieddate"), [REGION, "parent_product_vod__c"],
-                         [REGION, "id"], cols, latest_order=order).drop(REGION)
+    found = lookup_parent(rows.where("parent_product_vod__c IS NOT NULL"), rows.select(REGION, "id", "name", "lastmodifieddate"),
+                          [REGION, "parent_product_vod__c"], [REGION, "id"], cols, latest_order=order)
+    # Rows without a parent need no lookup; in the join they would all hash to one place per region.
+    alone = rows.where("parent_product_vod__c IS NULL")
+    alone = alone.select("*", *[F.lit(None).cast(alone.schema[c].dataType).alias(f"parent_{c}") for c in cols])
+    return found.unionByName(alone).drop(REGION)
 
 
 # --- label rules -------------------------------------------------------------------------------
@@ -113,7 +117,7 @@ def usable(df: DataFrame, countries: DataFrame) -> DataFrame:
 def crm_products(tables: Mapping[str, DataFrame], ctx: LoadContext) -> DataFrame:
     """Product staging: raw parent lookup per region, distinct union, labels, filters, N() names."""
     union = with_parents(tables, False, ["name"]).distinct()
-    labelled = label_rows(union, label_rules(True), "product_type_code")
+    labelled = label_rows(union, label_rules(True), "product_type_code", distinct=False)   # the rows are distinct already
     kept = usable(labelled, tables["dim_country"])
     label = F.col("product_type_code")
     rows = kept.select(
@@ -161,14 +165,10 @@ def crm_identifiers(tables: Mapping[str, DataFrame], ctx: LoadContext) -> DataFr
 
 # --- relationships (J8) ------------------------------------------------------------------------
 
-def node_sets(filtered: DataFrame, materialize: bool = True) -> dict[str, DataFrame]:
-    """The six node sets, from one aggregation over (country, id, parent).
+def node_rows(filtered: DataFrame) -> DataFrame:
+    """(country, id, parent) with the latest modification time per node set it belongs to, or NULL.
 
-    Each row carries flags for the sets it belongs to; one grouped pass computes every set's
-    latest modification time (partial aggregation map-side), and the sets keyed by (country, id)
-    only are rolled up from that small result. The grouped result (at most one row per product and
-    parent) feeds eight join inputs, so it is written once into the shared checkpoint folder and
-    read back rather than recomputed from the regional scans for each.
+    One grouped pass computes every set (partial aggregation map-side).
     """
     mod = latest_of(["parent_lastmodifieddate_src", "child_lastmodifieddate"])
     live = F.col("isdeleted") == F.lit(False)
@@ -190,47 +190,54 @@ def node_sets(filtered: DataFrame, materialize: bool = True) -> dict[str, DataFr
     grouped = base.groupBy("geographic_id", "dataset_product_id", "parent_product_id").agg(
         *[F.max(name).alias(name) for name in flags]
     )
-    if materialize:
-        from vaultkit.session import materialize as write_once
-        grouped = write_once(grouped, "crm_node_sets")
-    out = {}
-    for name in flags:
-        s = grouped.where(F.col(name).isNotNull())
-        if name in ("global", "ta"):
-            s = s.groupBy("geographic_id", "dataset_product_id").agg(F.max(name).alias("source_lastmodifieddate"))
-        else:
-            s = s.select("geographic_id", "dataset_product_id", "parent_product_id", F.col(name).alias("source_lastmodifieddate"))
-        out[name] = s
-    return out
-
-
-def _edges(child: DataFrame, parent: DataFrame, kind: str) -> DataFrame:
-    c, p = child.alias("c"), parent.alias("p")
-    return c.join(p, F.col("c.parent_product_id") == F.col("p.dataset_product_id")).select(
+    return grouped
+
+
+# Edge type -> node set of the child, node set of the parent, whether the parent set is kept per
+# (country, id) only; the others are kept per (country, id, parent).
+EDGES = {
+    K.GLOBAL_ROLLUP: ("local", "global", True),
+    K.PMP_TO_BRAND: ("pmp", "brand", False),
+    K.BRAND_TO_TA: ("brand", "ta", True),
+    K.BRANDIND_TO_BRAND: ("ind", "brand", False),
+}
+
+
+def _ends(nodes: DataFrame, end: int) -> DataFrame:
+    """The child (0) or parent (1) ends of all edge types, one row per node and type."""
+    kinds = F.array(*[F.when(F.col(sets[end]).isNotNull(), F.struct(F.lit(kind).alias("kind"), F.col(sets[end]).alias("modified")))
+                      for kind, sets in EDGES.items()])
+    rows = nodes.select("geographic_id", "dataset_product_id", "parent_product_id",
+                        F.explode(F.filter(kinds, lambda x: x.isNotNull())).alias("e"))
+    return rows.select("geographic_id", "dataset_product_id", "parent_product_id", "e.*")
+
+
+def edge_rows(nodes: DataFrame) -> DataFrame:
+    """All edges in one join on (edge type, child.parent = parent.id), so the nodes are read twice only."""
+    rolled = [kind for kind, sets in EDGES.items() if sets[2]]
+    parents = _ends(nodes, 1)
+    own = F.when(~F.col("kind").isin(*rolled), F.col("parent_product_id"))
+    p = parents.groupBy("kind", "geographic_id", "dataset_product_id", own.alias("own")).agg(F.max("modified").alias("modified")).alias("p")
+    c = _ends(nodes, 0).alias("c")
+    return c.join(p, (F.col("c.kind") == F.col("p.kind")) & (F.col("c.parent_product_id") == F.col("p.dataset_product_id"))).select(
         F.col("p.geographic_id").alias("parent_geographic_id"),
         F.col("c.geographic_id").alias("child_geographic_id"),
         F.lit(K.CRM_SOURCE).alias("parent_dataset_id"),
         F.lit(K.CRM_SOURCE).alias("child_dataset_id"),
         F.col("p.dataset_product_id").alias("parent_dataset_product_id"),
         F.col("c.dataset_product_id").alias("child_dataset_product_id"),
-        F.lit(kind).alias("relationship_type_code"),
+        F.col("c.kind").alias("relationship_type_code"),
         F.lit(None).cast("string").alias("status_code"),
         F.lit(None).cast("date").alias("effective_date"),
         F.lit(None).cast("date").alias("end_date"),
-        F.greatest(F.col("p.source_lastmodifieddate"), F.col("c.source_lastmodifieddate")).alias("source_lastmodifieddate"),
+        F.greatest(F.col("p.modified"), F.col("c.modified")).alias("source_lastmodifieddate"),
     ).distinct()
 
 
-def crm_relationships(tables: Mapping[str, DataFrame], ctx: LoadContext, materialize: bool = True) -> DataFrame:
+def crm_relationships(tables: Mapping[str, DataFrame], ctx: LoadContext) -> DataFrame:
     """Relationship staging: node sets joined child.parent = parent.id (id only, any country)."""
     src = _latest_parent_regions(tables, True).withColumnsRenamed(
         {"lastmodifieddate": "child_lastmodifieddate", "parent_lastmodifieddate": "parent_lastmodifieddate_src"})
     labelled = label_rows(src, label_rules(False), "product_type_code", distinct=True)
-    sets = node_sets(usable(labelled, tables["dim_country"]), materialize)
-    edges = union_all([
-        _edges(sets["local"], sets["global"], K.GLOBAL_ROLLUP),
-        _edges(sets["pmp"], sets["brand"], K.PMP_TO_BRAND),
-        _edges(sets["brand"], sets["ta"], K.BRAND_TO_TA),
-        _edges(sets["ind"], sets["brand"], K.BRANDIND_TO_BRAND),
-    ])
+    edges = edge_rows(node_rows(usable(labelled, tables["dim_country"])))
     return finish(edges, RELATIONSHIP, ctx, K.CRM_SOURCE)

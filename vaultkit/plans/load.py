@@ -2,8 +2,11 @@
 
 Order of the warehouse procedure (process log RUNNING -> DQ set -> touch -> delta -> metrics ->
 hub -> archive -> satellite -> watermark -> log SUCCESS) is kept as data dependencies: every
-output is computed from the *input* versions and the one classified frame, so the metrics are
+output is computed from the *input* versions and the one marked DQ set, so the metrics are
 taken before the hub changes and the archive sees the satellite before the merge.
+
+Nothing of the satellite's size is written or kept: a load upserts the rows that are new or changed
+and notes unchanged keys in a narrow last-seen table. ``read_satellite`` joins the two.
 """
 
 from __future__ import annotations
@@ -13,31 +16,33 @@ import sys
 import time
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaultkit.operators import audit as A
 from vaultkit.operators import delta as D
 from vaultkit.operators.conform import standard_hash_names
 from vaultkit.plans.store import VaultStore
+from vaultkit.session import materialize
 from vaultkit.sources import schemas as SC
 from vaultkit.spec import EntitySpec, LoadContext
 
+SEEN = T.StructType([T.StructField("hashkey", T.StringType()), T.StructField("hashdiff", T.StringType()),
+                     T.StructField("updated_datetime", T.TimestampNTZType())])
+LOG_KEYS = ("etl_batch_id", "model_name")
+WATERMARK_KEYS = ("source_system", "source_object", "watermark_column")
+
 
 @dataclass
 class LoadResult:
-    dq: DataFrame
-    classified: DataFrame
+    marked: DataFrame           # DQ set with its action, written once into the shared folder
     metrics: DataFrame
     hub_new: DataFrame
     history_new: DataFrame
-    satellite: DataFrame
+    satellite_new: DataFrame    # NEW and CHANGED rows, to be upserted
+    seen: DataFrame             # UNCHANGED keys with the time they were seen
     watermarks: DataFrame
-    log: DataFrame
-
-    def release(self) -> None:
-        self.classified.unpersist()
-        self.dq.unpersist()
 
 
 class _Trace:
@@ -61,80 +66,117 @@ def _empty(spark, schema):
 
 def delta_load(staging: DataFrame, hub: DataFrame | None, satellite: DataFrame | None,
                history: DataFrame | None, rejects: DataFrame | None, watermarks: DataFrame | None,
-               log: DataFrame | None, spec: EntitySpec, ctx: LoadContext, persist: bool = True) -> LoadResult:
-    """Everything one load produces, as DataFrames (nothing is written here).
+               spec: EntitySpec, ctx: LoadContext, changes: DataFrame | None = None, buckets: int | None = None) -> LoadResult:
+    """Everything one load produces, as DataFrames.
 
-    The DQ set and the classification are persisted because five outputs read them; each is
-    recomputable from immutable inputs if an executor holding blocks is lost.
+    ``satellite`` are its base rows, ``changes`` the rows upserted on top of them, ``buckets`` the
+    base's bucket count. The marked DQ set feeds six outputs, so it is written once (it has the size
+    of the staging input) and read back: a lost executor does not repeat the staging views.
     """
     spark = staging.sparkSession
     # Legacy hash column names (IDENTIFIER_MD5 / RECORD_MD5) are read as hashkey / hashdiff.
     hub, satellite, history = [standard_hash_names(t) if t is not None else None for t in (hub, satellite, history)]
     wm = watermarks if watermarks is not None else _empty(spark, SC.WATERMARK)
-    lg = log if log is not None else _empty(spark, SC.PROCESS_LOG)
     dq = D.dq_passed(staging, rejects, wm if ctx.use_watermark else None, spec, ctx)
-    sat_in = satellite if satellite is not None else D.empty_satellite(dq, spec)
-    classified = D.classify(dq, sat_in)
-    if persist:
-        dq = dq.persist(StorageLevel.MEMORY_AND_DISK)
-        classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
-    # One row, computed once: it feeds the process log and the caller.
-    metrics_df = D.delta_metrics(classified, hub)
-    metrics = spark.createDataFrame([metrics_df.first()], metrics_df.schema)
-    hub_new = D.hub_rows(D.new_hub_keys(classified, hub), spec, ctx)
-    history_new = D.history_rows(classified, history, spec, ctx)
-    next_sat = D.next_satellite(classified, satellite, spec, ctx)
-    next_wm = D.advance_watermark(wm, dq, ctx) if ctx.use_watermark else wm
-    started = A.process_start(lg, ctx, "DELTA", spec.name, ctx.system)
-    next_log = A.process_success(started, metrics, ctx, spec.name)
-    return LoadResult(dq, classified, metrics, hub_new, history_new, next_sat, next_wm, next_log)
+    marked = materialize(D.mark(dq, satellite, changes, buckets), "marked")
+    metrics_df = D.delta_metrics(marked, hub)
+    metrics = spark.createDataFrame([metrics_df.first()], metrics_df.schema)     # one row, computed once
+    hub_new = D.hub_rows(D.new_hub_keys(marked, hub), spec, ctx)
+    changed = marked.where(F.col(D.ACTION) == D.CHANGED)
+    if satellite is None:
+        history_new = _empty(spark, SC.history(spec))
+    else:
+        history_new = D.archived(D.current_rows(changed, satellite, changes, buckets), history, ctx)
+    seen = marked.where(F.col(D.ACTION) == D.UNCHANGED).select("hashkey", "hashdiff", ctx.ts().alias("updated_datetime"))
+    next_wm = D.advance_watermark(wm, marked, ctx) if ctx.use_watermark else wm
+    return LoadResult(marked, metrics, hub_new, history_new, D.stamped(marked, spec, ctx), seen, next_wm)
+
+
+def read_satellite(store: VaultStore, table: str, spec: EntitySpec) -> DataFrame | None:
+    """The satellite with UPDATED_DATETIME of the last load that saw each row, changed or not."""
+    rows = store.read(table, SC.satellite(spec))
+    seen = store.read(f"{table}_seen", SEEN)
+    if rows is None or seen is None:
+        return rows
+    s = seen.select("hashkey", F.col("hashdiff").alias("__d"), F.col("updated_datetime").alias("__u"))
+    later = F.when(F.col("__d") == F.col("hashdiff"), F.greatest("updated_datetime", "__u")).otherwise(F.col("updated_datetime"))
+    return rows.join(s, "hashkey", "left").withColumn("updated_datetime", later).select(*D.sat_columns(spec))
+
+
+def compact_satellite(store: VaultStore, table: str, spec: EntitySpec, batch_id: str, buckets: int | None = None) -> None:
+    """Fold upserted rows and last-seen times into one base folder, bucketed by hashkey if ``buckets``."""
+    store.refresh()
+    rows = read_satellite(store, table, spec)
+    if rows is not None:
+        store.write(table, rows, batch_id, bucket_by="hashkey" if buckets else None, buckets=buckets)
+        if store.version(f"{table}_seen"):
+            store.write(f"{table}_seen", rows.limit(0).select("hashkey", "hashdiff", "updated_datetime"), batch_id)
+        store.publish()
+
+
+def _log_rows(store: VaultStore, log: DataFrame, ctx: LoadContext, model: str) -> None:
+    """Upsert the rows of (batch, model): loads that overlap do not overwrite each other's rows."""
+    mine = log.where((F.col("etl_batch_id") == ctx.batch_id) & (F.col("model_name") == A.model_name(model)))
+    store.write("process_log", mine.coalesce(1), ctx.batch_id, mode="upsert", keys=LOG_KEYS)
 
 
 def run_delta_load(store: VaultStore, staging: DataFrame, spec: EntitySpec, ctx: LoadContext,
-                   names: dict[str, str] | None = None, satellite_partitions: int | None = None,
-                   satellite_buckets: int | None = None) -> dict:
-    """Read current versions from ``store``, run ``delta_load``, write and publish the next versions.
+                   names: dict[str, str] | None = None, satellite_buckets: int | None = None) -> dict:
+    """Read current versions from ``store``, run ``delta_load``, write and publish what it changes.
 
-    Hub and history get only their new rows appended; satellite, watermark and process log are
-    rewritten. Returns the metrics row as a dict.
+    The RUNNING row of the process log is published first and closed with SUCCESS or, on any error,
+    FAILED and the message. Hub and history get new rows appended; satellite, watermark and log get
+    upserts. Returns the metrics row as a dict.
 
-    ``satellite_buckets``: write the satellite bucketed by hashkey into that many buckets. The next
-    load then reads it pre-partitioned, so the classification join shuffles only the staging side
-    (and the rewritten satellite lands one file per bucket, already in the join's partitioning).
+    ``satellite_buckets``: the first load writes the satellite bucketed by hashkey. Later loads (and
+    ``compact_satellite``) then join it where it lies and shuffle only the staging side.
     """
     n = {"hub": "hub", "sat": f"sat_{spec.origin.lower()}", "hist": f"sat_{spec.origin.lower()}_hist",
-         "reject": "reject", "wm": "source_watermark", "log": "process_log"}
+         "reject": "reject", "wm": "source_watermark"}
     n.update(names or {})
     tr = _Trace(f"load {ctx.batch_id}")
-    hub = store.read(n["hub"], SC.HUB)
-    sat = store.read(n["sat"], SC.satellite(spec))
-    hist = store.read(n["hist"], SC.history(spec))
-    rej = store.read(n["reject"], SC.REJECT)
-    wm = store.read(n["wm"], SC.WATERMARK)
-    log = store.read(n["log"], SC.PROCESS_LOG)
-    tr.step("read versions")
-    res = delta_load(staging, hub, sat, hist, rej, wm, log, spec, ctx)
-    tr.step("build plans")
+    spark = staging.sparkSession
+
+    def log() -> DataFrame:
+        found = store.read("process_log", SC.PROCESS_LOG)
+        return found if found is not None else _empty(spark, SC.PROCESS_LOG)
+
+    store.refresh()
+    _log_rows(store, A.process_start(log(), ctx, "DELTA", spec.name, ctx.system, A.now()), ctx, spec.name)
+    store.publish()
+    tr.step("log start")
     try:
+        layout = store.bucketed(n["sat"])
+        res = delta_load(staging, store.read(n["hub"], SC.HUB), store.base_rows(n["sat"], SC.satellite(spec)),
+                         store.read(n["hist"], SC.history(spec)), store.read(n["reject"], SC.REJECT),
+                         store.read(n["wm"], SC.WATERMARK), spec, ctx, store.changed_rows(n["sat"], SC.satellite(spec)),
+                         layout[1] if layout else None)
         metrics = res.metrics.first().asDict()
-        tr.step("dq + classify + metrics")
+        tr.step("dq + mark + metrics")
+        actions = {r[D.ACTION]: r["n"] for r in res.marked.groupBy(D.ACTION).agg(F.count("*").alias("n")).collect()}
         store.write(n["hub"], res.hub_new, ctx.batch_id, mode="append")
-        tr.step("write hub")
-        store.write(n["hist"], res.history_new, ctx.batch_id, mode="append")
-        tr.step("write history")
-        parts = (satellite_partitions,) if satellite_partitions else ()
-        sat_out = res.satellite.repartition(*parts, "hashkey") if satellite_partitions else res.satellite
-        store.write(n["sat"], sat_out, ctx.batch_id, bucket_by="hashkey" if satellite_buckets else None,
-                    buckets=satellite_buckets)
+        if actions.get(D.CHANGED):
+            store.write(n["hist"], res.history_new, ctx.batch_id, mode="append")
+        elif not store.version(n["hist"]):
+            store.write(n["hist"], res.history_new.limit(0), ctx.batch_id, mode="append")
+        tr.step("write hub, history")
+        first = not store.version(n["sat"])
+        if first or actions.get(D.NEW) or actions.get(D.CHANGED):
+            store.write(n["sat"], res.satellite_new, ctx.batch_id, mode="upsert", keys=("hashkey",),
+                        bucket_by="hashkey" if first and satellite_buckets else None, buckets=satellite_buckets if first else None)
+        if actions.get(D.UNCHANGED):
+            store.write(f"{n['sat']}_seen", res.seen, ctx.batch_id, mode="upsert", keys=("hashkey",))
         tr.step("write satellite")
-        store.write(n["wm"], res.watermarks.coalesce(1), ctx.batch_id)
-        store.write(n["log"], res.log.coalesce(1), ctx.batch_id)
-        tr.step("write watermark + log")
+        if ctx.use_watermark:
+            mine = (F.col("source_system") == ctx.system) & (F.col("source_object") == ctx.object_name)
+            store.write(n["wm"], res.watermarks.where(mine).coalesce(1), ctx.batch_id, mode="upsert", keys=WATERMARK_KEYS)
+        _log_rows(store, A.process_success(log(), res.metrics, ctx, spec.name, A.now()), ctx, spec.name)
         store.publish()
         tr.step("publish")
-    except Exception:
+    except Exception as e:
         store.discard()
+        store.refresh()
+        _log_rows(store, A.process_failed(log(), ctx, spec.name, f"{type(e).__name__}: {e}"[:2000], A.now()), ctx, spec.name)
+        store.publish()
         raise
-    finally:
-        res.release()
     return metrics

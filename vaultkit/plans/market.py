@@ -25,16 +25,14 @@ def current(df: DataFrame) -> DataFrame:
     return df.where(F.col("curr_flg") == 1)
 
 
-def competitor(corporation_name: Column, own_corporation: str | None) -> Column:
+def competitor(corporation_name: Column, own_corporation: str) -> Column:
     """'N' when the corporation is the owner (LIKE %own%), else 'Y' (also when unknown)."""
-    if not own_corporation:
-        return F.lit("Y")
     return F.when(upper_trim(corporation_name).like(f"%{own_corporation.upper()}%"), F.lit("N")).otherwise(F.lit("Y"))
 
 
 def substances(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Per (country, product): distinct molecule names, blank-collapsed, sorted, '|'-joined."""
-    mp = current(tables["market_molecula_producto"]).where(present("cdgprod"))
+    mp = current(tables["market_molecula_producto"]).where(present("cdgprod")).select("country", "cdgprod", "cdgmol").distinct()
     mol = current(tables["market_molecula"]).where(present("nome"))
     j = mp.join(mol, (mp["cdgmol"] == mol["codigomole"]) & (mp["country"] == mol["country"]))
     rows = j.select(upper_trim(mp["country"]).alias("geographic_id"), F.trim(mp["cdgprod"]).alias("dataset_product_id"),
@@ -42,7 +40,7 @@ def substances(tables: Mapping[str, DataFrame]) -> DataFrame:
     return sorted_distinct_list(rows, ["geographic_id", "dataset_product_id"], "molecule", "|", "substance")
 
 
-def _brand_rows(tables: Mapping[str, DataFrame], own_corporation: str | None) -> DataFrame:
+def _brand_rows(tables: Mapping[str, DataFrame], own_corporation: str) -> DataFrame:
     m = current(tables["market_marcas"]).alias("m")
     c = current(tables["market_corporacao"]).alias("c")
     lab = current(tables["market_laboratorio"]).alias("lab")
@@ -64,7 +62,7 @@ def _brand_rows(tables: Mapping[str, DataFrame], own_corporation: str | None) ->
     )
 
 
-def _product_rows(tables: Mapping[str, DataFrame], own_corporation: str | None) -> DataFrame:
+def _product_rows(tables: Mapping[str, DataFrame], own_corporation: str) -> DataFrame:
     p = current(tables["market_producto"]).alias("p")
     s = substances(tables).alias("s")
     m = current(tables["market_marcas"]).alias("m")
@@ -92,7 +90,7 @@ def _product_rows(tables: Mapping[str, DataFrame], own_corporation: str | None)
     )
 
 
-def market_products(tables: Mapping[str, DataFrame], ctx: LoadContext, own_corporation: str | None = None) -> DataFrame:
+def market_products(tables: Mapping[str, DataFrame], ctx: LoadContext, own_corporation: str) -> DataFrame:
     """Product staging: brand rows and product rows, one row per (hashkey, hashdiff)."""
     rows = union_all([_brand_rows(tables, own_corporation), _product_rows(tables, own_corporation)])
     rows = rows.withColumns({

@@ -10,15 +10,15 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultkit.operators import audit as A
 from vaultkit.operators import models as M
 from vaultkit.operators.delta import sat_columns
-from vaultkit.operators.quality import find_rejects, new_rejects
+from vaultkit.operators.quality import exclude_rejects, find_rejects, new_rejects
 from vaultkit.plans.store import VaultStore
+from vaultkit.session import materialize
 from vaultkit.sources import schemas as SC
 from vaultkit.spec import EntitySpec, LoadContext
 
@@ -33,93 +33,126 @@ class ModelInputs:
     snapshot_models: tuple[str, ...] = ()       # product staging models to snapshot
 
 
+LOG_KEYS = ("etl_batch_id", "model_name")
+CONTROL_KEYS = ("etl_batch_id",)
+
+
 def run_models(store: VaultStore, inputs: ModelInputs, ctx: LoadContext, pipeline: str = "vault") -> dict:
-    """Run the models of one batch against ``store``; returns per-model processed rows."""
+    """Run the models of one batch against ``store``; returns per-model processed rows.
+
+    The batch row and a RUNNING row per model are published before the work. On an error the model
+    that failed and its message go into the log, the batch closes as FAILED and the error is raised.
+    """
     from vaultkit.plans.load import _Trace
     tr = _Trace(f"models {ctx.batch_id}")
     spark = inputs.countries.sparkSession
     results: list[tuple] = []
-    seq = 0
-
-    def log_model(layer: str, model: str, rows: int | None = None, affected: int | None = None,
-                  inserted: int = 0, updated: int = 0) -> None:
-        """One model result: row count (STAGE / DQ / DM layers) or affected rows (others)."""
-        nonlocal seq
-        seq += 1
-        results.append((seq, layer, model, "success", None, rows, affected, inserted, updated, 0))
-
-    control = store.read("batch_control", SC.BATCH_CONTROL) or spark.createDataFrame([], SC.BATCH_CONTROL)
-    log = store.read("process_log", SC.PROCESS_LOG) or spark.createDataFrame([], SC.PROCESS_LOG)
-    store.write("batch_control", A.batch_start(control, ctx, pipeline).coalesce(1), ctx.batch_id)
+    running: list[tuple[str, str]] = []         # (layer, model) at work
+
+    def table(name, schema):
+        found = store.read(name, schema)
+        return found if found is not None else spark.createDataFrame([], schema)
+
+    def upsert_log(log: DataFrame) -> None:
+        store.write("process_log", log.where(F.col("etl_batch_id") == ctx.batch_id).coalesce(1), ctx.batch_id, mode="upsert", keys=LOG_KEYS)
+
+    def begin(layer: str, model: str) -> None:
+        running[:] = [(layer, model)]
+
+    def done(rows: int | None = None, affected: int | None = None, inserted: int = 0) -> None:
+        """Result of the model at work: row count (STAGE / DQ / DM layers) or affected rows (others)."""
+        (layer, model), running[:] = running[0], []
+        results.append((len(results) + 1, layer, model, "success", None, rows, affected, inserted, 0, 0))
+
+    def close() -> None:
+        store.discard()
+        store.refresh()
+        res = spark.createDataFrame(results, SC.RUN_RESULTS)
+        at = A.now()
+        upsert_log(A.process_end(table("process_log", SC.PROCESS_LOG), res, ctx, ctx.system, at))
+        control = A.batch_end(table("batch_control", SC.BATCH_CONTROL), res, ctx, at)
+        store.write("batch_control", control.where(F.col("etl_batch_id") == ctx.batch_id).coalesce(1), ctx.batch_id, mode="upsert", keys=CONTROL_KEYS)
+        store.publish()
+
+    store.refresh()
+    at = A.now()
+    control = A.batch_start(table("batch_control", SC.BATCH_CONTROL), ctx, pipeline, at)
+    store.write("batch_control", control.where(F.col("etl_batch_id") == ctx.batch_id).coalesce(1), ctx.batch_id, mode="upsert", keys=CONTROL_KEYS)
+    planned = [("STAGE", m) for m in (*inputs.products, *inputs.identifiers, *inputs.relationships)]
+    planned += [("DQ", "REJECT"), ("HUB", "HUB"), *[(x, y) for t in inputs.satellite_sources for x, y in (
+        ("SAT", t.upper()), ("HIST", f"{t.upper()}_HIST"), ("DM", f"DM_{t.upper()}"))]]
+    planned += [("HIST", f"{m}_SNAPSHOT") for m in inputs.snapshot_models]
+    log = table("process_log", SC.PROCESS_LOG)
+    for layer, model in planned:
+        log = A.process_start(log, ctx, layer, model, ctx.system, at)
+    upsert_log(log)
     store.publish()
     tr.step("batch start")
-
-    # Staging views feed the row counts, REJECT, HUB, SAT, HIST and snapshots: freeze them once for
-    # the run (recomputable from the sources if an executor holding blocks is lost).
-    frozen = {name: df.persist(StorageLevel.MEMORY_AND_DISK)
-              for name, df in {**inputs.products, **inputs.identifiers, **inputs.relationships}.items()}
-    products = {k: frozen[k] for k in inputs.products}
-    identifiers = {k: frozen[k] for k in inputs.identifiers}
-    relationships = {k: frozen[k] for k in inputs.relationships}
-    all_staging = frozen
-    for name, df in all_staging.items():
-        log = A.model_start(log, ctx, "STAGE", name, ctx.system)
-        log_model("STAGE", name, rows=df.count())
-
-    tr.step("staging counts")
-    # REJECT: insert only keys not stored yet
-    existing = store.read("reject", SC.REJECT)
-    found = find_rejects(dict(products), inputs.countries, ctx)
-    new_path = store.write("reject", new_rejects(found, existing), ctx.batch_id, mode="append")
-    store.publish()
-    rejects = store.read("reject", SC.REJECT)
-    log_model("DQ", "REJECT", rows=rejects.count(), inserted=_written(spark, new_path))
-
-    tr.step("reject")
-    # HUB: insert-only-new over all sources
-    hub = store.read("hub", SC.HUB)
-    hub_new = M.hub_full(products.values(), identifiers.values(), relationships.values(), rejects, hub, ctx)
-    n_hub = _written(spark, store.write("hub", hub_new, ctx.batch_id, mode="append"))
-
-    tr.step("hub")
-    # SAT and SAT_HIST per satellite (history compares the satellite before this run)
-    for table, (spec, model) in inputs.satellite_sources.items():
-        before = store.read(table, SC.satellite(spec))
-        staging = all_staging[model]
-        sat_rejects = rejects if spec.origin == "PRODUCT" else None   # only the product satellite drops rejects
-        nxt = M.sat_incremental(staging, before, sat_rejects, spec, ctx).select(*sat_columns(spec))
-        hist_table = f"{table}_hist"
-        expired = M.expire_versions(before, staging, store.read(hist_table, SC.history(spec)), spec, ctx)
-        sat_path = store.write(table, nxt, ctx.batch_id)
-        n_exp = _written(spark, store.write(hist_table, expired, ctx.batch_id, mode="append"))
-        n_sat = spark.read.parquet(sat_path).where(F.col("etl_batch_id") == ctx.batch_id).count()
-        log_model("SAT", table.upper(), affected=n_sat)
-        log_model("HIST", f"{table.upper()}_HIST", affected=n_exp, inserted=n_exp)
-        mart = M.mart(spark.read.schema(SC.satellite(spec)).parquet(sat_path), spec, ctx.batch_id)
-        log_model("DM", f"DM_{table.upper()}", rows=_written(spark, store.write(f"dm_{table}", mart, ctx.batch_id)))
-
-    tr.step("satellites, history, marts")
-    # staging snapshots: one folder per batch; a rerun of the batch replaces only that folder
-    for model in inputs.snapshot_models:
-        t = f"snapshot_{model.lower()}"
-        before = store.read_batch(t, ctx.batch_id)
-        snap = M.snapshot(products[model], rejects, before, ctx)
-        log_model("HIST", f"{model}_SNAPSHOT", affected=_written(spark, store.write(t, snap, ctx.batch_id, mode="replace_batch")))
-
-    store.publish()
-    tr.step("snapshots")
-    log_model("HUB", "HUB", affected=n_hub, inserted=n_hub)
-    for name in all_staging:
-        log = A.model_end(log, ctx, name, A.SUCCESS)
-    res = spark.createDataFrame(results, SC.RUN_RESULTS)
-    log = A.process_end(log, res, ctx, ctx.system)
-    control = store.read("batch_control", SC.BATCH_CONTROL)
-    store.write("process_log", log.coalesce(1), ctx.batch_id)
-    store.write("batch_control", A.batch_end(control, res, ctx).coalesce(1), ctx.batch_id)
-    store.publish()
+    try:
+        # Staging views feed the row counts, REJECT, HUB, SAT, HIST and snapshots: each is written once.
+        staging: dict[str, DataFrame] = {}
+        for name, df in {**inputs.products, **inputs.identifiers, **inputs.relationships}.items():
+            begin("STAGE", name)
+            staging[name] = materialize(df, "staging")
+            done(rows=staging[name].count())             # footers
+        products = {k: staging[k] for k in inputs.products}
+        tr.step("staging")
+
+        begin("DQ", "REJECT")                            # only keys not stored yet
+        found = find_rejects(products, inputs.countries, ctx)
+        new = store.write("reject", new_rejects(found, store.read("reject", SC.REJECT)), ctx.batch_id, mode="append")
+        store.publish()
+        rejects = store.read("reject", SC.REJECT)
+        done(rows=rejects.count(), inserted=_written(spark, new))
+        tr.step("reject")
+
+        begin("HUB", "HUB")
+        hub_new = M.hub_full(products.values(), [staging[k] for k in inputs.identifiers], [staging[k] for k in inputs.relationships],
+                             rejects, store.read("hub", SC.HUB), ctx)
+        n = _written(spark, store.write("hub", hub_new, ctx.batch_id, mode="append"))
+        done(affected=n, inserted=n)
+        tr.step("hub")
+
+        # SAT and SAT_HIST per satellite (history compares the satellite before this run)
+        for name, (spec, model) in inputs.satellite_sources.items():
+            begin("SAT", name.upper())
+            before = store.read(name, SC.satellite(spec))
+            sat_rejects = rejects if spec.origin == "PRODUCT" else None   # only products drop rejects, also in the history
+            clean = staging[model] if sat_rejects is None else exclude_rejects(staging[model], sat_rejects, ("dataset_product_id",))
+            rows = M.new_or_changed(M.sat_rows(clean, spec, ctx), before).select(*sat_columns(spec))
+            path = store.write(name, rows, ctx.batch_id, mode="upsert", keys=("hashkey",))
+            done(affected=_written(spark, path))
+            begin("HIST", f"{name.upper()}_HIST")
+            expired = M.expire_versions(before, staging[model], store.read(f"{name}_hist", SC.history(spec)), spec, ctx, sat_rejects)
+            n = _written(spark, store.write(f"{name}_hist", expired, ctx.batch_id, mode="append"))
+            done(affected=n, inserted=n)
+            begin("DM", f"DM_{name.upper()}")
+            # The batch's active rows are those just written, plus earlier ones of the same batch on a rerun.
+            mart = spark.read.schema(SC.satellite(spec)).parquet(path)
+            if before is not None:
+                mart = mart.unionByName(before.where(F.col("etl_batch_id") == ctx.batch_id).join(mart.select("hashkey"), "hashkey", "left_anti").select(*mart.columns))
+            mart = M.mart(mart, spec, ctx.batch_id)
+            done(rows=_written(spark, store.write(f"dm_{name}", mart, ctx.batch_id)))
+        tr.step("satellites, history, marts")
+
+        # staging snapshots: one folder per batch; a rerun of the batch replaces only that folder
+        for model in inputs.snapshot_models:
+            begin("HIST", f"{model}_SNAPSHOT")
+            t = f"snapshot_{model.lower()}"
+            snap = M.snapshot(products[model], rejects, store.read_batch(t, ctx.batch_id), ctx)
+            done(affected=_written(spark, store.write(t, snap, ctx.batch_id, mode="replace_batch")))
+        store.publish()
+        tr.step("snapshots")
+    except Exception as e:
+        layer, model = running[0] if running else ("RUN", "RUN")
+        results.append((len(results) + 1, layer, model, "error", f"{type(e).__name__}: {e}"[:2000], None, 0, 0, 0, 0))
+        ran = {r[2] for r in results}
+        results.extend((len(results) + k, layer, model, "skipped", None, 0, 0, 0, 0, 0)
+                       for k, (layer, model) in enumerate((p for p in planned if p[1] not in ran), 1))
+        close()
+        raise
+    close()
     tr.step("audit")
-    for df in frozen.values():
-        df.unpersist()
     return {r[2]: (r[5] if r[5] is not None else r[6]) for r in results}
 
 

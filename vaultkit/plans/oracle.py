@@ -7,12 +7,10 @@ statement with the CTEs it needs, in dependency order.
 
 from __future__ import annotations
 
-from vaultkit.sources import testbed as tb
-from vaultkit.spec import (
-    IDENTIFIER, PRODUCT, RELATIONSHIP, SAT_META, EntitySpec,
-)
+from vaultkit.plans.oracle_values import BED as tb
+from vaultkit.plans.oracle_values import IDENTIFIER, PRODUCT, RELATIONSHIP, SAT_META, Entity
 
-RUN = f"TIMESTAMP '{tb.RUN_TS.strftime('%Y-%m-%d %H:%M:%S')}'"
+RUN = f"TIMESTAMP '{tb.RUN_TS}'"
 DAY1 = f"TIMESTAMP '{tb.DAY1_TS}'"
 HIST0_END = f"TIMESTAMP '{tb.HIST0_END_TS}'"
 FLOOR = "TIMESTAMP '1900-01-01 00:00:00'"
@@ -34,7 +32,7 @@ def blank(c: str) -> str:
     return f"({c} IS NULL OR trim({c}) = '')"
 
 
-def conform_cols(spec: EntitySpec, have: set[str]) -> str:
+def conform_cols(spec: Entity, have: set[str]) -> str:
     out = []
     for c in spec.columns:
         t = "DATE" if c in spec.date_cols else "VARCHAR"
@@ -42,13 +40,13 @@ def conform_cols(spec: EntitySpec, have: set[str]) -> str:
     return ", ".join(out)
 
 
-def staged(src: str, have: set[str], spec: EntitySpec, batch: str, load_ts: str, rs: str = tb.RECORD_SOURCE) -> str:
+def staged(src: str, have: set[str], spec: Entity, batch: str, load_ts: str, rs: str = tb.RECORD_SOURCE) -> str:
     inner = f"SELECT {conform_cols(spec, have)}, source_lastmodifieddate FROM {src}"
     return (f"SELECT *, {md5_of(spec.key_cols)} AS hashkey, {md5_of(spec.diff_cols)} AS hashdiff, "
             f"{load_ts} AS load_datetime, {q(batch)} AS etl_batch_id, {q(rs)} AS record_source FROM ({inner})")
 
 
-def sat_select(src: str, spec: EntitySpec, batch: str, at: str) -> str:
+def sat_select(src: str, spec: Entity, batch: str, at: str) -> str:
     cols = ", ".join(spec.columns)
     return (f"SELECT hashkey, hashdiff, {at} AS start_datetime, {at} AS load_datetime, "
             f"CAST(NULL AS TIMESTAMP) AS end_datetime, {at} AS updated_datetime, {q(batch)} AS etl_batch_id, "
@@ -99,7 +97,7 @@ def reject_sql(stg: str, model: str) -> str:
             f"etl_batch_id, record_source, reject_source_model, rejected_record FROM ({base})")
 
 
-def dq_sql(stg: str, rejects: str, spec: EntitySpec, floor: str = FLOOR, wm_col: str = "source_lastmodifieddate") -> str:
+def dq_sql(stg: str, rejects: str, spec: Entity, floor: str = FLOOR, wm_col: str = "source_lastmodifieddate") -> str:
     req = " AND ".join(present(f"s.{c}") for c in spec.required_cols)
     anti = " AND ".join(
         f"NOT EXISTS (SELECT 1 FROM {rejects} r WHERE r.dataset_product_id = upper(trim(s.{c})))" for c in spec.reject_id_cols
@@ -136,7 +134,7 @@ cte("fx_day1_0",
     "SELECT upper(trim(n_name)) AS geographic_id, 'CRM' AS dataset_id, 'CUSTOMER' AS source_dataset_id, "
     "CAST(c_custkey AS VARCHAR) AS dataset_product_id, c_mktsegment AS product_type_code, upper(c_name) AS product_name, "
     "CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS strength, modified AS source_lastmodifieddate "
-    "FROM fx_base WHERE c_custkey % 10 <> 0 AND c_custkey % 13 <> 0 AND c_custkey % 17 <> 0 "
+    "FROM fx_base WHERE c_custkey % 10 <> 0 AND c_custkey % 17 <> 0 "
     "AND upper(trim(n_name)) IN (SELECT iso2_code FROM fx_country)", ["fx_base", "fx_country"])
 cte("fx_day1", staged("fx_day1_0", PRODUCT_HAVE, PRODUCT, tb.DAY1_BATCH, DAY1), ["fx_day1_0"])
 cte("fx_sat0", sat_select("fx_day1", PRODUCT, tb.DAY1_BATCH, DAY1), ["fx_day1"])
@@ -409,8 +407,9 @@ oracle("sat_incremental",
        ["fx_stg", "fx_reject", "fx_sat0"])
 oracle("hist_incremental",
        f"SELECT {', '.join(c for c in HIST_COLS if c != 'end_datetime')}, {RUN} AS end_datetime FROM fx_sat0 t "
-       "WHERE EXISTS (SELECT 1 FROM fx_stg i WHERE i.hashkey = t.hashkey AND i.hashdiff <> t.hashdiff) "
-       "AND NOT EXISTS (SELECT 1 FROM fx_hist0 h WHERE h.hashdiff = t.hashdiff)", ["fx_sat0", "fx_stg", "fx_hist0"])
+       "WHERE EXISTS (SELECT 1 FROM fx_stg i WHERE i.hashkey = t.hashkey AND i.hashdiff <> t.hashdiff "
+       "AND NOT EXISTS (SELECT 1 FROM fx_reject r WHERE r.dataset_product_id = upper(trim(i.dataset_product_id)))) "
+       "AND NOT EXISTS (SELECT 1 FROM fx_hist0 h WHERE h.hashdiff = t.hashdiff)", ["fx_sat0", "fx_stg", "fx_hist0", "fx_reject"])
 STG_COLS = list(PRODUCT.columns) + ["source_lastmodifieddate", "hashkey", "hashdiff", "load_datetime", "etl_batch_id", "record_source"]
 oracle("snapshot_batch",
        f"WITH snap0 AS (SELECT {DAY1} AS captured_at, * FROM fx_day1), "
@@ -461,8 +460,8 @@ oracle("schema_sync",
 
 
 # --- staging pipelines over the adapters ---------------------------------------------------------
-from vaultkit.plans import constants as K  # noqa: E402
-from vaultkit.spec import PRODUCT_DIFF_CRM  # noqa: E402
+from vaultkit.plans.oracle_values import LABELS as K  # noqa: E402
+from vaultkit.plans.oracle_values import PRODUCT_DIFF_CRM  # noqa: E402
 
 AREAS = ", ".join(q(a) for a in K.THERAPY_AREAS)
 
@@ -729,8 +728,8 @@ oracle("market_relationships", "SELECT * FROM (" + staged("mkt_rtx", {"parent_ge
        ["mkt_rtx"])
 
 # --- legacy history ----------------------------------------------------------------------------
-from vaultkit.plans.legacy import LEGACY_NULL_COLUMNS, INDICATORS, QUANTITIES  # noqa: E402
-from vaultkit.spec import PRODUCT_DATE_COLUMNS, PRODUCT_DIFF_LEGACY  # noqa: E402
+from vaultkit.plans.oracle_values import (  # noqa: E402
+    INDICATORS, LEGACY_NULL_COLUMNS, PRODUCT_DATE_COLUMNS, PRODUCT_DIFF_LEGACY, QUANTITIES)
 
 LEG_GIVEN = {
     "geographic_id": "CASE WHEN p_partkey % 3 = 0 THEN ' mx ' ELSE 'MX' END",
@@ -853,3 +852,57 @@ oracle("model_log",
        "CAST(0 AS BIGINT), CAST(0 AS BIGINT) "
        f"UNION ALL SELECT {q(tb.DAY2_BATCH)}, 'SAT', 'SAT_PRODUCT', 'CRM', 'SUCCESS', {RUN}, {RUN}, delta_inserted_rows + delta_updated_rows, '', "
        "delta_inserted_rows, delta_updated_rows FROM fx_metrics", ["fx_log0", "fx_reject", "fx_metrics"])
+
+
+# --- identifier and relationship deltas, first load ----------------------------------------------
+
+def _entity_delta(prefix: str, spec: Entity, day2: str, day1: str, deps: list[str]) -> None:
+    """CTEs of one entity: day 2 staging, day 1 satellite, DQ set, action, next satellite."""
+    cte(f"{prefix}_stg", day2, deps)
+    cte(f"{prefix}_day1", staged(f"({day1})", set(spec.columns), spec, tb.DAY1_BATCH, DAY1), deps)
+    cte(f"{prefix}_sat0", sat_select(f"{prefix}_day1", spec, tb.DAY1_BATCH, DAY1), [f"{prefix}_day1"])
+    cte(f"{prefix}_dq", dq_sql(f"{prefix}_stg", "fx_reject", spec), [f"{prefix}_stg", "fx_reject"])
+    take = "t.hashkey IS NULL OR (s.hashkey IS NOT NULL AND s.hashdiff <> t.hashdiff)"
+    kept = {"start_datetime": RUN, "load_datetime": RUN, "end_datetime": "CAST(NULL AS TIMESTAMP)", "etl_batch_id": q(tb.DAY2_BATCH)}
+    out = [f"CASE WHEN {take} THEN {kept.get(c, 's.' + c)} ELSE t.{c} END AS {c}"
+           for c in (*SAT_META, *spec.columns) if c not in ("hashkey", "updated_datetime")]
+    oracle({"relationship_optional_parent": "relationship_delta_optional_parent"}.get(prefix, f"{prefix}_delta"),
+           "SELECT coalesce(s.hashkey, t.hashkey) AS hashkey, CASE WHEN t.hashkey IS NULL THEN 'NEW' WHEN s.hashkey IS NULL THEN 'ABSENT' "
+           "WHEN s.hashdiff = t.hashdiff THEN 'UNCHANGED' ELSE 'CHANGED' END AS action, "
+           f"CASE WHEN s.hashkey IS NULL THEN t.updated_datetime ELSE {RUN} END AS updated_datetime, "
+           + ", ".join(out) + f" FROM {prefix}_dq s FULL OUTER JOIN {prefix}_sat0 t ON s.hashkey = t.hashkey", [f"{prefix}_dq", f"{prefix}_sat0"])
+
+
+_IDENT_COLS = ", ".join(c for c in IDENTIFIER.columns if c != "effective_date")
+_entity_delta(
+    "identifier", IDENTIFIER, "SELECT * FROM fx_ident WHERE CAST(dataset_product_id AS BIGINT) % 11 <> 0",
+    f"SELECT {_IDENT_COLS}, CASE WHEN CAST(dataset_product_id AS BIGINT) % 7 = 0 THEN effective_date - 1 ELSE effective_date END AS effective_date, "
+    "source_lastmodifieddate FROM fx_ident WHERE CAST(dataset_product_id AS BIGINT) % 10 <> 0", ["fx_ident"])
+_REL_COLS = ", ".join(c for c in RELATIONSHIP.columns if c != "status_code")
+_REL_DAY1 = (f"SELECT {_REL_COLS}, CASE WHEN CAST(child_dataset_product_id AS BIGINT) % 7 = 0 THEN 'OLD' ELSE status_code END AS status_code, "
+             "source_lastmodifieddate FROM fx_rel WHERE CAST(child_dataset_product_id AS BIGINT) % 10 <> 0")
+_entity_delta("relationship", RELATIONSHIP, "SELECT * FROM fx_rel WHERE CAST(child_dataset_product_id AS BIGINT) % 11 <> 0", _REL_DAY1, ["fx_rel"])
+_REL_OPT = ", ".join(c for c in RELATIONSHIP.columns if c != "parent_dataset_product_id")
+_entity_delta(
+    "relationship_optional_parent", RELATIONSHIP._replace(required_cols=tuple(c for c in RELATIONSHIP.required_cols if c != "parent_dataset_product_id")),
+    staged(f"(SELECT {_REL_OPT}, CASE WHEN CAST(child_dataset_product_id AS BIGINT) % 3 = 0 THEN NULL ELSE parent_dataset_product_id END AS "
+           "parent_dataset_product_id, source_lastmodifieddate FROM fx_rel WHERE CAST(child_dataset_product_id AS BIGINT) % 11 <> 0)",
+           set(RELATIONSHIP.columns), RELATIONSHIP, tb.DAY2_BATCH, RUN),
+    _REL_DAY1, ["fx_rel"])
+oracle("first_load",
+       "SELECT hashkey, hashdiff, " + ", ".join(f"{RUN} AS {c}" for c in ("start_datetime", "load_datetime"))
+       + f", CAST(NULL AS TIMESTAMP) AS end_datetime, {RUN} AS updated_datetime, {q(tb.DAY2_BATCH)} AS etl_batch_id, record_source, "
+       + ", ".join(PRODUCT.columns) + " FROM fx_dq", ["fx_dq"])
+oracle("legacy_hash_names", "SELECT hashkey, hashdiff, dataset_product_id FROM fx_sat0", ["fx_sat0"])
+oracle("reject_image", "SELECT reject_key, s.product_name, s.hashkey AS image_hashkey FROM fx_reject r JOIN fx_stg s ON r.hashkey = s.hashkey",
+       ["fx_reject", "fx_stg"])
+_FAILED = "'Compilation error in HUB'"
+oracle("batch_control_failed",
+       f"SELECT {q(tb.DAY2_BATCH)} AS etl_batch_id, 'VAULT' AS pipeline_name, (SELECT count(*) FROM fx_reject) AS total_rejected_records, "
+       f"{RUN} AS start_timestamp, {RUN} AS end_timestamp, 'FAILED' AS process_status, {_FAILED} AS error_message", ["fx_reject"])
+oracle("process_end_failed",
+       "SELECT * FROM fx_log0 UNION ALL "
+       f"SELECT {q(tb.DAY2_BATCH)}, 'DQ', 'REJECT', 'CRM', 'SUCCESS', {RUN}, {RUN}, (SELECT count(*) FROM fx_reject), '', CAST(0 AS BIGINT), CAST(0 AS BIGINT) "
+       f"UNION ALL SELECT {q(tb.DAY2_BATCH)}, 'HUB', 'HUB', 'CRM', 'ERROR', {RUN}, {RUN}, CAST(0 AS BIGINT), {_FAILED}, CAST(0 AS BIGINT), CAST(0 AS BIGINT) "
+       f"UNION ALL SELECT {q(tb.DAY2_BATCH)}, 'STAGE', 'STG_PRODUCT', 'CRM', 'SUCCESS', {RUN}, {RUN}, (SELECT count(*) FROM fx_stg), '', "
+       "CAST(0 AS BIGINT), CAST(0 AS BIGINT)", ["fx_log0", "fx_reject", "fx_stg"])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from vaultkit.operators import delta as D
 from vaultkit.sources import testbed as tb
+from vaultkit.sources.schemas import BATCH_CONTROL
 from vaultkit.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,11 +54,11 @@ def delta_classified(spark, sf_dir):
 from vaultkit import functions as VF  # noqa: E402
 from vaultkit.operators import audit as A  # noqa: E402
 from vaultkit.operators import models as M  # noqa: E402
-from vaultkit.operators.conform import append_synced  # noqa: E402
+from vaultkit.operators.conform import append_synced, standard_hash_names  # noqa: E402
 from vaultkit.operators.dedupe import latest_by, lookup_parent, sorted_distinct_list, union_all, union_distinct  # noqa: E402
 from vaultkit.operators.labels import label_rows  # noqa: E402
-from vaultkit.operators.quality import exclude_rejects, keep_known_countries, new_rejects  # noqa: E402
-from vaultkit.spec import PRODUCT, RELATIONSHIP  # noqa: E402
+from vaultkit.operators.quality import exclude_rejects, find_rejects, keep_known_countries, new_rejects  # noqa: E402
+from vaultkit.spec import IDENTIFIER, PRODUCT, RELATIONSHIP  # noqa: E402
 
 
 def _classified(t):
@@ -316,6 +317,55 @@ def watermark_upsert(spark, sf_dir):
     return D.advance_watermark(wm, dq, tb.ctx())
 
 
+def _entity_delta(t, staging, satellite, spec):
+    """Next satellite of an entity with the action of every key."""
+    c = D.classify(D.dq_passed(staging, tb.rejects_day2(t), None, spec, tb.ctx()), satellite)
+    action = c.select("hashkey", "action")
+    return D.next_satellite(c, None, spec, tb.ctx()).join(action, "hashkey")
+
+
+@query
+def identifier_delta(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return _entity_delta(t, tb.identifiers_day2(t), tb.identifier_satellite_day1(t), IDENTIFIER)
+
+
+@query
+def relationship_delta(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return _entity_delta(t, tb.relationships_day2(t), tb.relationship_satellite_day1(t), RELATIONSHIP)
+
+
+@query
+def relationship_delta_optional_parent(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return _entity_delta(t, tb.relationships_without_some_parents(t), tb.relationship_satellite_day1(t),
+                         RELATIONSHIP.optional("parent_dataset_product_id"))
+
+
+@query
+def first_load(spark, sf_dir):
+    """The load's own outputs with no satellite, hub or history yet: every DQ row is new."""
+    t = _t(spark, sf_dir)
+    marked = D.mark(tb.dq_day2(t), None)
+    return D.stamped(marked, PRODUCT, tb.ctx())
+
+
+@query
+def legacy_hash_names(spark, sf_dir):
+    sat = tb.satellite_day1(_t(spark, sf_dir)).withColumnsRenamed({"hashkey": "IDENTIFIER_MD5", "hashdiff": "RECORD_MD5"})
+    return standard_hash_names(sat).select("hashkey", "hashdiff", "dataset_product_id")
+
+
+@query
+def reject_image(spark, sf_dir):
+    """Rejects with the record kept as VARIANT; two fields are read back from it."""
+    t = _t(spark, sf_dir)
+    r = find_rejects({tb.STAGING_MODEL: tb.staging_day2(t)}, tb.countries(t), tb.ctx(), as_variant=True)
+    field = lambda f: F.try_variant_get("rejected_record", f"$.{f}", "string")
+    return r.select("reject_key", field("product_name").alias("product_name"), field("hashkey").alias("image_hashkey"))
+
+
 # --- step 5: model-mode loads ------------------------------------------------------------------
 
 @query
@@ -334,7 +384,7 @@ def sat_incremental(spark, sf_dir):
 @query
 def hist_incremental(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return M.expire_versions(tb.satellite_day1(t), tb.staging_day2(t), tb.history_day1(t), PRODUCT, tb.ctx())
+    return M.expire_versions(tb.satellite_day1(t), tb.staging_day2(t), tb.history_day1(t), PRODUCT, tb.ctx(), tb.rejects_day2(t))
 
 
 def _snapshot_day1(t):
@@ -421,6 +471,35 @@ def batch_control(spark, sf_dir):
     return A.batch_end(control, rejects.unionByName(m), tb.ctx())
 
 
+def _failed_results(t):
+    """Run results with a failed HUB model after REJECT and the staging model, whose name is not standard."""
+    def row(seq, layer, model, status, message, rows):
+        return rows.select(
+            F.lit(seq).alias("seq"), F.lit(layer).alias("layer_name"), F.lit(model).alias("model_name"), F.lit(status).alias("status"),
+            F.lit(message).cast("string").alias("message"), F.col("row_count"), F.lit(None).cast("long").alias("rows_affected"),
+            F.lit(None).cast("long").alias("rows_inserted"), F.lit(None).cast("long").alias("rows_updated"),
+            F.lit(None).cast("long").alias("rows_deleted"))
+
+    count = lambda df: df.agg(F.count(F.lit(1)).cast("long").alias("row_count"))
+    none = t.spark.range(1).select(F.lit(None).cast("long").alias("row_count"))
+    return union_all([row(1, "stg", "stg_product_veeva", "success", None, count(tb.staging_day2(t))),
+                      row(2, "dq", "reject", "success", None, count(tb.rejects_day2(t))),
+                      row(3, "hub", "hub", "error", "Compilation error in HUB", none)])
+
+
+@query
+def batch_control_failed(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    control = A.batch_start(spark.createDataFrame([], BATCH_CONTROL), tb.ctx(), "vault")
+    return A.batch_end(control, _failed_results(t), tb.ctx())
+
+
+@query
+def process_end_failed(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return A.process_end(_log_day1(t), _failed_results(t), tb.ctx(), "CRM")
+
+
 @query
 def model_log(spark, sf_dir):
     """Model-level audit: a model run opens and closes its log row, then the run-end roll-up

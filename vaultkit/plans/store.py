@@ -1,125 +1,169 @@
 """Versioned Parquet tables under one shared folder.
 
-Plain Parquet has no row-level MERGE, so a load reads version n of each table and writes version
-n+1 into a new folder; nothing the running plan reads is ever overwritten. A table version is a
-list of folders: ``replace`` starts a new list (satellite, watermark, log), ``append`` adds one
-folder to the previous list (hub and history are insert-only, so only the new rows are written).
-Versions become visible when ``publish`` appends their entries to the catalog table, a small
-Parquet table in the same folder.
+Plain Parquet has no row-level MERGE, so a load writes new folders and nothing a running plan reads
+is ever overwritten. The live folders of a table depend on how each was written:
+  * ``replace`` starts a new list;
+  * ``append`` adds a folder (hub, history: insert-only);
+  * ``upsert`` adds a folder of whole rows, of which the newest per key counts on read (satellites,
+    watermark, logs), so a load writes only the rows it changes;
+  * ``replace_batch`` replaces the folder of the same batch.
+``publish`` makes all staged folders visible at once: it writes the list of live folders as the next
+numbered commit. A commit that another writer took first is retried on top of it; appends and upserts
+of both survive. A ``replace`` computed from folders that have changed since is refused
+(``PublishConflict``): it would drop the rows published in between.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import os
+import re
+import time
 import uuid
-from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vaultkit.operators.dedupe import latest_by
+
 CATALOG = "_catalog"
+KEEP_COMMITS = 20
+SEQ = "__seq"
 CATALOG_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()), T.StructField("version", T.LongType()),
     T.StructField("mode", T.StringType()), T.StructField("path", T.StringType()),
     T.StructField("batch_id", T.StringType()), T.StructField("committed_at", T.TimestampNTZType()),
     T.StructField("bucket_col", T.StringType()), T.StructField("buckets", T.IntegerType()),
+    T.StructField("keys", T.StringType()),
 ])
 
 
+class PublishConflict(RuntimeError):
+    """A replaced table has changed since it was read; the staged folders were not published."""
+
+
 class VaultStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        self._pending: list[tuple] = []
-        self._snapshot: list[tuple] | None = None
+        self._pending: list[dict] = []
+        self._live: list[dict] | None = None
 
     # --- catalog ------------------------------------------------------------------------------
-    def _catalog(self) -> DataFrame | None:
-        path = f"{self.base}/{CATALOG}"
-        try:
-            return self.spark.read.schema(CATALOG_SCHEMA).parquet(path)
-        except Exception:  # no catalog written yet
-            return None
+    def _path(self, path: str):
+        sc = self.spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def _commits(self) -> list[int]:
+        """Numbers of complete commits, oldest first. Only a missing folder means an empty store:
+        any other failure to read is raised."""
+        folder, fs = self._path(f"{self.base}/{CATALOG}")
+        if not fs.exists(folder):
+            return []
+        found = []
+        for s in fs.listStatus(folder):
+            m = re.fullmatch(r"c(\d+)", s.getPath().getName())
+            if m and fs.exists(self._path(f"{self.base}/{CATALOG}/{s.getPath().getName()}/_SUCCESS")[0]):
+                found.append(int(m[1]))
+        return sorted(found)
+
+    def _commit(self, n: int) -> list[dict]:
+        if not n:
+            return []
+        rows = self.spark.read.schema(CATALOG_SCHEMA).parquet(f"{self.base}/{CATALOG}/c{n:08d}").collect()
+        return sorted((r.asDict() for r in rows), key=lambda r: (r["table_name"], r["version"]))
 
     def refresh(self) -> None:
-        """Read the catalog once (a few metadata rows per published load) and reuse it."""
-        cat = self._catalog()
-        if cat is None:
-            self._snapshot = []
-            return
-        rows = cat.select("table_name", "version", "mode", "path", "bucket_col", "buckets").collect()
-        self._snapshot = sorted((r["table_name"], r["version"], r["mode"], r["path"], r["bucket_col"], r["buckets"]) for r in rows)
+        """Read the newest commit: one row per live folder, which compaction bounds."""
+        commits = self._commits()
+        self._live = self._commit(commits[-1] if commits else 0)
 
-    def _entries(self, table: str) -> list[tuple]:
-        """(version, mode, path) of one table, oldest first."""
-        if self._snapshot is None:
-            self.refresh()
-        return [(v, m, p) for t, v, m, p, _, _ in self._snapshot if t == table]
-
-    def _batches(self, table: str) -> dict[str, str]:
-        """For ``replace_batch`` tables: batch id -> latest folder of that batch."""
-        cat = self._catalog()
-        if cat is None:
-            return {}
-        rows = cat.where(F.col("table_name") == table).select("version", "batch_id", "path").orderBy("version").collect()
-        out: dict[str, str] = {}
-        for r in rows:
-            out[r["batch_id"]] = r["path"]
-        return out
-
-    def _bucketing(self, table: str) -> tuple[str, str | None, int | None] | None:
-        """(path, bucket column, bucket count) of the latest version when it is one bucketed folder."""
-        if self._snapshot is None:
+    def _entries(self, table: str) -> list[dict]:
+        """Live folders of one table, oldest first."""
+        if self._live is None:
             self.refresh()
-        rows = [r for r in self._snapshot if r[0] == table]
-        if not rows or rows[-1][2] != "replace" or not rows[-1][5]:
-            return None
-        return rows[-1][3], rows[-1][4], rows[-1][5]
+        return [r for r in self._live if r["table_name"] == table]
+
+    @staticmethod
+    def _apply(live: list[dict], new: dict) -> list[dict]:
+        mine = [r for r in live if r["table_name"] == new["table_name"]]
+        if new["mode"] == "replace":
+            gone = mine
+        elif new["mode"] == "replace_batch":
+            gone = [r for r in mine if r["batch_id"] == new["batch_id"]]
+        else:
+            gone = []
+        version = max((r["version"] for r in mine), default=0) + 1
+        return [r for r in live if r not in gone] + [new | {"version": version}]
 
     def paths(self, table: str) -> list[str]:
-        entries = self._entries(table)
-        if entries and all(m == "replace_batch" for _, m, _ in entries):
-            return list(self._batches(table).values())
-        out: list[str] = []
-        for _, mode, path in entries:
-            out = [path] if mode == "replace" else out + [path]
-        return out
+        return [r["path"] for r in self._entries(table)]
+
+    def version(self, table: str) -> int:
+        e = self._entries(table)
+        return e[-1]["version"] if e else 0
 
+    def bucketed(self, table: str) -> tuple[str, int] | None:
+        """(column, count) of the oldest live folder if it is bucketed."""
+        e = self._entries(table)
+        return (e[0]["bucket_col"], e[0]["buckets"]) if e and e[0]["buckets"] else None
+
+    # --- reads --------------------------------------------------------------------------------
     def read_batch(self, table: str, batch_id: str, schema: T.StructType | None = None) -> DataFrame | None:
         """The folder of one batch of a ``replace_batch`` table (e.g. staging snapshots)."""
-        path = self._batches(table).get(batch_id)
-        if path is None:
-            return None
+        paths = [r["path"] for r in self._entries(table) if r["batch_id"] == batch_id]
+        return self._parquet(paths, schema) if paths else None
+
+    def _parquet(self, paths: list[str], schema: T.StructType | None) -> DataFrame:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(path)
+        return reader.parquet(*paths)
 
-    def version(self, table: str) -> int:
+    def base_rows(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
+        """The oldest live folder, with its bucket layout if it has one."""
         e = self._entries(table)
-        return e[-1][0] if e else 0
+        if not e:
+            return None
+        if e[0]["buckets"]:
+            return self._bucketed_table(e[0]["path"], e[0]["bucket_col"], e[0]["buckets"], schema)
+        return self._parquet([e[0]["path"]], schema)
+
+    def changed_rows(self, table: str, schema: T.StructType) -> DataFrame | None:
+        """The folders upserted on top of the base: newest row per key."""
+        e = self._entries(table)[1:]
+        if not e:
+            return None
+        rows = self._parquet([r["path"] for r in e], T.StructType([*schema.fields, T.StructField(SEQ, T.LongType())]))
+        return latest_by(rows, e[0]["keys"].split(","), [SEQ]).drop(SEQ)
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
-        paths = self.paths(table)
-        if not paths:
+        e = self._entries(table)
+        if not e:
             return None
-        bucketed = self._bucketing(table)
-        if bucketed is not None:
-            return self._bucketed_table(table, *bucketed, schema)
-        reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(*paths)
-
-    def _table_name(self, path: str) -> str:
+        if len(e) == 1 and e[0]["buckets"]:
+            return self.base_rows(table, schema)
+        if not any(r["mode"] == "upsert" for r in e):
+            return self._parquet([r["path"] for r in e], schema)
+        if len(e) == 1:
+            df = self._parquet([e[0]["path"]], schema)
+            return df.drop(SEQ)
+        schema = schema or T.StructType([f for f in self._parquet([e[0]["path"]], None).schema if f.name != SEQ])
+        new = self.changed_rows(table, schema)
+        keys = e[-1]["keys"].split(",")
+        return self.base_rows(table, schema).drop(SEQ).join(new.select(*keys), keys, "left_anti").select(*schema.names).unionByName(new)
+
+    @staticmethod
+    def _table_name(path: str) -> str:
         return "vk_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex
 
-    def _bucketed_table(self, table: str, path: str, col: str, buckets: int, schema: T.StructType | None) -> DataFrame:
-        """The version as a session table carrying its bucket spec, so joins on ``col`` need no
+    def _bucketed_table(self, path: str, col: str, buckets: int, schema: T.StructType | None) -> DataFrame:
+        """The folder as a session table carrying its bucket spec, so joins on ``col`` need no
         shuffle of this side. Registered by location (files stay in the shared folder)."""
         name = self._table_name(path)
         if not self.spark.catalog.tableExists(name):
-            sch = schema or self.spark.read.parquet(path).schema
+            sch = schema or T.StructType([f for f in self.spark.read.parquet(path).schema if f.name != SEQ])
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sch.fields)
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
                            f"CLUSTERED BY (`{col}`) SORTED BY (`{col}`) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
@@ -128,33 +172,38 @@ class VaultStore:
     # --- writes -------------------------------------------------------------------------------
     def write(self, table: str, df: DataFrame, batch_id: str, mode: str = "replace",
               partition_cols: tuple[str, ...] = (), repartition_by: tuple[str, ...] = (),
-              bucket_by: str | None = None, buckets: int | None = None) -> str:
+              bucket_by: str | None = None, buckets: int | None = None, keys: tuple[str, ...] = ()) -> str:
         """Write ``df`` into a fresh folder and stage it for ``publish``.
 
         With ``bucket_by``/``buckets`` the folder is written bucketed (hash of the column, sorted
-        within buckets); later reads of this version join on that column without shuffling it.
+        within buckets, one file per bucket); later reads join on that column without shuffling it.
+        ``upsert`` needs ``keys``, the columns of which the newest row counts.
         """
-        version = self.version(table) + 1 + sum(1 for p in self._pending if p[0] == table)
-        path = f"{self.base}/{table}/v{version:06d}-{uuid.uuid4().hex[:8]}"
+        if mode == "upsert":
+            if not keys:
+                raise ValueError("upsert needs keys")
+            df = df.withColumn(SEQ, F.lit(time.time_ns()))
+        version = self.version(table)
+        path = f"{self.base}/{table}/v{version + 1:06d}-{uuid.uuid4().hex[:8]}"
         out = df.repartition(*repartition_by) if repartition_by else df
-        w = out.write.mode("errorifexists")
-        if partition_cols:
-            w = w.partitionBy(*partition_cols)
         if bucket_by and buckets:
-            w.bucketBy(int(buckets), bucket_by).sortBy(bucket_by).option("path", path).saveAsTable(self._table_name(path))
+            (out.repartition(int(buckets), bucket_by).write.mode("errorifexists").bucketBy(int(buckets), bucket_by).sortBy(bucket_by)
+             .option("path", path).saveAsTable(self._table_name(path)))
         else:
-            w.parquet(path)
-        self._pending.append((table, version, mode, path, batch_id, bucket_by if buckets else None, int(buckets) if buckets else None))
+            w = out.write.mode("errorifexists")
+            (w.partitionBy(*partition_cols) if partition_cols else w).parquet(path)
+        self._pending.append({
+            "table_name": table, "version": 0, "mode": mode, "path": path, "batch_id": batch_id,
+            "committed_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0),
+            "bucket_col": bucket_by if buckets else None, "buckets": int(buckets) if buckets else None,
+            "keys": ",".join(keys) or None, "seen": version})
         return path
 
     def compact(self, table: str, batch_id: str, schema: T.StructType | None = None,
                 bucket_by: str | None = None, buckets: int | None = None, files: int | None = None) -> str | None:
-        """Rewrite the current folders of an append-only table (hub, history) into one version.
-
-        Each load appends one small folder; compaction replaces the list with a single folder
-        (``files`` output files, or bucketed by ``bucket_by``), published like any other version.
-        Readers of the old folders are unaffected: nothing is overwritten.
-        """
+        """Rewrite the live folders of a table into one (``files`` output files, or bucketed), published
+        like any other version. Refused if the table changes meanwhile; readers of the old folders go on."""
+        self.refresh()
         df = self.read(table, schema)
         if df is None:
             return None
@@ -165,14 +214,33 @@ class VaultStore:
         return path
 
     def publish(self) -> None:
-        """Make every staged version visible at once (one catalog append)."""
-        if not self._pending:
+        """Make every staged folder visible at once, on top of the newest commit."""
+        pending, self._pending, self._live = self._pending, [], None
+        while pending:
+            commits = self._commits()
+            n = commits[-1] if commits else 0
+            live = self._commit(n)
+            now = {r["table_name"]: r["version"] for r in live}           # newest version of each table
+            touched = set()
+            for new in pending:
+                table = new["table_name"]
+                if new["mode"] == "replace" and table not in touched and now.get(table, 0) != new["seen"]:
+                    raise PublishConflict(f"{table} changed from version {new['seen']} to {now.get(table, 0)} since it was read")
+                touched.add(table)
+                live = self._apply(live, {k: v for k, v in new.items() if k != "seen"})
+            rows = [tuple(r[f] for f in CATALOG_SCHEMA.names) for r in live]
+            target = f"{self.base}/{CATALOG}/c{n + 1:08d}"
+            try:
+                self.spark.createDataFrame(rows, CATALOG_SCHEMA).coalesce(1).write.mode("errorifexists").parquet(target)
+            except AnalysisException as e:
+                if "PATH_ALREADY_EXISTS" not in str(e):
+                    raise
+                time.sleep(0.5)                      # another writer holds this number: build on its commit
+                continue
+            for old in commits[:-KEEP_COMMITS]:
+                path, fs = self._path(f"{self.base}/{CATALOG}/c{old:08d}")
+                fs.delete(path, True)
             return
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-        rows = [(t, v, m, p, b, now, bc, n) for t, v, m, p, b, bc, n in self._pending]
-        self.spark.createDataFrame(rows, CATALOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.base}/{CATALOG}")
-        self._pending = []
-        self._snapshot = None
 
     def discard(self) -> None:
         self._pending = []
@@ -183,7 +251,3 @@ def scratch_store(spark: SparkSession, name: str = "vault") -> VaultStore:
     from vaultkit.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark)
     return VaultStore(spark, os.path.join(base, f"{name}-{uuid.uuid4().hex[:8]}"))
-
-
-def tables_of(store: VaultStore, names: Mapping[str, T.StructType]) -> dict[str, DataFrame | None]:
-    return {n: store.read(n, s) for n, s in names.items()}

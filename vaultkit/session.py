@@ -1,4 +1,4 @@
-"""SparkSession helpers: a session tuned for the vault loads, checkpoint folder, size checks."""
+"""SparkSession helpers: a session tuned for the vault loads, checkpoint folder, landed intermediates."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(master: str | None = None, app: str = "vaultkit", shuffle_partitions: int | None = None) -> SparkSession:
@@ -45,8 +44,8 @@ def _context(spark: SparkSession):
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names (``spark.checkpoint.dir``).
 
-    Uses the session setting, else a folder already set on the SparkContext; only when neither
-    exists (local tests) a scratch folder is made and set.
+    Uses the session setting, else a folder already set on the SparkContext. With neither, a local
+    master gets a scratch folder; any other master raises, as its executors share no local folder.
     """
     sc = _context(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -57,30 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir() if sc is not None else None
     if existing:
         return existing
-    local = tempfile.mkdtemp(prefix="vaultkit-ckpt-")
+    if sc is not None and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    local = tempfile.mkdtemp(prefix="vaultkit-ckpt-")    # one machine, as in tests
     spark.conf.set("spark.checkpoint.dir", local)
     if sc is not None:
         sc.setCheckpointDir(local)
     return local
 
 
-def application_id(spark: SparkSession) -> str:
-    sc = _context(spark)
-    if sc is not None:
-        return sc.applicationId
-    return spark.conf.get("spark.app.id", "app")
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; larger inputs keep a shuffle join."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet into the shared checkpoint folder and read it back.
 
@@ -92,4 +76,13 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     base = ensure_checkpoint_dir(spark)
     path = os.path.join(base, "materialized", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
+    _delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete_at_end(spark: SparkSession, path: str) -> None:
+    """Have the driver delete an intermediate folder when the application ends."""
+    sc = _context(spark)
+    if sc is not None:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(p)

@@ -19,11 +19,6 @@ from vaultkit.plans import constants as K
 from vaultkit.sources.testbed import memo
 
 
-def _dim(df: DataFrame) -> DataFrame:
-    """Reference tables (nations, regions) join without a hint: Spark broadcasts them only when their
-    measured size is under the broadcast threshold, otherwise the join shuffles."""
-    return df
-
 # Fixed values of the adapters (shape rules only; the pipelines do not depend on them).
 PARENT_POOL = 97
 OLD_COPY_EVERY = 19
@@ -48,7 +43,7 @@ def crm_rows(t) -> DataFrame:
     p = t["part"]
     n = t["nation"].select("n_nationkey", "n_name")
     k = F.col("p_partkey")
-    j = p.join(_dim(n), (k % 25) == F.col("n_nationkey")).join(part_modified(t), k == F.col("l_partkey"), "left")
+    j = p.join(n, (k % 25) == F.col("n_nationkey")).join(part_modified(t), k == F.col("l_partkey"), "left")
     brand_no = F.substring_index(F.col("p_brand"), "#", -1).cast("int")
     rows = j.select(
         (k % 4).alias("region"),
@@ -81,17 +76,9 @@ def crm_rows(t) -> DataFrame:
     return rows.unionByName(old).drop("__k")
 
 
-@memo
-def crm_landed(t) -> DataFrame:
-    """The CRM rows landed once (written into the shared checkpoint folder): the four regional
-    tables are then plain scans, as landed source tables are."""
-    from vaultkit.session import materialize
-    return materialize(crm_rows(t), "crm_rows")
-
-
 def crm_tables(t) -> dict[str, DataFrame]:
     """``crm_product_<region>`` tables and ``dim_country`` in the CRM source layout."""
-    rows = crm_landed(t)
+    rows = crm_rows(t)
     out = {f"crm_product_{r}": rows.where(F.col("region") == i).drop("region") for i, r in enumerate(K.CRM_REGIONS)}
     out["dim_country"] = t["nation"].where(F.col("n_regionkey") != 4).select(F.concat(F.lit(" "), F.col("n_name")).alias("iso2_code"))
     return out
@@ -134,7 +121,7 @@ def market_tables(t) -> dict[str, DataFrame]:
     n = t["nation"].select("n_nationkey", "n_name", "n_regionkey")
     s = t["supplier"]
     sk = F.col("s_suppkey")
-    marcas = (s.join(_dim(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    marcas = (s.join(n, F.col("s_nationkey") == F.col("n_nationkey"))
                .join(supplier_modified(t), sk == F.col("l_suppkey"), "left")
                .select(F.col("n_name").alias("country"), sk.cast("string").alias("codigo"),
                        F.when(sk % 7 == 0, F.concat(F.col("s_name"), F.lit("'s  x"))).otherwise(F.col("s_name")).alias("nome"),
@@ -143,7 +130,7 @@ def market_tables(t) -> dict[str, DataFrame]:
                        F.col("last_updt_dt").cast("timestamp_ntz").alias("last_updt_dt")))
     p = t["part"]
     k = F.col("p_partkey")
-    producto = (p.join(_dim(n), (k % 25) == F.col("n_nationkey")).join(part_modified(t), k == F.col("l_partkey"), "left")
+    producto = (p.join(n, (k % 25) == F.col("n_nationkey")).join(part_modified(t), k == F.col("l_partkey"), "left")
                  .select(F.col("n_name").alias("country"), k.cast("string").alias("codigo"),
                          F.when(k % 13 == 0, F.col("p_type")).when(k % 17 == 0, F.lit(""))
                           .otherwise(F.concat_ws(" ", "p_name", "p_brand")).alias("nome"),
@@ -160,12 +147,12 @@ def market_tables(t) -> dict[str, DataFrame]:
                            F.when(F.col("n_nationkey") % 6 == 5, F.lit(0)).otherwise(F.lit(1)).alias("curr_flg"),
                            F.lit(None).cast("timestamp_ntz").alias("last_updt_dt"))
     r = t["region"]
-    corporacao = (n.join(_dim(r), F.col("n_regionkey") == F.col("r_regionkey"))
+    corporacao = (n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
                    .select(F.col("n_name").alias("country"), F.col("n_regionkey").cast("string").alias("codigo"),
                            F.concat(F.lit(" "), F.col("r_name"), F.lit(" corp")).alias("nome"),
                            F.col("n_nationkey").cast("string").alias("sigla"), F.lit(1).alias("curr_flg"),
                            F.lit(None).cast("timestamp_ntz").alias("last_updt_dt")))
-    li = t["lineitem"].join(_dim(n), (F.col("l_partkey") % 25) == F.col("n_nationkey"))
+    li = t["lineitem"].join(n, (F.col("l_partkey") % 25) == F.col("n_nationkey"))
     mol_no = (F.col("l_suppkey") % MOLECULES).cast("string")
     molecula_producto = li.select(F.col("n_name").alias("country"), F.col("l_partkey").cast("string").alias("cdgprod"),
                                   mol_no.alias("cdgmol"), F.lit(1).alias("curr_flg"),
@@ -223,7 +210,7 @@ def legacy_product_table(t, typed_dates: bool = False) -> DataFrame:
 
 
 def legacy_identifier_table(t) -> DataFrame:
-    c = t["customer"].join(_dim(t["nation"].select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = t["customer"].join(t["nation"].select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
     first = t["orders"].groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
     j = c.join(first, F.col("c_custkey") == F.col("o_custkey"), "left")
     k = F.col("c_custkey")
@@ -242,7 +229,7 @@ def legacy_relationship_table(t, typed_dates: bool = False) -> DataFrame:
     from vaultkit.sources.testbed import edges
     e = edges(t)
     s = t["supplier"].select("s_suppkey", "s_nationkey")
-    n = _dim(t["nation"].select("n_nationkey", "n_name"))
+    n = t["nation"].select("n_nationkey", "n_name")
     j = e.join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     eff = F.col("last_ship").cast("date")
     return j.select(

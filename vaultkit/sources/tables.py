@@ -21,11 +21,6 @@ def read_table(spark: SparkSession, base: str, name: str, schema: T.StructType |
     return reader.parquet(path)
 
 
-# Derived frames (memo) shared by every Tables over the same folder in the same Spark application:
-# test-bed vault tables are landed once per application, as stored tables would be.
-_SHARED: dict[tuple[str, str], dict[str, object]] = {}
-
-
 class Tables(Mapping):
     """Lazy name -> DataFrame mapping over a folder of Parquet tables (read once per name)."""
 
@@ -33,11 +28,7 @@ class Tables(Mapping):
         self.spark = spark
         self.base = base
         self._cache: dict[str, DataFrame] = dict(overrides or {})
-        if overrides:
-            self.memo: dict[str, object] = {}
-        else:
-            from vaultkit.session import application_id
-            self.memo = _SHARED.setdefault((application_id(spark), os.path.abspath(base)), {})
+        self.memo: dict[str, object] = {}     # derived frames of this table set
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:

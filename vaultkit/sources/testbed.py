@@ -47,13 +47,6 @@ def memo(fn):
     return wrapper
 
 
-def landed(df: DataFrame) -> DataFrame:
-    """A vault table of the test bed (satellite, hub, history, rejects, watermarks) is a stored
-    table, not a view: write it once into the shared checkpoint folder and read it from there."""
-    from vaultkit.session import materialize
-    return materialize(df, "testbed")
-
-
 def ctx(**kw) -> LoadContext:
     base = dict(batch_id=DAY2_BATCH, run_ts=RUN_TS, record_source=RECORD_SOURCE, source_object=STAGING_MODEL)
     base.update(kw)
@@ -123,9 +116,12 @@ def stage(rows: DataFrame, spec, batch: str, load_ts: str, record_source: str =
 
 @memo
 def day1_rows(t) -> DataFrame:
-    """Day 1 product rows: plain names, valid countries, keys % 10, % 13, % 17 left out."""
+    """Day 1 product rows: plain names, valid countries, keys % 10 and % 17 left out.
+
+    Keys % 13 = 0 are in: day 2 rejects them with a changed hashdiff, so no load may archive them.
+    """
     k = F.col("c_custkey")
-    base = customer_base(t).where((k % 10 != 0) & (k % 13 != 0) & (k % 17 != 0))
+    base = customer_base(t).where((k % 10 != 0) & (k % 17 != 0))
     base = base.join(countries(t), F.upper(F.trim("n_name")) == F.col("iso2_code"), "left_semi")
     return base.select(
         F.upper(F.trim("n_name")).alias("geographic_id"),
@@ -143,17 +139,17 @@ def day1_rows(t) -> DataFrame:
 def satellite_day1(t) -> DataFrame:
     staged = stage(day1_rows(t), PRODUCT, DAY1_BATCH, DAY1_TS)
     d1 = ts(DAY1_TS)
-    return landed(staged.select(
+    return staged.select(
         "hashkey", "hashdiff", d1.alias("start_datetime"), d1.alias("load_datetime"),
         F.lit(None).cast("timestamp_ntz").alias("end_datetime"), d1.alias("updated_datetime"),
         F.lit(DAY1_BATCH).alias("etl_batch_id"), F.lit(RECORD_SOURCE).alias("record_source"),
         *PRODUCT.columns,
-    ))
+    )
 
 
 @memo
 def rejects_day2(t) -> DataFrame:
-    return landed(find_rejects({STAGING_MODEL: staging_day2(t)}, countries(t), ctx()))
+    return find_rejects({STAGING_MODEL: staging_day2(t)}, countries(t), ctx())
 
 
 @memo
@@ -168,14 +164,14 @@ def hub_day1(t) -> DataFrame:
     extra = dq_day2(t).where(F.col("dataset_product_id").cast("long") % 20 == 0).select("hashkey")
     keys = sat_keys.unionByName(extra).distinct()
     day1 = LoadContext(batch_id=DAY1_BATCH, run_ts=dt.datetime(2025, 1, 1), record_source=RECORD_SOURCE)
-    return landed(hub_rows(keys, PRODUCT, day1))
+    return hub_rows(keys, PRODUCT, day1)
 
 
 @memo
 def history_day1(t) -> DataFrame:
     """History before day 2: the day 1 versions of customers with key % 14 = 0, already expired."""
     sat = satellite_day1(t).where(F.col("dataset_product_id").cast("long") % 14 == 0)
-    return landed(sat.withColumn("end_datetime", ts(HIST0_END_TS)).select(*history_columns(PRODUCT)))
+    return sat.withColumn("end_datetime", ts(HIST0_END_TS)).select(*history_columns(PRODUCT))
 
 
 @memo
@@ -271,3 +267,45 @@ def sources(t) -> dict[str, DataFrame]:
         "STG_SUPPLIER": stage(supp, PRODUCT, DAY2_BATCH, rs, "MARKET"),
         "STG_PART": stage(part, PRODUCT, DAY2_BATCH, rs, "CATALOGUE"),
     }
+
+
+# --- day 1 and day 2 of identifiers and relationships -------------------------------------------
+
+def _restage(df: DataFrame, spec, changes: dict) -> DataFrame:
+    """Day 1 satellite of an entity: its staging columns with ``changes``, hashed again."""
+    rows = df.withColumns(changes).select(*spec.columns, "source_lastmodifieddate")
+    s = stage(rows, spec, DAY1_BATCH, DAY1_TS)
+    d1 = ts(DAY1_TS)
+    return s.select("hashkey", "hashdiff", d1.alias("start_datetime"), d1.alias("load_datetime"),
+                    F.lit(None).cast("timestamp_ntz").alias("end_datetime"), d1.alias("updated_datetime"),
+                    F.lit(DAY1_BATCH).alias("etl_batch_id"), F.lit(RECORD_SOURCE).alias("record_source"), *spec.columns)
+
+
+def identifiers_day2(t) -> DataFrame:
+    return identifiers(t).where(F.col("dataset_product_id").cast("long") % 11 != 0)
+
+
+def identifier_satellite_day1(t) -> DataFrame:
+    """Day 1: ids % 10 missing (NEW on day 2), ids % 7 with an effective date one day earlier (CHANGED)."""
+    k = F.col("dataset_product_id").cast("long")
+    earlier = F.when(k % 7 == 0, F.date_sub("effective_date", 1)).otherwise(F.col("effective_date"))
+    return _restage(identifiers(t).where(k % 10 != 0), IDENTIFIER, {"effective_date": earlier})
+
+
+def relationships_day2(t) -> DataFrame:
+    return relationships(t).where(F.col("child_dataset_product_id").cast("long") % 11 != 0)
+
+
+def relationship_satellite_day1(t) -> DataFrame:
+    """Day 1: children % 10 missing (NEW on day 2), children % 7 with another status (CHANGED)."""
+    k = F.col("child_dataset_product_id").cast("long")
+    status = F.when(k % 7 == 0, F.lit("OLD")).otherwise(F.col("status_code"))
+    return _restage(relationships(t).where(k % 10 != 0), RELATIONSHIP, {"status_code": status})
+
+
+def relationships_without_some_parents(t) -> DataFrame:
+    """Day 2 with a NULL parent id for children % 3 = 0."""
+    k = F.col("child_dataset_product_id").cast("long")
+    parent = F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("parent_dataset_product_id"))
+    rows = relationships_day2(t).withColumn("parent_dataset_product_id", parent).select(*RELATIONSHIP.columns, "source_lastmodifieddate")
+    return stage(rows, RELATIONSHIP, DAY2_BATCH, RUN_TS.strftime("%Y-%m-%d %H:%M:%S"))

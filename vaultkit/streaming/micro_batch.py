@@ -2,8 +2,8 @@
 
 The reference loads in batches with a stored high-water mark; a streaming source (new staging
 files landing in a folder) maps onto that directly: each micro-batch is one load whose batch id
-is derived from the epoch, and the store's versions make a replayed epoch idempotent in effect
-(same keys and hashdiffs classify as UNCHANGED the second time).
+is derived from the epoch. An epoch that the log already shows as SUCCESS is skipped, so a replay
+after a crash between the load and the stream's own commit changes nothing.
 """
 
 from __future__ import annotations
@@ -12,18 +12,28 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from vaultkit.functions.audit_names import model_name
+from vaultkit.operators.audit import SUCCESS
 from vaultkit.plans.load import run_delta_load
 from vaultkit.plans.store import VaultStore
+from vaultkit.sources import schemas as SC
 from vaultkit.spec import EntitySpec, LoadContext
 
 
 def delta_load_batches(store: VaultStore, spec: EntitySpec, context_for: Callable[[int], LoadContext],
-                       prepare: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+                       prepare: Callable[[DataFrame], DataFrame] | None = None,
+                       satellite_buckets: int | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: stage the micro-batch (``prepare``), then run one delta load."""
     def body(batch: DataFrame, epoch_id: int) -> None:
-        staging = prepare(batch) if prepare is not None else batch
-        run_delta_load(store, staging, spec, context_for(epoch_id))
+        ctx = context_for(epoch_id)
+        store.refresh()
+        log = store.read("process_log", SC.PROCESS_LOG)
+        if log is not None and not log.where((F.col("etl_batch_id") == ctx.batch_id) & (F.col("model_name") == model_name(spec.name))
+                                             & (F.col("process_status") == SUCCESS)).isEmpty():
+            return
+        run_delta_load(store, prepare(batch) if prepare is not None else batch, spec, ctx, satellite_buckets=satellite_buckets)
     return body
 
 
