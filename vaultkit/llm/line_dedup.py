@@ -95,7 +95,7 @@ def _extend(batches):
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, th, gone): numbers of the lines to delete, for the documents that lose any."""
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    t = land(src.mapInArrow(_line_rows(min_words), LINES), "line-hashes")
+    t = land(src.mapInArrow(_line_rows(min_words), LINES).dropDuplicates(["doc_id", "th"]), "line-hashes")
     key = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "th")
     fp = t.select(key.alias("d"), F.explode("fp").alias("f")).select("d", "f.*")
     first = fp.groupBy("line", "win").agg(F.min(F.struct("d", "i")).alias("a"), F.max(F.struct("d", "i")).alias("z"))
@@ -103,8 +103,9 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     hits = fp.join(first, ["line", "win"]).where((F.col("d") != F.col("a.d")) | (F.col("i") > F.col("a.i")))
     runs = (hits.groupBy("d", F.col("a.d").alias("ad"), (F.col("i") - F.col("a.i")).alias("shift"))
             .agg(F.collect_list(F.struct("i", "e")).alias("wins")))      # at most one window per line of the document
-    mine = t.select(key.alias("d"), "h", "at").dropDuplicates(["d"])
-    theirs = t.select(key.alias("ad"), F.col("h").alias("ah")).dropDuplicates(["ad"])
+    # Both joins meet one row per document; a document that many others repeat is the hot side, which AQE splits.
+    mine = t.select(key.alias("d"), "h", "at")
+    theirs = t.select(key.alias("ad"), F.col("h").alias("ah"))
     pairs = runs.join(mine, "d").join(theirs, "ad").select(
         F.col("d.doc_id").alias("doc_id"), F.col("d.th").alias("th"), "shift", "wins", "h", "at", "ah")
     gone = pairs.mapInArrow(_extend, "doc_id long, th long, gone array<int>")
