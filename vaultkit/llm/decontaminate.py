@@ -3,13 +3,13 @@
 Items and windows are bags of five-word shingles, weighted by rarity among the items. Windows have
 an item's own number of words; a window that shares no shingle with any item cannot pass the exact
 check, so fingerprints are made only around shared shingles. A window's 64-bit SimHash is the sign
-of a sum of +-weight vectors, read off prefix sums. Multi-index lookup: the 64 bits form four blocks
-of 16; within Hamming distance ``RADIUS`` at least one block differs in at most ``RADIUS // 4`` bits,
+of a sum of +-weight vectors, read off prefix sums. Multi-index lookup: the 64 bits form eight blocks
+of 8; within Hamming distance ``RADIUS`` at least one block differs in at most ``RADIUS // 8`` bits,
 and the index lists, per block value, every item that close. So all windows within the radius are
 candidates, and exact weighted-shingle similarity (sum of minima over sum of maxima) verifies them.
 
-Items come to the driver in blocks of ``ITEMS`` rows; each block is one pass over the documents, so
-no index grows past its bound. Defined cases: null or empty texts and items match nothing; an item
+Items come to the driver in blocks of about ``ITEMS`` rows; each block is one pass over the documents,
+so no index (some 2 kB an item) grows past its bound. Defined cases: null or empty texts and items match nothing; an item
 of fewer than five words is one shingle, its whole run; repeated items and rows give their own rows;
 either table empty gives no rows; other columns are ignored; a null id is reported as null.
 """
@@ -28,7 +28,7 @@ from vaultkit.llm.common import slices, table
 from vaultkit.llm.shingles import SHINGLE, SIMILARITY, grams, word_hashes, words
 
 RADIUS = 23           # at similarity 0.8 the expected distance is 10 with deviation 3
-BLOCKS, WIDTH = 4, 16
+BLOCKS, WIDTH = 8, 8
 ITEMS = 5_000         # items of one index
 GAP = 8               # words that edits may shift a window against a shared shingle
 
@@ -64,16 +64,16 @@ class Index:
         for r in range(1, RADIUS // BLOCKS + 1):
             masks += [sum(1 << b for b in c) for c in itertools.combinations(range(WIDTH), r)]
         masks = np.array(masks, np.int64)
-        for block in self.prints.view(np.uint16).reshape(-1, BLOCKS).T:
+        for block in self.prints.view(np.uint8).reshape(-1, BLOCKS).T:
             values = (block.astype(np.int64)[:, None] ^ masks[None, :]).ravel()
-            owner = np.repeat(np.arange(len(items)), len(masks))
+            owner = np.repeat(np.arange(len(items), dtype=np.int32), len(masks))
             order = np.argsort(values, kind="stable")
             self.tables.append((np.searchsorted(values[order], np.arange((1 << WIDTH) + 1)), owner[order]))
 
     def candidates(self, prints: np.ndarray):
         """(window, item) pairs within RADIUS, each once."""
         pairs = []
-        for block, (starts, owner) in zip(prints.view(np.uint16).reshape(-1, BLOCKS).T, self.tables):
+        for block, (starts, owner) in zip(prints.view(np.uint8).reshape(-1, BLOCKS).T, self.tables):
             lo, n = starts[block], starts[block.astype(np.int64) + 1] - starts[block]
             w = np.repeat(np.arange(len(prints)), n)
             pairs.append(w * len(self.ids) + owner[np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)])
