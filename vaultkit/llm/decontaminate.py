@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultkit.llm.common import slices, table
+from vaultkit.llm.common import land, slices, table
 from vaultkit.llm.shingles import SHINGLE, SIMILARITY, grams, word_hashes, words
 
 RADIUS = 23           # at similarity 0.8 the expected distance is 10 with deviation 3
@@ -202,5 +202,5 @@ def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go. A row without id is judged by its text, like any other."""
     hits = contaminated(docs.withColumn("dc_key", F.xxhash64(F.col("doc_id"), F.col("text"))), table(spark, sf_dir, "benchmark"), doc_id="dc_key")
-    gone = hits.select(F.col("doc_id").alias("dc_gone")).distinct()
+    gone = land(hits.select(F.col("doc_id").alias("dc_gone")).distinct(), "contaminated")
     return docs.join(gone, F.xxhash64(F.col("doc_id"), F.col("text")) == F.col("dc_gone"), "left_anti").select(*docs.columns)

@@ -95,6 +95,7 @@ def leaves(reps: DataFrame, similarity: float, runs: int, limit: int = LIMIT, de
     frontier = reps.select("id", F.explode(F.array_distinct(roots)).alias("path"))
     out = None
     for level in range(1, depth + 1):
+        frontier = land(frontier, "paths")               # counted, then joined with its counts
         sizes = frontier.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
         members = land(frontier.join(sizes, "path"), "path-members")
         leaf = members if level == depth else members.where(F.col("n") <= limit)
@@ -256,5 +257,5 @@ def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each class the document with the least id stays. Rows that share a doc_id are
     one document: they stay or go together. A row without id belongs to no class here and stays."""
-    gone = jaccard_classes(docs).where("doc_id != class_id").select(F.col("doc_id").alias("jj_doc")).distinct()
+    gone = land(jaccard_classes(docs).where("doc_id != class_id").select(F.col("doc_id").alias("jj_doc")).distinct(), "copies")
     return docs.join(gone, F.col("doc_id") == F.col("jj_doc"), "left_anti").select(*docs.columns)

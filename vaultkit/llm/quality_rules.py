@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from vaultkit.llm.common import slices, table
+from vaultkit.llm.common import land, slices, table
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -141,11 +141,12 @@ def fences(bins: DataFrame, min_group: int = MIN_GROUP, fence: float = FENCE) ->
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``docs`` plus ``q_`` (counts, ratios) and ``q_top`` (fences of its group), ``q_base_failed``, ``q_kept``.
 
-    Texts are measured twice, once for the sketches and once beside the other columns, so no text is shuffled.
+    Texts are measured twice, once for the sketches and once beside the other columns. The fences, one row
+    per group, are written first: with their size known, Spark broadcasts them below its threshold, so no
+    text is shuffled; more groups than that join by shuffle.
     """
     tops = fences(sketches(measured(docs.select(text, lang, source), text, lang, source)))
-    tops = tops.select(F.struct("lang", "source").alias("q_g"), F.struct("*").alias("q_top"))
-    # One row per group; groups are few against texts, and AQE broadcasts or splits by the measured size.
+    tops = land(tops.select(F.struct("lang", "source").alias("q_g"), F.struct("*").alias("q_top")), "fences")
     q = measured(docs, text, lang, source)
     j = q.join(tops, (F.col("q_.lang").eqNullSafe(F.col("q_g.lang"))) & (F.col("q_.source").eqNullSafe(F.col("q_g.source"))),
                "left").drop("q_g")
