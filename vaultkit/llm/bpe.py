@@ -1,6 +1,6 @@
 """BPE encoding and decoding with a minimal acyclic transducer lexicon (operator 4).
 
-The words of all texts are counted; the ``LEXICON`` most frequent ones and their token ids are
+The words of all texts are counted; at most ``LEXICON`` of the most frequent and their token ids are
 compiled into a minimal acyclic automaton (states with equal futures are shared, edges carry outputs
 whose sum is the word's row in the id table). The automaton goes to the executors as one file, which
 every task maps into memory. Words outside it are merged exactly, by rank, many words at once. The
@@ -29,7 +29,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultkit.llm.common import segments, shared_folder, slices, table
+from vaultkit.llm.common import land, segments, shared_folder, slices, table
 
 VOCABULARY = "word_bpe_49k.json"
 LEXICON = 65_536           # words of the automaton
@@ -358,10 +358,21 @@ def _count_words(vocabulary):
 
 
 def frequent_words(docs: DataFrame, vocabulary, text: str = "text", limit: int = LEXICON) -> list[str]:
-    """The lexicon's words: counted over all texts, the most frequent ``limit`` (a bounded list)."""
+    """The lexicon's words: counted over all texts, at most ``limit`` of the most frequent ones.
+
+    A histogram of the counts (logarithmic bins, some hundred rows) gives the least count for which
+    no more than ``limit`` words are left; only those words come to the driver.
+    """
     counts = docs.select(text).mapInArrow(_count_words(vocabulary), "word string, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(limit)
-    return [r.word for r in top.collect()]
+    counts = land(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    bin_ = F.floor(F.log2("n") * 16)
+    total, least = 0, None
+    for r in counts.groupBy(bin_.alias("b")).agg(F.count("*").alias("words")).orderBy(F.desc("b")).collect():
+        total += r.words
+        if total > limit:
+            break
+        least = r.b
+    return [] if least is None else sorted(r.word for r in counts.where(bin_ >= least).select("word").collect())
 
 
 def _encode(vocabulary, lexicon: str, fields: list[str]):
