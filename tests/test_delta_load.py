@@ -101,11 +101,15 @@ def test_satellite_side_has_no_exchange_with_more_shuffle_partitions_than_bucket
             spark.conf.set(k, v)
     lines = plan.split("\n")
     at = next(i for i, x in enumerate(lines) if "Bucketed: true" in x)
-    depth = lambda x: len(x) - len(x.lstrip(" :+-*()0123456789"))
-    above = [x for i, x in enumerate(lines[:at]) if all(depth(y) > depth(x) for y in lines[i + 1:at + 1])]
-    assert any("Join" in x for x in above)
-    join = max(i for i, x in enumerate(above) if "Join" in x)
-    assert not any("Exchange" in x for x in above[join:])
+    depth = lambda x: max(x.find("+-"), x.find(":-"))
+    above, d = [], depth(lines[at])
+    for x in reversed(lines[:at]):              # ancestors of the scan, up to the join
+        if depth(x) < d:
+            above.append(x)
+            d = depth(x)
+        if "Join" in x and x in above:
+            break
+    assert "Join" in above[-1] and not any("Exchange" in x for x in above), above
 
 
 def test_failed_load_is_logged(spark, tables):
