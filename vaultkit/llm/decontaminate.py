@@ -1,8 +1,8 @@
 """Benchmark decontamination by SimHash of item-sized windows (operator 6).
 
 Items and windows are bags of five-word shingles, weighted by rarity among the items. Windows have
-an item's own number of words; a window that shares no shingle with any item cannot pass the exact
-check, so fingerprints are made only around shared shingles. A window's 64-bit SimHash is the sign
+an item's own number of words; a window that shares no shingle with any item of its size cannot pass
+the exact check, so fingerprints are made only around shared shingles. A window's 64-bit SimHash is the sign
 of a sum of +-weight vectors, read off prefix sums. Multi-index lookup: the 64 bits form eight blocks
 of 8; within Hamming distance ``RADIUS`` at least one block differs in at most ``RADIUS // 8`` bits,
 and the index lists, per block value, every item that close. So all windows within the radius are
@@ -101,14 +101,26 @@ class Items:
         self.bits = np.zeros(1 << 20, bool)
         self.bits[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         self.indexes = [Index(g, size, self.weight) for size, g in sorted(sized.items())]
-
-    def where(self, g: np.ndarray) -> np.ndarray:
-        """Positions of shingles that some item has."""
+        # Which indexes hold each known shingle, listed shingle after shingle.
+        pairs = [(np.unique(np.concatenate([s for _, s in g])), n) for n, (_, g) in enumerate(sorted(sized.items()))]
+        flat = np.concatenate([p for p, _ in pairs]) if pairs else np.empty(0, np.uint64)
+        order = np.argsort(flat, kind="stable")
+        self.holds = np.concatenate([np.full(len(p), n, np.int32) for p, n in pairs])[order] if pairs else np.empty(0, np.int32)
+        self.holds_at = np.searchsorted(flat[order], self.known, side="left")
+        self.holds_n = np.searchsorted(flat[order], self.known, side="right") - self.holds_at
+
+    def where(self, g: np.ndarray) -> dict[int, np.ndarray]:
+        """Index number -> positions of the shingles that some item of this index has."""
         at = np.flatnonzero(self.bits[(g & np.uint64((1 << 20) - 1)).astype(np.int64)])
         if not len(at):
-            return at
+            return {}
         k = np.minimum(np.searchsorted(self.known, g[at]), len(self.known) - 1)
-        return at[self.known[k] == g[at]]
+        ok = self.known[k] == g[at]
+        at, k = at[ok], k[ok]
+        n = self.holds_n[k]
+        row = np.repeat(self.holds_at[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        owner, at = self.holds[row], np.repeat(at, n)
+        return {int(o): at[owner == o] for o in np.unique(owner)}
 
     def weight(self, g: np.ndarray) -> np.ndarray:
         if not len(self.known):
@@ -119,16 +131,14 @@ class Items:
     def search(self, h: np.ndarray, similarity: float):
         """Best window per item in a text of word hashes ``h``: {item row: (similarity, start, size, hamming)}."""
         best: dict[tuple, tuple] = {}
-        shingle: dict[int, tuple] = {}
-        for ix in self.indexes:
+        todo = []
+        for k in sorted({ix.k for ix in self.indexes}):
+            if len(h) >= k:
+                g = grams(h, k)
+                todo += [(self.indexes[o], g, at) for o, at in self.where(g).items() if self.indexes[o].k == k]
+        for ix, g, hits in todo:
             if ix.size > len(h) + GAP:
                 continue
-            if ix.k not in shingle:
-                g = grams(h, ix.k) if len(h) >= ix.k else np.empty(0, np.uint64)
-                shingle[ix.k] = g, self.where(g)
-            g, hits = shingle[ix.k]
-            if not len(hits):
-                continue
             size = min(ix.size, len(h))
             span = size - ix.k + 1                        # shingles of a window
             if span < 1:
