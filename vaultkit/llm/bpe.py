@@ -33,9 +33,9 @@ from vaultkit.llm.common import land, segments, shared_folder, slices, table
 
 VOCABULARY = "word_bpe_49k.json"
 LEXICON = 65_536           # words of the automaton
-LOCAL = 4 * LEXICON        # words that a task reports at least
-PRUNE = 2_000_000          # counters a task keeps before it drops the rarest
-SLICE = 6_000_000
+LOCAL = 2 * LEXICON        # words that a task reports at most
+PRUNE = 400_000            # counters a task keeps before it drops the rarer half
+SLICE = 1_000_000
 LONG = 48                  # bytes of a word from which it is merged by a heap
 
 _SPACE = r"\t-\r \x85\xa0  -     　"

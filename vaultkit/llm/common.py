@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vaultkit.session import ensure_checkpoint_dir, materialize
 
-SLICE_CHARS = 2_000_000   # text handled at once inside a task; longer texts are whole slices of their own
+SLICE_CHARS = 1_000_000   # text handled at once inside a task; longer texts are whole slices of their own
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
