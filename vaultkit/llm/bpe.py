@@ -29,7 +29,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultkit.llm.common import land, segments, shared_folder, slices, table
+from vaultkit.llm.common import land, segments, share, shared_folder, shared_value, slices, table, tasks
 
 VOCABULARY = "word_bpe_49k.json"
 LEXICON = 65_536           # words of the automaton
@@ -341,7 +341,7 @@ class Lexicon:
 
 def _count_words(vocabulary):
     def run(batches):
-        split, counts = Splitter(vocabulary.value), Counter()
+        split, counts = Splitter(shared_value(vocabulary)), Counter()
         for b in batches:
             for _, part in slices(b.column(0), SLICE):
                 for t in part:
@@ -363,7 +363,7 @@ def frequent_words(docs: DataFrame, vocabulary, text: str = "text", limit: int =
     A histogram of the counts (logarithmic bins, some hundred rows) gives the least count for which
     no more than ``limit`` words are left; only those words come to the driver.
     """
-    counts = docs.select(text).mapInArrow(_count_words(vocabulary), "word string, n long")
+    counts = tasks(docs.select(text), _count_words(vocabulary), "word string, n long")
     counts = land(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     bin_ = F.floor(F.log2("n") * 16)
     total, least = 0, None
@@ -377,7 +377,7 @@ def frequent_words(docs: DataFrame, vocabulary, text: str = "text", limit: int =
 
 def _encode(vocabulary, lexicon: str, fields: list[str]):
     def run(batches):
-        vocab = vocabulary.value
+        vocab = shared_value(vocabulary)
         split, lex = Splitter(vocab), Lexicon(SparkFiles.get(lexicon))
         for b in batches:
             docs = b.column(0)
@@ -474,10 +474,10 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: st
     """(doc_id, *fields): ids as little-endian 32-bit integers, the text they decode to, counts and digests."""
     spark = docs.sparkSession
     vocab = Vocabulary(path or vocabulary_path())
-    shared = spark.sparkContext.broadcast(vocab)
+    shared = share(spark, vocab)
     name = ship_lexicon(spark, frequent_words(docs, shared, text, lexicon), vocab)
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return src.mapInArrow(_encode(shared, name, list(fields)), ", ".join(["doc_id long", *[f"{f} {_SQL[f]}" for f in fields]]))
+    return tasks(src, _encode(shared, name, list(fields)), ", ".join(["doc_id long", *[f"{f} {_SQL[f]}" for f in fields]]))
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from vaultkit.session import ensure_checkpoint_dir, materialize
@@ -39,6 +43,42 @@ def slices(column: pa.Array, limit: int = SLICE_CHARS):
         at = stop
 
 
+BATCH_ROWS = 2_000
+
+
+def tasks(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` that keeps workers small: batches of at most ``BATCH_ROWS`` texts, and
+    freed memory goes back to the system at a task's end, as a worker process serves many tasks."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark = df.sparkSession
+    if int(spark.conf.get(rows)) > BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
+
+    def trimmed(batches):
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(trimmed, schema)
+
+
+def share(spark: SparkSession, value):
+    """Broadcast an object of this subpackage's classes by value: executors need no copy of the code."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared_value(broadcast):
+    return pickle.loads(broadcast.value)
+
+
+def give_back() -> None:
+    """Return freed memory of the Arrow pool and the C library to the system, where the platform can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def segments(lengths: np.ndarray) -> np.ndarray:
     """Offsets of consecutive runs with these lengths, with the total appended."""
     out = np.zeros(len(lengths) + 1, np.int64)

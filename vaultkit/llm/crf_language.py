@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from vaultkit.llm.common import slices, table
+from vaultkit.llm.common import slices, table, tasks
 
 PER_LANG = 120
 CHAIN = 128
@@ -243,7 +243,7 @@ def languages(docs: DataFrame, learn: DataFrame, doc_id: str = "doc_id", text: s
     model = train([t.encode() for _, t, _ in rows], [x for _, _, x in rows], letters)
     shared = docs.sparkSession.sparkContext.broadcast((model, np.packbits(letters)))
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return src.mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double, n_words long, n_switches long")
+    return tasks(src, _predict(shared), "doc_id long, lang_pred string, score double, n_words long, n_switches long")
 
 
 def op2_crf_language(spark, sf_dir: str) -> DataFrame:

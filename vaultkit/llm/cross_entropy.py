@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultkit.llm.common import segments, slices, table
+from vaultkit.llm.common import segments, slices, table, tasks
 
 VOCABULARY = 128
 START, OTHER = 0, 1
@@ -126,18 +126,18 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, doc_id: str = "
     """(doc_id, n_tokens, loss_target, loss_background, score) of every document."""
     spark = docs.sparkSession
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    chars = src.select("text").mapInArrow(_characters, "cp int, n long").groupBy("cp").agg(F.sum("n").alias("n"))
+    chars = tasks(src.select("text"), _characters, "cp int, n long").groupBy("cp").agg(F.sum("n").alias("n"))
     top = [r.cp for r in chars.orderBy(F.desc("n"), "cp").limit(VOCABULARY - 2).collect()]
     lookup = np.full(max(top, default=0) + 2, OTHER, np.uint8)
     lookup[top] = np.arange(2, len(top) + 2)
     known = labels.groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max(F.col(good) == 1).alias("good"))
     told = src.join(known, "doc_id", "left").select("text", "good")
-    cells = told.mapInArrow(_counts(lookup), "model int, cell int, n long").groupBy("model", "cell").agg(F.sum("n").alias("n"))
+    cells = tasks(told, _counts(lookup), "model int, cell int, n long").groupBy("model", "cell").agg(F.sum("n").alias("n"))
     counts = np.zeros((2, VOCABULARY ** 3), np.int64)
     found = cells.toArrow()                                   # at most 2 * VOCABULARY ** 3 rows
     counts[found.column("model").to_numpy(), found.column("cell").to_numpy()] = found.column("n").to_numpy()
     shared = spark.sparkContext.broadcast([losses(c) for c in counts])
-    out = src.mapInArrow(_score(lookup, shared), "doc_id long, n_tokens long, loss_target double, loss_background double")
+    out = tasks(src, _score(lookup, shared), "doc_id long, n_tokens long, loss_target double, loss_background double")
     return out.withColumn("score", F.col("loss_target") - F.col("loss_background"))
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultkit.llm.common import land, slices, table
+from vaultkit.llm.common import land, share, shared_value, slices, table, tasks
 from vaultkit.llm.shingles import SHINGLE, SIMILARITY, grams, word_hashes, words
 
 RADIUS = 23           # at similarity 0.8 the expected distance is 10 with deviation 3
@@ -173,7 +173,7 @@ class Items:
 
 def _scan(shared, similarity: float):
     def run(batches):
-        items = shared.value
+        items = shared_value(shared)
         for b in batches:
             for first, part in slices(b.column(1)):
                 out = []
@@ -199,8 +199,8 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     for k in range(max(1, math.ceil(n / block))):
         # A stated query set in blocks: each holds about `block` items, chosen by hash of the item.
         part = asked if n <= block else asked.where(F.pmod(F.xxhash64("i", "t"), F.lit(math.ceil(n / block))) == k)
-        shared = spark.sparkContext.broadcast(Items([(r.i, r.t) for r in part.toLocalIterator()]))
-        hits = src.mapInArrow(_scan(shared, similarity), OUT)
+        shared = share(spark, Items([(r.i, r.t) for r in part.toLocalIterator()]))
+        hits = tasks(src, _scan(shared, similarity), OUT)
         out = hits if out is None else out.union(hits)
     return out
 

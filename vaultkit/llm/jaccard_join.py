@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultkit.llm.common import land, slices, table
+from vaultkit.llm.common import land, slices, table, tasks
 from vaultkit.llm.components import components
 from vaultkit.llm.shingles import SIMILARITY, shingle_set
 
@@ -222,7 +222,7 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``class_id``: least doc_id connected by links or equal sets; ``n_links``: other sets with at least this similarity.
     """
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = land(src.mapInArrow(_sets, "doc_id long, id binary, sig array<int>"), "shingle-sets")
+    sets = land(tasks(src, _sets, "doc_id long, id binary, sig array<int>"), "shingle-sets")
     reps = land(sets.where("id IS NOT NULL").groupBy("id").agg(F.min("doc_id").alias("rep"), F.any_value("sig").alias("sig")), "set-reps")
     leaf = leaves(reps, similarity, runs_for(similarity, recall), limit)
     seen = leaf.groupBy("id").agg(F.collect_set("path").alias("seen"))       # at most runs * 2^DEPTH paths a set
@@ -232,7 +232,7 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  .mapInArrow(_candidates(similarity), "path long, a int, b int, c int, id binary"), "path-candidates")
     want = close.select("id").distinct().join(reps.select("id", "rep"), "id")
     texts = src.join(want.select(F.col("id").alias("want"), "rep"), F.col("doc_id").eqNullSafe(F.col("rep")))
-    sh = land(texts.select("want", "text").mapInArrow(_texts_to_sets, "id binary, sh binary, want binary").where("id = want")
+    sh = land(tasks(texts.select("want", "text"), _texts_to_sets, "id binary, sh binary, want binary").where("id = want")
               .dropDuplicates(["id"]).select("id", "sh"), "candidate-sets")
     struct = F.struct("id", "c", "seen", "sh")
     links = land(close.join(seen, "id").join(sh, "id").groupBy("path", "a", "b").agg(F.collect_list(struct).alias("s"))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultkit.llm.common import land, slices, table
+from vaultkit.llm.common import land, slices, table, tasks
 
 MIN_WORDS = 50
 
@@ -95,7 +95,7 @@ def _extend(batches):
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, th, gone): numbers of the lines to delete, for the documents that lose any."""
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    t = land(src.mapInArrow(_line_rows(min_words), LINES).dropDuplicates(["doc_id", "th"]), "line-hashes")
+    t = land(tasks(src, _line_rows(min_words), LINES).dropDuplicates(["doc_id", "th"]), "line-hashes")
     key = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "th")
     fp = t.select(key.alias("d"), F.explode("fp").alias("f")).select("d", "f.*")
     first = fp.groupBy("line", "win").agg(F.min(F.struct("d", "i")).alias("a"), F.max(F.struct("d", "i")).alias("z"))
@@ -108,7 +108,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     theirs = t.select(key.alias("ad"), F.col("h").alias("ah"))
     pairs = runs.join(mine, "d").join(theirs, "ad").select(
         F.col("d.doc_id").alias("doc_id"), F.col("d.th").alias("th"), "shift", "wins", "h", "at", "ah")
-    gone = pairs.mapInArrow(_extend, "doc_id long, th long, gone array<int>")
+    gone = tasks(pairs, _extend, "doc_id long, th long, gone array<int>")
     return gone.groupBy("doc_id", "th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from vaultkit.llm.common import land, slices, table
+from vaultkit.llm.common import give_back, land, slices, table
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -83,6 +83,7 @@ def _counts_udf():
     def counts(text: pa.Array) -> pa.Array:
         rows = [text_counts(t) for _, part in slices(text) for t in part]
         cols = list(zip(*rows)) if rows else [()] * len(kind)
+        give_back()
         return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols], fields=list(kind))
 
     counts.__annotations__ = {"text": pa.Array, "return": pa.Array}

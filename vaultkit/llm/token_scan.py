@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from vaultkit.llm.common import shared_folder, slices, table
+from vaultkit.llm.common import shared_folder, slices, table, tasks
 
 RANKS = "byte_bpe_50k.tiktoken"
 EOD = 50_256
@@ -64,7 +64,7 @@ def write_token_files(docs: DataFrame, path: str, doc_id: str = "doc_id", text:
     with open(ranks or public_tokenizers.path(RANKS), "rb") as f:
         table_ = {base64.b64decode(a): int(n) for a, n in map(bytes.split, f)}
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = src.mapInArrow(_encoder(table_, pattern or public_tokenizers.PATTERN), "tokens binary")
+    rows = tasks(src, _encoder(table_, pattern or public_tokenizers.PATTERN), "tokens binary")
     (rows.select(F.col("tokens").cast("string").alias("value")).write.option("encoding", "ISO-8859-1")
      .option("lineSep", EOD.to_bytes(2, "little").decode("latin-1")).option("maxRecordsPerFile", FILE_ROWS).text(path))
 
@@ -107,7 +107,7 @@ def scan_token_files(spark: SparkSession, path: str, block: int = BLOCK, eod: in
     parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 2) / size)))
     cut = f.select("path", parts.alias("n"), F.floor(F.col("length") / 2).alias("total"), "content")
     cut = cut.select("path", "n", "total", F.expr(f"substring(content, cast(n * {2 * block} + 1 as int), {2 * block + 2 * HEAD})").alias("data"))
-    rows = cut.mapInArrow(_scan(block, eod), _BLOCKS_SQL)
+    rows = tasks(cut, _scan(block, eod), _BLOCKS_SQL)
     before = Window.partitionBy("file").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     open_ = F.when(F.col("open_start").isNotNull(), F.struct("open_start", "open_id"))
     rows = rows.withColumn("o", open_).withColumn("carry", F.last("o", ignorenulls=True).over(before))
