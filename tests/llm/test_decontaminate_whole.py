@@ -37,3 +37,22 @@ def test_texts_much_shorter_than_the_item(spark):
     want = brute(rows, items)
     assert got == want
     assert {(0, 0), (2, 1), (3, 2), (5, 2), (7, 3)} <= set(got) and (9, 3) not in got
+
+
+def test_blocks_do_not_change_results(spark):
+    rng = random.Random(6)
+    # A common opening gives its shingles a low weight: similarities then depend on counts over all items.
+    opening = " ".join(f"c{k}" for k in range(14))
+    items = [(i, opening + " " + " ".join(f"w{rng.randrange(2000)}" for _ in range(rng.randint(16, 40)))) for i in range(40)]
+    items += [(40, items[0][1]), (41, items[1][1]), (42, ""), (43, "just three words")]
+    rows = []
+    for d in range(120):
+        ws = items[d % 40][1].split()
+        for _ in range(d // 40):
+            ws[rng.randrange(len(ws))] = f"new{rng.randrange(99)}"
+        rows.append((d, " ".join([f"x{rng.randrange(99)}" for _ in range(rng.randrange(9))] + ws + ["x"] * (d % 5))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    one, some = (sorted(map(tuple, D.contaminated(docs, bench, block=b).collect())) for b in (5000, 7))
+    assert one == some and 40 < len(one)
+    assert {(d, i): round(s, 6) for d, i, _, _, _, s in one} == brute(rows, [x for x in items if x[1]])

@@ -10,7 +10,9 @@ and the index lists, per block value, every item that close. So all windows with
 candidates, and exact weighted-shingle similarity (sum of minima over sum of maxima) verifies them.
 
 Items come to the driver in blocks of about ``ITEMS`` rows; each block is one pass over the documents,
-so no index (some 2 kB an item) grows past its bound. Defined cases: null or empty texts and items match nothing; an item
+so no index (some 2 kB an item) grows past its bound. Weights are those of the whole benchmark in every block:
+with several blocks Spark counts the items of each shingle once, and the shingles of two or more items (16 bytes
+each; all others weigh the same) go to all tasks. So results do not depend on the blocks. Defined cases: null or empty texts and items match nothing; an item
 of fewer than five words is one shingle, its whole run; repeated items and rows give their own rows;
 either table empty gives no rows; other columns are ignored; a null id is reported as null.
 """
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultkit.llm.common import land, share, shared_value, slices, table, tasks
-from vaultkit.llm.shingles import SHINGLE, SIMILARITY, grams, word_hashes, words
+from vaultkit.llm.shingles import SHINGLE, SIMILARITY, grams, shingle_set, word_hashes, words
 
 RADIUS = 23           # at similarity 0.8 the expected distance is 10 with deviation 3
 BLOCKS, WIDTH = 8, 8
@@ -51,6 +53,23 @@ def pack(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1).view(np.uint64).ravel()
 
 
+class Weights:
+    """Rarity of shingles among ``total`` items; ``known`` holds at least those of two or more items, with their counts."""
+
+    def __init__(self, known: np.ndarray, df: np.ndarray, total: int):
+        self.rare = round(1000 * math.log(1 + max(1, total)))    # of a shingle in one item or in none
+        order = np.argsort(known[df > 1])
+        self.known, df = known[df > 1][order], df[df > 1][order]
+        # Whole thousandths: prefix sums are exact, so equal windows have equal fingerprints.
+        self.weights = np.rint(1000 * np.log(1 + total / df)).astype(np.int64)
+
+    def __call__(self, g: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.full(len(g), self.rare, np.int64)
+        k = np.minimum(np.searchsorted(self.known, g), len(self.known) - 1)
+        return np.where(self.known[k] == g, self.weights[k], self.rare)
+
+
 class Index:
     """Items of one number of shingles' words, with multi-index tables per block."""
 
@@ -87,9 +106,9 @@ class Index:
 
 
 class Items:
-    """What a task needs of a block of items: shared shingles, their weights, one index per item size."""
+    """What a task needs of a block of items: shared shingles, their weights (by default of these items), one index per item size."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[int, str]], weight: Weights | None = None):
         sized: dict[int, list] = {}
         for item, text in rows:
             h = word_hashes(words((text or "").encode()))
@@ -97,9 +116,7 @@ class Items:
                 sized.setdefault(len(h), []).append((item, grams(h)))
         every = [np.unique(s) for group in sized.values() for _, s in group]
         self.known, df = np.unique(np.concatenate(every) if every else np.empty(0, np.uint64), return_counts=True)
-        # Whole thousandths: prefix sums are exact, so equal windows have equal fingerprints.
-        self.weights = np.rint(1000 * np.log(1 + len(every) / df)).astype(np.int64)
-        self.rare = round(1000 * math.log(1 + max(1, len(every))))    # of a shingle in no item
+        self.weight = weight or Weights(self.known, df, len(every))
         self.bits = np.zeros(1 << 20, bool)
         self.bits[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         self.indexes = [Index(g, size, self.weight) for size, g in sorted(sized.items())]
@@ -124,12 +141,6 @@ class Items:
         owner, at = self.holds[row], np.repeat(at, n)
         return {int(o): at[owner == o] for o in np.unique(owner)}
 
-    def weight(self, g: np.ndarray) -> np.ndarray:
-        if not len(self.known):
-            return np.full(len(g), self.rare, np.int64)
-        k = np.minimum(np.searchsorted(self.known, g), len(self.known) - 1)
-        return np.where(self.known[k] == g, self.weights[k], self.rare)
-
     def search(self, h: np.ndarray, similarity: float):
         """Best window per item in a text of word hashes ``h``: {item row: (similarity, start, size, hamming)}."""
         best: dict[tuple, tuple] = {}
@@ -174,9 +185,28 @@ class Items:
         return low / (sum(mine.values()) + sum(bag.values()) - low)
 
 
-def _scan(shared, similarity: float):
+def _item_shingles(batches):
+    """Distinct shingles of every item, and a null for the item itself."""
+    for b in batches:
+        for _, part in slices(b.column(0)):
+            sets = [s for s in map(shingle_set, part) if len(s)]
+            flat = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(flat), pa.nulls(len(sets), pa.int64())])], names=["g"])
+
+
+def whole_weights(asked: DataFrame) -> Weights:
+    """Weights over all items (column t), counted in Spark."""
+    df = tasks(asked.select("t"), _item_shingles, "g long").groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    found = df.where(F.col("g").isNull() | (F.col("df") > 1)).toArrow()
+    g, n = found.column("g"), found.column("df").to_numpy()
+    none = g.is_null().to_numpy()
+    return Weights(g.drop_null().to_numpy().astype(np.int64).view(np.uint64), n[~none], int(n[none].sum()))
+
+
+def _scan(shared, weight, similarity: float):
     def run(batches):
         items = shared_value(shared)
+        items.weight = shared_value(weight)
         for b in batches:
             for first, part in slices(b.column(1)):
                 out = []
@@ -199,11 +229,15 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     asked = items.where(F.col(item_text).isNotNull()).select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t"))
     n = asked.count()
     out = None
+    weight = whole_weights(asked) if n > block else None
+    told = share(spark, weight) if weight else None
     for k in range(max(1, math.ceil(n / block))):
         # A stated query set in blocks: each holds about `block` items, chosen by hash of the item.
         part = asked if n <= block else asked.where(F.pmod(F.xxhash64("i", "t"), F.lit(math.ceil(n / block))) == k)
-        shared = share(spark, Items([(r.i, r.t) for r in part.toLocalIterator()]))
-        hits = tasks(src, _scan(shared, similarity), OUT)
+        held = Items([(r.i, r.t) for r in part.toLocalIterator()], weight)
+        told = told or share(spark, held.weight)
+        held.weight = None                        # sent once for all blocks
+        hits = tasks(src, _scan(share(spark, held), told, similarity), OUT)
         out = hits if out is None else out.union(hits)
     return out
 
