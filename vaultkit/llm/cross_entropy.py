@@ -1,14 +1,15 @@
 """LM scoring by cross-entropy difference (operator 7).
 
-Two character trigram models share one vocabulary (the ``VOCABULARY - 2`` most frequent characters of
-all texts, one symbol for the others, one for the start), one order and one smoothing. The target
-model counts the documents labelled as good, the background model counts all documents. A
-document's score is its mean loss per character under the target less that under the background:
-the lower, the closer to the target.
+Two character trigram models share one open vocabulary (every character of the texts, and one symbol
+for the start), one order and one smoothing. The target model counts the documents labelled as good,
+the background model counts all documents. A document's score is its mean loss per character under
+the target less that under the background: the lower, the closer to the target.
 
-Counts cover every document: each task adds up its own and passes on the cells that occur, which are
-then summed by key. The finished models are two tables of VOCABULARY ** 3 losses, a fixed size, and
-are broadcast. Texts meet their labels in a join on doc_id; no text goes anywhere else.
+Texts are landed once in chunks of about ``CHUNK`` bytes. Labels join the documents' ids and places,
+not their texts, so that frequent or null ids move none; then each chunk meets its good places, and
+its trigrams are counted. Both models are Spark tables keyed by trigram, which grow
+with the corpus and are never collected. Each chunk's distinct trigrams are joined to their two
+losses, and the losses meet the texts of the chunk.
 
 Defined cases: a null or empty text has no token and null losses; a document without label, or with
 a null id, counts for the background only; several labels of one document count as good if one is;
@@ -18,126 +19,136 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultkit.llm.common import segments, slices, table, tasks
+from vaultkit.llm.common import give_back, land, segments, slices, table, tasks
 
-VOCABULARY = 128
-START, OTHER = 0, 1
+VOCABULARY = 128           # the flat estimate is over the characters of the corpus, at least so many
+START = 0x110000           # no character has this code point
+BITS = 21                  # of a symbol; three fill a long
+LAST = (1 << BITS) - 1
 PRIOR = 32.0               # weight of the shorter context's estimate, in tokens
+CHUNK = 2_000_000          # bytes of text that are joined to the losses of their trigrams at once
 
 
-def code_points(part: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(all code points, length of each text)."""
-    texts = [(t or b"").decode("utf-8", "replace") for t in part]
-    return np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), np.array([len(t) for t in texts], np.int64)
-
-
-def _characters(batches):
-    counts: Counter = Counter()
-    for b in batches:
-        for _, part in slices(b.column(0)):
-            cps, _ = code_points(part)
-            n = np.bincount(cps)
-            at = np.flatnonzero(n)
-            counts.update(dict(zip(at.tolist(), n[at].tolist())))
-    yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["cp", "n"])
-
-
-def codes(part: list[bytes | None], lookup: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def codes(part: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, length of each text): two start symbols lead every text."""
-    cps, n = code_points(part)
-    ends = segments(n)
-    out = np.zeros(len(cps) + 2 * len(n), np.int64)
-    at = np.arange(len(cps)) + np.repeat(2 * np.arange(1, len(n) + 1), n)
-    out[at] = lookup[np.minimum(cps, len(lookup) - 1)]
+    texts = [(t or b"").decode("utf-8", "replace") for t in part]
+    cps, n = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), np.array([len(t) for t in texts], np.int64)
+    out = np.full(len(cps) + 2 * len(n), START, np.int64)
+    out[np.arange(len(cps)) + np.repeat(2 * np.arange(1, len(n) + 1), n)] = cps
     return out, n
 
 
 def trigrams(symbols: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Cell of every token with its two predecessors, text after text."""
-    v = VOCABULARY
-    g = (symbols[:-2] * v + symbols[1:-1]) * v + symbols[2:]
+    """Key of every token with its two predecessors, text after text."""
+    g = symbols[:-2] << 2 * BITS | symbols[1:-1] << BITS | symbols[2:]
     starts = segments(n + 2)[:-1]
     keep = np.ones(len(symbols), bool)
     keep[starts], keep[starts + 1] = False, False
     return g[keep[2:]]
 
 
-def _counts(lookup: np.ndarray):
-    def run(batches):
-        total = np.zeros((2, VOCABULARY ** 3), np.int64)
-        for b in batches:
-            good = np.asarray(b.column(1).fill_null(False))
-            for first, part in slices(b.column(0)):
-                symbols, n = codes(part, lookup)
-                if not n.sum():
-                    continue
-                g = trigrams(symbols, n)
-                total[1] += np.bincount(g, minlength=total.shape[1])
-                mine = np.repeat(good[first:first + len(part)], n)
-                if mine.any():
-                    total[0] += np.bincount(g[mine], minlength=total.shape[1])
-        model, cell = np.nonzero(total)
-        for at in range(0, max(1, len(cell)), 100_000):
-            part = slice(at, at + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(model[part], pa.int32()), pa.array(cell[part], pa.int32()),
-                                              pa.array(total[model[part], cell[part]], pa.int64())], names=["model", "cell", "n"])
-    return run
-
-
-def losses(counts: np.ndarray) -> np.ndarray:
-    """-log p(c | a, b) per cell: each context's counts are smoothed with the next shorter context."""
-    v = VOCABULARY
-    c = counts.astype(np.float64).reshape(v, v, v)
-    one = c.sum((0, 1))
-    p = (one + PRIOR / v) / (one.sum() + PRIOR)
-    two = c.sum(0)
-    p = (two + PRIOR * p) / (two.sum(1, keepdims=True) + PRIOR)
-    p = (c + PRIOR * p[None]) / (c.sum(2, keepdims=True) + PRIOR)
-    return -np.log(p).ravel().astype(np.float32)
-
-
-def _score(lookup: np.ndarray, shared):
+def _chunked(chunk: int):
     def run(batches):
-        tables = shared.value
+        number, used, at = TaskContext.get().partitionId() << 32, 0, 0
         for b in batches:
-            for first, part in slices(b.column(1)):
-                symbols, n = codes(part, lookup)
-                sums = []
-                g = trigrams(symbols, n) if n.sum() else np.empty(0, np.int64)
-                ends = segments(n)
-                for t in tables:
-                    run_ = np.concatenate([[0.0], np.cumsum(t[g], dtype=np.float64)])
-                    sums.append((run_[ends[1:]] - run_[ends[:-1]]) / np.maximum(n, 1))
-                none = n == 0
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, len(part)), pa.array(n), pa.array(sums[0], mask=none), pa.array(sums[1], mask=none)],
-                    names=["doc_id", "n_tokens", "loss_target", "loss_background"])
+            for first, part in slices(b.column(1), min(chunk, 1_000_000)):
+                size = sum(len(t or b"") for t in part)
+                if used and used + size > chunk:
+                    number, used, at = number + 1, 0, 0
+                used += size
+                rows = b.slice(first, len(part))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), number)), pa.array(np.arange(at, at + len(part))), *rows.columns],
+                                                 names=["chunk", "at", "doc_id", "text"])
+                at += len(part)
     return run
 
 
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", good: str = "quality") -> DataFrame:
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    got, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return got, np.bincount(at, np.concatenate(counts), len(got)).astype(np.int64)
+
+
+def _counts(texts: pa.Table, goods: pa.Table) -> pa.Table:
+    """Distinct trigrams of a chunk, with their counts in good texts (t) and in all (b)."""
+    good = np.isin(texts.column("at").to_numpy(), goods.column("at").to_numpy())
+    key, t, b = (np.empty(0, np.int64) for _ in range(3))
+    found = []
+    for first, part in slices(texts.column("text")):
+        symbols, n = codes(part)
+        if n.sum():
+            g = trigrams(symbols, n)
+            mine = np.repeat(good[first:first + len(part)], n)
+            found.append((*np.unique(g, return_counts=True), *np.unique(g[mine], return_counts=True)))
+    if found:
+        key, b = _summed([f[0] for f in found], [f[1] for f in found])
+        mine, n = _summed([f[2] for f in found], [f[3] for f in found])
+        t = np.zeros(len(key), np.int64)
+        t[np.searchsorted(key, mine)] = n
+    give_back()
+    chunk = np.full(len(key), texts.column("chunk")[0].as_py() if len(texts) else 0, np.int64)
+    return pa.table({"chunk": chunk, "key": key, "t": t, "b": b})
+
+
+def losses(cells: DataFrame) -> DataFrame:
+    """(key, lt, lb): -log p(c | a, b) under target and background; each context's counts are smoothed with the next shorter context."""
+    def summed(df, by, suffix):
+        return df.groupBy(by).agg(*(F.sum(c).alias(f"{m}{suffix}") for m, c in zip("tb", df.columns[-2:])))
+
+    tri = land(summed(cells, "key", ""), "trigrams")
+    last = F.lit(LAST).cast("long")
+    tri = tri.select("key", F.shiftright("key", BITS).alias("ab"), F.col("key").bitwiseAND(F.lit((1 << 2 * BITS) - 1)).alias("bc"), "t", "b")
+    two = summed(tri, "bc", "2").select("bc", F.shiftright("bc", BITS).alias("mid"), F.col("bc").bitwiseAND(last).alias("c"), "t2", "b2")
+    one = summed(two, "c", "1")
+    total = one.agg(F.count("*").alias("v"), F.coalesce(F.sum("t1"), F.lit(0)).alias("t"), F.coalesce(F.sum("b1"), F.lit(0)).alias("b")).first()
+    v = max(VOCABULARY, total.v)
+
+    def mixed(n, shorter, context):
+        return (F.col(n) + PRIOR * shorter) / (F.col(context) + PRIOR)
+
+    one = one.select("c", *(((F.col(f"{m}1") + PRIOR / v) / (total[m] + PRIOR)).alias(f"{m}p1") for m in "tb"))
+    two = (two.join(summed(two, "mid", "2c"), "mid").join(one, "c")
+           .select("bc", *(mixed(f"{m}2", F.col(f"{m}p1"), f"{m}2c").alias(f"{m}p2") for m in "tb")))
+    return (tri.join(summed(tri, "ab", "3c"), "ab").join(two, "bc")
+            .select("key", *((-F.log(mixed(m, F.col(f"{m}p2"), f"{m}3c"))).alias(f"l{m}") for m in "tb")))
+
+
+def _score(texts: pa.Table, model: pa.Table) -> pa.Table:
+    key = model.column("key").to_numpy()
+    order = np.argsort(key)
+    key, tables = key[order], [model.column(c).to_numpy()[order] for c in ("lt", "lb")]
+    ids, out = texts.column("doc_id").combine_chunks(), []
+    for first, part in slices(texts.column("text")):
+        symbols, n = codes(part)
+        at = np.searchsorted(key, trigrams(symbols, n)) if n.sum() else np.empty(0, np.int64)
+        ends, none, sums = segments(n), n == 0, []
+        for t in tables:
+            run_ = np.concatenate([[0.0], np.cumsum(t[at], dtype=np.float64)])
+            sums.append((run_[ends[1:]] - run_[ends[:-1]]) / np.maximum(n, 1))
+        out.append(pa.RecordBatch.from_arrays([ids.slice(first, len(part)), pa.array(n), pa.array(sums[0], mask=none), pa.array(sums[1], mask=none)],
+                                              names=["doc_id", "n_tokens", "loss_target", "loss_background"]))
+    kinds = zip(("doc_id", "n_tokens", "loss_target", "loss_background"), (pa.int64(), pa.int64(), pa.float64(), pa.float64()))
+    give_back()
+    return pa.Table.from_batches(out, pa.schema(list(kinds)))
+
+
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", good: str = "quality",
+                             chunk: int = CHUNK) -> DataFrame:
     """(doc_id, n_tokens, loss_target, loss_background, score) of every document."""
-    spark = docs.sparkSession
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    chars = tasks(src.select("text"), _characters, "cp int, n long").groupBy("cp").agg(F.sum("n").alias("n"))
-    top = [r.cp for r in chars.orderBy(F.desc("n"), "cp").limit(VOCABULARY - 2).collect()]
-    lookup = np.full(max(top, default=0) + 2, OTHER, np.uint8)
-    lookup[top] = np.arange(2, len(top) + 2)
-    known = labels.groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max(F.col(good) == 1).alias("good"))
-    told = src.join(known, "doc_id", "left").select("text", "good")
-    cells = tasks(told, _counts(lookup), "model int, cell int, n long").groupBy("model", "cell").agg(F.sum("n").alias("n"))
-    counts = np.zeros((2, VOCABULARY ** 3), np.int64)
-    found = cells.toArrow()                                   # at most 2 * VOCABULARY ** 3 rows
-    counts[found.column("model").to_numpy(), found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    shared = spark.sparkContext.broadcast([losses(c) for c in counts])
-    out = tasks(src, _score(lookup, shared), "doc_id long, n_tokens long, loss_target double, loss_background double")
+    texts = land(tasks(src, _chunked(chunk), "chunk long, at long, doc_id long, text string"), "chunks")
+    known = labels.where(F.col(good) == 1).select(F.col(doc_id).cast("long").alias("doc_id")).distinct()
+    goods = texts.select("chunk", "at", "doc_id").join(known, "doc_id").select(F.col("chunk").alias("of"), F.col("at").alias("at"))
+    cells = land(texts.select("chunk", "at", "text").groupBy("chunk").cogroup(goods.groupBy("of"))
+                 .applyInArrow(_counts, "chunk long, key long, t long, b long"), "cells")
+    hits = cells.select("chunk", "key").join(losses(cells), "key").select("chunk", "key", "lt", "lb")
+    out = (texts.select("chunk", "doc_id", "text").groupBy("chunk").cogroup(hits.groupBy("chunk"))
+           .applyInArrow(_score, "doc_id long, n_tokens long, loss_target double, loss_background double"))
     return out.withColumn("score", F.col("loss_target") - F.col("loss_background"))
 
 
