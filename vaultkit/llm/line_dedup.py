@@ -1,9 +1,11 @@
 """Line dedup by winnowing over line hashes (operator 9).
 
 Every window of consecutive lines with at least ``min_words`` words (the shortest such window from
-each line on) keeps the minimum of its line hashes as fingerprint. Any run of that many words which
-two places share contains a common window, hence a common fingerprint: nothing of that size can be
-missed, wherever line breaks fall. Each fingerprint's positions are joined with its first position,
+each line on) keeps the minimum of its line hashes as fingerprint. The join key holds the hash of the
+window too, so it is a join over all window hashes: the minimum chooses no positions. Any run of whole
+equal lines with that many words which two places share contains a common window, hence a common
+fingerprint, and is found. A shared passage that begins or ends inside a line is found only as far as
+its whole lines reach that size. Each fingerprint's positions are joined with its first position,
 matches are extended line by line both ways against the text of that first position, and the lines
 of the later run are deleted. A deleted line always has an equal earlier line that is kept.
 
