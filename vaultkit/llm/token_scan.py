@@ -69,7 +69,7 @@ def write_token_files(docs: DataFrame, path: str, doc_id: str = "doc_id", text:
      .option("lineSep", EOD.to_bytes(2, "little").decode("latin-1")).option("maxRecordsPerFile", FILE_ROWS).text(path))
 
 
-def _scan(block: int, eod: int):
+def _scan(block: int, eod: int, head_ids: int = HEAD):
     def run(batches):
         for b in batches:
             out = []
@@ -82,7 +82,7 @@ def _scan(block: int, eod: int):
                 ends = seps[len(seps) - whole:] if whole > 0 else seps[:0]
                 begin = starts[:max(whole, 0)]
                 last = int(starts[-1]) if len(starts) and at + int(starts[-1]) < total else None
-                head = lambda s, e: id_of(a[s:min(s + HEAD, e)].tolist())
+                head = lambda s, e: id_of(a[s:min(s + HEAD, e)].tolist()) if head_ids else None
                 out.append((file, n, (at + len(a[:block])) >= total, total, len(seps),
                             [head(s, e) for s, e in zip(begin.tolist(), ends.tolist())],
                             (begin + at).tolist(), (ends + at).tolist(),
@@ -100,14 +100,17 @@ _BLOCKS_SQL = ("file string, n long, is_last boolean, total long, seps long, ids
                "first_end long, open_start long, open_id long")
 
 
-def scan_token_files(spark: SparkSession, path: str, block: int = BLOCK, eod: int = EOD) -> DataFrame:
-    """(file, ordinal, doc_id, start, n_tokens): every document of the token files, head and separator not counted."""
+def scan_token_files(spark: SparkSession, path: str, block: int = BLOCK, eod: int = EOD, head: int = HEAD) -> DataFrame:
+    """(file, ordinal, doc_id, start, n_tokens): every document of the token files, head and separator not counted.
+    Files of other writers have no head: ``head=0`` counts every id and gives the ordinal in the file as doc_id."""
+    if head not in (0, HEAD):
+        raise ValueError(f"head is 0 or {HEAD}")
     f = spark.read.format("binaryFile").load(path).select("path", "length", "content").where("length >= 2")
     size = F.lit(2 * block)
     parts = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 2) / size)))
     cut = f.select("path", parts.alias("n"), F.floor(F.col("length") / 2).alias("total"), "content")
     cut = cut.select("path", "n", "total", F.expr(f"substring(content, cast(n * {2 * block} + 1 as int), {2 * block + 2 * HEAD})").alias("data"))
-    rows = tasks(cut, _scan(block, eod), _BLOCKS_SQL)
+    rows = tasks(cut, _scan(block, eod, head), _BLOCKS_SQL)
     before = Window.partitionBy("file").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     open_ = F.when(F.col("open_start").isNotNull(), F.struct("open_start", "open_id"))
     rows = rows.withColumn("o", open_).withColumn("carry", F.last("o", ignorenulls=True).over(before))
@@ -123,7 +126,8 @@ def scan_token_files(spark: SparkSession, path: str, block: int = BLOCK, eod: in
     tail = F.when(F.col("is_last") & F.col("left").isNotNull(), F.array(one(
         F.col("left.open_id"), F.col("left.open_start"), F.col("total"), F.col("before") + F.col("seps")))).otherwise(none)
     docs = rows.select("file", F.explode(F.concat(stitched, inner, tail)).alias("d")).select("file", "d.*")
-    return docs.select("file", "ordinal", "doc_id", "start", F.greatest(F.col("end") - F.col("start") - HEAD, F.lit(0)).alias("n_tokens"))
+    doc_id = F.col("doc_id") if head else F.col("ordinal")
+    return docs.select("file", "ordinal", doc_id.alias("doc_id"), "start", F.greatest(F.col("end") - F.col("start") - head, F.lit(0)).alias("n_tokens"))
 
 
 def op1_separator_scan(spark, sf_dir: str) -> DataFrame:
