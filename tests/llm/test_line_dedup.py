@@ -75,6 +75,7 @@ def test_edge_rows(spark, edge, empty):
     out = L.dedup_lines(edge)
     assert out.count() == edge.count()
     assert L.dedup_lines(empty).count() == 0
+    edge = edge.selectExpr("*", "'x' AS ld_gone", "1 AS ld_th", "2 AS ld_doc", "3 AS LD_TH2")
     kept = L.stage(spark, edge, None)
     assert kept.columns == edge.columns and kept.count() == edge.count()     # equal rows are one document
 
@@ -84,3 +85,35 @@ def test_stage_drops_documents_that_lose_everything(spark):
     df = spark.createDataFrame([(1, t, 5), (2, t, 5), (3, t + "\nown line", 5), (4, None, 5), (5, "", 5)], "doc_id long, text string, n_chars long")
     got = {r.doc_id: (r.text, r.n_chars) for r in L.stage(spark, df, None).collect()}
     assert got == {1: (t, 5), 3: ("own line", 8), 4: (None, 5), 5: ("", 5)}
+
+
+def test_common_runs():
+    import numpy as np
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 2, 200)
+    p, q = rng.integers(0, 200, 500), rng.integers(0, 200, 500)
+    for i, j, n in zip(p, q, L.common(x, p, q)):
+        m = 0
+        while max(i, j) + m < 200 and x[i + m] == x[j + m]:
+            m += 1
+        assert m == n
+
+
+@pytest.mark.parametrize("few", [0, 4])
+def test_a_text_that_repeats_its_own_lines(spark, few, monkeypatch):
+    monkeypatch.setattr(L, "FEW", few)
+    block = [" ".join(f"l{k}w{i}" for i in range(1 + k % 3)) for k in range(40)]
+    rows = [(1, "\n".join(["a b"] * 120)), (2, "\n".join(block * 6)), (3, "\n".join(block[5:] + ["x y z"] + block)), (4, "\n".join(["c"] + ["a b"] * 70))]
+    check(spark, rows, 50)
+
+
+def test_long_texts_of_equal_lines_and_repeated_blocks(spark):
+    """200,000 lines each; the time of a quadratic join would be hours."""
+    import time
+    block = [f"line number {k} of it" for k in range(40)]
+    rows = [(1, "\n".join(["a b"] * 200_000)), (2, "\n".join(block * 5_000))]
+    t = time.time()
+    out = {r.doc_id: (r.text, r.n) for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).selectExpr(
+        "doc_id", "text", "size(ld_gone) AS n").collect()}
+    assert out == {1: ("a b", 199_999), 2: ("\n".join(block), 199_960)}
+    assert time.time() - t < 120

@@ -61,6 +61,17 @@ def tasks(df: DataFrame, run, schema: str) -> DataFrame:
     return df.mapInArrow(trimmed, schema)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """These names, with underscores added to any that ``df`` has as a column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def share(spark: SparkSession, value):
     """Broadcast an object of this subpackage's classes by value: executors need no copy of the code."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
