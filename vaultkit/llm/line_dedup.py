@@ -153,10 +153,12 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     t = land(tasks(src, _line_rows(min_words), LINES).dropDuplicates(["doc_id", "th"]), "line-hashes")
     key = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "th")
     selected = t.select(key.alias("d"), F.explode("fp").alias("f")).select("d", "f.*")
-    often = t.select(F.explode("fp.line").alias("line")).groupBy("line").agg(F.count("*").alias("n")).where("n > 1")
+    often = t.select(F.explode("fp.line").alias("line")).groupBy("line").agg(F.count("*").alias("n"))
+    # What a join meets is landed first: between two plain exchanges Spark can split a very frequent line or window.
+    often = land(often.where("n > 1").select("line"), "selected-lines")
     fp = selected.join(often, "line", "left_semi").select("d", F.explode("wins").alias("w")).select("d", "w.*")
     first = fp.groupBy("win").agg(F.min(F.struct("d", "i")).alias("a"), F.max(F.struct("d", "i")).alias("z"))
-    first = first.where("a != z").select("win", "a")
+    first = land(first.where("a != z").select("win", "a"), "first-places")
     hits = fp.join(first, "win").where((F.col("d") != F.col("a.d")) | (F.col("i") > F.col("a.i")))
     runs = hits.groupBy("d", F.col("a.d").alias("ad")).agg(           # at most one window per line of the document
         F.collect_list(F.struct("i", "e", F.col("a.i").alias("ai"))).alias("wins"),

@@ -161,7 +161,7 @@ def _text(z: bytes, size: int) -> bytes:
 def classes(bundles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(repeated, opened): bundles of classes with two or more members; first bundles of classes that are not alone in their group."""
     c = land(bundles.groupBy("d1", "d2", "k").agg(F.count("*").alias("n"), F.min(F.struct("th1", "th2", "pos")).alias("rep")), "suffix-classes")
-    groups = c.groupBy("d1", "d2").agg(F.count("*").alias("c")).where("c > 1")
+    groups = land(c.groupBy("d1", "d2").agg(F.count("*").alias("c")).where("c > 1").select("d1", "d2"), "suffix-groups")
     opened = c.join(groups, ["d1", "d2"], "left_semi").select("rep.*")
     repeated = bundles.join(c.where("n > 1"), ["d1", "d2", "k"], "left_semi").select("th1", "th2", "pos")
     return repeated.distinct(), opened
@@ -176,7 +176,9 @@ def repeated_windows(docs: DataFrame, text: str = "text", threshold: int = THRES
     if not 0 < reach <= threshold - GRAM or reach > 4096 or step > reach:
         raise ValueError("reach must leave a gram before the threshold, and be at most 4096")
     src = docs.select(F.col(text).alias("text"))
-    counts = tasks(src, _bundles(threshold, reach, False), "d1 long").groupBy("d1").agg(F.count("*").alias("n")).where("n > 1")
+    # What a join meets is landed first: between two plain exchanges Spark can split a group that holds many rows.
+    counts = tasks(src, _bundles(threshold, reach, False), "d1 long").groupBy("d1").agg(F.count("*").alias("n"))
+    counts = land(counts.where("n > 1").select("d1"), "first-digits")
     alive = land(tasks(src, _bundles(threshold, reach, True), _WHOLE).join(counts, "d1", "left_semi"), "suffix-bundles")
     repeated, opened = classes(alive)
     repeated = land(repeated, "repeated-bundles")
@@ -186,7 +188,8 @@ def repeated_windows(docs: DataFrame, text: str = "text", threshold: int = THRES
     finer, open_again = classes(tasks(texts, _split(threshold, step), _WHOLE))
     again = land(_of_texts(open_again, "again"), "opened-again")
     single = tasks(texts.join(again, ["th1", "th2"]).select("th1", "th2", "z", "n_bytes", "again"), _split(threshold, 1), _WHOLE)
-    twice = single.groupBy("d1", "d2").agg(F.min(F.struct("th1", "th2", "pos")).alias("a"), F.max(F.struct("th1", "th2", "pos")).alias("z")).where("a != z")
+    twice = single.groupBy("d1", "d2").agg(F.min(F.struct("th1", "th2", "pos")).alias("a"), F.max(F.struct("th1", "th2", "pos")).alias("z"))
+    twice = land(twice.where("a != z").select("d1", "d2"), "repeated-suffixes")
     last = single.join(twice, ["d1", "d2"], "left_semi").select("th1", "th2", "pos")
     return _of_texts(repeated.union(finer).union(last.distinct()), "spans")
 
