@@ -50,10 +50,48 @@ def test_model_run_two_batches(spark, tables):
     assert both.count() == 0
     assert log.where("model_name in ('STG_CUSTOMER', 'REJECT', 'SAT_PRODUCT')").count() == 3
     assert log.where("end_timestamp < start_timestamp").count() == 0
+    before = [f for f in store.files("snapshot_stg_customer") if tb.DAY1_BATCH in f]
     # rerun of batch 2: rejects and hub unchanged, the batch's snapshot folder replaced, not duplicated
     r3 = run_models(store, _inputs(tables, tb.staging_day2(tables)), ctx2)
     assert r3["REJECT"] == r2["REJECT"] and r3["HUB"] == 0
     assert store.read("snapshot_stg_customer").count() == n_snap
+    assert before == [f for f in store.files("snapshot_stg_customer") if tb.DAY1_BATCH in f] != []     # batch 1 keeps its files
+
+
+def test_audit_of_many_models_is_one_merge(spark, monkeypatch):
+    """200 models are planned about as fast as 2, by one MERGE; a rerun keeps first start times."""
+    import time
+    from vaultkit.operators import audit as A
+    calls = []
+    monkeypatch.setattr(A, "merge", lambda *a, merge=A.merge, **k: calls.append(1) or merge(*a, **k))
+    ctx = LoadContext(batch_id="A1", run_ts=dt.datetime(2025, 1, 1), record_source="CRM")
+    took = {}
+    for n in (2, 2, 200):
+        calls.clear()
+        log = spark.createDataFrame([], SC.PROCESS_LOG)
+        t = time.perf_counter()
+        log = A.process_start_all(log, ctx, [("STAGE", f"STG_{k}") for k in range(n)], "CRM")
+        log._jdf.queryExecution().executedPlan()
+        took[n] = time.perf_counter() - t
+        assert len(calls) == 1
+    assert took[200] < 5 * took[2] + 0.5, took
+    first = dt.datetime(2024, 12, 31)
+    log = A.process_start_all(log, ctx, [("STAGE", "STG_7"), ("DM", "DM_NEW")], "CRM", first)
+    rows = {r["model_name"]: r for r in log.collect()}
+    assert len(rows) == 201 and rows["STG_7"]["start_timestamp"] == ctx.run_ts and rows["DM_NEW"]["start_timestamp"] == first
+
+
+def test_run_of_thirty_models(spark, tables):
+    day1 = tb.stage(tb.day1_rows(tables), PRODUCT, tb.DAY1_BATCH, tb.DAY1_TS)
+    few = day1.limit(20)
+    inputs = ModelInputs(
+        products={f"STG_P{k}": few for k in range(12)}, identifiers={f"STG_I{k}": tb.identifiers(tables).limit(5) for k in range(5)},
+        relationships={f"STG_R{k}": tb.relationships(tables).limit(5) for k in range(5)}, countries=tb.countries(tables),
+        satellite_sources={"sat_product": (PRODUCT, "STG_P0")}, snapshot_models=("STG_P0", "STG_P1", "STG_P2"))
+    store = scratch_store(spark, "thirty")
+    ran = run_models(store, inputs, LoadContext(batch_id=tb.DAY1_BATCH, run_ts=dt.datetime(2025, 1, 1), record_source="CRM"))
+    assert len(ran) == 30
+    assert store.read("process_log", SC.PROCESS_LOG).where("process_status = 'SUCCESS'").count() == 30
 
 
 def test_failed_run_is_logged(spark, tables):

@@ -42,6 +42,5 @@ def test_one_load_per_micro_batch(spark, tables):
     # a replayed epoch is skipped: its log row stays as it was
     before = [tuple(r) for r in log.orderBy("etl_batch_id").collect()]
     delta_load_batches(store, PRODUCT, ctx_for)(tb.staging_day2(tables), 1)
-    store.refresh()
     again = store.read("process_log", SC.PROCESS_LOG).where("model_name = 'SAT_PRODUCT'").orderBy("etl_batch_id").collect()
     assert [tuple(r) for r in again] == before

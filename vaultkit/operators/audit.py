@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,29 +51,40 @@ def _log_row(ctx: LoadContext, layer: str, model: str, source_system: str, at: d
     }
 
 
+def process_start_all(log: DataFrame, ctx: LoadContext, planned: Sequence[tuple[str, str]], source_system: str,
+                      at: dt.datetime | None = None) -> DataFrame:
+    """Upsert a RUNNING row for every planned (layer, model) of a batch in one MERGE; a rerun keeps first
+    start times and zeroes metrics. A model planned twice counts once, with its last layer.
+
+    The rows are a local relation, whatever their number: the plan stays one join."""
+    rows = {model_name(m): (layer_name(layer), model_name(m)) for layer, m in planned}
+    src = log.sparkSession.createDataFrame(list(rows.values()), "layer_name string, model_name string")
+    one = _log_row(ctx, "", "", source_system, at)
+    src = src.select(*[F.col(c) if c in ("layer_name", "model_name") else one[c].alias(c) for c in PROCESS_LOG_COLUMNS])
+    s = lambda c: F.col(f"s.{c}")
+    upd = {c: s(c) for c in ("layer_name", "source_system", "process_status", "rows_processed", "error_message",
+                             "delta_inserted_rows", "delta_updated_rows", "end_timestamp")}
+    upd["start_timestamp"] = F.coalesce(F.col("t.start_timestamp"), s("start_timestamp"))
+    return merge(log, src, ["etl_batch_id", "model_name"], update=upd)
+
+
 def process_start(log: DataFrame, ctx: LoadContext, layer: str, model: str, source_system: str,
                   at: dt.datetime | None = None) -> DataFrame:
-    """Upsert a RUNNING row for (batch, model); a rerun keeps the first start time, zeroes metrics."""
-    src = _log_row(ctx, layer, model, source_system, at)
-    from_src = ("layer_name", "source_system", "rows_processed", "error_message", "delta_inserted_rows", "delta_updated_rows")
-    upd = {c: (lambda t, s, c=c: s(c)) for c in from_src}
-    upd.update({
-        "process_status": lambda t, s: F.lit(RUNNING),
-        "start_timestamp": lambda t, s: F.coalesce(t("start_timestamp"), s("start_timestamp")),
-        "end_timestamp": lambda t, s: _null_ts(),
-    })
-    return merge_single(log, src, ["etl_batch_id", "model_name"], update=upd)
+    """``process_start_all`` of one model."""
+    return process_start_all(log, ctx, [(layer, model)], source_system, at)
 
 
-def process_success(log: DataFrame, metrics: DataFrame, ctx: LoadContext, model: str, at: dt.datetime | None = None) -> DataFrame:
+def process_success(log: DataFrame, metrics: DataFrame | Mapping[str, int], ctx: LoadContext, model: str, at: dt.datetime | None = None) -> DataFrame:
     """Close the RUNNING row of (batch, model) with SUCCESS, end time ``at`` and the delta metrics.
 
-    ``metrics`` is the one-row frame of ``delta_metrics``.
+    ``metrics`` is the one-row frame of ``delta_metrics``, or its values as a load has observed them.
     """
-    src = metrics.select(
-        ctx.batch().alias("etl_batch_id"), F.lit(model_name(model)).alias("model_name"),
-        "delta_inserted_rows", "delta_updated_rows", "rows_processed",
-    )
+    names = ("delta_inserted_rows", "delta_updated_rows", "rows_processed")
+    who = {"etl_batch_id": ctx.batch(), "model_name": F.lit(model_name(model))}
+    if isinstance(metrics, Mapping):
+        src = who | {c: F.lit(metrics[c]).cast("long") for c in names}
+    else:
+        src = metrics.select(*[v.alias(c) for c, v in who.items()], *names)
     return merge_single(log, src, ["etl_batch_id", "model_name"], update={
         "process_status": lambda t, s: F.lit(SUCCESS),
         "end_timestamp": lambda t, s: _at(ctx, at),

@@ -8,6 +8,8 @@ next satellite, history rows, hub rows and metrics are all projections of that o
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,9 @@ CHANGED = "CHANGED"
 UNCHANGED = "UNCHANGED"
 ABSENT = "ABSENT"
 
+SEQ = "__seq"              # running number of a satellite's row versions: the newest row of a key counts
+PREFIX = "diff_prefix"     # leading digits of the hash diff, by which the history is partitioned
+
 ACTION = "action"
 STG = "stg"
 SAT = "sat"
@@ -56,19 +61,18 @@ def since_watermark(df: DataFrame, watermarks: DataFrame | None, ctx: LoadContex
     return df.where(F.col(column or ctx.watermark_column) >= watermark_floor(watermarks, ctx))
 
 
-def advance_watermark(watermarks: DataFrame, dq: DataFrame, ctx: LoadContext) -> DataFrame:
+def advance_watermark(watermarks: DataFrame, dq: DataFrame | dt.datetime | None, ctx: LoadContext) -> DataFrame:
     """Next watermark table: max of the DQ set's watermark column; insert if absent, raise only.
 
-    A NULL maximum (empty DQ set) changes nothing.
+    A NULL maximum (empty DQ set) changes nothing. ``dq`` may be that maximum, as a load has observed it.
     """
-    src = dq.agg(F.max(F.col(ctx.watermark_column)).cast("timestamp_ntz").alias("watermark_value")).select(
-        F.lit(ctx.system).alias("source_system"),
-        F.lit(ctx.object_name).alias("source_object"),
-        F.lit(ctx.watermark_name).alias("watermark_column"),
-        F.col("watermark_value"),
-        ctx.ts().alias("updated_at"),
-        ctx.batch().alias("etl_batch_id"),
-    )
+    row = {"source_system": F.lit(ctx.system), "source_object": F.lit(ctx.object_name), "watermark_column": F.lit(ctx.watermark_name),
+           "updated_at": ctx.ts(), "etl_batch_id": ctx.batch()}
+    if isinstance(dq, DataFrame):
+        highest = F.max(F.col(ctx.watermark_column)).cast("timestamp_ntz").alias("watermark_value")
+        src = dq.agg(highest).select("watermark_value", *[v.alias(c) for c, v in row.items()])
+    else:
+        src = row | {"watermark_value": F.lit(dq and dq.isoformat(sep=" ")).cast("timestamp_ntz")}
     return merge_single(
         watermarks, src, ["source_system", "source_object", "watermark_column"],
         update={"watermark_value": lambda t, s: s("watermark_value"), "updated_at": lambda t, s: s("updated_at"),
@@ -130,47 +134,57 @@ def classify(dq: DataFrame, satellite: DataFrame) -> DataFrame:
     return j.select("hashkey", action.alias(ACTION), STG, SAT)
 
 
-def mark(dq: DataFrame, satellite: DataFrame | None, changes: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+def mark(dq: DataFrame, satellite: DataFrame | None, buckets: int | None = None) -> DataFrame:
     """The DQ set with ``action`` (NEW, CHANGED, UNCHANGED): what a load needs of the classification.
 
-    Only (hashkey, hashdiff) of the satellite is read, and ABSENT keys are not produced. ``changes``
-    are rows upserted on top of ``satellite``; theirs count. With ``buckets`` the DQ side is dealt into
-    the satellite's buckets, so the satellite is joined where it lies, whatever the number of shuffle
-    partitions.
+    Only (hashkey, hashdiff) of the satellite is read, and ABSENT keys are not produced. A satellite of
+    row versions (column ``SEQ``) is joined as it is; the newest version is then chosen among the keys of
+    the DQ set only. With ``buckets`` the DQ side is dealt into the satellite's buckets, so the satellite is
+    joined where it lies, whatever the number of shuffle partitions.
     """
     if satellite is None:
         return dq.withColumn(ACTION, F.lit(NEW))
     s = dq.repartition(int(buckets), "hashkey") if buckets else dq
-    s = s.join(active(satellite).select("hashkey", F.col("hashdiff").alias("__base")), "hashkey", "left")
-    known = F.col("__base")
-    if changes is not None:
-        s = s.join(active(changes).select("hashkey", F.col("hashdiff").alias("__top")), "hashkey", "left")
-        known = F.coalesce("__top", "__base")
-    action = F.when(known.isNull(), NEW).when(known == F.col("hashdiff"), UNCHANGED).otherwise(CHANGED)
+    versions = SEQ in satellite.columns
+    t = active(satellite).select("hashkey", F.col("hashdiff").alias("__known"), *([SEQ] if versions else []))
+    s = s.join(t, "hashkey", "left")
+    if versions:
+        s = latest_by(s, ["hashkey"], [SEQ])
+    action = F.when(F.col("__known").isNull(), NEW).when(F.col("__known") == F.col("hashdiff"), UNCHANGED).otherwise(CHANGED)
     return s.withColumn(ACTION, action).select(*dq.columns, ACTION)
 
 
-def current_rows(keys: DataFrame, satellite: DataFrame, changes: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
-    """Active satellite rows of the hashkeys in ``keys``; a row in ``changes`` replaces the one below it."""
-    k = keys.select("hashkey")
-    k = k.repartition(int(buckets), "hashkey") if buckets else k
-    if changes is None:
-        return active(satellite).join(k, "hashkey", "left_semi")
-    top = active(changes).join(keys.select("hashkey"), "hashkey", "left_semi")
-    below = active(satellite).join(k.join(top.select("hashkey"), "hashkey", "left_anti"), "hashkey", "left_semi")
-    return below.select(*satellite.columns).unionByName(top, allowMissingColumns=True)
+def current_rows(keys: DataFrame, satellite: DataFrame) -> DataFrame:
+    """Active satellite rows of the hashkeys in ``keys``; of row versions the newest."""
+    rows = active(satellite).join(keys.select("hashkey"), "hashkey", "left_semi")
+    return latest_by(rows, ["hashkey"], [SEQ]).drop(SEQ) if SEQ in satellite.columns else rows
 
 
-def archived(rows: DataFrame, history: DataFrame | None, ctx: LoadContext, dedupe_on: tuple[str, ...] = ("hashdiff",)) -> DataFrame:
-    """``rows`` as history rows (END_DATETIME = run time, moved last), less versions archived already.
+def with_prefix(rows: DataFrame, digits: int) -> DataFrame:
+    """Rows with the partition column of the history."""
+    return rows.withColumn(PREFIX, F.substring("hashdiff", 1, digits))
 
-    History only grows: it is reduced to the versions at hand before the anti join.
+
+def archived_already(history: DataFrame, rows: DataFrame, dedupe_on: tuple[str, ...], digits: int | None = None) -> DataFrame:
+    """Versions of ``rows`` that the history holds.
+
+    History only grows: it is reduced to the versions at hand, one row each. With ``digits`` the history is
+    partitioned by that prefix of the hash diff, and the prefixes at hand prune its partitions at run time.
     """
+    wanted = rows.select(*dedupe_on)
+    if not digits:
+        return history.select(*dedupe_on).join(wanted, list(dedupe_on), "left_semi").distinct()
+    known = history.select(*dedupe_on, PREFIX).join(with_prefix(wanted, digits), [*dedupe_on, PREFIX], "left_semi")
+    return known.select(*dedupe_on).distinct()
+
+
+def archived(rows: DataFrame, history: DataFrame | None, ctx: LoadContext, dedupe_on: tuple[str, ...] = ("hashdiff",),
+             digits: int | None = None) -> DataFrame:
+    """``rows`` as history rows (END_DATETIME = run time, moved last), less versions archived already."""
     live = [c for c in rows.columns if c != "end_datetime"]
     out = rows.select(*live, ctx.ts().alias("end_datetime"))
     if history is not None:
-        seen = history.select(*dedupe_on).join(out.select(*dedupe_on), list(dedupe_on), "left_semi").distinct()
-        out = out.join(seen, list(dedupe_on), "left_anti")
+        out = out.join(archived_already(history, out, dedupe_on, digits), list(dedupe_on), "left_anti")
     return out.select(*live, "end_datetime")
 
 
@@ -282,11 +296,7 @@ def history_rows(classified: DataFrame, history: DataFrame | None, spec: EntityS
     cols = [f"{SAT}.{_q(c)} AS {_q(c)}" for c in live]
     rows = classified.where(F.col(ACTION) == CHANGED).selectExpr(*cols, f"{_ts_sql(ctx)} AS end_datetime")
     if history is not None:
-        # History only grows; reduce it to the versions this load might archive before the anti
-        # join, so a small change set streams the history past a hash table of its own keys.
-        wanted = rows.select(*dedupe_on)
-        seen = history.select(*dedupe_on).join(wanted, list(dedupe_on), "left_semi").distinct()
-        rows = rows.join(seen, list(dedupe_on), "left_anti")
+        rows = rows.join(archived_already(history, rows, dedupe_on), list(dedupe_on), "left_anti")
     return rows.select(*live, "end_datetime")
 
 

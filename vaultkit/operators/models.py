@@ -11,7 +11,7 @@ from vaultkit.operators.conform import append_synced
 from vaultkit.operators.dedupe import latest_by, union_all
 from vaultkit.operators.merge import insert_new, upsert
 from vaultkit.operators.quality import exclude_rejects
-from vaultkit.operators.delta import sat_columns, history_columns
+from vaultkit.operators.delta import archived_already, history_columns, sat_columns
 from vaultkit.spec import HUB_COLUMNS, EntitySpec, LoadContext
 
 # Origin labels of hub rows, also the tie order when one key comes from several.
@@ -94,11 +94,12 @@ def sat_incremental(staging: DataFrame, satellite: DataFrame | None, rejects: Da
 
 
 def expire_versions(satellite_before: DataFrame | None, incoming: DataFrame, history: DataFrame | None,
-                    spec: EntitySpec, ctx: LoadContext, rejects: DataFrame | None = None) -> DataFrame:
+                    spec: EntitySpec, ctx: LoadContext, rejects: DataFrame | None = None, digits: int | None = None) -> DataFrame:
     """History rows of the model mode: satellite rows (before this load) whose incoming hashdiff
     differs, END_DATETIME = run time, unless the hashdiff is archived already. First run: none.
 
     ``rejects`` (products only): rejected ids never replace their version, so they archive nothing.
+    ``digits``: the history is partitioned by that prefix of the hash diff.
     """
     if rejects is not None:
         incoming = exclude_rejects(incoming, rejects, ("dataset_product_id",))
@@ -112,9 +113,7 @@ def expire_versions(satellite_before: DataFrame | None, incoming: DataFrame, his
     sat = satellite_before.select(*[c for c in sat_columns(spec) if c != "end_datetime"])
     expiring = sat.join(inc, (sat["hashkey"] == inc["__k"]) & (sat["hashdiff"] != inc["__d"]), "left_semi")
     rows = expiring.withColumn("end_datetime", ctx.ts())
-    # history only grows: reduce it to the hashdiffs about to be archived before the anti join
-    seen = history.select("hashdiff").join(rows.select("hashdiff"), "hashdiff", "left_semi").distinct()
-    rows = rows.join(seen, "hashdiff", "left_anti")
+    rows = rows.join(archived_already(history, rows, ("hashdiff",), digits), "hashdiff", "left_anti")
     return rows.select(*history_columns(spec))
 
 

@@ -5,25 +5,27 @@ hub -> archive -> satellite -> watermark -> log SUCCESS) is kept as data depende
 output is computed from the *input* versions and the one marked DQ set, so the metrics are
 taken before the hub changes and the archive sees the satellite before the merge.
 
-Nothing of the satellite's size is written or kept: a load upserts the rows that are new or changed
-and notes unchanged keys in a narrow last-seen table. ``read_satellite`` joins the two.
+Nothing of the satellite's size is written or kept: a load appends the rows that are new or changed
+and notes unchanged keys in a narrow last-seen table. ``read_satellite`` joins the two. All counts come
+from the writes themselves (``Observation``): no job only counts.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaultkit.operators import audit as A
 from vaultkit.operators import delta as D
 from vaultkit.operators.conform import standard_hash_names
-from vaultkit.plans.store import VaultStore
+from vaultkit.plans.store import VaultStore, versioned
 from vaultkit.session import materialize
 from vaultkit.sources import schemas as SC
 from vaultkit.spec import EntitySpec, LoadContext
@@ -32,15 +34,21 @@ SEEN = T.StructType([T.StructField("hashkey", T.StringType()), T.StructField("ha
                      T.StructField("updated_datetime", T.TimestampNTZType())])
 LOG_KEYS = ("etl_batch_id", "model_name")
 WATERMARK_KEYS = ("source_system", "source_object", "watermark_column")
+HISTORY_DIGITS = 1         # of the hash diff: the history has 16 partitions per digit
+
+
+def stored_history(spec: EntitySpec) -> T.StructType:
+    return T.StructType([*SC.history(spec).fields, T.StructField(D.PREFIX, T.StringType())])
 
 
 @dataclass
 class LoadResult:
     marked: DataFrame           # DQ set with its action, written once into the shared folder
-    metrics: DataFrame
+    actions: dict[str, int]     # rows per action, observed by that write
+    metrics: DataFrame          # as the warehouse counts them; a run takes them from its writes
     hub_new: DataFrame
     history_new: DataFrame
-    satellite_new: DataFrame    # NEW and CHANGED rows, to be upserted
+    satellite_new: DataFrame    # NEW and CHANGED rows, to be appended as the newest versions
     seen: DataFrame             # UNCHANGED keys with the time they were seen
     watermarks: DataFrame
 
@@ -66,30 +74,38 @@ def _empty(spark, schema):
 
 def delta_load(staging: DataFrame, hub: DataFrame | None, satellite: DataFrame | None,
                history: DataFrame | None, rejects: DataFrame | None, watermarks: DataFrame | None,
-               spec: EntitySpec, ctx: LoadContext, changes: DataFrame | None = None, buckets: int | None = None) -> LoadResult:
+               spec: EntitySpec, ctx: LoadContext, buckets: int | None = None, digits: int | None = None) -> LoadResult:
     """Everything one load produces, as DataFrames.
 
-    ``satellite`` are its base rows, ``changes`` the rows upserted on top of them, ``buckets`` the
-    base's bucket count. The marked DQ set feeds six outputs, so it is written once (it has the size
-    of the staging input) and read back: a lost executor does not repeat the staging views.
+    ``satellite`` are its rows or row versions, ``buckets`` its and the hub's bucket count, ``digits`` the
+    history's prefix. The marked DQ set feeds six outputs, so it is written once (it has the size of the
+    staging input) and read back: a lost executor does not repeat the staging views. It is written in
+    the satellite's buckets, so the joins that follow move neither it nor hub or satellite.
     """
     spark = staging.sparkSession
     # Legacy hash column names (IDENTIFIER_MD5 / RECORD_MD5) are read as hashkey / hashdiff.
     hub, satellite, history = [standard_hash_names(t) if t is not None else None for t in (hub, satellite, history)]
     wm = watermarks if watermarks is not None else _empty(spark, SC.WATERMARK)
     dq = D.dq_passed(staging, rejects, wm if ctx.use_watermark else None, spec, ctx)
-    marked = materialize(D.mark(dq, satellite, changes, buckets), "marked")
-    metrics_df = D.delta_metrics(marked, hub)
-    metrics = spark.createDataFrame([metrics_df.first()], metrics_df.schema)     # one row, computed once
-    hub_new = D.hub_rows(D.new_hub_keys(marked, hub), spec, ctx)
+    marked = D.mark(dq, satellite, buckets)
+    if buckets and satellite is None:
+        marked = marked.repartition(int(buckets), "hashkey")
+    seen = Observation()
+    counts = [F.count_if(F.col(D.ACTION) == a).alias(a) for a in (D.NEW, D.CHANGED, D.UNCHANGED)]
+    if ctx.use_watermark:
+        counts.append(F.max(F.col(ctx.watermark_column)).cast("timestamp_ntz").cast("string").alias("highest"))
+    marked = materialize(marked.observe(seen, *counts), "marked", "hashkey", buckets)
+    observed = dict(seen.get)
+    highest = observed.pop("highest", None)
     changed = marked.where(F.col(D.ACTION) == D.CHANGED)
+    hub_new = D.hub_rows(D.new_hub_keys(marked, hub), spec, ctx)
     if satellite is None:
         history_new = _empty(spark, SC.history(spec))
     else:
-        history_new = D.archived(D.current_rows(changed, satellite, changes, buckets), history, ctx)
-    seen = marked.where(F.col(D.ACTION) == D.UNCHANGED).select("hashkey", "hashdiff", ctx.ts().alias("updated_datetime"))
-    next_wm = D.advance_watermark(wm, marked, ctx) if ctx.use_watermark else wm
-    return LoadResult(marked, metrics, hub_new, history_new, D.stamped(marked, spec, ctx), seen, next_wm)
+        history_new = D.archived(D.current_rows(changed, satellite), history, ctx, digits=digits)
+    same = marked.where(F.col(D.ACTION) == D.UNCHANGED).select("hashkey", "hashdiff", ctx.ts().alias("updated_datetime"))
+    next_wm = D.advance_watermark(wm, highest and dt.datetime.fromisoformat(highest), ctx) if ctx.use_watermark else wm
+    return LoadResult(marked, observed, D.delta_metrics(marked, hub), hub_new, history_new, D.stamped(marked, spec, ctx), same, next_wm)
 
 
 def read_satellite(store: VaultStore, table: str, spec: EntitySpec) -> DataFrame | None:
@@ -98,38 +114,37 @@ def read_satellite(store: VaultStore, table: str, spec: EntitySpec) -> DataFrame
     seen = store.read(f"{table}_seen", SEEN)
     if rows is None or seen is None:
         return rows
-    s = seen.select("hashkey", F.col("hashdiff").alias("__d"), F.col("updated_datetime").alias("__u"))
-    later = F.when(F.col("__d") == F.col("hashdiff"), F.greatest("updated_datetime", "__u")).otherwise(F.col("updated_datetime"))
-    return rows.join(s, "hashkey", "left").withColumn("updated_datetime", later).select(*D.sat_columns(spec))
+    s = seen.groupBy("hashkey", F.col("hashdiff").alias("__d")).agg(F.max("updated_datetime").alias("__u"))
+    j = rows.join(s, (rows["hashkey"] == s["hashkey"]) & (rows["hashdiff"] == s["__d"]), "left").drop(s["hashkey"])
+    return j.withColumn("updated_datetime", F.greatest("updated_datetime", "__u")).select(*D.sat_columns(spec))
 
 
-def compact_satellite(store: VaultStore, table: str, spec: EntitySpec, batch_id: str, buckets: int | None = None) -> None:
-    """Fold upserted rows and last-seen times into one base folder, bucketed by hashkey if ``buckets``."""
-    store.refresh()
+def compact_satellite(store: VaultStore, table: str, spec: EntitySpec, buckets: int | None = None) -> None:
+    """Fold old row versions and last-seen times into one row per key, bucketed by hashkey if ``buckets``."""
     rows = read_satellite(store, table, spec)
     if rows is not None:
-        store.write(table, rows, batch_id, bucket_by="hashkey" if buckets else None, buckets=buckets)
-        if store.version(f"{table}_seen"):
-            store.write(f"{table}_seen", rows.limit(0).select("hashkey", "hashdiff", "updated_datetime"), batch_id)
-        store.publish()
+        store.rewrite(table, rows.withColumn(D.SEQ, F.lit(0).cast("long")), buckets)
+        if store.exists(f"{table}_seen"):
+            store.rewrite(f"{table}_seen", _empty(store.spark, SEEN), buckets)
 
 
 def _log_rows(store: VaultStore, log: DataFrame, ctx: LoadContext, model: str) -> None:
-    """Upsert the rows of (batch, model): loads that overlap do not overwrite each other's rows."""
+    """Replace the partition of (batch, model): loads that overlap do not touch each other's rows."""
     mine = log.where((F.col("etl_batch_id") == ctx.batch_id) & (F.col("model_name") == A.model_name(model)))
-    store.write("process_log", mine.coalesce(1), ctx.batch_id, mode="upsert", keys=LOG_KEYS)
+    store.replace_partitions("process_log", mine.coalesce(1), LOG_KEYS)
 
 
 def run_delta_load(store: VaultStore, staging: DataFrame, spec: EntitySpec, ctx: LoadContext,
                    names: dict[str, str] | None = None, satellite_buckets: int | None = None) -> dict:
-    """Read current versions from ``store``, run ``delta_load``, write and publish what it changes.
+    """Read the tables of ``store``, run ``delta_load`` and write what it changes.
 
-    The RUNNING row of the process log is published first and closed with SUCCESS or, on any error,
-    FAILED and the message. Hub and history get new rows appended; satellite, watermark and log get
-    upserts. Returns the metrics row as a dict.
+    The RUNNING row of the process log is written first and closed with SUCCESS or, on any error,
+    FAILED and the message. Hub, history and satellite are appended to; the partitions of this load's
+    watermark and log row are replaced. Hub, history, satellite, in that order: a load that broke off is
+    completed by running it again. Returns the metrics row as a dict.
 
-    ``satellite_buckets``: the first load writes the satellite bucketed by hashkey. Later loads (and
-    ``compact_satellite``) then join it where it lies and shuffle only the staging side.
+    ``satellite_buckets``: the first load writes hub, satellite and last-seen table bucketed by hashkey.
+    Later loads join them where they lie and shuffle only the staging side.
     """
     n = {"hub": "hub", "sat": f"sat_{spec.origin.lower()}", "hist": f"sat_{spec.origin.lower()}_hist",
          "reject": "reject", "wm": "source_watermark"}
@@ -141,42 +156,31 @@ def run_delta_load(store: VaultStore, staging: DataFrame, spec: EntitySpec, ctx:
         found = store.read("process_log", SC.PROCESS_LOG)
         return found if found is not None else _empty(spark, SC.PROCESS_LOG)
 
-    store.refresh()
     _log_rows(store, A.process_start(log(), ctx, "DELTA", spec.name, ctx.system, A.now()), ctx, spec.name)
-    store.publish()
     tr.step("log start")
     try:
-        layout = store.bucketed(n["sat"])
-        res = delta_load(staging, store.read(n["hub"], SC.HUB), store.base_rows(n["sat"], SC.satellite(spec)),
-                         store.read(n["hist"], SC.history(spec)), store.read(n["reject"], SC.REJECT),
-                         store.read(n["wm"], SC.WATERMARK), spec, ctx, store.changed_rows(n["sat"], SC.satellite(spec)),
-                         layout[1] if layout else None)
-        metrics = res.metrics.first().asDict()
-        tr.step("dq + mark + metrics")
-        actions = {r[D.ACTION]: r["n"] for r in res.marked.groupBy(D.ACTION).agg(F.count("*").alias("n")).collect()}
-        store.write(n["hub"], res.hub_new, ctx.batch_id, mode="append")
-        if actions.get(D.CHANGED):
-            store.write(n["hist"], res.history_new, ctx.batch_id, mode="append")
-        elif not store.version(n["hist"]):
-            store.write(n["hist"], res.history_new.limit(0), ctx.batch_id, mode="append")
+        buckets = store.buckets(n["sat"]) if store.exists(n["sat"]) else satellite_buckets
+        res = delta_load(staging, store.read(n["hub"], SC.HUB), store.rows(n["sat"], versioned(SC.satellite(spec))),
+                         store.rows(n["hist"], stored_history(spec)), store.read(n["reject"], SC.REJECT),
+                         store.read(n["wm"], SC.WATERMARK), spec, ctx, buckets, HISTORY_DIGITS)
+        tr.step("dq + mark")
+        inserted, changed = store.append(n["hub"], res.hub_new, buckets), res.actions[D.CHANGED]
+        metrics = {"delta_inserted_rows": inserted, "delta_updated_rows": changed, "rows_processed": inserted + changed}
+        if changed or not store.exists(n["hist"]):
+            history = D.with_prefix(res.history_new, HISTORY_DIGITS)
+            store.append(n["hist"], history.repartition(D.PREFIX), partition_by=(D.PREFIX,))
         tr.step("write hub, history")
-        first = not store.version(n["sat"])
-        if first or actions.get(D.NEW) or actions.get(D.CHANGED):
-            store.write(n["sat"], res.satellite_new, ctx.batch_id, mode="upsert", keys=("hashkey",),
-                        bucket_by="hashkey" if first and satellite_buckets else None, buckets=satellite_buckets if first else None)
-        if actions.get(D.UNCHANGED):
-            store.write(f"{n['sat']}_seen", res.seen, ctx.batch_id, mode="upsert", keys=("hashkey",))
+        if not store.exists(n["sat"]) or res.actions[D.NEW] or changed:
+            store.add_versions(n["sat"], res.satellite_new, buckets)
+        if res.actions[D.UNCHANGED]:
+            store.append(f"{n['sat']}_seen", res.seen, buckets)
         tr.step("write satellite")
         if ctx.use_watermark:
             mine = (F.col("source_system") == ctx.system) & (F.col("source_object") == ctx.object_name)
-            store.write(n["wm"], res.watermarks.where(mine).coalesce(1), ctx.batch_id, mode="upsert", keys=WATERMARK_KEYS)
-        _log_rows(store, A.process_success(log(), res.metrics, ctx, spec.name, A.now()), ctx, spec.name)
-        store.publish()
-        tr.step("publish")
+            store.replace_partitions(n["wm"], res.watermarks.where(mine).coalesce(1), WATERMARK_KEYS)
+        _log_rows(store, A.process_success(log(), metrics, ctx, spec.name, A.now()), ctx, spec.name)
+        tr.step("watermark, log")
     except Exception as e:
-        store.discard()
-        store.refresh()
         _log_rows(store, A.process_failed(log(), ctx, spec.name, f"{type(e).__name__}: {e}"[:2000], A.now()), ctx, spec.name)
-        store.publish()
         raise
     return metrics

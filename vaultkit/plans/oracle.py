@@ -906,3 +906,19 @@ oracle("process_end_failed",
        f"UNION ALL SELECT {q(tb.DAY2_BATCH)}, 'HUB', 'HUB', 'CRM', 'ERROR', {RUN}, {RUN}, CAST(0 AS BIGINT), {_FAILED}, CAST(0 AS BIGINT), CAST(0 AS BIGINT) "
        f"UNION ALL SELECT {q(tb.DAY2_BATCH)}, 'STAGE', 'STG_PRODUCT', 'CRM', 'SUCCESS', {RUN}, {RUN}, (SELECT count(*) FROM fx_stg), '', "
        "CAST(0 AS BIGINT), CAST(0 AS BIGINT)", ["fx_log0", "fx_reject", "fx_stg"])
+
+
+# --- stored tables: what is read back is what the operators give ------------------------------------
+ORACLES["snapshot_sink"] = ORACLES["snapshot_batch"]
+ORACLES["reject_image_stored"] = ORACLES["reject_image"]
+ORACLES["declared_drift"] = ORACLES["catalogue_products"]
+ORACLES["load_stored"] = ORACLES["sat_merge"]
+oracle("snapshot_one_batch",
+       f"SELECT captured_at, {', '.join(STG_COLS)} FROM ({ORACLES['snapshot_batch'][0]}) WHERE etl_batch_id = {q(tb.DAY2_BATCH)}",
+       ORACLES["snapshot_batch"][1])
+_REJECT = ("reject_key, dataset_product_id, source_country_code, dataset_id, source_dataset_id, error_code, error_message, load_datetime, "
+           "source_lastmodifieddate, hashkey, hashdiff, record_source, reject_source_model, rejected_record")
+oracle("reject_schema_sync",
+       f"SELECT {_REJECT}, etl_batch_id, CAST(NULL AS INTEGER) AS severity FROM fx_reject "
+       f"UNION ALL SELECT {_REJECT}, 'B2', CAST(length(error_code) AS INTEGER) FROM fx_reject "
+       f"UNION ALL SELECT {_REJECT}, 'B3', CAST(length(error_code) AS INTEGER) FROM fx_reject", ["fx_reject"])

@@ -546,36 +546,41 @@ def schema_sync(spark, sf_dir):
 from vaultkit.plans import catalogue as CAT  # noqa: E402
 from vaultkit.plans import crm as CRM  # noqa: E402
 from vaultkit.sources import adapters as AD  # noqa: E402
+from vaultkit.sources.declared import DeclaredSources, check_sources, shaped  # noqa: E402
+
+
+def _declared(frames):
+    return DeclaredSources(frames=frames)
 
 
 @query
 def crm_products(spark, sf_dir):
-    return CRM.crm_products(AD.crm_tables(_t(spark, sf_dir)), tb.ctx())
+    return CRM.crm_products(_declared(AD.crm_tables(_t(spark, sf_dir))), tb.ctx())
 
 
 @query
 def crm_identifiers(spark, sf_dir):
-    return CRM.crm_identifiers(AD.crm_tables(_t(spark, sf_dir)), tb.ctx())
+    return CRM.crm_identifiers(_declared(AD.crm_tables(_t(spark, sf_dir))), tb.ctx())
 
 
 @query
 def crm_relationships(spark, sf_dir):
-    return CRM.crm_relationships(AD.crm_tables(_t(spark, sf_dir)), tb.ctx())
+    return CRM.crm_relationships(_declared(AD.crm_tables(_t(spark, sf_dir))), tb.ctx())
 
 
 @query
 def catalogue_products(spark, sf_dir):
-    return CAT.catalogue_products(AD.catalogue_tables(_t(spark, sf_dir)), tb.ctx())
+    return CAT.catalogue_products(_declared(AD.catalogue_tables(_t(spark, sf_dir))), tb.ctx())
 
 
 @query
 def catalogue_identifiers(spark, sf_dir):
-    return CAT.catalogue_identifiers(AD.catalogue_tables(_t(spark, sf_dir)), tb.ctx())
+    return CAT.catalogue_identifiers(_declared(AD.catalogue_tables(_t(spark, sf_dir))), tb.ctx())
 
 
 @query
 def catalogue_relationships(spark, sf_dir):
-    return CAT.catalogue_relationships(AD.catalogue_tables(_t(spark, sf_dir)), tb.ctx())
+    return CAT.catalogue_relationships(_declared(AD.catalogue_tables(_t(spark, sf_dir))), tb.ctx())
 
 
 from vaultkit.plans import legacy as LEG  # noqa: E402
@@ -584,39 +589,112 @@ from vaultkit.plans import market as MKT  # noqa: E402
 
 @query
 def market_products(spark, sf_dir):
-    return MKT.market_products(AD.market_tables(_t(spark, sf_dir)), tb.ctx(), own_corporation=AD.MARKET_OWNER)
+    return MKT.market_products(_declared(AD.market_tables(_t(spark, sf_dir))), tb.ctx(), own_corporation=AD.MARKET_OWNER)
 
 
 @query
 def market_relationships(spark, sf_dir):
-    return MKT.market_relationships(AD.market_tables(_t(spark, sf_dir)), tb.ctx())
+    return MKT.market_relationships(_declared(AD.market_tables(_t(spark, sf_dir))), tb.ctx())
 
 
 @query
 def legacy_products(spark, sf_dir):
-    return LEG.legacy_products(AD.legacy_product_table(_t(spark, sf_dir)), tb.ctx(), "legacy")
+    return LEG.legacy_products(shaped(AD.legacy_product_table(_t(spark, sf_dir)), "legacy_product_history"), tb.ctx(), "legacy")
 
 
 @query
 def legacy_products_market(spark, sf_dir):
-    return LEG.legacy_products(AD.legacy_product_table(_t(spark, sf_dir)), tb.ctx(), "market")
+    return LEG.legacy_products(shaped(AD.legacy_product_table(_t(spark, sf_dir)), "market_product_history"), tb.ctx(), "market")
 
 
 @query
 def legacy_products_catalogue(spark, sf_dir):
-    return LEG.legacy_products(AD.legacy_product_table(_t(spark, sf_dir), typed_dates=True), tb.ctx(), "catalogue")
+    return LEG.legacy_products(shaped(AD.legacy_product_table(_t(spark, sf_dir), typed_dates=True), "catalogue_product_history"), tb.ctx(), "catalogue")
 
 
 @query
 def legacy_identifiers(spark, sf_dir):
-    return LEG.legacy_identifiers(AD.legacy_identifier_table(_t(spark, sf_dir)), tb.ctx())
+    return LEG.legacy_identifiers(shaped(AD.legacy_identifier_table(_t(spark, sf_dir)), "legacy_identifier_history"), tb.ctx())
 
 
 @query
 def legacy_relationships(spark, sf_dir):
-    return LEG.legacy_relationships(AD.legacy_relationship_table(_t(spark, sf_dir)), tb.ctx(), "market")
+    return LEG.legacy_relationships(shaped(AD.legacy_relationship_table(_t(spark, sf_dir)), "market_relationship_history"), tb.ctx(), "market")
 
 
 @query
 def legacy_relationships_catalogue(spark, sf_dir):
-    return LEG.legacy_relationships(AD.legacy_relationship_table(_t(spark, sf_dir), typed_dates=True), tb.ctx(), "catalogue")
+    return LEG.legacy_relationships(shaped(AD.legacy_relationship_table(_t(spark, sf_dir), typed_dates=True), "catalogue_relationship_history"), tb.ctx(), "catalogue")
+
+
+# --- stored tables: written, and read back as another application would -------------------------
+
+from vaultkit.plans.model_run import read_snapshot, write_snapshot  # noqa: E402
+from vaultkit.plans.store import VaultStore, scratch_store  # noqa: E402
+
+
+@query
+def snapshot_sink(spark, sf_dir):
+    """Snapshots of two batches in a table partitioned by batch; the second is run twice and replaces itself."""
+    t = _t(spark, sf_dir)
+    store = scratch_store(spark, "snapshots")
+    store.replace_partitions("snapshot", _snapshot_day1(t), ("etl_batch_id",))
+    for _ in range(2):
+        write_snapshot(store, "snapshot", tb.staging_day2(t), tb.rejects_day2(t), tb.ctx())
+    return read_snapshot(VaultStore(spark, store.base), "snapshot")
+
+
+@query
+def snapshot_one_batch(spark, sf_dir):
+    """One batch of that table: a partition filter leaves only its files."""
+    t = _t(spark, sf_dir)
+    store = scratch_store(spark, "snapshots")
+    store.replace_partitions("snapshot", _snapshot_day1(t), ("etl_batch_id",))
+    write_snapshot(store, "snapshot", tb.staging_day2(t), tb.rejects_day2(t), tb.ctx())
+    return read_snapshot(VaultStore(spark, store.base), "snapshot", tb.DAY2_BATCH)
+
+
+@query
+def reject_schema_sync(spark, sf_dir):
+    """Stored rejects over three batches: one adds a column, the next drops another; read back as one table."""
+    r = tb.rejects_day2(_t(spark, sf_dir))
+    store = scratch_store(spark, "rejects")
+    second = r.withColumns({"severity": F.length("error_code"), "etl_batch_id": F.lit("B2")})
+    for batch in (r, second, second.drop("error_level").withColumn("etl_batch_id", F.lit("B3"))):
+        store.append_synced("reject", batch)
+    return VaultStore(spark, store.base).read("reject")
+
+
+@query
+def reject_image_stored(spark, sf_dir):
+    """Rejects stored with the record as a VARIANT column of Parquet; two fields are read back from it."""
+    t = _t(spark, sf_dir)
+    store = scratch_store(spark, "rejects")
+    store.append_synced("reject", find_rejects({tb.STAGING_MODEL: tb.staging_day2(t)}, tb.countries(t), tb.ctx(), as_variant=True))
+    r = VaultStore(spark, store.base).read("reject")
+    field = lambda f: F.try_variant_get("rejected_record", f"$.{f}", "string")
+    return r.select("reject_key", field("product_name").alias("product_name"), field("hashkey").alias("image_hashkey"))
+
+
+@query
+def declared_drift(spark, sf_dir):
+    """Catalogue products from a file that has drifted from its declaration: other order and case, one more column."""
+    store = scratch_store(spark, "drift")
+    c = AD.catalogue_claves(_t(spark, sf_dir))
+    drifted = c.select(F.lit("x").alias("NOTAS"), *[F.col(x).alias(x.upper()) for x in reversed(c.columns)])
+    drifted.write.parquet(f"{store.base}/catalogue_claves.parquet")
+    check_sources(spark, store.base, ["catalogue_claves"])
+    return CAT.catalogue_products(DeclaredSources(spark, store.base), tb.ctx())
+
+
+@query
+def load_stored(spark, sf_dir):
+    """Satellite after a delta load into stored tables, bucketed: hub, satellite and marked set are joined where they lie."""
+    from vaultkit.plans.load import read_satellite, run_delta_load
+    t = _t(spark, sf_dir)
+    store = scratch_store(spark, "load")
+    store.append("reject", tb.rejects_day2(t))
+    store.add_versions("sat_product", tb.satellite_day1(t), 4)
+    store.append("hub", tb.hub_day1(t), 4)
+    run_delta_load(store, tb.staging_day2(t), PRODUCT, tb.ctx())
+    return read_satellite(VaultStore(spark, store.base), "sat_product", PRODUCT)

@@ -1,249 +1,195 @@
-"""Versioned Parquet tables under one shared folder.
-
-Plain Parquet has no row-level MERGE, so a load writes new folders and nothing a running plan reads
-is ever overwritten. The live folders of a table depend on how each was written:
-  * ``replace`` starts a new list;
-  * ``append`` adds a folder (hub, history: insert-only);
-  * ``upsert`` adds a folder of whole rows, of which the newest per key counts on read (satellites,
-    watermark, logs), so a load writes only the rows it changes;
-  * ``replace_batch`` replaces the folder of the same batch.
-``publish`` makes all staged folders visible at once: it writes the list of live folders as the next
-numbered commit. A commit that another writer took first is retried on top of it; appends and upserts
-of both survive. A ``replace`` computed from folders that have changed since is refused
-(``PublishConflict``): it would drop the rows published in between.
+"""Vault tables as plain Spark tables under one shared folder.
+
+Every table has one of four layouts, and every write is one of Spark's own:
+
+* ``append``: hub and rejects only grow. Bucketed by a key, they are joined on it where they lie.
+* ``versions``: a satellite is appended to as well, whole rows with a running number; the newest row of a
+  key counts. A load writes only the rows it changes, and in a bucketed table neither the join of a load
+  nor the choice of the newest row moves the satellite.
+* ``partitions``: snapshots (by batch), process log, batch control and watermarks are replaced partition by
+  partition with dynamic partition overwrite; a rerun of a batch touches the files of that batch alone.
+  The history is appended to, in partitions by a prefix of the hash diff, so that a load reads only the
+  prefixes of the versions it archives.
+* ``replace``: marts are written anew.
+
+There is no commit log: a table is what its folder holds. A write becomes visible when Spark commits its
+job, table by table. A load writes its tables in an order that a rerun completes (hub, history,
+satellite, watermark, log), as the statements of a warehouse procedure do. One writer at a time per
+appended table; partitions of different loads do not touch. The bucket count stands in the folder's name.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import os
 import re
 import time
 import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaultkit.operators.dedupe import latest_by
-
-CATALOG = "_catalog"
-KEEP_COMMITS = 20
-SEQ = "__seq"
-CATALOG_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()), T.StructField("version", T.LongType()),
-    T.StructField("mode", T.StringType()), T.StructField("path", T.StringType()),
-    T.StructField("batch_id", T.StringType()), T.StructField("committed_at", T.TimestampNTZType()),
-    T.StructField("bucket_col", T.StringType()), T.StructField("buckets", T.IntegerType()),
-    T.StructField("keys", T.StringType()),
-])
-
-
-class PublishConflict(RuntimeError):
-    """A replaced table has changed since it was read; the staged folders were not published."""
+from vaultkit.operators.delta import SEQ
 
 
 class VaultStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        self._pending: list[dict] = []
-        self._live: list[dict] | None = None
 
-    # --- catalog ------------------------------------------------------------------------------
-    def _path(self, path: str):
+    # --- folders ------------------------------------------------------------------------------
+    def _fs(self, path: str):
         sc = self.spark.sparkContext
         p = sc._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(sc._jsc.hadoopConfiguration())
 
-    def _commits(self) -> list[int]:
-        """Numbers of complete commits, oldest first. Only a missing folder means an empty store:
-        any other failure to read is raised."""
-        folder, fs = self._path(f"{self.base}/{CATALOG}")
-        if not fs.exists(folder):
-            return []
-        found = []
-        for s in fs.listStatus(folder):
-            m = re.fullmatch(r"c(\d+)", s.getPath().getName())
-            if m and fs.exists(self._path(f"{self.base}/{CATALOG}/{s.getPath().getName()}/_SUCCESS")[0]):
-                found.append(int(m[1]))
-        return sorted(found)
-
-    def _commit(self, n: int) -> list[dict]:
-        if not n:
+    def folder(self, table: str) -> tuple[str, int] | None:
+        """(folder, bucket count or 0) of a table, None if it has never been written."""
+        root, fs = self._fs(self.base)
+        best = None
+        for s in fs.listStatus(root) if fs.exists(root) else ():
+            m = re.fullmatch(re.escape(table) + r"(?:-b(\d+))?(?:\.g(\d+))?", s.getPath().getName())
+            if not m:
+                continue
+            path, generation = f"{self.base}/{s.getPath().getName()}", int(m[2] or 0)
+            whole = not generation or fs.exists(self._fs(f"{path}/_SUCCESS")[0])       # a rewrite that did not end does not count
+            if whole and (best is None or generation > best[2]):
+                best = path, int(m[1] or 0), generation
+        return best and best[:2]
+
+    def exists(self, table: str) -> bool:
+        return self.folder(table) is not None
+
+    def buckets(self, table: str) -> int:
+        found = self.folder(table)
+        return found[1] if found else 0
+
+    def files(self, table: str) -> list[str]:
+        """Data files of a table."""
+        found = self.folder(table)
+        if found is None:
             return []
-        rows = self.spark.read.schema(CATALOG_SCHEMA).parquet(f"{self.base}/{CATALOG}/c{n:08d}").collect()
-        return sorted((r.asDict() for r in rows), key=lambda r: (r["table_name"], r["version"]))
-
-    def refresh(self) -> None:
-        """Read the newest commit: one row per live folder, which compaction bounds."""
-        commits = self._commits()
-        self._live = self._commit(commits[-1] if commits else 0)
-
-    def _entries(self, table: str) -> list[dict]:
-        """Live folders of one table, oldest first."""
-        if self._live is None:
-            self.refresh()
-        return [r for r in self._live if r["table_name"] == table]
-
-    @staticmethod
-    def _apply(live: list[dict], new: dict) -> list[dict]:
-        mine = [r for r in live if r["table_name"] == new["table_name"]]
-        if new["mode"] == "replace":
-            gone = mine
-        elif new["mode"] == "replace_batch":
-            gone = [r for r in mine if r["batch_id"] == new["batch_id"]]
-        else:
-            gone = []
-        version = max((r["version"] for r in mine), default=0) + 1
-        return [r for r in live if r not in gone] + [new | {"version": version}]
-
-    def paths(self, table: str) -> list[str]:
-        return [r["path"] for r in self._entries(table)]
-
-    def version(self, table: str) -> int:
-        e = self._entries(table)
-        return e[-1]["version"] if e else 0
-
-    def bucketed(self, table: str) -> tuple[str, int] | None:
-        """(column, count) of the oldest live folder if it is bucketed."""
-        e = self._entries(table)
-        return (e[0]["bucket_col"], e[0]["buckets"]) if e and e[0]["buckets"] else None
+        path, fs = self._fs(found[0])
+        it, out = fs.listFiles(path, True), []
+        while it.hasNext():
+            name = it.next().getPath().toString()
+            if name.endswith(".parquet"):
+                out.append(name)
+        return sorted(out)
 
     # --- reads --------------------------------------------------------------------------------
-    def read_batch(self, table: str, batch_id: str, schema: T.StructType | None = None) -> DataFrame | None:
-        """The folder of one batch of a ``replace_batch`` table (e.g. staging snapshots)."""
-        paths = [r["path"] for r in self._entries(table) if r["batch_id"] == batch_id]
-        return self._parquet(paths, schema) if paths else None
-
-    def _parquet(self, paths: list[str], schema: T.StructType | None) -> DataFrame:
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(*paths)
-
-    def base_rows(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
-        """The oldest live folder, with its bucket layout if it has one."""
-        e = self._entries(table)
-        if not e:
-            return None
-        if e[0]["buckets"]:
-            return self._bucketed_table(e[0]["path"], e[0]["bucket_col"], e[0]["buckets"], schema)
-        return self._parquet([e[0]["path"]], schema)
-
-    def changed_rows(self, table: str, schema: T.StructType) -> DataFrame | None:
-        """The folders upserted on top of the base: newest row per key."""
-        e = self._entries(table)[1:]
-        if not e:
-            return None
-        rows = self._parquet([r["path"] for r in e], T.StructType([*schema.fields, T.StructField(SEQ, T.LongType())]))
-        return latest_by(rows, e[0]["keys"].split(","), [SEQ]).drop(SEQ)
+    def rows(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
+        """Everything in the table, without choosing newest rows; a bucketed table with its layout.
 
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
-        e = self._entries(table)
-        if not e:
+        ``schema`` conforms files of other shapes (columns they lack are NULL, others are left out); without
+        it the table's noted shape does, or else the columns of all files are merged."""
+        found = self.folder(table)
+        if found is None:
             return None
-        if len(e) == 1 and e[0]["buckets"]:
-            return self.base_rows(table, schema)
-        if not any(r["mode"] == "upsert" for r in e):
-            return self._parquet([r["path"] for r in e], schema)
-        if len(e) == 1:
-            df = self._parquet([e[0]["path"]], schema)
-            return df.drop(SEQ)
-        schema = schema or T.StructType([f for f in self._parquet([e[0]["path"]], None).schema if f.name != SEQ])
-        new = self.changed_rows(table, schema)
-        keys = e[-1]["keys"].split(",")
-        return self.base_rows(table, schema).drop(SEQ).join(new.select(*keys), keys, "left_anti").select(*schema.names).unionByName(new)
-
-    @staticmethod
-    def _table_name(path: str) -> str:
-        return "vk_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex
-
-    def _bucketed_table(self, path: str, col: str, buckets: int, schema: T.StructType | None) -> DataFrame:
-        """The folder as a session table carrying its bucket spec, so joins on ``col`` need no
-        shuffle of this side. Registered by location (files stay in the shared folder)."""
-        name = self._table_name(path)
-        if not self.spark.catalog.tableExists(name):
-            sch = schema or T.StructType([f for f in self.spark.read.parquet(path).schema if f.name != SEQ])
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sch.fields)
+        path, n = found
+        if n:
+            return self._bucketed(path, "hashkey", n, schema or self.shape(table) or self._merged(path).schema)
+        schema = schema or self.shape(table)
+        if schema is None:
+            return self._merged(path)
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)     # partition columns in their place
+
+    def _merged(self, path: str) -> DataFrame:
+        return self.spark.read.option("mergeSchema", "true").parquet(path)
+
+    def _bucketed(self, path: str, key: str, n: int, schema: T.StructType) -> DataFrame:
+        return self.spark.table(self._declared(path, key, n, schema))
+
+    def _declared(self, path: str, key: str, n: int, schema: T.StructType) -> str:
+        """Name of the folder as a table of this session's catalog, with its bucket layout."""
+        name = "vk_" + uuid.uuid5(uuid.NAMESPACE_URL, f"{path} {schema.simpleString()}").hex
+        if self.spark.catalog.tableExists(name):
+            self.spark.catalog.refreshTable(name)
+        else:
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-                           f"CLUSTERED BY (`{col}`) SORTED BY (`{col}`) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
-        return self.spark.table(name)
+                           f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {n} BUCKETS LOCATION '{path}'")
+        return name
 
-    # --- writes -------------------------------------------------------------------------------
-    def write(self, table: str, df: DataFrame, batch_id: str, mode: str = "replace",
-              partition_cols: tuple[str, ...] = (), repartition_by: tuple[str, ...] = (),
-              bucket_by: str | None = None, buckets: int | None = None, keys: tuple[str, ...] = ()) -> str:
-        """Write ``df`` into a fresh folder and stage it for ``publish``.
-
-        With ``bucket_by``/``buckets`` the folder is written bucketed (hash of the column, sorted
-        within buckets, one file per bucket); later reads join on that column without shuffling it.
-        ``upsert`` needs ``keys``, the columns of which the newest row counts.
-        """
-        if mode == "upsert":
-            if not keys:
-                raise ValueError("upsert needs keys")
-            df = df.withColumn(SEQ, F.lit(time.time_ns()))
-        version = self.version(table)
-        path = f"{self.base}/{table}/v{version + 1:06d}-{uuid.uuid4().hex[:8]}"
-        out = df.repartition(*repartition_by) if repartition_by else df
-        if bucket_by and buckets:
-            (out.repartition(int(buckets), bucket_by).write.mode("errorifexists").bucketBy(int(buckets), bucket_by).sortBy(bucket_by)
-             .option("path", path).saveAsTable(self._table_name(path)))
-        else:
-            w = out.write.mode("errorifexists")
-            (w.partitionBy(*partition_cols) if partition_cols else w).parquet(path)
-        self._pending.append({
-            "table_name": table, "version": 0, "mode": mode, "path": path, "batch_id": batch_id,
-            "committed_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0),
-            "bucket_col": bucket_by if buckets else None, "buckets": int(buckets) if buckets else None,
-            "keys": ",".join(keys) or None, "seen": version})
-        return path
-
-    def compact(self, table: str, batch_id: str, schema: T.StructType | None = None,
-                bucket_by: str | None = None, buckets: int | None = None, files: int | None = None) -> str | None:
-        """Rewrite the live folders of a table into one (``files`` output files, or bucketed), published
-        like any other version. Refused if the table changes meanwhile; readers of the old folders go on."""
-        self.refresh()
-        df = self.read(table, schema)
-        if df is None:
-            return None
-        if files and not buckets:
-            df = df.repartition(int(files))
-        path = self.write(table, df, batch_id, mode="replace", bucket_by=bucket_by, buckets=buckets)
-        self.publish()
-        return path
-
-    def publish(self) -> None:
-        """Make every staged folder visible at once, on top of the newest commit."""
-        pending, self._pending, self._live = self._pending, [], None
-        while pending:
-            commits = self._commits()
-            n = commits[-1] if commits else 0
-            live = self._commit(n)
-            now = {r["table_name"]: r["version"] for r in live}           # newest version of each table
-            touched = set()
-            for new in pending:
-                table = new["table_name"]
-                if new["mode"] == "replace" and table not in touched and now.get(table, 0) != new["seen"]:
-                    raise PublishConflict(f"{table} changed from version {new['seen']} to {now.get(table, 0)} since it was read")
-                touched.add(table)
-                live = self._apply(live, {k: v for k, v in new.items() if k != "seen"})
-            rows = [tuple(r[f] for f in CATALOG_SCHEMA.names) for r in live]
-            target = f"{self.base}/{CATALOG}/c{n + 1:08d}"
-            try:
-                self.spark.createDataFrame(rows, CATALOG_SCHEMA).coalesce(1).write.mode("errorifexists").parquet(target)
-            except AnalysisException as e:
-                if "PATH_ALREADY_EXISTS" not in str(e):
-                    raise
-                time.sleep(0.5)                      # another writer holds this number: build on its commit
-                continue
-            for old in commits[:-KEEP_COMMITS]:
-                path, fs = self._path(f"{self.base}/{CATALOG}/c{old:08d}")
-                fs.delete(path, True)
-            return
+    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
+        """The table's current rows: of a ``versions`` table the newest row per hashkey."""
+        if schema is not None and table.startswith("sat_") and not table.endswith(("_hist", "_seen")):
+            found = self.rows(table, versioned(schema))
+            return None if found is None else latest_by(found, ["hashkey"], [SEQ]).drop(SEQ)
+        return self.rows(table, schema)
+
+    def shape(self, table: str) -> T.StructType | None:
+        """The columns a table has now, if its writer notes them (``note_shape``)."""
+        path, fs = self._fs(f"{self.base}/{table}.shape")
+        return self.spark.read.parquet(f"{self.base}/{table}.shape").schema if fs.exists(path) else None
+
+    def note_shape(self, table: str, df: DataFrame) -> None:
+        """From now on the table has the columns of ``df``: rows of older files get NULL in columns they lack,
+        and columns that are gone are no longer read. Files are not rewritten."""
+        df.limit(0).write.mode("overwrite").parquet(f"{self.base}/{table}.shape")
 
-    def discard(self) -> None:
-        self._pending = []
+    def read_batch(self, table: str, batch_id: str, schema: T.StructType | None = None) -> DataFrame | None:
+        """One partition of a table by batch: only its files are listed and read."""
+        found = self.rows(table, schema)
+        return None if found is None else found.where(F.col("etl_batch_id") == batch_id)
+
+    # --- writes -------------------------------------------------------------------------------
+    def append(self, table: str, df: DataFrame, buckets: int | None = None, partition_by: tuple[str, ...] = ()) -> int:
+        """Add rows; returns their number. ``buckets`` counts for a table that is new: bucketed by hashkey, sorted within."""
+        path, n = self.folder(table) or (self._new(table, buckets), int(buckets or 0))
+        return self._append(path, n, df, partition_by)
+
+    def _new(self, table: str, buckets: int | None, generation: int = 0) -> str:
+        return f"{self.base}/{table}" + (f"-b{int(buckets)}" if buckets else "") + (f".g{generation}" if generation else "")
+
+    def _append(self, path: str, n: int, df: DataFrame, partition_by: tuple[str, ...] = ()) -> int:
+        if n:
+            folder, fs = self._fs(path)
+            fs.mkdirs(folder)
+            name = self._declared(path, "hashkey", n, df.schema)
+            return counted(df.repartition(n, "hashkey"), lambda rows: rows.write.insertInto(name))
+        return counted(df, lambda rows: (rows.write.mode("append").partitionBy(*partition_by) if partition_by else rows.write.mode("append")).parquet(path))
+
+    def append_synced(self, table: str, df: DataFrame) -> int:
+        """Append ``df`` and give the table its columns."""
+        n = self.append(table, df)
+        self.note_shape(table, df)
+        return n
+
+    def add_versions(self, table: str, df: DataFrame, buckets: int | None = None) -> int:
+        """Append whole rows that count from now on for their keys."""
+        return self.append(table, df.withColumn(SEQ, F.lit(time.time_ns())), buckets)
+
+    def replace_partitions(self, table: str, df: DataFrame, partition_by: tuple[str, ...]) -> int:
+        """Dynamic partition overwrite: the partitions that ``df`` has rows for are replaced, no other file is touched."""
+        return counted(df, lambda rows: rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                       .partitionBy(*partition_by).parquet(f"{self.base}/{table}"))
+
+    def replace(self, table: str, df: DataFrame) -> int:
+        return counted(df, lambda rows: rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.base}/{table}"))
+
+    def rewrite(self, table: str, df: DataFrame, buckets: int | None = None) -> None:
+        """Put ``df``, which may be computed from the table itself, in place of its files: a new folder is
+        written whole, then the old one goes. Not for use beside readers or writers of the table."""
+        old = self.folder(table)
+        m = re.search(r"\.g(\d+)$", old[0]) if old else None
+        self._append(self._new(table, buckets, int(m[1]) + 1 if m else 1), int(buckets or 0), df)
+        if old is not None:
+            path, fs = self._fs(old[0])
+            fs.delete(path, True)
+
+
+def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Rows that ``write`` wrote, observed by the write itself: no job only counts."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return seen.get["n"]
+
+
+def versioned(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(SEQ, T.LongType())])
 
 
 def scratch_store(spark: SparkSession, name: str = "vault") -> VaultStore:

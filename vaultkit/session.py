@@ -65,16 +65,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", key: str | None = None, buckets: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet into the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` but computes the input a single time (an eager
     checkpoint of an unpersisted frame computes it twice). The folder is on the storage the
     cluster names in ``spark.checkpoint.dir``, so the result survives executor loss.
+
+    With ``buckets`` it is written bucketed by ``key`` and sorted within, and read back with that layout:
+    joins and aggregates on the key need no exchange of it.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "materialized", f"{name}-{uuid.uuid4().hex}")
+    tag = uuid.uuid4().hex
+    path = os.path.join(base, "materialized", f"{name}-{tag}")
+    if buckets:
+        table = f"landed_{tag}"
+        df.write.mode("errorifexists").bucketBy(int(buckets), key).sortBy(key).option("path", path).saveAsTable(table)
+        _delete_at_end(spark, path)
+        return spark.table(table)
     df.write.mode("errorifexists").parquet(path)
     _delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)

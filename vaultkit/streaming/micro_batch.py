@@ -28,7 +28,6 @@ def delta_load_batches(store: VaultStore, spec: EntitySpec, context_for: Callabl
     """``foreachBatch`` function: stage the micro-batch (``prepare``), then run one delta load."""
     def body(batch: DataFrame, epoch_id: int) -> None:
         ctx = context_for(epoch_id)
-        store.refresh()
         log = store.read("process_log", SC.PROCESS_LOG)
         if log is not None and not log.where((F.col("etl_batch_id") == ctx.batch_id) & (F.col("model_name") == model_name(spec.name))
                                              & (F.col("process_status") == SUCCESS)).isEmpty():
