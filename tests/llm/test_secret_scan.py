@@ -69,3 +69,45 @@ def test_edge_rows_and_plan(spark, edge, empty):
     plan = S.op5_secret_scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert got.where(F.size("assign") + F.size("access") > 0).count() == 0
+
+
+def _markov(text, base, model):
+    """Runs of identifier characters that no base span overlaps and whose log-likelihood ratio is high enough."""
+    at = {c: k for k, c in enumerate(S.ALPHABET)}
+    out = []
+    for m in re.finditer(S.RUN, text):
+        if any(a < m.end() and m.start() < e for a, _, e in base):
+            continue
+        odds = sum(model[at[x] * len(S.ALPHABET) + at[y]] for x, y in zip(m[0], m[0][1:]))
+        if odds > S.THRESHOLD:
+            out.append((m.start(), 3, m.end()))
+    return out
+
+
+def test_markov_spans_equal_a_plain_version(spark, texts):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = S.train(docs)
+    more = {-1: "k " + " ".join("%020x" % (k * 0x9E3779B97F4A7C15 % (1 << 79)) + " Zq8XvP0mTq7LwB2nRd9Kk" for k in range(40)), -2: TEXTS[3] + " q8Zk3XvP0mTq7LwB2nRd9"}
+    both = {**texts, **more}
+    rows = S.scan(spark.createDataFrame(list(both.items()), "doc_id long, text string"), model=model).collect()
+    found = 0
+    for r in rows:
+        t = both[r.doc_id] or ""
+        want = _markov(t, base_spans(t), model)
+        assert [(s["start"], 3, s["end"]) for s in r["markov"]] == want
+        found += len(want)
+    assert found >= 40
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    """20-digit hex words, which are base spans and runs at once: twice the matches, about twice the time."""
+    import time
+    took = {}
+    for n in (2_000, 16_000, 32_000):
+        text = " ".join("%020x" % (k * 0x9E3779B97F4A7C15 % (1 << 79)) for k in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1)
+        t = time.perf_counter()
+        r = S.scan(df, model=[1.0] * len(S.ALPHABET) ** 2).collect()[0]
+        took[n] = time.perf_counter() - t
+        assert [(s["start"], 2, s["end"]) for s in r["hex"]] == base_spans(text) and not r["markov"]
+    assert took[32_000] < 3.5 * took[16_000] + 1, took

@@ -6,7 +6,8 @@ the values that the base patterns label, one of ordinary identifiers, trained on
 them. Runs above the threshold that hold no base span are added as kind ``markov``.
 
 Positions are code points, end exclusive. Spark's functions give matches, not positions, so starts
-are running sums over the pieces between matches and the matches themselves.
+are running sums over the pieces between matches and the matches themselves. A text of n matches takes
+n log n steps, also where runs are held against base spans.
 
 Training uses a bounded sample, about ``SAMPLE`` documents chosen by hash of the id; every text is
 scanned whole. Defined cases: a null text counts as empty and has no span; repeated rows give
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,19 +42,50 @@ ORDINARY = 10                          # one in so many of them gives ordinary w
 THRESHOLD = 8.0                        # natural log of the odds that a run must have
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column], neutral: int) -> Column:
+    """Running sums (or maxima, by ``join``) of an array of ints: every step joins each value with the one 1, 2, 4, ...
+    places before, so an array of n takes log n passes and no array grows value by value."""
+    n = F.size(values)
+    steps = F.sequence(F.lit(0), F.greatest(F.ceil(F.log2(n.cast("double"))).cast("int") - 1, F.lit(0)))
+
+    def step(acc, k):
+        by = F.least(F.pow(F.lit(2.0), k).cast("int"), n)
+        before = F.concat(F.array_repeat(F.lit(neutral), by), F.slice(acc, F.lit(1), n - by))
+        return F.zip_with(acc, before, join)
+
+    return F.when(n > 1, F.aggregate(steps, values, step)).otherwise(values)
+
+
 def _positions(text: Column, pattern: str) -> Column:
     """array<struct<start,end,text>> of the leftmost non-overlapping matches."""
-    pieces = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("m")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("out"))
+    def placed(found):
+        moves = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found, lambda gap, m: F.length(gap) + F.length(m))
+        ends = _let(moves, lambda v: _running(v, lambda a, b: a + b, 0))
+        return F.zip_with(ends, found, lambda end, m: F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("text")))
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+
+
+def _apart(runs: Column, base: Column) -> Column:
+    """The runs that no span of ``base`` overlaps.
+
+    Runs, by their end, and base spans, by their start, are put in one order; a run overlaps if the
+    greatest end among the spans that start before its end lies behind its start."""
+    none = F.lit(None).cast("struct<start:int,end:int,text:string>")
+    asked = F.transform(runs, lambda r: F.struct(r["end"].alias("at"), F.lit(0).alias("span"), F.lit(-1).alias("end"), r.alias("run")))
+    spans = F.transform(base, lambda b: F.struct(b["start"].alias("at"), F.lit(1).alias("span"), b["end"].alias("end"), none.alias("run")))
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["m"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("text")))).alias("out"))
+    def judged(rows):
+        ends = _let(F.transform(rows, lambda x: x["end"]), lambda v: _running(v, lambda a, b: F.greatest(a, b), -1))
+        kept = F.zip_with(rows, ends, lambda x, end: F.when((x["span"] == 0) & (end <= x["run"]["start"]), x["run"]))
+        return F.filter(kept, lambda r: r.isNotNull())
 
-    return F.aggregate(steps, empty, step, lambda acc: acc["out"])
+    return F.when(F.size(base) == 0, runs).otherwise(_let(F.array_sort(F.concat(asked, spans)), judged))
 
 
 def _none() -> Column:
@@ -121,8 +154,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
                  hex_spans(F.col("t")).alias("hex"), F.when(F.col("t").rlike(RUN), _positions(F.col("t"), RUN)).otherwise(_none()).alias("runs"))
     base = F.concat("assign", "access", "hex")
     odds = lambda s: F.aggregate(_pairs(s["text"]), F.lit(0.0), lambda acc, p: acc + F.get(ratio, p))
-    added = F.filter("runs", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & (odds(s) > threshold))
-    return d.withColumn("base", base).withColumn("markov", added).select("doc_id", *KINDS)
+    return d.withColumn("markov", F.filter(_apart(F.col("runs"), base), lambda s: odds(s) > threshold)).select("doc_id", *KINDS)
 
 
 def _listed(kinds: list[str]) -> Column:
