@@ -5,10 +5,14 @@ counts per logarithmic bin. They merge by addition in any order, so the threshol
 every partitioning and after any retry, and a hot source is pre-aggregated in every task. The
 sketches give an upper fence per ratio, joined back to the documents in place of fixed cutoffs.
 
+A group's quantiles are drawn towards those of all groups together, as if ``WEIGHT`` texts of the whole
+had been among its own: a small group leans on the whole, a large one on itself, without a step between.
+No fence exceeds ``CEILING`` times the fence of the whole, so a source cannot vouch for its own junk.
+
 Defined cases: a null or empty text has no words and fails the base rule; null lang or source is a
-group of its own; a group with fewer than ``min_group`` texts takes the merged sketch of all groups;
-repeated rows are judged one by one; an empty table gives no rows; other columns are ignored by
-``judge`` except that it returns them, and its own columns carry the prefix ``q_``.
+group of its own; repeated rows are judged one by one; an empty table gives no rows; other columns are
+ignored by ``judge`` except that it returns them; its own columns are ``q_``, ``q_top``, ``q_base_failed``
+and ``q_kept``, in place of any that the input has under these names.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from vaultkit.llm.common import give_back, land, slices, table
+from vaultkit.llm.common import fresh, give_back, land, slices, table
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -38,7 +42,8 @@ RATIOS = ("symbol_ratio", "dup_line_ratio", "stutter_ratio", "word_length")
 SPREAD = {"symbol_ratio": 0.05, "dup_line_ratio": 0.15, "stutter_ratio": 0.05, "word_length": 1.0}
 FENCE = 4.0                                   # spreads above the upper quantile that are still accepted
 LOW_Q, HIGH_Q = 0.5, 0.75
-MIN_GROUP = 100
+WEIGHT = 100                                  # texts of the whole that count in every group
+CEILING = 2.0                                 # times the fence of the whole
 
 COUNTS = T.StructType([T.StructField(n, T.LongType()) for n in (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stutter")])
@@ -92,15 +97,16 @@ def _counts_udf():
 
 def measured(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``docs`` with one struct column ``q_`` of counts, ratios and group key."""
-    c = docs.withColumn("q_c", _counts_udf()(F.col(text)))
-    n = F.greatest(F.col("q_c.n_words"), F.lit(1)).cast("double")
+    counts, = fresh(docs, "q_c")
+    c = docs.withColumn(counts, _counts_udf()(F.col(text)))
+    n = F.greatest(F.col(f"{counts}.n_words"), F.lit(1)).cast("double")
     return c.withColumn("q_", F.struct(
-        "q_c.*",
-        (F.col("q_c.n_symbols") / n).alias("symbol_ratio"),
-        (F.col("q_c.n_dup_lines") / F.greatest(F.col("q_c.n_lines"), F.lit(1)).cast("double")).alias("dup_line_ratio"),
-        (F.col("q_c.n_stutter") / n).alias("stutter_ratio"),
-        (F.col("q_c.word_chars") / n).alias("word_length"),
-        F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"))).drop("q_c")
+        f"{counts}.*",
+        (F.col(f"{counts}.n_symbols") / n).alias("symbol_ratio"),
+        (F.col(f"{counts}.n_dup_lines") / F.greatest(F.col(f"{counts}.n_lines"), F.lit(1)).cast("double")).alias("dup_line_ratio"),
+        (F.col(f"{counts}.n_stutter") / n).alias("stutter_ratio"),
+        (F.col(f"{counts}.word_chars") / n).alias("word_length"),
+        F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"))).drop(counts)
 
 
 def sketches(q: DataFrame) -> DataFrame:
@@ -125,16 +131,15 @@ def quantiles(bins: DataFrame, keys: list[str], qs: tuple = (LOW_Q, HIGH_Q)) ->
         F.max("t").alias("t"))
 
 
-def fences(bins: DataFrame, min_group: int = MIN_GROUP, fence: float = FENCE) -> DataFrame:
-    """One row per (lang, source): an upper fence per ratio, from its own sketch or, below ``min_group``
-    texts, from the merged sketch of all groups."""
+def fences(bins: DataFrame, weight: float = WEIGHT, fence: float = FENCE, ceiling: float = CEILING) -> DataFrame:
+    """One row per (lang, source): an upper fence per ratio, from its own sketch and the merged one of all groups."""
     own, every = quantiles(bins, ["lang", "source", "ratio"]), quantiles(bins, ["ratio"])
     every = every.select("ratio", F.col("v0").alias("e0"), F.col("v1").alias("e1"))
     j = own.join(every, "ratio")
-    lo = F.when(F.col("t") >= min_group, F.col("v0")).otherwise(F.col("e0"))
-    hi = F.when(F.col("t") >= min_group, F.col("v1")).otherwise(F.col("e1"))
+    lo, hi = [(F.col("t") * F.col(f"v{i}") + weight * F.col(f"e{i}")) / (F.col("t") + weight) for i in (0, 1)]
     least = F.element_at(F.create_map(*[F.lit(x) for r in RATIOS for x in (r, SPREAD[r])]), F.col("ratio"))
-    j = j.withColumn("top", hi + fence * F.greatest(hi - lo, least))
+    top = lambda a, b: b + fence * F.greatest(b - a, least)
+    j = j.withColumn("top", F.least(top(lo, hi), ceiling * top(F.col("e0"), F.col("e1"))))
     return j.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("ratio") == r, F.col("top"))).alias(f"top_{r}") for r in RATIOS])
 
@@ -146,11 +151,13 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     per group, are written first: with their size known, Spark broadcasts them below its threshold, so no
     text is shuffled; more groups than that join by shuffle.
     """
+    docs = docs.drop("q_", "q_top", "q_base_failed", "q_kept")
+    group, = fresh(docs, "q_g")
     tops = fences(sketches(measured(docs.select(text, lang, source), text, lang, source)))
-    tops = land(tops.select(F.struct("lang", "source").alias("q_g"), F.struct("*").alias("q_top")), "fences")
+    tops = land(tops.select(F.struct("lang", "source").alias(group), F.struct("*").alias("q_top")), "fences")
     q = measured(docs, text, lang, source)
-    j = q.join(tops, (F.col("q_.lang").eqNullSafe(F.col("q_g.lang"))) & (F.col("q_.source").eqNullSafe(F.col("q_g.source"))),
-               "left").drop("q_g")
+    j = q.join(tops, (F.col("q_.lang").eqNullSafe(F.col(f"{group}.lang"))) & (F.col("q_.source").eqNullSafe(F.col(f"{group}.source"))),
+               "left").drop(group)
     failed = (F.col("q_.n_words") < MIN_WORDS) | (100 * F.col("q_.n_repeat_words") > MAX_REPEAT_PCT * F.col("q_.n_words"))
     over = F.lit(False)
     for r in RATIOS:
@@ -166,5 +173,7 @@ def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the rules reject go."""
-    return judge(docs).where("q_kept").select(*docs.columns)
+    """Pipeline stage: documents that the rules reject go. Columns that the rules would replace are given other names meanwhile."""
+    aside = {c: new for c in docs.columns if c.lower() in ("q_", "q_top", "q_base_failed", "q_kept") for new in fresh(docs, f"{c}_aside")}
+    kept = judge(docs.withColumnsRenamed(aside)).where("q_kept")
+    return kept.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
