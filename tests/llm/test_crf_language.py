@@ -68,3 +68,24 @@ def test_sample_is_bounded(docs):
     for _, _, lang in rows:
         per[lang] = per.get(lang, 0) + 1
     assert set(per.values()) == {3}
+
+
+def test_lang_source_and_id_of_scored_rows_do_not_matter(spark, docs):
+    from pyspark.sql import functions as F
+    learn = docs.where("doc_id % 2 = 0")
+    odd = docs.where("doc_id % 2 = 1").withColumn("h", F.md5("text"))
+    other = odd.withColumns({"doc_id": -F.col("doc_id") * 7, "lang": F.lit("xx"), "source": F.col("lang")})
+    result = lambda d: sorted((r.h, r.lang_pred, r.score) for r in C.languages(d, learn).join(
+        d.select("doc_id", "h"), "doc_id").collect())
+    assert result(odd) == result(other)
+
+
+def test_a_long_sentence_is_one_chain():
+    letters = C.letter_table()
+    w = C.Words([("word " * 5000).encode(), b"two. three"], letters)
+    assert w.lens.tolist() == [5000, 1, 1]
+
+
+def test_sample_of_an_id_that_many_rows_share(spark):
+    rows = spark.range(500).selectExpr("1L AS doc_id", "concat('text ', id) AS text", "'en' AS lang")
+    assert len(C.sample(rows, "doc_id", "text", "lang", 20)) == 20

@@ -10,7 +10,7 @@ doc_id first. Half of them make the lexicon, the others the weights, so that the
 learned on words it has not always seen. Training sequences splice runs of words of several
 languages, which is where transitions between languages come from. Only text and language are used.
 
-Sentences end at ``.``, ``!``, ``?`` and line ends; one of more than ``CHAIN`` words is several chains.
+Sentences end at ``.``, ``!``, ``?`` and line ends; a sentence is one chain, however long.
 Defined cases: a null text, or one without letters, is ``und`` with score 0, as is every text if no
 labelled row exists; equal marginals go to the first language in order of name; a null doc_id is
 scored and never learned from; repeated rows get equal results; an empty table gives no rows; other
@@ -25,10 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from vaultkit.llm.common import slices, table, tasks
+from vaultkit.llm.common import land, slices, table, tasks
 
 PER_LANG = 120
-CHAIN = 128
 BITS = 16              # weight rows per n-gram length: 2 ** BITS
 EPOCHS, RATE, DECAY = 25, 0.5, 1e-4
 STOPS = ".!?\n"
@@ -53,9 +52,7 @@ class Words:
         new = np.ones(self.n, bool)
         new[1:] = (stop[1:] != stop[:-1]) | (self.text[1:] != self.text[:-1])
         first = np.flatnonzero(new)
-        nth = np.arange(self.n) - np.repeat(first, np.diff(np.append(first, self.n)))
-        self.chain = np.flatnonzero(nth % CHAIN == 0)
-        self.lens = np.diff(np.append(self.chain, self.n))
+        self.chain, self.lens = first, np.diff(np.append(first, self.n))
         # Feature rows of the characters of each word; characters outside words count as the border 0.
         c = np.where(is_letter, cp, 0).astype(np.uint32)
         pos = np.flatnonzero(is_letter)
@@ -227,12 +224,15 @@ def _predict(shared):
 
 def sample(docs: DataFrame, doc_id: str, text: str, lang: str, per_lang: int) -> list:
     """At most ``per_lang`` rows per language, least hash of the id first. Ranks are limited in every
-    task before the shuffle, and only ids are ranked; texts are fetched for the chosen ones."""
+    task before the shuffle. Ids are ranked first, and texts are fetched for the chosen ones; of an id that
+    many rows share, no more than ``per_lang`` are."""
     docs = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t"), F.col(lang).alias("l"))
     rank = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("i"), "i"))
     ids = docs.select("i", "l").where("i IS NOT NULL AND l IS NOT NULL").withColumn("r", rank).where(F.col("r") <= per_lang)
-    ids = ids.select("i").distinct()                                    # at most per_lang ids a language
-    rows = docs.join(F.broadcast(ids), "i", "left_semi").where("l IS NOT NULL AND t IS NOT NULL").collect()
+    ids = land(ids.select("i").distinct(), "sample-ids")                # at most per_lang ids a language
+    rows = docs.join(ids, "i", "left_semi").where("l IS NOT NULL AND t IS NOT NULL")
+    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("i"), "i", "t"))
+    rows = rows.withColumn("r", rank).where(F.col("r") <= per_lang).collect()
     return sorted((r.i, r.t, r.l) for r in rows)
 
 
