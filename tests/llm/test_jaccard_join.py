@@ -73,22 +73,45 @@ def test_edge_rows(spark, edge, empty):
     assert all(r.class_id == r.doc_id and r.n_links == 0 for r in got if r.doc_id in (2, 3, 4, 6))
     assert J.jaccard_classes(empty).count() == 0
     kept = J.stage(spark, edge, None)
-    assert kept.columns == edge.columns and kept.count() == edge.count()
+    assert kept.columns == edge.columns and kept.count() == edge.count() - 1         # of the repeated row one stays
     assert J.stage(spark, empty, None).count() == 0
 
 
 def test_stage_keeps_one_of_each_class(spark):
-    rows = _near_copies(20) + [(50, "a b c d e f"), (51, "a b c d e f"), (None, "a b c d e f")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    want = {c for c, _ in brute([r for r in rows if r[0] is not None]).values()} | {None}
-    assert {r.doc_id for r in J.stage(spark, df, None).collect()} == want
+    rows = _near_copies(20) + [(50, "a b c d e f"), (51, "a b c d e f"), (None, "a b c d e f"), (None, "a b c d e f"), (51, "a b c d e f")]
+    rows += [(3, "a clean text under the id of a copy"), (60, "no id has this one"), (None, "no row with an id has this one"), (None, "no row with an id has this one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS jj_row", "2 AS jj_member", "3 AS jj_class")
+    kept = sorted(map(tuple, J.stage(spark, df, None).select("doc_id", "text").collect()), key=str)
+    first = {c for c, _ in brute(rows[:20]).values()}
+    want = [r for r in rows[:20] if r[0] in first] + [rows[20], *rows[25:28]]
+    assert kept == sorted(want, key=str)
 
 
 def test_runs_reach_the_recall():
-    q = J.survival(0.8)
-    assert 1 - (1 - q) ** J.runs_for(0.8) >= J.RECALL
-    # One run, measured: pairs at similarity 0.8 of 64 coordinates that still share a path.
-    assert 0.5 < q < 0.9
+    runs = J.runs_for(0.8)
+    assert max(J.missed(0.8, runs, d) for d in range(1, J.DEPTH + 1)) <= 1 - J.RECALL < J.missed(0.8, runs - 1)
+    # Runs drawn independently of each other would miss less than the same coordinates drawn again.
+    assert J.missed(0.8, runs) > (1 - J.survival(0.8, 0.8)) ** runs
+    with pytest.raises(ValueError):
+        J.runs_for(0.8, 1 - 1e-9)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4])
+def test_recall_of_planted_pairs_in_nodes_split_to_a_depth(spark, depth):
+    """3,000 pairs at similarity 0.8; with a limit of one set every node is split ``depth`` times."""
+    rng = np.random.default_rng(depth)
+    n = 3000
+    a = rng.integers(0, 1 << 30, (n, J.TOKENS))
+    b = np.where(rng.random((n, J.TOKENS)) < 0.8, a, rng.integers(0, 1 << 30, (n, J.TOKENS)))
+    rows = [(2 * i + k, sig.tolist()) for i in range(n) for k, sig in ((0, a[i]), (1, b[i]))]
+    reps = spark.createDataFrame(rows, "id long, sig array<int>").repartition(8)
+    found = {}
+    for runs in (1, J.runs_for(0.8)):
+        leaf = J.leaves(reps, 0.8, runs, limit=1, depth=depth)
+        pairs = leaf.selectExpr("path", "id DIV 2 AS pair").groupBy("path", "pair").count().where("count = 2")
+        found[runs] = pairs.select("pair").distinct().count() / n
+    assert 0.4 < found[1] < 0.97                # one run has one root: its coordinates are the same for all pairs
+    assert found[J.runs_for(0.8)] >= 0.998
 
 
 def test_similar_is_exact_over_many_shingles():

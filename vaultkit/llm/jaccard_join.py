@@ -3,10 +3,13 @@
 Equal sets are folded first; one representative stands for all its copies. A run then splits the
 representatives recursively: a node picks one coordinate of their MinHash tokens (and with
 probability 1/lambda - 1 a second one), and sets that share the token move on together. Nodes of at
-most ``LIMIT`` sets are leaves; larger ones are split again, down to ``DEPTH`` levels. A pair at the
-least similarity survives a run with probability ``q`` (``survival``), so ``runs_for`` repeats runs
-until a pair is missed with probability 1 - recall at most. Inside a leaf all sets are compared:
-MinHash agreement first, then exact Jaccard of the whole shingle sets.
+most ``LIMIT`` sets are leaves; larger ones are split again, down to ``DEPTH`` levels. Inside a leaf all
+sets are compared: MinHash agreement first, then exact Jaccard of the whole shingle sets.
+
+All runs draw from the same ``TOKENS`` coordinates, so a pair's fate hangs on how many of them agree.
+``missed`` averages over that number and counts the pairs whose agreement is too low to be compared;
+``runs_for`` repeats runs until a pair at the least similarity is missed with probability 1 - recall at
+most, in a node of any depth.
 
 A pair may meet in several leaves; it counts only in the least leaf both visit, so links are exact
 without shuffling pairs. Leaves that no path splits (large groups of near copies) are compared in
@@ -28,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultkit.llm.common import land, slices, table, tasks
+from vaultkit.llm.common import fresh, land, slices, table, tasks
 from vaultkit.llm.components import components
 from vaultkit.llm.shingles import SIMILARITY, shingle_set
 
@@ -41,17 +44,37 @@ SKETCH_SLACK = 0.25  # a pair is verified if its sketch agreement is at least si
 _SEEDS = np.array([xxhash.xxh3_64_intdigest(f"token {k}") | 1 for k in range(TOKENS)], np.uint64)
 
 
-def survival(similarity: float, depth: int = DEPTH) -> float:
-    """Probability that a pair still shares a leaf after ``depth`` splits of one run."""
+def survival(agreement: float, similarity: float, depth: int = DEPTH) -> float:
+    """Probability that a pair which agrees on this share of the coordinates shares a leaf after ``depth``
+    splits of one run, whose nodes take a second coordinate as the least similarity asks for."""
     q, more = 1.0, 1 / similarity - 1
     for _ in range(depth):
-        meet = similarity * q
+        meet = agreement * q
         q = 1 - (1 - meet) * (1 - more * meet)
     return q
 
 
+def missed(similarity: float, runs: int, depth: int = DEPTH) -> float:
+    """Probability that a pair at the least similarity is not compared, in nodes split ``depth`` times."""
+    out = 0.0
+    for k in range(TOKENS + 1):
+        share = math.comb(TOKENS, k) * similarity ** k * (1 - similarity) ** (TOKENS - k)
+        out += share * (1.0 if k < least_agreement(similarity) else (1 - survival(k / TOKENS, similarity, depth)) ** runs)
+    return out
+
+
+def least_agreement(similarity: float) -> int:
+    """Coordinates on which a pair must agree to be compared exactly."""
+    return math.ceil((similarity - SKETCH_SLACK) * TOKENS)
+
+
 def runs_for(similarity: float, recall: float = RECALL, depth: int = DEPTH) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(similarity, depth)))
+    runs = 1
+    while any(missed(similarity, runs, d) > 1 - recall for d in range(1, depth + 1)):
+        runs += 1
+        if runs > 1000:
+            raise ValueError("this recall is out of reach: too many pairs agree on too few coordinates")
+    return runs
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -135,7 +158,7 @@ def _own_pairs(path: int, seen: list[list[int]], chunk: np.ndarray, a: int, b: i
 
 
 def _candidates(similarity: float):
-    least = math.ceil((similarity - SKETCH_SLACK) * TOKENS)
+    least = least_agreement(similarity)
 
     def run(batches):
         for batch in batches:
@@ -255,7 +278,14 @@ def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each class the document with the least id stays. Rows that share a doc_id are
-    one document: they stay or go together. A row without id belongs to no class here and stays."""
-    gone = land(jaccard_classes(docs).where("doc_id != class_id").select(F.col("doc_id").alias("jj_doc")).distinct(), "copies")
-    return docs.join(gone, F.col("doc_id") == F.col("jj_doc"), "left_anti").select(*docs.columns)
+    """Pipeline stage: one row of each class stays, the one with the least doc_id (a null id comes last), the
+    first of equal ones. Every row is judged by its own text: repeated rows and rows without id are members
+    of classes like others, and rows that share an id go or stay apart. Rows without a word all stay."""
+    row, copy = fresh(docs, "jj_row", "jj_copy")
+    d = land(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    c = land(jaccard_classes(d, doc_id=row).select(F.col("doc_id").alias("jj_member"), F.col("class_id").alias("jj_class")), "classes")
+    own = d.select(F.col(row).alias("jj_member"), F.col("doc_id").cast("long").alias("jj_doc"))
+    first = c.join(own, "jj_member").groupBy("jj_class").agg(F.min(F.struct(F.col("jj_doc").isNull().alias("no"), "jj_doc", "jj_member")).alias("jj_first"))
+    first = land(first.select("jj_class", F.col("jj_first.jj_member").alias("jj_stays")), "first-of-class")
+    gone = land(c.join(first, "jj_class").where("jj_member != jj_stays").select(F.col("jj_member").alias(copy)), "copies")
+    return d.join(gone, F.col(row) == F.col(copy), "left_anti").select(*docs.columns)
