@@ -18,6 +18,7 @@ from vaultkit.operators.labels import label_rows
 from vaultkit.operators.quality import keep_known_countries
 from vaultkit.plans import constants as K
 from vaultkit.plans.common import finish
+from vaultkit.session import materialize
 from vaultkit.spec import IDENTIFIER, PRODUCT, PRODUCT_DIFF_CRM, RELATIONSHIP, LoadContext
 
 SOURCE_COLS = (
@@ -44,8 +45,10 @@ def with_parents(tables: Mapping[str, DataFrame], latest: bool, cols: list[str])
     """Each row with its parent's columns from the same region: one self-join on (region, id).
 
     ``latest``: the parent is the latest row of that id; otherwise every row of that id joins.
+    The rows are needed as children, as parents and as rows without a parent, so they are landed first:
+    each regional table is read once, whatever stands behind it.
     """
-    rows = all_regions(tables)
+    rows = materialize(all_regions(tables), "crm-regions")
     order = ["lastmodifieddate", "name"] if latest else None
     found = lookup_parent(rows.where("parent_product_vod__c IS NOT NULL"), rows.select(REGION, "id", "name", "lastmodifieddate"),
                           [REGION, "parent_product_vod__c"], [REGION, "id"], cols, latest_order=order)
@@ -235,9 +238,11 @@ def edge_rows(nodes: DataFrame) -> DataFrame:
 
 
 def crm_relationships(tables: Mapping[str, DataFrame], ctx: LoadContext) -> DataFrame:
-    """Relationship staging: node sets joined child.parent = parent.id (id only, any country)."""
+    """Relationship staging: node sets joined child.parent = parent.id (id only, any country).
+
+    The node set feeds both ends of the edges, so it is landed once."""
     src = _latest_parent_regions(tables, True).withColumnsRenamed(
         {"lastmodifieddate": "child_lastmodifieddate", "parent_lastmodifieddate": "parent_lastmodifieddate_src"})
     labelled = label_rows(src, label_rules(False), "product_type_code", distinct=True)
-    edges = edge_rows(node_rows(usable(labelled, tables["dim_country"])))
+    edges = edge_rows(materialize(node_rows(usable(labelled, tables["dim_country"])), "crm-nodes"))
     return finish(edges, RELATIONSHIP, ctx, K.CRM_SOURCE)
