@@ -1,47 +1,11 @@
 """Losses against a model counted in plain Python."""
 
-import math
-from collections import Counter
-
 import pytest
+from tests_llm_brute import losses as brute
 
 from vaultkit.llm import cross_entropy as X
 
 
-def brute(rows, good):
-    chars = Counter(c for _, t in rows for c in t or "")
-    top = sorted(chars, key=lambda c: (-chars[c], ord(c)))[:X.VOCABULARY - 2]
-    code = {c: k + 2 for k, c in enumerate(top)}
-    sym = lambda t: [0, 0] + [code.get(c, 1) for c in t]
-
-    def model(texts):
-        n = [Counter() for _ in range(3)]
-        for t in texts:
-            s = sym(t)
-            for k in range(2, len(s)):
-                for m in range(3):
-                    n[m][tuple(s[k - m:k + 1])] += 1
-        context = [Counter() for _ in range(3)]
-        for m in range(3):
-            for g, c in n[m].items():
-                context[m][g[:-1]] += c
-
-        def p(g):
-            if not g:
-                return 1 / X.VOCABULARY
-            return (n[len(g) - 1][g] + X.PRIOR * p(g[1:])) / (context[len(g) - 1][g[:-1]] + X.PRIOR)
-        return p
-
-    target = model([t or "" for d, t in rows if d in good])
-    background = model([t or "" for _, t in rows])
-    out = {}
-    for d, t in rows:
-        s = sym(t or "")
-        grams = [tuple(s[k - 2:k + 1]) for k in range(2, len(s))]
-        out[d] = [len(grams)] + [-sum(math.log(p(g)) for g in grams) / len(grams) if grams else None for p in (target, background)]
-    return out
-
-
 def test_losses_equal_plain_counts(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.limit(40).collect()] + [(900, ""), (901, None), (902, "é\U0001f642")]
     good = {rows[0][0], rows[3][0], rows[5][0], 901}
@@ -54,8 +18,8 @@ def test_losses_equal_plain_counts(spark, docs):
         n, t, b = want[r.doc_id]
         assert r.n_tokens == n
         if n:
-            assert r.loss_target == pytest.approx(t, rel=1e-4) and r.loss_background == pytest.approx(b, rel=1e-4)
-            assert r.score == pytest.approx(t - b, abs=2e-3)
+            assert r.loss_target == pytest.approx(t, rel=1e-6) and r.loss_background == pytest.approx(b, rel=1e-6)
+            assert r.score == pytest.approx(t - b, abs=1e-6)
         else:
             assert r.loss_target is None and r.score is None
 
