@@ -82,14 +82,14 @@ def materialize(df: DataFrame, name: str = "table", key: str | None = None, buck
     if buckets:
         table = f"landed_{tag}"
         df.write.mode("errorifexists").bucketBy(int(buckets), key).sortBy(key).option("path", path).saveAsTable(table)
-        _delete_at_end(spark, path)
+        delete_at_end(spark, path)
         return spark.table(table)
     df.write.mode("errorifexists").parquet(path)
-    _delete_at_end(spark, path)
+    delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _delete_at_end(spark: SparkSession, path: str) -> None:
+def delete_at_end(spark: SparkSession, path: str) -> None:
     """Have the driver delete an intermediate folder when the application ends."""
     sc = _context(spark)
     if sc is not None:
