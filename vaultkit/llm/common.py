@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import pickle
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +13,7 @@ import pyarrow.compute
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from vaultkit.session import ensure_checkpoint_dir, materialize
+from vaultkit.session import delete_at_end, ensure_checkpoint_dir, materialize
 
 SLICE_CHARS = 1_000_000   # text handled at once inside a task; longer texts are whole slices of their own
 
@@ -25,6 +27,26 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value):
+    """A session setting for the jobs that run inside; None leaves it as it is."""
+    old = spark.conf.get(key, None)
+    try:
+        if value is not None:
+            spark.conf.set(key, str(value))
+        yield
+    finally:
+        if value is not None:
+            spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
+def passing_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path below the shared one; it is deleted when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    delete_at_end(spark, path)
+    return path
+
+
 def shared_folder(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
