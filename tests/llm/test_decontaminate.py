@@ -20,7 +20,7 @@ def brute(rows, items, similarity=0.8):
                 continue
             size = min(len(g), len(h))
             k = min(5, len(g))
-            if len(h) < k or len(g) > len(h) + D.GAP:
+            if len(h) < k:
                 continue
             s = grams(g)
             bag = {int(a): float(index.weight(np.array([a], np.uint64))[0]) * int(n) for a, n in zip(*np.unique(s, return_counts=True))}
@@ -74,10 +74,7 @@ def test_edited_items_in_long_texts(spark):
     want = brute(rows, [(i, t) for i, t in items if t])
     for block in (5000, 7):                       # items in one block, and in several
         got = {(r.doc_id, r.item_id): round(r.similarity, 6) for r in D.contaminated(docs, bench, block=block).collect()}
-        if block == 5000:
-            assert got == want and len(want) > 25
-        else:                                     # weights follow the items of a block
-            assert {k for k, v in want.items() if v > 0.9} <= set(got)
+        assert got == want and len(want) > 25     # blocks are a split of the work, weights are those of the whole
 
 
 def test_index_finds_every_print_within_the_radius():
@@ -99,3 +96,13 @@ def test_edge_rows(spark, edge, empty):
     assert sorted((str(r.doc_id), str(r.item_id)) for r in got) == [("1", "1"), ("1", "1"), ("None", "None")]
     assert D.contaminated(empty, bench).count() == 0
     assert D.contaminated(edge, bench.limit(0)).count() == 0
+
+
+def test_stage_with_clashing_names(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    clash = docs.selectExpr("*", "1 AS dc_key", "2 AS DC_GONE")
+    kept = D.stage(spark, clash, sf)
+    assert kept.columns == clash.columns
+    bad = {r.doc_id for r in D.op6_benchmark_decontamination(spark, sf).collect()}
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - bad

@@ -27,13 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultkit.llm.common import land, share, shared_value, slices, table, tasks
+from vaultkit.llm.common import fresh, land, share, shared_value, slices, table, tasks
 from vaultkit.llm.shingles import SHINGLE, SIMILARITY, grams, shingle_set, word_hashes, words
 
 RADIUS = 23           # at similarity 0.8 the expected distance is 10 with deviation 3
 BLOCKS, WIDTH = 8, 8
 ITEMS = 5_000         # items of one index
-GAP = 8               # not used by the search: the tests' first brute force still reads it
 
 OUT = "doc_id long, item_id long, start_word int, n_words int, hamming int, similarity double"
 
@@ -248,6 +247,8 @@ def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go. A row without id is judged by its text, like any other."""
-    hits = contaminated(docs.withColumn("dc_key", F.xxhash64(F.col("doc_id"), F.col("text"))), table(spark, sf_dir, "benchmark"), doc_id="dc_key")
-    gone = land(hits.select(F.col("doc_id").alias("dc_gone")).distinct(), "contaminated")
-    return docs.join(gone, F.xxhash64(F.col("doc_id"), F.col("text")) == F.col("dc_gone"), "left_anti").select(*docs.columns)
+    key, bad = fresh(docs, "dc_key", "dc_gone")
+    own = F.xxhash64(F.col("doc_id"), F.col("text"))
+    hits = contaminated(docs.select(own.alias(key), "text"), table(spark, sf_dir, "benchmark"), doc_id=key)
+    gone = land(hits.select(F.col("doc_id").alias(bad)).distinct(), "contaminated")
+    return docs.join(gone, own == F.col(bad), "left_anti").select(*docs.columns)
