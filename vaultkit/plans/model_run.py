@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 from vaultkit.operators import audit as A
 from vaultkit.operators import models as M
-from vaultkit.operators.delta import PREFIX, sat_columns, with_prefix
+from vaultkit.operators.delta import PREFIX, current_rows, sat_columns, with_prefix
 from vaultkit.operators.quality import exclude_rejects, find_rejects, new_rejects
-from vaultkit.plans.store import VaultStore, counted
+from vaultkit.plans.store import VaultStore, counted, versioned
 from vaultkit.session import materialize
 from vaultkit.sources import schemas as SC
 from vaultkit.spec import EntitySpec, LoadContext
@@ -114,7 +114,9 @@ def run_models(store: VaultStore, inputs: ModelInputs, ctx: LoadContext, pipelin
 
         # SAT_HIST and SAT per satellite: the history compares the satellite before this run, so it is written first
         for name, (spec, model) in inputs.satellite_sources.items():
-            before = store.read(name, SC.satellite(spec))
+            # of the satellite only the keys that come in: they are picked before the newest version of each is
+            versions = store.rows(name, versioned(SC.satellite(spec)))
+            before = None if versions is None else current_rows(staging[model], versions)
             sat_rejects = rejects if spec.origin == "PRODUCT" else None   # only products drop rejects, also in the history
             clean = staging[model] if sat_rejects is None else exclude_rejects(staging[model], sat_rejects, ("dataset_product_id",))
             begin("HIST", f"{name.upper()}_HIST")
@@ -127,8 +129,8 @@ def run_models(store: VaultStore, inputs: ModelInputs, ctx: LoadContext, pipelin
             begin("DM", f"DM_{name.upper()}")
             # The batch's active rows are those just written, plus earlier ones of the same batch on a rerun.
             mart = rows
-            if before is not None:
-                earlier = before.where(F.col("etl_batch_id") == ctx.batch_id)
+            if before is not None and not versions.where(F.col("etl_batch_id") == ctx.batch_id).isEmpty():
+                earlier = store.read(name, SC.satellite(spec)).where(F.col("etl_batch_id") == ctx.batch_id)
                 mart = mart.unionByName(earlier.join(rows.select("hashkey"), "hashkey", "left_anti").select(*mart.columns))
             done(rows=store.replace(f"dm_{name}", M.mart(mart, spec, ctx.batch_id)))
         tr.step("history, satellites, marts")
