@@ -177,6 +177,7 @@ def test_bucketed_satellite_same_result_and_no_satellite_shuffle(spark, tables):
     plan = D.classify(tb.staging_day2(tables), sat)._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan
     m = run_delta_load(store, tb.staging_day2(tables), PRODUCT, _ctx("B2", 2), satellite_buckets=4)
+    assert not [x.name for x in spark.catalog.listTables() if x.name.startswith("marked_")]
     plain = scratch_store(spark, "plain")
     run_delta_load(plain, day1, PRODUCT, _ctx("B1", 1))
     m2 = run_delta_load(plain, tb.staging_day2(tables), PRODUCT, _ctx("B2", 2))
@@ -320,3 +321,18 @@ def test_a_load_that_broke_off_is_completed_by_running_it_again(spark, tables, m
     run_delta_load(store, tb.staging_day2(tables), PRODUCT, _ctx("B2", 2))
     for table, schema in (("hub", SC.HUB), ("sat_product", SC.satellite(PRODUCT)), ("sat_product_hist", SC.history(PRODUCT))):
         assert sorted(map(str, store.read(table, schema).collect())) == sorted(map(str, whole.read(table, schema).collect())), table
+
+
+def test_tables_of_other_names(spark, tables):
+    from vaultkit.plans.load import compact_satellite, read_satellite
+    names = {"hub": "keys", "sat": "product_facts", "hist": "product_past"}
+    a, b = scratch_store(spark, "names"), scratch_store(spark, "usual")
+    day1 = tb.stage(tb.day1_rows(tables), PRODUCT, tb.DAY1_BATCH, tb.DAY1_TS)
+    for store, more in ((a, {"names": names}), (b, {})):
+        run_delta_load(store, day1, PRODUCT, _ctx("B1", 1), **more)
+        run_delta_load(store, tb.staging_day2(tables), PRODUCT, _ctx("B2", 2), **more)
+    want = sorted(map(str, read_satellite(b, "sat_product", PRODUCT).collect()))
+    assert sorted(map(str, read_satellite(a, "product_facts", PRODUCT).collect())) == want
+    assert a.read("keys", SC.HUB).count() == b.read("hub", SC.HUB).count()
+    compact_satellite(a, "product_facts", PRODUCT)
+    assert sorted(map(str, read_satellite(a, "product_facts", PRODUCT).collect())) == want

@@ -16,6 +16,7 @@ import datetime as dt
 import os
 import sys
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -51,6 +52,7 @@ class LoadResult:
     satellite_new: DataFrame    # NEW and CHANGED rows, to be appended as the newest versions
     seen: DataFrame             # UNCHANGED keys with the time they were seen
     watermarks: DataFrame
+    landed: str | None = None   # the marked set's name in the session's catalog, if it is bucketed
 
 
 class _Trace:
@@ -94,7 +96,8 @@ def delta_load(staging: DataFrame, hub: DataFrame | None, satellite: DataFrame |
     counts = [F.count_if(F.col(D.ACTION) == a).alias(a) for a in (D.NEW, D.CHANGED, D.UNCHANGED)]
     if ctx.use_watermark:
         counts.append(F.max(F.col(ctx.watermark_column)).cast("timestamp_ntz").cast("string").alias("highest"))
-    marked = materialize(marked.observe(seen, *counts), "marked", "hashkey", buckets)
+    landed = f"marked_{uuid.uuid4().hex}" if buckets else None
+    marked = materialize(marked.observe(seen, *counts), "marked", "hashkey", buckets, landed)
     observed = dict(seen.get)
     highest = observed.pop("highest", None)
     changed = marked.where(F.col(D.ACTION) == D.CHANGED)
@@ -105,13 +108,13 @@ def delta_load(staging: DataFrame, hub: DataFrame | None, satellite: DataFrame |
         history_new = D.archived(D.current_rows(changed, satellite), history, ctx, digits=digits)
     same = marked.where(F.col(D.ACTION) == D.UNCHANGED).select("hashkey", "hashdiff", ctx.ts().alias("updated_datetime"))
     next_wm = D.advance_watermark(wm, highest and dt.datetime.fromisoformat(highest), ctx) if ctx.use_watermark else wm
-    return LoadResult(marked, observed, D.delta_metrics(marked, hub), hub_new, history_new, D.stamped(marked, spec, ctx), same, next_wm)
+    return LoadResult(marked, observed, D.delta_metrics(marked, hub), hub_new, history_new, D.stamped(marked, spec, ctx), same, next_wm, landed)
 
 
 def read_satellite(store: VaultStore, table: str, spec: EntitySpec) -> DataFrame | None:
     """The satellite with UPDATED_DATETIME of the last load that saw each row, changed or not."""
-    rows = store.read(table, SC.satellite(spec))
-    seen = store.read(f"{table}_seen", SEEN)
+    rows = store.current(table, SC.satellite(spec))
+    seen = store.rows(f"{table}_seen", SEEN)
     if rows is None or seen is None:
         return rows
     s = seen.groupBy("hashkey", F.col("hashdiff").alias("__d")).agg(F.max("updated_datetime").alias("__u"))
@@ -158,11 +161,12 @@ def run_delta_load(store: VaultStore, staging: DataFrame, spec: EntitySpec, ctx:
 
     _log_rows(store, A.process_start(log(), ctx, "DELTA", spec.name, ctx.system, A.now()), ctx, spec.name)
     tr.step("log start")
+    res = None
     try:
         buckets = store.buckets(n["sat"]) if store.exists(n["sat"]) else satellite_buckets
-        res = delta_load(staging, store.read(n["hub"], SC.HUB), store.rows(n["sat"], versioned(SC.satellite(spec))),
-                         store.rows(n["hist"], stored_history(spec)), store.read(n["reject"], SC.REJECT),
-                         store.read(n["wm"], SC.WATERMARK), spec, ctx, buckets, HISTORY_DIGITS)
+        res = delta_load(staging, store.rows(n["hub"], SC.HUB), store.rows(n["sat"], versioned(SC.satellite(spec))),
+                         store.rows(n["hist"], stored_history(spec)), store.rows(n["reject"], SC.REJECT),
+                         store.rows(n["wm"], SC.WATERMARK), spec, ctx, buckets, HISTORY_DIGITS)
         tr.step("dq + mark")
         inserted, changed = store.append(n["hub"], res.hub_new, buckets), res.actions[D.CHANGED]
         metrics = {"delta_inserted_rows": inserted, "delta_updated_rows": changed, "rows_processed": inserted + changed}
@@ -183,4 +187,7 @@ def run_delta_load(store: VaultStore, staging: DataFrame, spec: EntitySpec, ctx:
     except Exception as e:
         _log_rows(store, A.process_failed(log(), ctx, spec.name, f"{type(e).__name__}: {e}"[:2000], A.now()), ctx, spec.name)
         raise
+    finally:
+        if res is not None and res.landed:
+            spark.sql(f"DROP TABLE IF EXISTS {res.landed}")         # the name only: the files stay in the shared folder until the end
     return metrics

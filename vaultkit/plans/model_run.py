@@ -130,7 +130,7 @@ def run_models(store: VaultStore, inputs: ModelInputs, ctx: LoadContext, pipelin
             # The batch's active rows are those just written, plus earlier ones of the same batch on a rerun.
             mart = rows
             if before is not None and not versions.where(F.col("etl_batch_id") == ctx.batch_id).isEmpty():
-                earlier = store.read(name, SC.satellite(spec)).where(F.col("etl_batch_id") == ctx.batch_id)
+                earlier = store.current(name, SC.satellite(spec)).where(F.col("etl_batch_id") == ctx.batch_id)
                 mart = mart.unionByName(earlier.join(rows.select("hashkey"), "hashkey", "left_anti").select(*mart.columns))
             done(rows=store.replace(f"dm_{name}", M.mart(mart, spec, ctx.batch_id)))
         tr.step("history, satellites, marts")

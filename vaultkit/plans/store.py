@@ -113,11 +113,15 @@ class VaultStore:
                            f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {n} BUCKETS LOCATION '{path}'")
         return name
 
+    def current(self, table: str, schema: T.StructType) -> DataFrame | None:
+        """The newest row per hashkey of a ``versions`` table."""
+        found = self.rows(table, versioned(schema))
+        return None if found is None else latest_by(found, ["hashkey"], [SEQ]).drop(SEQ)
+
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
-        """The table's current rows: of a ``versions`` table the newest row per hashkey."""
+        """The table's current rows; a satellite by its usual name (``sat_...``) is a ``versions`` table."""
         if schema is not None and table.startswith("sat_") and not table.endswith(("_hist", "_seen")):
-            found = self.rows(table, versioned(schema))
-            return None if found is None else latest_by(found, ["hashkey"], [SEQ]).drop(SEQ)
+            return self.current(table, schema)
         return self.rows(table, schema)
 
     def shape(self, table: str) -> T.StructType | None:

@@ -65,7 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def materialize(df: DataFrame, name: str = "table", key: str | None = None, buckets: int | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", key: str | None = None, buckets: int | None = None, table: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet into the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` but computes the input a single time (an eager
@@ -73,14 +73,15 @@ def materialize(df: DataFrame, name: str = "table", key: str | None = None, buck
     cluster names in ``spark.checkpoint.dir``, so the result survives executor loss.
 
     With ``buckets`` it is written bucketed by ``key`` and sorted within, and read back with that layout:
-    joins and aggregates on the key need no exchange of it.
+    joins and aggregates on the key need no exchange of it. The layout stands in the session's catalog under
+    the name ``table``, which the caller drops when the rows are no longer needed.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
     tag = uuid.uuid4().hex
     path = os.path.join(base, "materialized", f"{name}-{tag}")
     if buckets:
-        table = f"landed_{tag}"
+        table = table or f"landed_{tag}"
         df.write.mode("errorifexists").bucketBy(int(buckets), key).sortBy(key).option("path", path).saveAsTable(table)
         delete_at_end(spark, path)
         return spark.table(table)
