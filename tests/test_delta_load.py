@@ -275,6 +275,32 @@ def test_outputs_of_a_bucketed_load_move_neither_hub_nor_satellite_nor_marked_se
         assert "Exchange" not in plan and ("Join" not in plan or "Bucketed: true" in plan), plan
 
 
+@pytest.mark.parametrize("adaptive", ["false", "true"])
+@pytest.mark.parametrize("first", [True, False])
+def test_staging_is_dealt_once_with_as_many_shuffle_partitions_as_buckets(spark, tables, shuffled, adaptive, first):
+    """The exchange of the top-1 per key, behind its partial limit, is the one into the buckets."""
+    from vaultkit.operators import delta as D
+    store = scratch_store(spark, "once")
+    day1 = tb.stage(tb.day1_rows(tables), PRODUCT, tb.DAY1_BATCH, tb.DAY1_TS)
+    run_delta_load(store, day1, PRODUCT, _ctx("B1", 1), satellite_buckets=4)
+    rows = tb.staging_day2(tables)
+    staging = spark.createDataFrame(rows.collect(), rows.schema)
+    satellite = None if first else store.rows("sat_product", versioned(SC.satellite(PRODUCT)))
+    exchanges, found, old = {}, {}, spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        for n in (4, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            marked = D.mark(D.dq_passed(staging, None, None, PRODUCT, _ctx("B2", 2)), satellite, 4)
+            found[n] = sorted(map(str, marked.collect()))
+            plan = marked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            exchanges[n] = plan.count("Exchange hashpartitioning")
+            assert plan.index("Exchange hashpartitioning") < plan.rindex("WindowGroupLimit")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert exchanges == {4: 1, 16: 2} and found[4] == found[16]
+
+
 def test_history_is_read_by_the_prefixes_at_hand(spark, tables):
     """Dynamic pruning on the history's partitions, with the rows that a plain anti join gives."""
     from vaultkit.operators import delta as D

@@ -140,11 +140,12 @@ def mark(dq: DataFrame, satellite: DataFrame | None, buckets: int | None = None)
     Only (hashkey, hashdiff) of the satellite is read, and ABSENT keys are not produced. A satellite of
     row versions (column ``SEQ``) is joined as it is; the newest version is then chosen among the keys of
     the DQ set only. With ``buckets`` the DQ side is dealt into the satellite's buckets, so the satellite is
-    joined where it lies, whatever the number of shuffle partitions.
+    joined where it lies, whatever the number of shuffle partitions; where both numbers are equal, the
+    exchange of the top-1 per key in ``dq_passed`` is that deal, and Spark leaves a second one out.
     """
-    if satellite is None:
-        return dq.withColumn(ACTION, F.lit(NEW))
     s = dq.repartition(int(buckets), "hashkey") if buckets else dq
+    if satellite is None:
+        return s.withColumn(ACTION, F.lit(NEW))
     versions = SEQ in satellite.columns
     t = active(satellite).select("hashkey", F.col("hashdiff").alias("__known"), *([SEQ] if versions else []))
     s = s.join(t, "hashkey", "left")

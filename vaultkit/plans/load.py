@@ -90,8 +90,6 @@ def delta_load(staging: DataFrame, hub: DataFrame | None, satellite: DataFrame |
     wm = watermarks if watermarks is not None else _empty(spark, SC.WATERMARK)
     dq = D.dq_passed(staging, rejects, wm if ctx.use_watermark else None, spec, ctx)
     marked = D.mark(dq, satellite, buckets)
-    if buckets and satellite is None:
-        marked = marked.repartition(int(buckets), "hashkey")
     seen = Observation()
     counts = [F.count_if(F.col(D.ACTION) == a).alias(a) for a in (D.NEW, D.CHANGED, D.UNCHANGED)]
     if ctx.use_watermark:
