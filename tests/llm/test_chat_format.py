@@ -63,6 +63,15 @@ def test_oversized_turn_is_kept_and_flagged(spark):
     assert got(spark, rows) == want(rows)
 
 
+def test_very_many_turns_of_one_window(spark):
+    """Turns without a token stand in one window, however many; its offsets are prefix sums."""
+    rows = [(1, k, ["user", "assistant"][k % 2], [None, "", " "][k % 3] if k % 1000 else f"word {k}") for k in range(12_000)]
+    rows += [(2, k, "assistant", "\\<|") for k in range(3_000)]
+    assert got(spark, rows) == want(rows)
+    w = C.windows(spark.createDataFrame(rows[:12_000], SCHEMA)).collect()
+    assert len(w) == 1 and len(w[0].loss) == 6_000
+
+
 def test_oracle(spark):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()

@@ -63,8 +63,9 @@ def windows(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role
     t = t.withColumn("w", F.floor((F.col("end") - F.col("n")) / F.lit(stride)))
     mark = F.concat(escape(F.col("role")), F.lit("|>"), escape(F.col("text")), F.lit(END))
     t = t.withColumn("body", mark).withColumn("skip", F.length(escape(F.col("role"))) + F.lit(len("<|turn ") + 2))
-    t = t.withColumn("chars", F.length(escape(F.col("text"))))
-    turns_ = t.select("conv_id", "w", F.struct("k", "role", "n", "end", "body", "skip", "chars").alias("t"))
+    t = t.withColumn("chars", F.length(escape(F.col("text")))).withColumn("size", F.length("body") + F.lit(len("<|turn ")))
+    t = t.withColumn("upto", F.sum("size").over(by.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    turns_ = t.select("conv_id", "w", F.struct("k", "role", "n", "end", "body", "skip", "chars", "upto").alias("t"))
     own = turns_.groupBy("conv_id", "w").agg(F.array_sort(F.collect_list("t")).alias("own"))
     own = own.withColumn("from", F.element_at("own", 1)["k"]).withColumn("at", F.element_at("own", 1)["end"] - F.element_at("own", 1)["n"])
     # History: turns of the window before that start less than HISTORY tokens back; the system turn
@@ -79,14 +80,12 @@ def windows(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role
     head = F.array_join(F.transform("seen", lambda x: F.concat(F.lit("<|seen "), x["body"])), "")
     tail = F.array_join(F.transform("own", lambda x: F.concat(F.lit("<|turn "), x["body"])), "")
     own = own.withColumn("head", head).withColumn("formatted", F.concat("head", tail))
-    # Offset of each own turn: lengths of the marked turns before it.
-    size = F.transform("own", lambda x: F.length(x["body"]) + F.lit(len("<|turn ")))
-    starts = F.transform("own", lambda x, i: F.aggregate(F.slice(F.col("size"), F.lit(1), i), F.length("head"), lambda a, b: a + b))
-    own = own.withColumn("size", size).withColumn("starts", starts)
-    loss = F.filter(F.transform("own", lambda x, i: F.struct(
-        (F.get("starts", i) + x["skip"]).alias("start"), x["chars"].alias("length"), x["role"].alias("role"))),
-        lambda s: s["role"] == "assistant")
-    own = own.withColumn("loss", F.transform(loss, lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length"))))
+    # Own turns follow each other, so the conversation's prefix sum of marked lengths gives each one's offset.
+    base = F.length("head") - F.element_at("own", 1)["upto"]
+    mine = F.filter("own", lambda x: x["role"] == "assistant")
+    loss = F.transform(F.array(base), lambda at: F.transform(mine, lambda x: F.struct(
+        (at + x["upto"] + x["skip"]).cast("int").alias("start"), x["chars"].alias("length"))))
+    own = own.withColumn("loss", F.element_at(loss, 1))
     total = F.aggregate(F.concat("seen", "own"), F.lit(0).cast("long"), lambda a, x: a + x["n"])
     return own.select("conv_id", F.col("w").alias("window"), "formatted", "loss", F.size("own").alias("n_own"),
                       total.alias("n_tokens"), (total > budget).alias("over_budget"))
