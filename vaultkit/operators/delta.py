@@ -9,14 +9,15 @@ next satellite, history rows, hub rows and metrics are all projections of that o
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultkit.functions.dates import floor_ts, minutes_before
 from vaultkit.functions.predicates import all_present
 from vaultkit.operators.dedupe import latest_by
-from vaultkit.operators.merge import merge_single
+from vaultkit.operators.merge import IN_S, IN_T, merge_single
 from vaultkit.operators.quality import exclude_rejects
 from vaultkit.spec import HUB_COLUMNS, SAT_META, EntitySpec, LoadContext
 
@@ -28,6 +29,8 @@ ABSENT = "ABSENT"
 SEQ = "__seq"              # running number of a satellite's row versions: the newest row of a key counts
 PREFIX = "diff_prefix"     # leading digits of the hash diff, by which the history is partitioned
 
+KNOWN = "__known"          # hashdiffs of a key's active satellite rows
+
 ACTION = "action"
 STG = "stg"
 SAT = "sat"
@@ -91,18 +94,12 @@ def dq_passed(staging: DataFrame, rejects: DataFrame | None, watermarks: DataFra
 
     Ties per hashkey go to the latest load_datetime, then the highest hashdiff.
 
-    When the reject ids are hash-key ingredients (all three entity specs), every row of one
-    hashkey is rejected or none is, so the top-1 per hashkey runs before the reject anti join:
-    its partial limit collapses each key map-side (a key holding a third of the rows costs one row
-    per task), and the anti join then sees one row per key.
+    Rejects go first: the top-1 per hashkey gets fewer rows, its partial limit collapses each key map-side,
+    and its exchange is the one that a join on hashkey needs, however the anti joins are carried out.
     """
     out = staging.where(all_present(spec.required_cols))
     if ctx.use_watermark:
         out = since_watermark(out, watermarks, ctx)
-    rejects_follow_key = set(spec.reject_id_cols) <= set(spec.key_cols)
-    if spec.dedupe and rejects_follow_key:
-        out = latest_by(out, ["hashkey"], ["load_datetime", "hashdiff"])
-        return exclude_rejects(out, rejects, spec.reject_id_cols)
     out = exclude_rejects(out, rejects, spec.reject_id_cols)
     if spec.dedupe:
         out = latest_by(out, ["hashkey"], ["load_datetime", "hashdiff"])
@@ -121,19 +118,38 @@ def classify(dq: DataFrame, satellite: DataFrame) -> DataFrame:
     Output: ``hashkey``, ``action`` and structs ``stg`` (DQ row or NULL) and ``sat`` (active
     satellite row or NULL). Both inputs must hold one row per hashkey (``dq_passed`` ensures it
     for the DQ set, the satellite keeps one active row per key), so no key fans out.
+
+    Which side a key is on is told by columns of their own: testing the structs would carry all their
+    fields through the join, also those that a caller never reads.
     """
-    s = dq.selectExpr("hashkey", f"struct(*) AS {STG}")
-    t = active(satellite).selectExpr("hashkey", f"struct(*) AS {SAT}")
+    s = dq.selectExpr("hashkey", f"struct(*) AS {STG}", f"true AS {IN_S}")
+    t = active(satellite).selectExpr("hashkey", f"struct(*) AS {SAT}", f"true AS {IN_T}")
     j = s.join(t, "hashkey", "full_outer")
     action = (
-        F.when(F.col(SAT).isNull(), F.lit(NEW))
-        .when(F.col(STG).isNull(), F.lit(ABSENT))
+        F.when(F.col(IN_T).isNull(), F.lit(NEW))
+        .when(F.col(IN_S).isNull(), F.lit(ABSENT))
         .when(F.col(f"{STG}.hashdiff") == F.col(f"{SAT}.hashdiff"), F.lit(UNCHANGED))
         .otherwise(F.lit(CHANGED))
     )
     return j.select("hashkey", action.alias(ACTION), STG, SAT)
 
 
+def with_known(satellite: DataFrame) -> DataFrame:
+    """Active satellite rows with the hashdiffs of all active rows of their key (column ``KNOWN``).
+
+    The window needs the deal and the order that the join on hashkey needs anyway.
+    """
+    return active(satellite).withColumn(KNOWN, F.collect_list("hashdiff").over(Window.partitionBy("hashkey")))
+
+
+def key_actions() -> Column:
+    """Actions of a classified key, one per active satellite row that it has; see ``with_known``."""
+    new = F.array(F.lit(NEW))
+    absent = F.transform(f"{SAT}.{KNOWN}", lambda d: F.lit(ABSENT))
+    joined = F.transform(f"{SAT}.{KNOWN}", lambda d: F.when(d == F.col(f"{STG}.hashdiff"), UNCHANGED).otherwise(CHANGED))
+    return F.when(F.col(ACTION) == NEW, new).when(F.col(ACTION) == ABSENT, absent).otherwise(joined)
+
+
 def mark(dq: DataFrame, satellite: DataFrame | None, buckets: int | None = None) -> DataFrame:
     """The DQ set with ``action`` (NEW, CHANGED, UNCHANGED): what a load needs of the classification.
 
@@ -307,12 +323,14 @@ def next_history(classified: DataFrame, history: DataFrame | None, spec: EntityS
     return new if history is None else history.unionByName(new, allowMissingColumns=True).select(*new.columns)
 
 
-def next_satellite(classified: DataFrame, satellite: DataFrame | None, spec: EntitySpec, ctx: LoadContext) -> DataFrame:
+def next_satellite(classified: DataFrame, satellite: DataFrame | None, spec: EntitySpec, ctx: LoadContext,
+                   keep: Mapping[str, Column] | None = None) -> DataFrame:
     """Satellite after touch + merge.
 
     NEW and CHANGED take the staging row with START/LOAD/UPDATED = run time and END = NULL;
     UNCHANGED keeps its row with UPDATED = run time; ABSENT passes untouched (no delete detection).
-    Expired rows of the input satellite (END set) pass through as they are.
+    Expired rows of the input satellite (END set) pass through as they are. ``keep`` adds columns of the
+    classification.
     """
     take_stg = f"{ACTION} IN ('{NEW}', '{CHANGED}')"
     ts = _ts_sql(ctx)
@@ -335,11 +353,11 @@ def next_satellite(classified: DataFrame, satellite: DataFrame | None, spec: Ent
         if c == "updated_datetime":
             from_sat = f"CASE WHEN {ACTION} = '{UNCHANGED}' THEN {ts} ELSE {from_sat} END"
         out.append(f"CASE WHEN {take_stg} THEN {from_stg} ELSE {from_sat} END AS {_q(c)}")
-    current = classified.selectExpr(*out)
+    current = classified.select(*map(F.expr, out), *[v.alias(c) for c, v in (keep or {}).items()])
     if satellite is None:
         return current
     expired = satellite.where(F.col("end_datetime").isNotNull()).select(*sat_columns(spec))
-    return current.unionByName(expired)
+    return current.unionByName(expired, allowMissingColumns=bool(keep))
 
 
 def empty_satellite(dq: DataFrame, spec: EntitySpec) -> DataFrame:

@@ -58,6 +58,7 @@ from vaultkit.operators.conform import append_synced, standard_hash_names  # noq
 from vaultkit.operators.dedupe import latest_by, lookup_parent, sorted_distinct_list, union_all, union_distinct  # noqa: E402
 from vaultkit.operators.labels import label_rows  # noqa: E402
 from vaultkit.operators.quality import exclude_rejects, find_rejects, keep_known_countries, new_rejects  # noqa: E402
+from vaultkit.session import materialize  # noqa: E402
 from vaultkit.spec import IDENTIFIER, PRODUCT, RELATIONSHIP  # noqa: E402
 
 
@@ -318,10 +319,12 @@ def watermark_upsert(spark, sf_dir):
 
 
 def _entity_delta(t, staging, satellite, spec):
-    """Next satellite of an entity with the action of every key."""
-    c = D.classify(D.dq_passed(staging, tb.rejects_day2(t), None, spec, tb.ctx()), satellite)
-    action = c.select("hashkey", "action")
-    return D.next_satellite(c, None, spec, tb.ctx()).join(action, "hashkey")
+    """Next satellite of an entity with the action of every key (of repeated keys, with each of their actions)."""
+    # Landed, the rejected ids have a known size: where it is small, no staging row is shuffled to look them up.
+    rejects = materialize(tb.rejects_day2(t).select("dataset_product_id").distinct(), "rejected-ids")
+    c = D.classify(D.dq_passed(staging, rejects, None, spec, tb.ctx()), D.with_known(satellite))
+    rows = D.next_satellite(c, None, spec, tb.ctx(), keep={D.ACTION: D.key_actions()})
+    return rows.withColumn(D.ACTION, F.explode(D.ACTION))
 
 
 @query
