@@ -18,18 +18,9 @@ from vaultkit.spec import HUB_COLUMNS, EntitySpec, LoadContext
 ORIGIN_ORDER = ("PRODUCT", "IDENTIFIER", "RELATIONSHIP")
 
 
-def _hub_candidates(frames: Iterable[DataFrame], origin: str, ctx: LoadContext) -> DataFrame:
-    return union_all(
-        df.select(
-            "hashkey",
-            ctx.ts().alias("start_datetime"),
-            ctx.ts().alias("load_datetime"),
-            F.col("record_source"),
-            F.col("etl_batch_id"),
-            F.lit(origin).alias("origin_stg"),
-        )
-        for df in frames
-    )
+def _hub_candidates(frames: Iterable[DataFrame], origin: str) -> DataFrame:
+    rank = F.lit(ORIGIN_ORDER.index(origin))
+    return union_all(df.select("hashkey", "record_source", "etl_batch_id", rank.alias("__origin")) for df in frames)
 
 
 def hub_full(products: Iterable[DataFrame], identifiers: Iterable[DataFrame], relationships: Iterable[DataFrame],
@@ -38,17 +29,19 @@ def hub_full(products: Iterable[DataFrame], identifiers: Iterable[DataFrame], re
     only hashkeys the hub lacks, one row per hashkey (product first, then identifier, relationship).
 
     One top-1 per hashkey over all candidates (partial limit map-side) replaces a DISTINCT per
-    source: duplicate keys collapse before the single shuffle.
+    source: duplicate keys collapse before the single shuffle. Sorts hold the key and what decides only;
+    the columns that are the same for all rows are added to the rows that are left.
     """
     prods = [exclude_rejects(p, rejects, ("dataset_product_id",)) for p in products]
     cand = union_all([
-        _hub_candidates(prods, "PRODUCT", ctx),
-        _hub_candidates(identifiers, "IDENTIFIER", ctx),
-        _hub_candidates(relationships, "RELATIONSHIP", ctx),
+        _hub_candidates(prods, "PRODUCT"),
+        _hub_candidates(identifiers, "IDENTIFIER"),
+        _hub_candidates(relationships, "RELATIONSHIP"),
     ])
-    rank = F.when(F.col("origin_stg") == ORIGIN_ORDER[0], 0).when(F.col("origin_stg") == ORIGIN_ORDER[1], 1).otherwise(2)
-    one = latest_by(cand, ["hashkey"], [rank.asc(), F.col("record_source").asc_nulls_last(), F.col("etl_batch_id").asc_nulls_last()])
-    return insert_new(hub, one.select(*HUB_COLUMNS), ["hashkey"])
+    one = latest_by(cand, ["hashkey"], [F.col("__origin").asc(), F.col("record_source").asc_nulls_last(), F.col("etl_batch_id").asc_nulls_last()])
+    origin = F.when(F.col("__origin") == 0, ORIGIN_ORDER[0]).when(F.col("__origin") == 1, ORIGIN_ORDER[1]).otherwise(ORIGIN_ORDER[2])
+    values = {"start_datetime": ctx.ts(), "load_datetime": ctx.ts(), "origin_stg": origin}
+    return insert_new(hub, one, ["hashkey"]).select(*[values[c].alias(c) if c in values else c for c in HUB_COLUMNS])
 
 
 def sat_rows(staging: DataFrame, spec: EntitySpec, ctx: LoadContext) -> DataFrame:

@@ -32,6 +32,9 @@ RECORD_SOURCE = "CRM"
 STAGING_MODEL = "STG_CUSTOMER"
 EXCLUDED_REGION = 4
 
+# Parts into which the lines of one scan task are dealt (a scan task has 128 MB of a table at most by default).
+PARTS_OF_SPLIT = 8
+
 
 def memo(fn):
     """Build a derived frame once per table set (repeated uses share one DataFrame object)."""
@@ -212,8 +215,13 @@ def identifiers(t) -> DataFrame:
 
 @memo
 def edges(t) -> DataFrame:
-    """Supplier -> part edges with the latest ship date per pair."""
-    return t["lineitem"].groupBy("l_suppkey", "l_partkey").agg(F.max("l_shipdate").alias("last_ship"))
+    """Supplier -> part edges with the latest ship date per pair.
+
+    Pairs seldom repeat, and each becomes a row ten times as wide that later steps sort: lines are dealt by pair
+    into parts that stay small at any size of the table, and which adaptive execution does not merge again.
+    """
+    lines = t["lineitem"].select("l_suppkey", "l_partkey", "l_shipdate")
+    return lines.repartition(PARTS_OF_SPLIT * lines.rdd.getNumPartitions(), "l_suppkey", "l_partkey").groupBy("l_suppkey", "l_partkey").agg(F.max("l_shipdate").alias("last_ship"))
 
 
 @memo
