@@ -61,3 +61,25 @@ def test_nulls_ties_and_repeated_rows(spark, sizes):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert H.hard_negatives(df).count() == 0
+
+
+@pytest.mark.parametrize("top, dims, labels", [(1.0, 4, 400), (1.0, 96, 2), (1.0, 1, 3), (3e6, 5, 4)])
+def test_cells_of_several_blocks(spark, top, dims, labels):
+    """Many cells, some without an anchor or a candidate; many labels, few of them, long vectors, fields wider than a double."""
+    rng = np.random.default_rng(dims)
+    rows = [(i if i % 9 else None, [float(np.float32(x)) for x in top * rng.normal(0, 0.3, dims).round(1)], int(rng.integers(0, labels))) for i in range(1, 420)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = rows_of(H.hard_negatives(df, every=5, sizes=(23, 16)))
+    assert got == brute(rows, every=5)
+    assert got or labels == 400
+
+
+def test_rows_found_grow_with_the_table_only(spark, monkeypatch):
+    """Cells keep the best rows of all their blocks, so what is shuffled does not grow with blocks of anchors times blocks of candidates."""
+    found, tasks = [], H.tasks
+    monkeypatch.setattr(H, "tasks", lambda df, run, schema: found.append(tasks(df, run, schema)) or found[-1])
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 4)], int(rng.integers(0, 2))) for i in range(3000)]
+    H.hard_negatives(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), sizes=(8, 16)).count()
+    counts = [df.count() for df in found if "anchor" in df.columns]
+    assert len(counts) == 2 and max(counts) <= len(rows)
